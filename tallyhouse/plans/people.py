@@ -1 +1,324 @@
+"""Queries over engagement, signups and online audience."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.dates import week_ending_sunday
+from ..operators import audience, engagement, signups
+from . import inputs as I
+from .registry import query
+
+DAY = f"DATE '{I.EVENTS_AS_OF}'"
+AT = f"TIMESTAMP '{I.EVENTS_AS_OF} 00:00:00'"
+AS_OF_TS = f"{I.EVENTS_AS_OF} 00:00:00"
+ON = f"DATE '{I.AS_OF}'"
+ORDERS_AT = f"TIMESTAMP '{I.AS_OF} 00:00:00'"
+ORDERS_TS = f"{I.AS_OF} 00:00:00"
+
+
+@query("period_distinct_people", f"""
+    SELECT c_nationkey AS campus_id, o_orderpriority AS step_name,
+           count(DISTINCT o_custkey) FILTER (o_orderdate >= {ORDERS_AT} - INTERVAL 90 DAY)
+             AS past_90,
+           count(DISTINCT o_custkey) FILTER (year(o_orderdate) = 2000) AS year_to_date,
+           count(DISTINCT o_custkey) FILTER (o_orderdate >= {ORDERS_AT} - INTERVAL 365 DAY)
+             AS past_365
+    FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2""")
+def period_distinct_people(spark, sf_dir):
+    steps = I.table(spark, sf_dir, "orders").join(
+        I.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"),
+                                                  F.col("c_nationkey").alias("campus_id")),
+        "o_custkey").select("campus_id", F.col("o_orderpriority").alias("step_name"),
+                            F.col("o_custkey").alias("person_id"),
+                            F.col("o_orderdate").alias("started_at"))
+    return engagement.launch_events(steps, ORDERS_TS)
+
+
+@query("requests_completions", f"""
+    SELECT o_custkey % 5 AS campus_id, o_orderpriority AS opportunity_name,
+           count(*) FILTER (o_orderdate >= {ORDERS_AT} - INTERVAL 90 DAY) AS requests_90,
+           count(*) FILTER (o_orderdate >= {ORDERS_AT} - INTERVAL 365 DAY) AS requests_365,
+           count(*) FILTER (o_orderdate >= {ORDERS_AT} - INTERVAL 90 DAY
+                            AND o_orderstatus = 'F') AS completed_90,
+           count(*) FILTER (o_orderdate >= {ORDERS_AT} - INTERVAL 365 DAY
+                            AND o_orderstatus = 'F') AS completed_365
+    FROM orders GROUP BY 1, 2""")
+def requests_completions(spark, sf_dir):
+    requests = I.mapped(I.table(spark, sf_dir, "orders"), {
+        "campus_id": "o_custkey % 5", "opportunity_name": "o_orderpriority",
+        "created_at": "o_orderdate", "updated_at": "o_orderdate", "status": "o_orderstatus"})
+    return engagement.requests_and_completions(requests, ORDERS_TS, "F")
+
+
+_CHECK_INS = {"campus_id": "user_id % 4", "person_id": "user_id", "type_id": I.KIND,
+              "occurrence_date": "CAST(ts AS DATE)", "did_attend": "value > 10",
+              "is_first_time": "CASE WHEN value < 2 THEN NULL ELSE value > 100 END"}
+
+
+def _check_ins(spark, sf_dir):
+    return I.mapped(I.table(spark, sf_dir, "events"), _CHECK_INS)
+
+
+_SUMMARY = f"""
+    c AS ({I.select_sql('events', _CHECK_INS)}),
+    summary AS (SELECT campus_id, occurrence_date,
+                       count(DISTINCT person_id) FILTER (did_attend) AS check_ins,
+                       count(DISTINCT person_id) FILTER (is_first_time) AS first_time
+                FROM c WHERE type_id IN (1, 2) AND dayofweek(occurrence_date) = 0
+                GROUP BY 1, 2)"""
+
+
+@query("sunday_summary", f"WITH {_SUMMARY} SELECT * FROM summary")
+def sunday_summary(spark, sf_dir):
+    return engagement.sunday_summary(_check_ins(spark, sf_dir), (1, 2))
+
+
+@query("serving_averages", f"""
+    WITH {_SUMMARY},
+    act AS (SELECT count(DISTINCT user_id) AS n FROM events WHERE event_type = 'view'),
+    b AS (SELECT sum(check_ins) FILTER (occurrence_date >= {DAY} - 36) AS s,
+                 count(DISTINCT occurrence_date) FILTER (occurrence_date >= {DAY} - 36) AS d,
+                 (sum(first_time) FILTER (occurrence_date >= {DAY} - 36))::BIGINT AS new_recent,
+                 (sum(first_time) FILTER (year(occurrence_date) = 2024))::BIGINT AS new_this_year
+          FROM summary)
+    SELECT n AS active_members, CAST(ceil(s / d::DOUBLE) AS BIGINT) AS serving,
+           greatest(0, n - CAST(ceil(s / d::DOUBLE) AS BIGINT)) AS not_serving,
+           new_recent, new_this_year FROM b, act""")
+def serving_averages(spark, sf_dir):
+    members = I.mapped(I.table(spark, sf_dir, "events"),
+                       {"person_id": "user_id", "group_id": I.KIND, "type_id": I.KIND})
+    active = engagement.active_members(members, 1).select("active_people").scalar()
+    return engagement.serving_averages(
+        engagement.sunday_summary(_check_ins(spark, sf_dir), (1, 2)), active, I.EVENTS_AS_OF)
+
+
+@query("check_in_counts", f"""
+    WITH c AS ({I.select_sql('events', _CHECK_INS)}),
+    k AS (SELECT * FROM c WHERE did_attend AND type_id IN (3, 4))
+    SELECT count(*) FILTER (occurrence_date > {DAY} - 35) AS check_ins_5_weeks,
+           count(*) FILTER (year(occurrence_date) = 2024) AS check_ins_year,
+           count(*) FILTER (occurrence_date > {DAY} - 35 AND is_first_time) AS new_5_weeks,
+           count(*) FILTER (year(occurrence_date) = 2024 AND is_first_time) AS new_year
+    FROM k""")
+def check_in_counts(spark, sf_dir):
+    return engagement.check_in_counts(_check_ins(spark, sf_dir), I.EVENTS_AS_OF, (3, 4))
+
+
+_MEMBERS = {"person_id": "user_id", "group_id": "user_id % 12", "type_id": I.KIND,
+            "created_at": "ts"}
+
+
+def _members(spark, sf_dir):
+    return I.mapped(I.table(spark, sf_dir, "events"), _MEMBERS)
+
+
+@query("group_metrics", f"""
+    WITH m AS ({I.select_sql('events', _MEMBERS)})
+    SELECT type_id, count(*) FILTER (created_at >= {AT} - INTERVAL 7 DAY) AS past_7,
+           count(*) FILTER (created_at >= {AT} - INTERVAL 90 DAY) AS past_90,
+           count(*) FILTER (year(created_at) = 2024) AS year_to_date,
+           count(*) FILTER (created_at >= {AT} - INTERVAL 365 DAY) AS past_365
+    FROM m GROUP BY type_id""")
+def group_metrics(spark, sf_dir):
+    return engagement.new_members(_members(spark, sf_dir), AS_OF_TS)
+
+
+@query("active_members", f"""
+    WITH m AS ({I.select_sql('events', _MEMBERS)})
+    SELECT count(DISTINCT person_id) AS active_people, count(DISTINCT group_id) AS active_groups
+    FROM m WHERE type_id = 2""")
+def active_members(spark, sf_dir):
+    return engagement.active_members(_members(spark, sf_dir), 2)
+
+
+@query("social_signups", f"""
+    SELECT count(DISTINCT user_id) AS signups FROM events
+    WHERE event_type = 'signup' AND ts >= {AT} - INTERVAL 35 DAY""")
+def social_signups(spark, sf_dir):
+    return engagement.social_signups(_members(spark, sf_dir), AS_OF_TS, 4)
+
+
+@query("latest_check_in_label", f"""
+    SELECT coalesce('Last Checkin - ' || strftime(max(CAST(ts AS DATE)), '%m/%d'), '-')
+             AS latest_check_in FROM events WHERE event_type = 'purchase'""")
+def latest_check_in_label(spark, sf_dir):
+    return engagement.latest_check_in_label(_check_ins(spark, sf_dir), 3)
+
+
+_ANSWERS = {"created_at": "o_orderdate", "value": "CASE o_orderstatus WHEN 'F' THEN 'YES' "
+                                                  "WHEN 'O' THEN 'yes' ELSE 'no' END"}
+_WINDOW_COUNTS = f"""
+    count(*) FILTER (d >= {ORDERS_AT} - INTERVAL 365 DAY) AS past_365,
+    count(*) FILTER (year(d) = 2000) AS year_to_date,
+    count(*) FILTER (d >= {ORDERS_AT} - INTERVAL 90 DAY) AS past_90"""
+
+
+@query("answer_counts", f"""
+    SELECT {_WINDOW_COUNTS} FROM (SELECT o_orderdate AS d FROM orders
+                                  WHERE o_orderstatus IN ('F', 'O'))""")
+def answer_counts(spark, sf_dir):
+    return engagement.answers(I.mapped(I.table(spark, sf_dir, "orders"), _ANSWERS), ORDERS_TS)
+
+
+@query("comparison_unpivot", f"""
+    WITH w AS (SELECT 'Yes' AS class, {_WINDOW_COUNTS} FROM (
+                 SELECT o_orderdate AS d FROM orders WHERE o_orderstatus IN ('F', 'O'))
+               UNION ALL
+               SELECT o_orderpriority, {_WINDOW_COUNTS} FROM (
+                 SELECT o_orderpriority, o_orderdate AS d FROM orders) GROUP BY o_orderpriority)
+    SELECT class, 'Past 365 Days' AS time_period, 1 AS sort_order, past_365 AS value FROM w
+    UNION ALL SELECT class, 'Year To Date', 2, year_to_date FROM w
+    UNION ALL SELECT class, 'Past 90 Days', 3, past_90 FROM w""")
+def comparison_unpivot(spark, sf_dir):
+    orders = I.table(spark, sf_dir, "orders")
+    yes = engagement.answers(I.mapped(orders, _ANSWERS), ORDERS_TS).withColumn(
+        "class", F.lit("Yes"))
+    members = engagement.new_members(
+        orders.select(F.col("o_orderpriority").alias("class"),
+                      F.col("o_orderdate").alias("created_at")), ORDERS_TS, ["class"])
+    return engagement.comparison(yes.unionByName(members.drop("past_7")), "class")
+
+
+# --- signups -----------------------------------------------------------------------------
+
+_SIGNUPS = {"event": "o_orderpriority", "signed_up": "CAST(o_orderdate AS DATE)",
+            "project": "o_custkey", "person": "o_orderkey"}
+
+
+@query("cumulative_by_series", """
+    WITH c AS (SELECT o_orderpriority AS event,
+                      month(o_orderdate) * 100 + day(o_orderdate) AS month_day, count(*) AS n
+               FROM orders GROUP BY 1, 2),
+    axis AS (SELECT * FROM (SELECT DISTINCT event FROM c), (SELECT DISTINCT month_day FROM c))
+    SELECT event, month_day, CASE WHEN month_day <= 618 THEN
+             (sum(coalesce(n, 0)) OVER (PARTITION BY event ORDER BY month_day))::BIGINT END
+             AS cumulative
+    FROM axis LEFT JOIN c USING (event, month_day)""")
+def cumulative_by_series(spark, sf_dir):
+    rows = I.mapped(I.table(spark, sf_dir, "orders"), _SIGNUPS)
+    return signups.cumulative(rows, "event", "signed_up", until=618)
+
+
+@query("signups_on_day", """
+    SELECT count(DISTINCT user_id) AS signups, count(DISTINCT event_type) AS projects,
+           count(DISTINCT user_id) FILTER (month(ts) = 1 AND day(ts) = 14) AS signups_on_day,
+           max(dayname(ts)) FILTER (month(ts) = 1 AND day(ts) = 14) AS day_of_week
+    FROM events""")
+def signups_on_day(spark, sf_dir):
+    rows = I.mapped(I.table(spark, sf_dir, "events"), {
+        "day": "CAST(ts AS DATE)", "person": "user_id", "project": "event_type"})
+    return signups.on_day(rows, "day", 114, "person", "project")
+
+
+@query("signup_map", """
+    SELECT c_nationkey AS place, min(c_name) AS address, count(DISTINCT o_orderpriority) AS projects,
+           count(DISTINCT o_custkey) AS signups
+    FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1""")
+def signup_map(spark, sf_dir):
+    customers = I.mapped(I.table(spark, sf_dir, "customer"), {
+        "person": "c_custkey", "place": "c_nationkey", "address": "c_name"})
+    rows = I.mapped(I.table(spark, sf_dir, "orders"), {
+        "person": "o_custkey", "project": "o_orderpriority"}).join(customers, "person")
+    return signups.by_place(rows, "place", "address", "project", "person")
+
+
+# --- audience ----------------------------------------------------------------------------
+
+_WEEK = "CAST(date_trunc('week', o_orderdate) AS DATE) + 6"
+_ONLINE_SQL = f"""
+    v AS (SELECT {_WEEK} AS sunday_date, o_orderstatus AS s,
+                 CAST(floor(o_totalprice / 1000) AS BIGINT) AS views, o_orderdate FROM orders),
+    p AS (SELECT sunday_date,
+                 (sum(CAST(round(views * 1.94::DOUBLE) AS BIGINT))
+                    FILTER (s = 'O' AND o_orderdate >= TIMESTAMP '1998-01-01'))::BIGINT AS a,
+                 (sum(CAST(round(views * 1.94::DOUBLE) AS BIGINT)) FILTER (s = 'P'))::BIGINT AS b,
+                 (sum(views) FILTER (s = 'F'))::BIGINT AS old
+          FROM v GROUP BY 1),
+    weekly AS (SELECT sunday_date, CASE WHEN a > 0 THEN a + coalesce(b, 0) ELSE old END AS online,
+                      CASE WHEN a > 0 THEN a ELSE old END AS online_one_platform FROM p)"""
+
+
+def _weekly_online(spark, sf_dir):
+    rows = I.table(spark, sf_dir, "orders").select(
+        week_ending_sunday(F.to_date("o_orderdate")).alias("sunday_date"), "o_orderstatus",
+        "o_orderdate", F.floor(F.col("o_totalprice") / 1000).alias("views"))
+    a = rows.where("o_orderstatus = 'O' AND o_orderdate >= TIMESTAMP '1998-01-01'")
+    return audience.weekly_online(
+        a.withColumnRenamed("views", "total_views"),
+        rows.where("o_orderstatus = 'P'").withColumnRenamed("views", "one_minute_views"),
+        rows.where("o_orderstatus = 'F'").withColumnRenamed("views", "cnt"))
+
+
+@query("audience_online", f"""
+    WITH {_ONLINE_SQL}
+    SELECT w.*, q.online AS prior_year FROM weekly w
+    LEFT JOIN weekly q ON q.sunday_date = w.sunday_date - 364""")
+def audience_online(spark, sf_dir):
+    return audience.online_history(_weekly_online(spark, sf_dir))
+
+
+@query("audience_card", f"""
+    WITH {_ONLINE_SQL},
+    m AS (SELECT round(avg(online)) AS five FROM (
+            SELECT online FROM weekly WHERE online > 0 AND sunday_date <= {ON}
+              AND sunday_date >= {ON} - 63 ORDER BY sunday_date DESC LIMIT 5)),
+    c AS (SELECT (SELECT online FROM weekly WHERE sunday_date = {ON}) AS current,
+                 (SELECT online_one_platform FROM weekly WHERE sunday_date = {ON} - 7)
+                   AS previous_week,
+                 (SELECT online FROM weekly WHERE sunday_date = {ON} - 364) AS prior_year, five
+                   AS five_week_average FROM m)
+    SELECT *, round((current - previous_week) / previous_week::DOUBLE, 6) AS wow,
+           round((current - prior_year) / prior_year::DOUBLE, 6) AS yoy,
+           round((current - five_week_average) / five_week_average, 6) AS against_average
+    FROM c""")
+def audience_card(spark, sf_dir):
+    return audience.online_card(_weekly_online(spark, sf_dir), I.AS_OF)
+
+
+@query("first_time_week", f"""
+    WITH f AS (SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS d FROM orders GROUP BY 1),
+    axis AS (SELECT DATE '1995-06-04' - (7 * k)::INTEGER AS week_end
+             FROM unnest(range(0, 5)) t(k))
+    SELECT week_end, count(o_custkey) AS people
+    FROM axis LEFT JOIN f ON d BETWEEN week_end - 6 AND week_end GROUP BY week_end""")
+def first_time_week(spark, sf_dir):
+    first = I.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("person_id")).agg(
+        F.min(F.to_date("o_orderdate")).alias("first_date"))
+    return audience.first_time_by_week(first, "1995-06-04")
+
+
+@query("single_value_or_null", f"""
+    WITH {I.HC_SQL}
+    SELECT sunday_date, campus,
+           CASE WHEN count(DISTINCT schedule) = 1 THEN max(schedule) END AS only_schedule,
+           coalesce(CASE WHEN count(DISTINCT literal) = 1 THEN max(literal) END, 'All Ministries')
+             AS title
+    FROM hc WHERE cnt > 150 GROUP BY sunday_date, campus""")
+def single_value_or_null(spark, sf_dir):
+    hc = I.headcount(spark, sf_dir).where("cnt > 150")
+    return hc.groupBy("sunday_date", "campus").agg(
+        audience.single_value("schedule").alias("only_schedule"),
+        F.coalesce(audience.single_value("literal"), F.lit("All Ministries")).alias("title"))
+
+
+_CLIPS = {"video_id": "CAST(user_id AS STRING)", "title": "concat('Talk - ', user_id)",
+          "total_views": "CAST(floor(value * 10) AS BIGINT)", "published_on": "CAST(ts AS DATE)"}
+
+
+@query("weekly_sermon", f"""
+    WITH c AS (SELECT 'Talk - ' || user_id AS title, CAST(user_id AS VARCHAR) AS video_id,
+                      CAST(floor(value * 10) AS BIGINT) AS views FROM events
+               WHERE CAST(ts AS DATE) BETWEEN {DAY} AND {DAY} + 1 AND value > 250),
+    one AS (SELECT CASE WHEN count(DISTINCT title) = 1 THEN max(title) END AS raw_title,
+                   sum(views)::BIGINT AS views,
+                   CASE WHEN count(DISTINCT video_id) = 1 THEN max(video_id) END AS video_id FROM c)
+    SELECT raw_title, views, video_id,
+           CASE WHEN raw_title IS NOT NULL THEN 'Talk' END AS sermon_title,
+           substr(raw_title, 8) AS speaker,
+           'https://img.youtube.com/vi/' || video_id || '/maxresdefault.jpg' AS thumbnail_url
+    FROM one""")
+def weekly_sermon(spark, sf_dir):
+    """The clips of one Sunday and Monday: blank unless exactly one title was released."""
+    clips = I.mapped(I.table(spark, sf_dir, "events").where("value > 250"), _CLIPS)
+    return audience.weekly_sermon(clips, I.EVENTS_AS_OF)

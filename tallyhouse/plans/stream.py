@@ -1 +1,45 @@
+"""Queries over the streaming re-aims."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..config import shared_folder
+from ..streaming import ingest
+from . import inputs as I
+from .registry import query
+
+
+def _land(spark, sf_dir, folder):
+    """Events landed as several files, with a repeated slice in the last ones."""
+    events = I.table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"),
+        F.to_date("ts").alias("day"))
+    landed = events.unionByName(events.where("event_type = 'signup'"))
+    landed.repartitionByRange(8, "ts").write.parquet(folder)
+    return events.schema
+
+
+@query("stream_upsert", """
+    SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS events FROM events GROUP BY 1, 2""")
+def stream_upsert(spark, sf_dir):
+    """Landed files, some rows twice, upserted as a stream; then summarised."""
+    folder = shared_folder(spark, "stream-upsert")
+    schema = _land(spark, sf_dir, f"{folder}/landed")
+    spark.createDataFrame([], schema).write.parquet(f"{folder}/table")
+    stream = ingest.landed_stream(spark, f"{folder}/landed", schema, files_per_trigger=4)
+    done = ingest.upsert_stream(ingest.within_lookback(stream, "event_id", "ts"),
+                                f"{folder}/table", "event_id", "ts", "day",
+                                f"{folder}/checkpoint")
+    done.awaitTermination()
+    return (spark.read.schema(schema).parquet(f"{folder}/table").groupBy("day", "event_type")
+            .agg(F.count("*").alias("events")))
+
+
+@query("weekly_audience_windows", """
+    SELECT CAST(date_trunc('week', ts) AS DATE) + 6 AS sunday_date, event_type,
+           count(*) AS cnt FROM events GROUP BY 1, 2""")
+def weekly_audience_windows(spark, sf_dir):
+    """The streaming weekly window, run here over the whole table as a batch."""
+    events = I.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return ingest.weekly_counts(events, "ts", ["event_type"])
