@@ -47,19 +47,18 @@ def holiday_comparison(special: DataFrame, event: str, year: int, campuses: Sequ
                                                    F.struct("schedule_sort", "schedule"))))
         return F.array_join(F.transform(pairs, lambda p: p["schedule"]), " / ")
 
-    cells = ranked.groupBy("scope", "literal", "rank").agg(
-        _total(this, "v").alias("current"), _total(last, "v").alias("previous"),
-        names(this).alias("service"), names(last).alias("previous_service"))
-    sums = ranked.groupBy("scope", "literal").agg(
-        F.lit(0).alias("rank"), _total(this, "v").alias("current"),
-        _total(last, "v").alias("previous"), F.lit("").alias("service"),
-        F.lit("").alias("previous_service"))
+    # Each service counts once under its rank and once under the total row.
+    cells = (ranked.withColumn("rank", F.explode(F.array(F.col("rank"), F.lit(0))))
+             .groupBy("scope", "literal", "rank")
+             .agg(_total(this, "v").alias("current"), _total(last, "v").alias("previous"),
+                  names(this & (F.col("rank") > 0)).alias("service"),
+                  names(last & (F.col("rank") > 0)).alias("previous_service")))
     every_rank = (ranked.groupBy("scope")
                   .agg(F.max("rank").alias("top"), F.collect_set("literal").alias("literals"))
                   .select("scope", F.explode("literals").alias("literal"), "top")
                   .select("scope", "literal", F.explode(F.sequence(F.lit(0), F.col("top")))
                           .alias("rank")))
-    rows = every_rank.join(cells.unionByName(sums), ["scope", "literal", "rank"], "left")
+    rows = every_rank.join(cells, ["scope", "literal", "rank"], "left")
     none_now = F.coalesce("current", F.lit(0)) == 0
     none_then = F.coalesce("previous", F.lit(0)) == 0
     ratio = F.when(F.col("state") == "ok", F.round(safe_divide(

@@ -66,15 +66,16 @@ def as_of_join(facts: DataFrame, history: DataFrame, key: str, date: str, tie: s
     seen = F.last("_version", ignorenulls=True)
     local = Window.partitionBy(key, "_month").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    carried = (versions.groupBy(key, F.trunc("_at", "month").alias("_month"))
-               .agg(F.max_by("_version", F.struct(*order)).alias("_tail")))
-    months = line.select(key, "_month").distinct().join(carried, [key, "_month"], "left")
+    is_version = F.col("_kind") == 0
+    months = line.groupBy(key, "_month").agg(
+        F.max_by(F.when(is_version, F.col("_version")),
+                 F.when(is_version, F.struct(*order))).alias("_tail"))
     before = Window.partitionBy(key).orderBy("_month").rowsBetween(
         Window.unboundedPreceding, -1)
-    months = months.select(key, "_month", F.last("_tail", ignorenulls=True).over(before)
+    carried = months.select(key, "_month", F.last("_tail", ignorenulls=True).over(before)
                            .alias("_carry"))
     held = (line.withColumn("_seen", seen.over(local)).where("_kind = 1")
-            .join(months, [key, "_month"])
+            .join(carried, [key, "_month"])
             .withColumn("_v", F.coalesce("_seen", "_carry")))
     valid = F.col(f"_v.{expire}") > F.col("_at")
     return held.select("_fact.*", *[F.when(valid, F.col(f"_v.{c}")).alias(c) for c in extra])

@@ -18,6 +18,10 @@ def _hc(spark, sf_dir, since=None, until=None):
     return I.headcount(spark, sf_dir, since, until)
 
 
+def _kept(spark, sf_dir, since=None, until=None):
+    return I.kept_headcount(spark, sf_dir, since, until)
+
+
 @query("feed_union_regroup", """
     WITH rows AS (
       SELECT CAST(date_trunc('week', l_shipdate) AS DATE) + 6 AS sunday_date,
@@ -53,7 +57,7 @@ def in_person_rows(spark, sf_dir):
     WITH {I.HC_SQL}
     SELECT *, dense_rank() OVER (ORDER BY sunday_date DESC) AS date_index FROM hc""")
 def dense_date_index(spark, sf_dir):
-    return headcount.date_index(_hc(spark, sf_dir))
+    return headcount.date_index(_kept(spark, sf_dir))
 
 
 @query("positional_lag7", f"""
@@ -249,13 +253,9 @@ HOLIDAY_SQL = f"""hol AS (
       FROM {EASTER_SQL})"""
 
 
-def _years(spark, sf_dir):
-    return I.table(spark, sf_dir, "lineitem").select(
-        F.year("l_shipdate").alias("year")).distinct()
-
-
-def _holidays(spark, sf_dir):
-    return calendar.holiday_sundays(_years(spark, sf_dir))
+def _holidays(spark):
+    """Holiday dates of the year that ends on AS_OF."""
+    return calendar.holiday_sundays(calendar.year_range(spark, 1999, 2000))
 
 
 _PAST_YEAR_SQL = f"""
@@ -271,7 +271,7 @@ _PAST_YEAR_SQL = f"""
 @query("past_year_avg_excl", f"{_PAST_YEAR_SQL} SELECT * FROM avgs")
 def past_year_avg_excl(spark, sf_dir):
     return metrics.past_year_average(_hc(spark, sf_dir, "1999-06-01", I.AS_OF), I.AS_OF,
-                                     _holidays(spark, sf_dir), ["campus"])
+                                     _holidays(spark), ["campus"])
 
 
 @query("share_of_past_year", f"""{_PAST_YEAR_SQL},
@@ -283,13 +283,13 @@ def past_year_avg_excl(spark, sf_dir):
              || '% of Avg' AS share_text
     FROM cur LEFT JOIN avgs USING (campus)""")
 def share_of_past_year(spark, sf_dir):
-    return metrics.share_of_past_year(_hc(spark, sf_dir, "1999-06-01", I.AS_OF), I.AS_OF,
-                                      _holidays(spark, sf_dir), ["campus"])
+    return metrics.share_of_past_year(_kept(spark, sf_dir, "1999-06-01", I.AS_OF), I.AS_OF,
+                                      _holidays(spark), ["campus"])
 
 
 def _monthly(spark, sf_dir, since=None, until=None):
     """The monthly-gathering feed: the 5 pm service."""
-    return _hc(spark, sf_dir, since, until).where("schedule = '5:00pm'")
+    return _kept(spark, sf_dir, since, until).where("schedule = '5:00pm'")
 
 
 _MONTHLY = f"{I.HC_SQL}, m AS (SELECT * FROM hc WHERE schedule = '5:00pm')"
@@ -381,7 +381,7 @@ def series_multi_year_month(spark, sf_dir):
     SELECT sunday_date, {WIDE} FROM hc WHERE {HOME} AND sunday_date IN (SELECT * FROM g)
     GROUP BY 1""")
 def top5_gathered(spark, sf_dir):
-    return metrics.last_gathered_by_campus(_hc(spark, sf_dir, until=I.AS_OF), I.AS_OF,
+    return metrics.last_gathered_by_campus(_kept(spark, sf_dir, until=I.AS_OF), I.AS_OF,
                                            I.CAMPUSES)
 
 
@@ -400,7 +400,7 @@ def top5_gathered(spark, sf_dir):
       ON hc.literal = axis.literal AND {HOME} AND (scope = 'All' OR campus = scope)
     GROUP BY 1, 2, 3""")
 def literal_prev_current(spark, sf_dir):
-    return metrics.by_literal(_hc(spark, sf_dir, until=I.AS_OF), I.AS_OF, I.CAMPUSES, ["A", "N"])
+    return metrics.by_literal(_kept(spark, sf_dir, until=I.AS_OF), I.AS_OF, I.CAMPUSES, ["A", "N"])
 
 
 _SLOTTED = f"s AS (SELECT *, {I.SLOT_SQL} AS slot FROM hc WHERE {HOME})"
@@ -422,7 +422,7 @@ _SLOT_AXIS = "unnest(['All', '9:30am Gathering', '11:45am Gathering']) k(slot)"
     FROM axis a LEFT JOIN s ON s.campus = a.campus AND (a.slot = 'All' OR s.slot = a.slot)
     GROUP BY ALL""")
 def last_gathered_grid(spark, sf_dir):
-    hc = I.with_slot(_hc(spark, sf_dir, until=I.AS_OF))
+    hc = I.with_slot(_kept(spark, sf_dir, until=I.AS_OF))
     return metrics.last_gathered_grid(hc, I.AS_OF, I.CAMPUSES, I.SLOTS)
 
 
@@ -439,7 +439,7 @@ def last_gathered_grid(spark, sf_dir):
                            AND (a.slot = 'All' OR s.slot = a.slot)
     GROUP BY ALL""")
 def lag_7_364_grid(spark, sf_dir):
-    hc = I.with_slot(_hc(spark, sf_dir, "1998-06-01", I.AS_OF))
+    hc = I.with_slot(_kept(spark, sf_dir, "1998-06-01", I.AS_OF))
     return metrics.lagged_grid(hc, I.AS_OF, I.CAMPUSES, I.SLOTS)
 
 
@@ -462,7 +462,7 @@ def lag_7_364_grid(spark, sf_dir):
     FROM axis a CROSS JOIN b LEFT JOIN cells USING (literal, campus, schedule)
     WHERE c IS NOT NULL GROUP BY ALL""")
 def regular_grid(spark, sf_dir):
-    return metrics.regular_grid(_hc(spark, sf_dir, until=I.AS_OF), I.AS_OF, ("A", "N", "X"),
+    return metrics.regular_grid(_kept(spark, sf_dir, until=I.AS_OF), I.AS_OF, ("A", "N", "X"),
                                 I.CAMPUSES, ("9:30am", "11:45am"))
 
 
@@ -512,16 +512,17 @@ def gathering_month_table(spark, sf_dir):
 # --- holidays ----------------------------------------------------------------------------
 
 def _special(spark, sf_dir):
-    """Special-Sunday counts: seven services a day, named by line number."""
-    rows = I.headcount_rows(spark, sf_dir).groupBy("sunday_date", "campus", "literal",
-                                                   "l_linenumber").agg(F.sum("value").alias("cnt"))
-    special = _holidays(spark, sf_dir).select("year", "event", "sunday_date")
-    return rows.join(special, "sunday_date").select(
-        "year", "event", "campus", "literal",
-        F.concat(F.lit("svc"), F.col("l_linenumber").cast("string")).alias("schedule"),
-        # Two services share a sort number, so ties occur.
-        F.when(F.col("l_linenumber") > 2, F.col("l_linenumber") - 1)
-        .otherwise(F.col("l_linenumber")).alias("schedule_sort"), "cnt")
+    """Special-Sunday counts: seven services a day, named by line number. Two services
+    share a sort number, so ties occur. Ordinary Sundays leave before the aggregate."""
+    rows = I.headcount_rows(spark, sf_dir).withColumn(
+        "event", calendar.holiday_event("sunday_date")).where("event IS NOT NULL")
+    line = F.col("l_linenumber")
+    return (rows.groupBy(F.year("sunday_date").alias("year"), "event", "campus", "literal",
+                         "l_linenumber").agg(F.sum("value").alias("cnt"))
+            .select("year", "event", "campus", "literal",
+                    F.concat(F.lit("svc"), line.cast("string")).alias("schedule"),
+                    F.when(line > 2, line - 1).otherwise(line).alias("schedule_sort"), "cnt")
+            .persist())
 
 
 _SPECIAL_SQL = f"""{HOLIDAY_SQL},
@@ -645,4 +646,9 @@ def easter_dates(spark, sf_dir):
            holiday_date - {ON} AS days_to_holiday
     FROM hol h LEFT JOIN found f ON f.year = h.year AND f.event = h.event""")
 def holiday_status(spark, sf_dir):
-    return calendar.holiday_state(_holidays(spark, sf_dir), _special(spark, sf_dir), I.AS_OF)
+    seen = (I.headcount_rows(spark, sf_dir)
+            .select(F.year("sunday_date").alias("year"),
+                    calendar.holiday_event("sunday_date").alias("event")).distinct().persist())
+    years = seen.select("year").distinct()
+    return calendar.holiday_state(calendar.holiday_sundays(years),
+                                  seen.where("event IS NOT NULL"), I.AS_OF)

@@ -94,6 +94,13 @@ def headcount(spark: SparkSession, sf_dir: str, since=None, until=None) -> DataF
             .agg(F.sum("value").alias("cnt")))
 
 
+def kept_headcount(spark: SparkSession, sf_dir: str, since=None, until=None) -> DataFrame:
+    """The headcount for reports that read it more than once. It is a few rows per
+    Sunday, so it is kept on the executors instead of scanning the line items again;
+    a lost block is recomputed."""
+    return headcount(spark, sf_dir, since, until).persist()
+
+
 def with_slot(hc: DataFrame) -> DataFrame:
     from ..operators.headcount import service_slot
 

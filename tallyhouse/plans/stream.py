@@ -28,14 +28,29 @@ def stream_upsert(spark, sf_dir):
     schema = _land(spark, sf_dir, f"{folder}/landed")
     spark.createDataFrame([], schema).write.parquet(f"{folder}/table")
     stream = ingest.landed_stream(spark, f"{folder}/landed", schema, files_per_trigger=4)
-    done = ingest.upsert_stream(ingest.within_lookback(stream, "event_id", "ts"),
-                                f"{folder}/table", "event_id", "ts", "day",
+    done = ingest.upsert_stream(stream, f"{folder}/table", "event_id", "ts", "day",
                                 f"{folder}/checkpoint")
     done.awaitTermination()
     return (spark.read.schema(schema).parquet(f"{folder}/table").groupBy("day", "event_type")
             .agg(F.count("*").alias("events")))
 
 
+@query("stream_dedupe", """
+    SELECT CAST(ts AS DATE) AS day, count(*) AS events FROM events GROUP BY 1""")
+def stream_dedupe(spark, sf_dir):
+    """Landed files, some rows twice, through the look-back de-duplication. All files
+    come in one trigger, so no row is late."""
+    folder = shared_folder(spark, "stream-dedupe")
+    schema = _land(spark, sf_dir, f"{folder}/landed")
+    stream = ingest.landed_stream(spark, f"{folder}/landed", schema, files_per_trigger=100000)
+    done = (ingest.within_lookback(stream, "event_id", "ts").writeStream.format("parquet")
+            .option("path", f"{folder}/table").option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True).start())
+    done.awaitTermination()
+    return (spark.read.schema(schema).parquet(f"{folder}/table").groupBy("day")
+            .agg(F.count("*").alias("events")))
+
+
 @query("weekly_audience_windows", """
     SELECT CAST(date_trunc('week', ts) AS DATE) + 6 AS sunday_date, event_type,
            count(*) AS cnt FROM events GROUP BY 1, 2""")

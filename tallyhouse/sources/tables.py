@@ -19,13 +19,14 @@ from . import bronze
 MERGE_META = "_loaded_at"
 
 
-def _fail_on_repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same rows, failing at run time if a key repeats. The repeat count is a
-    scalar subquery of the same plan (map-side combined by key)."""
-    repeats = (df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
-               .agg(F.count("*").alias("repeats")).scalar())
-    message = f"merge source repeats a value of {', '.join(keys)}"
-    return df.where(F.assert_true(repeats == 0, message).isNull())
+def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, _new) with the row's other columns as a struct, failing at run time if a
+    key repeats. Only the batch is shuffled, and repeats are combined map-side."""
+    rest = F.struct(*[c for c in df.columns if c not in keys])
+    message = F.lit(f"merge source repeats a value of {', '.join(keys)}")
+    return (df.groupBy(*keys).agg(F.count("*").alias("_n"), F.first(rest).alias("_new"))
+            .select(*keys, F.when(F.col("_n") == 1, F.col("_new"))
+                    .otherwise(F.raise_error(message)).alias("_new")))
 
 
 def newest_staged(staged: DataFrame, pk: str, order: Sequence[str]) -> DataFrame:
@@ -45,15 +46,14 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     update = [c for c in (update or target.columns) if c in staged.columns and c not in keys]
-    batch = _fail_on_repeats(bronze.conform(staged, target.schema), keys)
-    incoming = batch.select(*keys, F.struct(*update).alias("_new"))
-    kept = (target.join(incoming, keys, "left")
+    batch = _one_per_key(bronze.conform(staged, target.schema), keys)
+    kept = (target.join(batch, keys, "left")
             .select(*[F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}"))
                       .otherwise(F.col(c)).alias(c) if c in update else F.col(c)
                       for c in target.columns]))
     matched = target.select(*keys).join(batch.select(*keys), keys, "left_semi")
-    inserted = batch.join(matched, keys, "left_anti")
-    return kept.unionByName(inserted.select(*target.columns))
+    inserted = batch.join(matched, keys, "left_anti").select(*keys, "_new.*")
+    return kept.unionByName(inserted)
 
 
 def merge_insert_only(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

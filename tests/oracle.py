@@ -82,6 +82,7 @@ def main() -> None:
                        else f"rows only: {len(df.collect())}")
         except Exception as e:  # report and go on to the next query
             problem = f"{type(e).__name__}: {str(e)[:600]}"
+        spark.catalog.clearCache()
         ok = problem == "" or problem.startswith("rows only")
         print(f"{'ok  ' if ok else 'FAIL'} {name} {time.time() - start:.1f}s {problem}", flush=True)
         if not ok:
