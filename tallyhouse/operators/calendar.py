@@ -120,19 +120,17 @@ def holiday_sundays(years: DataFrame, year: str = "year") -> DataFrame:
             .withColumn("sunday_date", week_ending_sunday("holiday_date")))
 
 
-def holiday_event(sunday: str) -> Column:
-    """The holiday a Sunday stands for (null if none), by arithmetic on its own date:
-    special Sundays need no join to a holiday table."""
-    d = F.col(sunday)
-    year = F.year(d)
-    return (F.when(d == easter(year), "Easter")
-            .when(d == week_ending_sunday(christmas_eve(year)), "Christmas"))
-
-
 def year_range(spark: SparkSession, first: int, last: int) -> DataFrame:
     return spark.range(first, last + 1).select(F.col("id").cast("int").alias("year"))
 
 
+def special_sundays(rows: DataFrame, holidays: DataFrame) -> DataFrame:
+    """Rows of holiday Sundays with their year and event. The holiday table has two
+    rows per year of a fixed range, so it is broadcast and other rows leave the scan."""
+    days = holidays.select("year", "event", "sunday_date")
+    return rows.join(F.broadcast(days), "sunday_date")
+
+
 def holiday_state(holidays: DataFrame, totals: DataFrame, today) -> DataFrame:
     """Whether a holiday's report is shown, and the days left to it. `totals` holds
     (year, event) rows that have data."""

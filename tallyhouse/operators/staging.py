@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ACTIVE_RECORD_STATUS
-from ..functions.columns import as_col, decode, flag
+from ..functions.columns import as_col, decode
 from ..functions.dates import as_date, whole_days_between
 
 # Code labels; any other code (or none) is 'Unknown'.
@@ -61,14 +61,12 @@ class Model:
         return name if verb or bronze not in self.flags.split() else f"is_{name}"
 
     def rename(self, bronze: DataFrame) -> DataFrame:
-        def value(c: str) -> Column:
-            if c in self.flags.split():
-                return flag(c)
-            if c in self.dates.split():
-                return F.to_date(c)
-            return F.col(c).cast("decimal(38,9)") if c in self.decimals.split() else F.col(c)
-
-        return bronze.select(*[value(c).alias(self.name_of(c)) for c in self.columns])
+        kinds = {c: kind for kind, listed in (("BOOLEAN", self.flags), ("DATE", self.dates),
+                                              ("DECIMAL(38,9)", self.decimals))
+                 for c in listed.split()}
+        return bronze.selectExpr(*[
+            f"CAST(`{c}` AS {kinds[c]}) AS {self.name_of(c)}" if c in kinds
+            else f"`{c}` AS {self.name_of(c)}" for c in self.columns])
 
 
 AUDIT = "CreatedDateTime ModifiedDateTime _loaded_at"

@@ -253,9 +253,8 @@ HOLIDAY_SQL = f"""hol AS (
       FROM {EASTER_SQL})"""
 
 
-def _holidays(spark):
-    """Holiday dates of the year that ends on AS_OF."""
-    return calendar.holiday_sundays(calendar.year_range(spark, 1999, 2000))
+def _holidays(spark, first=1990, last=2040):
+    return calendar.holiday_sundays(calendar.year_range(spark, first, last))
 
 
 _PAST_YEAR_SQL = f"""
@@ -271,7 +270,7 @@ _PAST_YEAR_SQL = f"""
 @query("past_year_avg_excl", f"{_PAST_YEAR_SQL} SELECT * FROM avgs")
 def past_year_avg_excl(spark, sf_dir):
     return metrics.past_year_average(_hc(spark, sf_dir, "1999-06-01", I.AS_OF), I.AS_OF,
-                                     _holidays(spark), ["campus"])
+                                     _holidays(spark, 1999, 2000), ["campus"])
 
 
 @query("share_of_past_year", f"""{_PAST_YEAR_SQL},
@@ -284,7 +283,7 @@ def past_year_avg_excl(spark, sf_dir):
     FROM cur LEFT JOIN avgs USING (campus)""")
 def share_of_past_year(spark, sf_dir):
     return metrics.share_of_past_year(_kept(spark, sf_dir, "1999-06-01", I.AS_OF), I.AS_OF,
-                                      _holidays(spark), ["campus"])
+                                      _holidays(spark, 1999, 2000), ["campus"])
 
 
 def _monthly(spark, sf_dir, since=None, until=None):
@@ -514,11 +513,10 @@ def gathering_month_table(spark, sf_dir):
 def _special(spark, sf_dir):
     """Special-Sunday counts: seven services a day, named by line number. Two services
     share a sort number, so ties occur. Ordinary Sundays leave before the aggregate."""
-    rows = I.headcount_rows(spark, sf_dir).withColumn(
-        "event", calendar.holiday_event("sunday_date")).where("event IS NOT NULL")
+    rows = calendar.special_sundays(I.headcount_rows(spark, sf_dir), _holidays(spark))
     line = F.col("l_linenumber")
-    return (rows.groupBy(F.year("sunday_date").alias("year"), "event", "campus", "literal",
-                         "l_linenumber").agg(F.sum("value").alias("cnt"))
+    return (rows.groupBy("year", "event", "campus", "literal", "l_linenumber")
+            .agg(F.sum("value").alias("cnt"))
             .select("year", "event", "campus", "literal",
                     F.concat(F.lit("svc"), line.cast("string")).alias("schedule"),
                     F.when(line > 2, line - 1).otherwise(line).alias("schedule_sort"), "cnt")
@@ -646,9 +644,8 @@ def easter_dates(spark, sf_dir):
            holiday_date - {ON} AS days_to_holiday
     FROM hol h LEFT JOIN found f ON f.year = h.year AND f.event = h.event""")
 def holiday_status(spark, sf_dir):
-    seen = (I.headcount_rows(spark, sf_dir)
-            .select(F.year("sunday_date").alias("year"),
-                    calendar.holiday_event("sunday_date").alias("event")).distinct().persist())
-    years = seen.select("year").distinct()
+    rows = I.headcount_rows(spark, sf_dir).select("sunday_date")
+    years = I.table(spark, sf_dir, "lineitem").select(
+        F.year("l_shipdate").alias("year")).distinct()
     return calendar.holiday_state(calendar.holiday_sundays(years),
-                                  seen.where("event IS NOT NULL"), I.AS_OF)
+                                  calendar.special_sundays(rows, _holidays(spark)), I.AS_OF)

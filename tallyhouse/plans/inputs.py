@@ -11,6 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.dates import as_date, week_ending_sunday
 from ..operators import staging as S
@@ -26,12 +27,20 @@ SERVICES = ("9:30am", "11:45am", "5:00pm")
 SLOTS = ("9:30am Gathering", "11:45am Gathering")
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. Its schema is read from the files once and then stated, which
+    saves a footer-reading job on every later read."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def mapped(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    return df.select(*[F.expr(e).alias(name) for name, e in mapping.items()])
+    return df.selectExpr(*[f"{e} AS {name}" for name, e in mapping.items()])
 
 
 def select_sql(source: str, mapping: Mapping[str, str], tail: str = "") -> str:
@@ -42,8 +51,8 @@ def select_sql(source: str, mapping: Mapping[str, str], tail: str = "") -> str:
 def as_bronze(df: DataFrame, model: S.Model) -> DataFrame:
     """Add the model's columns the mapping lacks, as nulls."""
     have = set(df.columns)
-    return df.select("*", *[F.lit(None).cast("string").alias(c)
-                            for c in model.columns if c not in have])
+    return df.selectExpr("*", *[f"CAST(NULL AS STRING) AS `{c}`"
+                                for c in model.columns if c not in have])
 
 
 # --- headcount -----------------------------------------------------------------

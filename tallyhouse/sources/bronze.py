@@ -89,12 +89,16 @@ def force_decimals(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # --- type inference ----------------------------------------------------------
 
-# Kinds in the order they are tried; each probe is null where a text does not fit.
+# Kinds in the order they are tried; each probe is null where a text does not fit. A
+# cheap pattern goes before the costly casts, and keeps bare times of day as text.
+_INTEGER = r"^\s*[+-]?\d{1,19}\s*$"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_DATED = r"^\s*\d{4}-\d"
 _PROBES = {
     "boolean": lambda c: F.when(F.lower(c).isin("true", "false"), F.lit(1)),
-    "bigint": lambda c: c.try_cast("bigint"),
-    "double": lambda c: c.try_cast("double"),
-    "timestamp": lambda c: c.try_cast("timestamp"),
+    "bigint": lambda c: F.when(c.rlike(_INTEGER), c.try_cast("bigint")),
+    "double": lambda c: F.when(c.rlike(_NUMBER), c.try_cast("double")),
+    "timestamp": lambda c: F.when(c.rlike(_DATED), c.try_cast("timestamp")),
 }
 
 
