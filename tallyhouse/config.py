@@ -94,7 +94,8 @@ def session(app: str = "tallyhouse", cores: int | str = "*", **conf) -> SparkSes
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's spark.checkpoint.dir; a local temporary
     folder only where that setting is absent, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir"))
     if base:
         return f"{base.rstrip('/')}/{purpose}-{os.urandom(6).hex()}"
     return tempfile.mkdtemp(prefix=f"{purpose}-")

@@ -118,7 +118,7 @@ def trailing(date: ColumnOrName, as_of, days: int) -> Column:
 
 def easter(year: ColumnOrName) -> Column:
     """Western Easter by integer arithmetic on the year (Oudin's 1940 rule)."""
-    y = as_col(year)
+    y = as_col(year).cast("int")
 
     def div(a, b):
         return F.floor(a / b).cast("int")

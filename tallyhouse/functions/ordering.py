@@ -36,29 +36,6 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     return df.withColumn(rank_name, F.row_number().over(w)).where(F.col(rank_name) <= n)
 
 
-def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
-               value: str, out: str) -> DataFrame:
-    """`lead(value)` over `keys` by `order`, with each key split into time buckets.
-
-    `bucket` must not decrease along `order`. Rows look ahead inside their bucket;
-    a bucket's last row takes the first row of the key's next bucket, found from
-    one aggregated row per (key, bucket). No task holds more than one bucket of a
-    key, and the bucket frame is bounded by keys x calendar.
-    """
-    tagged = df.withColumn("_bucket", bucket)
-    heads = (tagged.groupBy(*keys, "_bucket")
-             .agg(F.min_by(value, F.struct(*order)).alias("_head"))
-             .withColumn("_after", F.lead("_head").over(
-                 Window.partitionBy(*keys).orderBy("_bucket")))
-             .drop("_head"))
-    inner = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    return (tagged.withColumn("_next", F.lead(F.struct(F.col(value).alias("v"))).over(inner))
-            .join(heads, [*keys, "_bucket"])
-            .withColumn(out, F.when(F.col("_next").isNotNull(), F.col("_next.v"))
-                        .otherwise(F.col("_after")))
-            .drop("_bucket", "_next", "_after"))
-
-
 def with_row_index(df: DataFrame, key: str, out: str = "row_index", start: int = 1,
                    buckets: int = 64) -> DataFrame:
     """Consecutive numbers in the order of a unique numeric `key`.

@@ -20,23 +20,31 @@ def window_flags(date: str, as_of) -> dict[str, Column]:
 
 
 def distinct_people(df: DataFrame, by: Sequence[str], person: str,
-                    conditions: Mapping[str, Column]) -> DataFrame:
+                    conditions: Mapping[str, Column],
+                    attributes: DataFrame | None = None) -> DataFrame:
     """Distinct people per group under several conditions at once.
 
     One row per (group, person) with a flag per condition, then flags are counted:
     two map-side combined aggregates however many conditions there are, where a
-    distinct count per condition would copy the input once for each.
+    distinct count per condition would copy the input once for each. Group columns
+    that belong to the person come from `attributes` (one row per person), joined to
+    the flags rather than to the rows, so a busy person is one row by then.
     """
+    own = [c for c in by if attributes is None or c not in attributes.columns]
     flags = [F.max(F.coalesce(c, F.lit(False))).alias(n) for n, c in conditions.items()]
-    return (df.groupBy(*by, person).agg(*flags)
-            .groupBy(*by).agg(*[F.count_if(F.col(n) & F.col(person).isNotNull()).alias(n)
+    people = df.groupBy(*own, person).agg(*flags)
+    if attributes is not None:
+        people = people.join(attributes, person)
+    return (people.groupBy(*by).agg(*[F.count_if(F.col(n) & F.col(person).isNotNull()).alias(n)
                                 for n in conditions]))
 
 
-def launch_events(steps: DataFrame, as_of, date: str = "started_at") -> DataFrame:
-    """Distinct people by campus and step in each window."""
+def launch_events(steps: DataFrame, as_of, date: str = "started_at",
+                  homes: DataFrame | None = None) -> DataFrame:
+    """Distinct people by campus and step in each window; the campus is the step's, or
+    the person's when `homes` (person_id, campus_id) is given."""
     return distinct_people(steps, ["campus_id", "step_name"], "person_id",
-                           window_flags(date, as_of))
+                           window_flags(date, as_of), homes)
 
 
 def requests_and_completions(requests: DataFrame, as_of, done: str,

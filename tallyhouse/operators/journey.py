@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import as_col, decode, in_box
 from ..functions.dates import as_date
-from ..functions.ordering import next_value
 
 # Best stage first, and the map code of each stage.
 STAGE_RANK = {"Consistent Giver": 1, "New Giver": 2, "Occasional Giver": 3, "Lapsed Giver": 4,
@@ -22,15 +21,21 @@ MAP_BOX = (33.3, 34.5, -85.2, -83.8)
 OPEN_END = "9999-01-01"
 
 
-def validity(history: DataFrame, key: str, effective: str, tie: str,
-             bucket: Column | None = None) -> DataFrame:
-    """Close each version at the start of the key's next one (open versions end in
-    9999). A key's history is split into calendar months, so a key with very many
-    versions is spread over tasks."""
-    month = F.trunc(as_col(effective), "month") if bucket is None else bucket
-    out = next_value(history, [key], [effective, tie], month, effective, "expire_date")
-    return out.withColumn("expire_date", F.coalesce(
-        as_col("expire_date").cast("date"), F.lit(OPEN_END).cast("date")))
+def validity(history: DataFrame, key: str, effective: str, tie: str) -> DataFrame:
+    """Close each version on the day of the key's next one (open versions end in 9999).
+    Of versions that start on one day the last by `tie` holds; the others are empty.
+
+    The next day is looked up in one row per (key, day), which is at most a calendar
+    of rows per key, and joined back. The versions themselves are never gathered or
+    sorted by key, so a key with very many versions is no larger a task than others.
+    """
+    days = history.groupBy(key, effective).agg(F.max(tie).alias("_last")).withColumn(
+        "_next", F.lead(effective).over(Window.partitionBy(key).orderBy(effective)))
+    until = F.coalesce("_next", F.lit(OPEN_END).cast("date"))
+    return (history.join(days, [key, effective])
+            .withColumn("expire_date", F.when(F.col(tie) == F.col("_last"), until)
+                        .otherwise(F.col(effective)))
+            .drop("_last", "_next"))
 
 
 def as_of_versions(history: DataFrame, as_of, effective: str = "effective_date",
@@ -44,41 +49,26 @@ def as_of_join(facts: DataFrame, history: DataFrame, key: str, date: str, tie: s
                effective: str = "effective_date", expire: str = "expire_date") -> DataFrame:
     """Each fact with the version valid on its own date (null columns if none).
 
-    Versions of a key must not overlap. Facts and versions are laid on one timeline
-    per key and each fact takes the last version before it, so the work is one sort
-    rather than facts x versions per key. Timelines are cut into calendar months; a
-    month starts from the last version of the months before it, carried over from
-    one row per (key, month), so a hot key is spread over tasks.
+    Versions of a key must not overlap. Days are what is matched: the last version
+    started on each (key, day) and the days asked about are laid on one timeline per
+    key, at most a calendar of rows, and every asked day takes the version before it.
+    Facts then join that table on (key, day), an equi-join with one row per day, so
+    neither facts x versions of a key nor a key's facts ever meet in one task.
     """
     extra = [c for c in history.columns if c not in (key, tie)]
-    versions = history.select(
-        key, F.col(effective).alias("_at"), F.lit(0).alias("_kind"),
-        F.col(tie).alias("_tie"), F.struct(*extra).alias("_version"),
-        F.lit(None).cast(facts.select(F.struct("*").alias("f")).schema["f"].dataType)
-        .alias("_fact"))
-    asked = facts.select(
-        key, F.col(date).alias("_at"), F.lit(1).alias("_kind"),
-        F.lit(None).cast(history.schema[tie].dataType).alias("_tie"),
-        F.lit(None).cast(versions.schema["_version"].dataType).alias("_version"),
-        F.struct(*[F.col(c) for c in facts.columns]).alias("_fact"))
-    line = versions.unionByName(asked).withColumn("_month", F.trunc("_at", "month"))
-    order = ["_at", "_kind", "_tie"]
-    seen = F.last("_version", ignorenulls=True)
-    local = Window.partitionBy(key, "_month").orderBy(*order).rowsBetween(
+    started = history.groupBy(key, F.col(effective).alias("_day")).agg(
+        F.max_by(F.struct(*extra), tie).alias("_version")).withColumn("_asked", F.lit(False))
+    asked = facts.select(key, F.col(date).alias("_day")).distinct().withColumns({
+        "_version": F.lit(None).cast(started.schema["_version"].dataType),
+        "_asked": F.lit(True)})
+    before = Window.partitionBy(key).orderBy("_day", "_asked").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    is_version = F.col("_kind") == 0
-    months = line.groupBy(key, "_month").agg(
-        F.max_by(F.when(is_version, F.col("_version")),
-                 F.when(is_version, F.struct(*order))).alias("_tail"))
-    before = Window.partitionBy(key).orderBy("_month").rowsBetween(
-        Window.unboundedPreceding, -1)
-    carried = months.select(key, "_month", F.last("_tail", ignorenulls=True).over(before)
-                           .alias("_carry"))
-    held = (line.withColumn("_seen", seen.over(local)).where("_kind = 1")
-            .join(carried, [key, "_month"])
-            .withColumn("_v", F.coalesce("_seen", "_carry")))
-    valid = F.col(f"_v.{expire}") > F.col("_at")
-    return held.select("_fact.*", *[F.when(valid, F.col(f"_v.{c}")).alias(c) for c in extra])
+    days = (started.unionByName(asked)
+            .withColumn("_version", F.last("_version", ignorenulls=True).over(before))
+            .where("_asked").select(key, F.col("_day").alias(date), "_version"))
+    valid = F.col(f"_version.{expire}") > F.col(date)
+    return facts.join(days, [key, date], "left").select(
+        *facts.columns, *[F.when(valid, F.col(f"_version.{c}")).alias(c) for c in extra])
 
 
 def best_stage(members: DataFrame, by: Sequence[str], stage: str,

@@ -20,10 +20,10 @@ def lookup_value(df: DataFrame, table: DataFrame, on: Mapping[str, str], value:
     """
     keys = list(on.values())
     one = table.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    side = one.select(*[F.col(k).alias(c) for c, k in on.items()], "_low", "_high")
     checked = F.when(F.col("_low").eqNullSafe(F.col("_high")), F.col("_low")).otherwise(
         F.raise_error(F.lit(f"several values of {value} for one key")))
-    side = one.select(*[F.col(k).alias(c) for c, k in on.items()], checked.alias(out))
-    return df.join(side, list(on), "left")
+    return df.join(side, list(on), "left").withColumn(out, checked).drop("_low", "_high")
 
 
 def with_context(df: DataFrame, context: DataFrame, keys: Sequence[str],

@@ -26,13 +26,11 @@ ORDERS_TS = f"{I.AS_OF} 00:00:00"
              AS past_365
     FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2""")
 def period_distinct_people(spark, sf_dir):
-    steps = I.table(spark, sf_dir, "orders").join(
-        I.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"),
-                                                  F.col("c_nationkey").alias("campus_id")),
-        "o_custkey").select("campus_id", F.col("o_orderpriority").alias("step_name"),
-                            F.col("o_custkey").alias("person_id"),
-                            F.col("o_orderdate").alias("started_at"))
-    return engagement.launch_events(steps, ORDERS_TS)
+    steps = I.mapped(I.table(spark, sf_dir, "orders"), {
+        "step_name": "o_orderpriority", "person_id": "o_custkey", "started_at": "o_orderdate"})
+    homes = I.mapped(I.table(spark, sf_dir, "customer"),
+                     {"person_id": "c_custkey", "campus_id": "c_nationkey"})
+    return engagement.launch_events(steps, ORDERS_TS, homes=homes)
 
 
 @query("requests_completions", f"""
