@@ -155,6 +155,18 @@ def pad2(number: ColumnOrName) -> Column:
     return F.lpad(as_col(number).cast("string"), 2, "0")
 
 
+# A cheap pattern goes before the number casts: most unfit texts never reach a parser.
+INTEGER = r"^\s*[+-]?\d{1,19}\s*$"
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def safe_cast(text: ColumnOrName, kind: str) -> Column:
+    """Cast a text, giving null where it does not fit."""
+    c = as_col(text)
+    pattern = {"int": INTEGER, "bigint": INTEGER, "double": NUMBER}.get(kind)
+    return c.try_cast(kind) if pattern is None else F.when(c.rlike(pattern), c.try_cast(kind))
+
+
 # --- JSON and text splitting -------------------------------------------------
 
 def split_before(text: ColumnOrName, separator: str) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import dash_if_null, month_day_text, round_down, round_up
-from ..functions.dates import as_date, as_timestamp, dayofweek, is_sunday, meetings_in_period
+from ..functions.dates import (as_date, as_timestamp, dayofweek, is_sunday, meetings_in_period,
+                               trailing)
 
 
 def window_flags(date: str, as_of) -> dict[str, Column]:
@@ -174,3 +175,41 @@ def comparison(counts: DataFrame, label: str) -> DataFrame:
 def date_range_label(as_of, days: int = 35) -> Column:
     on = as_date(as_of)
     return F.concat(month_day_text(F.date_sub(on, days)), F.lit(" - "), month_day_text(on))
+
+
+# --- report visuals --------------------------------------------------------------------
+
+def team_table(groups: DataFrame, type_id) -> DataFrame:
+    """Members summed by group name for one group type."""
+    return groups.where(F.col("type_id") == type_id).groupBy("group_name").agg(
+        F.sum("member_count").alias("members"))
+
+
+def check_in_matrix(check_ins: DataFrame, groups: DataFrame, as_of, type_names: Sequence[str],
+                    types: Sequence = REPORTED_TYPES) -> DataFrame:
+    """Check-ins and first-time check-ins by group name, for groups that are not
+    archived and of the listed type names. Counted per group before the join."""
+    on, day = as_date(as_of), F.col("occurrence_date")
+    recent, year = day > F.date_sub(on, 35), F.year(day) == F.year(on)
+    first = F.coalesce("is_first_time", F.lit(False))
+    counts = {"new_5_weeks": recent & first, "check_ins_5_weeks": recent,
+              "new_year": year & first, "check_ins_year": year}
+    per_group = (check_ins.where(F.col("did_attend") & F.col("type_id").isin(list(types)))
+                 .groupBy("group_id").agg(*[F.count_if(c).alias(n) for n, c in counts.items()]))
+    shown = groups.where(~F.col("is_archived") & F.col("type_name").isin(list(type_names)))
+    return (shown.select("group_id", "group_name").join(per_group, "group_id")
+            .groupBy("group_name").agg(*[F.sum(n).alias(n) for n in counts]))
+
+
+def sunday_trend(summary: DataFrame, as_of, days: int = 35) -> DataFrame:
+    """Check-ins and first-timers by date over the last days up to as_of."""
+    return (summary.where(trailing("occurrence_date", as_of, days))
+            .groupBy("occurrence_date").agg(F.sum("check_ins").alias("check_ins"),
+                                            F.sum("first_time").alias("first_time")))
+
+
+def chart_sums(summary: DataFrame, values: Sequence[str], category: str | None = None,
+               ) -> DataFrame:
+    """Summed values by category, or over everything."""
+    return summary.groupBy(*([category] if category else [])).agg(
+        *[F.sum(v).alias(v) for v in values])

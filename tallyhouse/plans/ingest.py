@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..config import TableConfig, shared_folder
 from ..functions.columns import as_col
-from ..sources import bronze, tables
+from ..sources import bronze, snapshots, tables
 from . import inputs as I
 from .registry import query
 
@@ -267,6 +267,77 @@ def type_mismatch_report(spark, sf_dir):
     return bronze.type_mismatches(cells, {"amount": "double", "person": "bigint"}, "event_id")
 
 
+# --- audience snapshots ------------------------------------------------------------------
+
+_VIEWS = "CAST(floor(value * 10) AS BIGINT)"
+
+
+def _payloads(spark, sf_dir, since, until):
+    """One JSON array per event of a period, as a media job would land it."""
+    events = I.table(spark, sf_dir, "events").where(
+        f"ts >= TIMESTAMP '{since} 00:00:00' AND ts < TIMESTAMP '{until} 00:00:00'")
+    record = F.struct(
+        F.col("event_id").cast("string").alias("video_id"), F.col("event_type").alias("title"),
+        F.date_format("ts", "yyyy-MM-dd").alias("published_at"),
+        F.expr(_VIEWS).alias("views"), F.expr(f"{_VIEWS} + 1").alias("total_views"),
+        F.lit("analytics_live").alias("views_source"), (F.col("value") > 50).alias("was_live"))
+    return events.select(F.to_json(F.array(record)).alias("rows_json"))
+
+
+@query("snapshot_upsert", f"""
+    SELECT CAST(event_id AS VARCHAR) AS video_id,
+           CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 'old' ELSE event_type END AS title,
+           {_VIEWS} AS views, value > 50 AS was_live,
+           CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 14 ELSE 21 END AS taken_on
+    FROM events WHERE ts < TIMESTAMP '2024-01-20'""")
+def snapshot_upsert(spark, sf_dir):
+    """A first snapshot, then a run that refreshes some of its videos and adds others."""
+    stored = snapshots.unpack_a(_payloads(spark, sf_dir, "2024-01-01", "2024-01-15"),
+                                "rows_json").withColumns({
+        "title": F.lit("old"), "snapshot_taken_at": F.lit("2024-01-14").cast("timestamp")})
+    rows = snapshots.unpack_a(_payloads(spark, sf_dir, "2024-01-10", "2024-01-20"), "rows_json")
+    merged = snapshots.merge_snapshot(stored, rows, "2024-01-21 21:00:00")
+    return merged.select("video_id", "title", "views", "was_live",
+                         F.dayofmonth("snapshot_taken_at").alias("taken_on"))
+
+
+@query("titles_upsert", """
+    SELECT CAST(event_id AS VARCHAR) AS video_id, strftime(ts, '%Y-%m-%d') AS published_at,
+           CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 'old' ELSE event_type END AS title
+    FROM events WHERE ts < TIMESTAMP '2024-01-20'""")
+def titles_upsert(spark, sf_dir):
+    stored = snapshots.unpack_a(
+        _payloads(spark, sf_dir, "2024-01-01", "2024-01-15"), "rows_json").select(
+        "video_id", F.lit("old").alias("title"), "published_at")
+    rows = snapshots.unpack_a(_payloads(spark, sf_dir, "2024-01-10", "2024-01-20"), "rows_json")
+    return snapshots.merge_titles(stored, rows)
+
+
+@query("platform_b_insert", """
+    WITH b AS (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n,
+                      max(event_id) AS id FROM events GROUP BY 1, 2)
+    SELECT day AS sunday_date, event_type AS gathering, CAST(id AS VARCHAR) AS video_id,
+           CASE WHEN event_type = 'error' THEN NULL ELSE n END AS one_minute_views,
+           CASE WHEN day < DATE '2024-01-08' THEN 7 ELSE 14 END AS taken_on
+    FROM b WHERE day < DATE '2024-01-15'""")
+def platform_b_insert(spark, sf_dir):
+    """Safely unpacked rows are added only for gatherings not stored yet."""
+    daily = (I.table(spark, sf_dir, "events").where("ts < TIMESTAMP '2024-01-15 00:00:00'")
+             .groupBy(F.to_date("ts").alias("sunday_date"), F.col("event_type").alias("gathering"))
+             .agg(F.count("*").alias("n"), F.max("event_id").alias("id")))
+    record = F.struct(
+        F.col("id").cast("string").alias("video_id"), "gathering",
+        F.col("sunday_date").cast("string").alias("sunday_date"),
+        F.when(F.col("gathering") == "error", F.lit("n/a"))
+        .otherwise(F.col("n").cast("string")).alias("one_minute_views"))
+    rows = snapshots.unpack_b(daily.select(F.to_json(F.array(record)).alias("j")), "j")
+    stored = rows.where("sunday_date < DATE '2024-01-08'").withColumn(
+        "snapshot_taken_at", F.lit("2024-01-07 21:00:00").cast("timestamp"))
+    out = snapshots.insert_missing(stored, rows, "2024-01-14 21:00:00")
+    return out.select("sunday_date", "gathering", "video_id", "one_minute_views",
+                      F.dayofmonth("snapshot_taken_at").alias("taken_on"))
+
+
 _ENCODED = {"o_orderkey": "o_orderkey",
             "is_open": "CASE o_orderstatus WHEN 'O' THEN true WHEN 'F' THEN false END",
             "created": "CAST(o_orderdate AS TIMESTAMP)", "amount": "o_totalprice",

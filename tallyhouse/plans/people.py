@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.dates import week_ending_sunday
-from ..operators import audience, engagement, signups
+from ..operators import audience, engagement, lookup, signups
 from . import inputs as I
 from .registry import query
 
@@ -178,6 +178,79 @@ def comparison_unpivot(spark, sf_dir):
     return engagement.comparison(yes.unionByName(members.drop("past_7")), "class")
 
 
+# --- report visuals ------------------------------------------------------------------------
+
+@query("team_table", """
+    SELECT p_brand AS group_name, sum(m)::BIGINT AS members
+    FROM part JOIN (SELECT l_partkey, count(DISTINCT l_suppkey) AS m FROM lineitem GROUP BY 1)
+      ON l_partkey = p_partkey
+    WHERE p_type = 'PROMO' GROUP BY 1""")
+def team_table(spark, sf_dir):
+    """Parts as groups, their suppliers as members."""
+    groups = I.mapped(I.table(spark, sf_dir, "part"), {
+        "group_id": "p_partkey", "group_name": "p_brand", "type_id": "p_type"})
+    members = I.mapped(I.table(spark, sf_dir, "lineitem"),
+                       {"group_id": "l_partkey", "person_id": "l_suppkey"})
+    return engagement.team_table(lookup.people_per_group(groups, members), "PROMO")
+
+
+_LINES = {"group_id": "l_partkey", "type_id": "l_returnflag",
+          "occurrence_date": "CAST(l_shipdate AS DATE)", "did_attend": "l_quantity > 5",
+          "is_first_time": "CASE WHEN l_tax > 0.07 THEN NULL ELSE l_discount < 0.03 END"}
+
+
+@query("check_in_matrix", f"""
+    WITH c AS ({I.select_sql('lineitem', _LINES)})
+    SELECT p_name AS group_name,
+           count(*) FILTER (occurrence_date > {ON} - 35 AND is_first_time) AS new_5_weeks,
+           count(*) FILTER (occurrence_date > {ON} - 35) AS check_ins_5_weeks,
+           count(*) FILTER (year(occurrence_date) = 2000 AND is_first_time) AS new_year,
+           count(*) FILTER (year(occurrence_date) = 2000) AS check_ins_year
+    FROM c JOIN part ON p_partkey = group_id
+    WHERE did_attend AND type_id IN ('A', 'N') AND p_size <= 45
+      AND p_type IN ('PROMO', 'SMALL', 'LARGE') GROUP BY p_name""")
+def check_in_matrix(spark, sf_dir):
+    groups = I.mapped(I.table(spark, sf_dir, "part"), {
+        "group_id": "p_partkey", "group_name": "p_name", "type_name": "p_type",
+        "is_archived": "p_size > 45"})
+    return engagement.check_in_matrix(I.mapped(I.table(spark, sf_dir, "lineitem"), _LINES), groups,
+                                      I.AS_OF, ("PROMO", "SMALL", "LARGE"), ("A", "N"))
+
+
+@query("sunday_trend", f"""
+    WITH {_SUMMARY}
+    SELECT occurrence_date, sum(check_ins)::BIGINT AS check_ins,
+           sum(first_time)::BIGINT AS first_time
+    FROM summary WHERE occurrence_date BETWEEN {DAY} - 34 AND {DAY} GROUP BY 1""")
+def sunday_trend(spark, sf_dir):
+    return engagement.sunday_trend(
+        engagement.sunday_summary(_check_ins(spark, sf_dir), (1, 2)), I.EVENTS_AS_OF)
+
+
+@query("request_chart", f"""
+    SELECT count(*) FILTER (o_orderdate >= {ORDERS_AT} - INTERVAL 365 DAY)
+             AS requests_365,
+           count(*) FILTER (o_orderdate >= {ORDERS_AT} - INTERVAL 365 DAY AND o_orderstatus = 'F')
+             AS completed_365
+    FROM orders""")
+def request_chart(spark, sf_dir):
+    return engagement.chart_sums(requests_completions(spark, sf_dir),
+                                 ["requests_365", "completed_365"])
+
+
+@query("launch_chart", f"""
+    SELECT step_name, sum(past_365)::BIGINT AS past_365, sum(past_90)::BIGINT AS past_90 FROM (
+      SELECT c_nationkey, o_orderpriority AS step_name,
+             count(DISTINCT o_custkey) FILTER (o_orderdate >= {ORDERS_AT} - INTERVAL 365 DAY)
+               AS past_365,
+             count(DISTINCT o_custkey) FILTER (o_orderdate >= {ORDERS_AT} - INTERVAL 90 DAY)
+               AS past_90
+      FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2) GROUP BY 1""")
+def launch_chart(spark, sf_dir):
+    return engagement.chart_sums(period_distinct_people(spark, sf_dir),
+                                 ["past_365", "past_90"], "step_name")
+
+
 # --- signups -----------------------------------------------------------------------------
 
 _SIGNUPS = {"event": "o_orderpriority", "signed_up": "CAST(o_orderdate AS DATE)",

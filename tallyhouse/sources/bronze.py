@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import FETCH_SIZE, LOOKBACK_HOURS, SOURCE_SYSTEM, TableConfig
-from ..functions.columns import as_col
+from ..functions.columns import as_col, exact, flag_text, iso_text, safe_cast
 from ..functions.dates import as_timestamp
 from ..functions.ordering import first_per_key, top_per_key, with_row_index
 
@@ -89,15 +89,13 @@ def force_decimals(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # --- type inference ----------------------------------------------------------
 
-# Kinds in the order they are tried; each probe is null where a text does not fit. A
-# cheap pattern goes before the costly casts, and keeps bare times of day as text.
-_INTEGER = r"^\s*[+-]?\d{1,19}\s*$"
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Kinds in the order they are tried; each probe is null where a text does not fit. The
+# date pattern keeps bare times of day as text.
 _DATED = r"^\s*\d{4}-\d"
 _PROBES = {
     "boolean": lambda c: F.when(F.lower(c).isin("true", "false"), F.lit(1)),
-    "bigint": lambda c: F.when(c.rlike(_INTEGER), c.try_cast("bigint")),
-    "double": lambda c: F.when(c.rlike(_NUMBER), c.try_cast("double")),
+    "bigint": lambda c: safe_cast(c, "bigint"),
+    "double": lambda c: safe_cast(c, "double"),
     "timestamp": lambda c: F.when(c.rlike(_DATED), c.try_cast("timestamp")),
 }
 
@@ -145,7 +143,7 @@ def type_mismatches(df: DataFrame, types: Mapping[str, str], key: str) -> DataFr
     """Cells whose text does not fit the declared type, with the row's number in
     key order: (row_number, column_name, value)."""
     bad = F.array(*[
-        F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(),
+        F.when(F.col(c).isNotNull() & safe_cast(c, t).isNull(),
                F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")))
         for c, t in types.items()])
     numbered = with_row_index(df.withColumn("_bad", F.array_compact(bad)).select(key, "_bad"),
@@ -169,7 +167,7 @@ def json_rows(df: DataFrame, column: str, fields: Mapping[str, str], safe: bool
 
     def typed(name: str, kind: str) -> Column:
         c = F.col(f"r.{name}")
-        return (c.try_cast(kind) if safe else c.cast(kind)).alias(name)
+        return (safe_cast(c, kind) if safe else c.cast(kind)).alias(name)
 
     return rows.select(*keep, *[typed(n, k) for n, k in fields.items()])
 
@@ -183,8 +181,6 @@ def encode_for_extract(df: DataFrame, flags: Sequence[str] = (), timestamps: Seq
                        money: Sequence[str] = (), floats: Sequence[str] = ()) -> DataFrame:
     """Source-side encodings: bits as 'true'/'false', times as ISO text, money as
     decimal(18,2), statistics as doubles."""
-    from ..functions.columns import exact, flag_text, iso_text
-
     changed = {c: flag_text(c) for c in flags} | {c: iso_text(c) for c in timestamps}
     changed |= {c: exact(c) for c in money} | {c: as_col(c).cast("double") for c in floats}
     return df.withColumns(changed)

@@ -69,8 +69,9 @@ def main() -> None:
     parser = argparse.ArgumentParser()
     parser.add_argument("names", nargs="*")
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--dir")
     args = parser.parse_args()
-    sf_dir = f"/root/testdata/sf{args.sf}"
+    sf_dir = args.dir or f"/root/testdata/sf{args.sf}"
     spark, con = session("oracle", 8), connect(sf_dir)
     failed = []
     picked = [n for n in QUERIES if not args.names or any(a in n for a in args.names)]
