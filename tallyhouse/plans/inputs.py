@@ -303,3 +303,31 @@ HISTORY_SQL = """history AS (
            PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey), DATE '9999-01-01')
            AS expire_date
   FROM orders)"""
+
+
+def bronze(spark, sf_dir):
+    """Bronze table by name, from the driver tables."""
+    def of(mapping_table, mapping, model):
+        return lambda: as_bronze(mapped(table(spark, sf_dir, mapping_table), mapping), model)
+
+    makers = {
+        "people": lambda: people_bronze(spark, sf_dir),
+        "person_aliases": lambda: aliases_bronze(spark, sf_dir),
+        "groups": lambda: teams_bronze(spark, sf_dir),
+        "group_members": lambda: members_bronze(spark, sf_dir),
+        "group_types": lambda: group_types_bronze(spark, sf_dir),
+        "attendance": lambda: attendance_bronze(spark, sf_dir),
+        "attendance_occurrences": lambda: occurrences_bronze(spark, sf_dir),
+        "campuses": lambda: campuses_bronze(spark, sf_dir),
+        "financial_accounts": of("part", {"Id": "p_partkey", "Name": "p_brand",
+                                          "ParentAccountId": "p_partkey - p_size",
+                                          "IsActive": "p_size > 10"}, S.FINANCIAL_ACCOUNTS),
+        "financial_transactions": lambda: transactions_bronze(spark, sf_dir),
+        "financial_transaction_details": lambda: details_bronze(spark, sf_dir),
+        "connection_requests": lambda: requests_bronze(spark, sf_dir),
+        "connection_opportunities": lambda: opportunities_bronze(spark, sf_dir),
+        "defined_values": lambda: defined_values_bronze(spark, sf_dir),
+        "analytics_dim_person_historical": of(
+            "orders", HISTORY_MAP | {"CurrentRowIndicator": "o_orderstatus = 'O'"},
+            S.PERSON_HISTORICAL)}
+    return lambda name: makers[name]()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import quality
+from ..operators import quality, warehouse
 from ..operators import staging as S
 from . import inputs as I
 from .registry import query
@@ -110,3 +110,27 @@ def quality_row_counts(spark, sf_dir):
     return quality.together([
         quality.same_row_count(bronze, S.people(bronze), "people"),
         quality.same_row_count(orders, orders.where("o_orderstatus = 'O'"), "current_history")])
+
+
+@query("quality_models", f"""
+    WITH a AS ({I.ALIAS_SQL}),
+    g AS (SELECT DISTINCT * FROM ({I.select_sql('events', I.TEAM_MAP)})),
+    failed AS (
+      SELECT 'not_null.people.email' AS check_name, (SELECT count(*) FROM customer) AS failures,
+             'warn' AS severity
+      UNION ALL SELECT 'unique.person_current.person_id', (SELECT count(*) FROM (
+        SELECT o_custkey FROM orders WHERE o_orderstatus = 'O' GROUP BY 1 HAVING count(*) > 1)),
+        'error'
+      UNION ALL SELECT 'reference.financial_accounts.parent_account_id', (
+        SELECT count(*) FROM part WHERE p_partkey - p_size NOT IN (SELECT p_partkey FROM part)),
+        'warn'
+      UNION ALL SELECT 'not_null.financial_transaction_details.financial_transaction_detail_id',
+        (SELECT count(*) FROM lineitem), 'error'
+      UNION ALL SELECT 'reference.group_members.person_id', (SELECT count(*) FROM (
+        SELECT DISTINCT user_id, event_type FROM events)
+        WHERE user_id NOT IN (SELECT c_custkey FROM customer)), 'warn')
+    SELECT * FROM failed WHERE failures > 0""")
+def quality_models(spark, sf_dir):
+    """Every check of the silver models; the ones that find something."""
+    models = warehouse.silver(I.bronze(spark, sf_dir), I.AS_OF)
+    return warehouse.checks(models).where("failures > 0")

@@ -409,3 +409,22 @@ def test_freshness(spark, hours, state):
     df = spark.createDataFrame([(now - dt.timedelta(hours=hours),)], "t timestamp")
     assert quality.freshness(df, "t", now, "f").first().state == state
     assert quality.freshness(df.where("false"), "t", now, "f").first().state == "error"
+
+
+# --- the model graph -----------------------------------------------------------------------------
+
+def test_warehouse_builds_views_and_tables_and_passes_its_checks(spark, sf_dir):
+    from tallyhouse.operators import warehouse
+    from tallyhouse.plans import inputs
+
+    models = warehouse.build(spark, inputs.bronze(spark, sf_dir), inputs.EVENTS_AS_OF)
+    assert {"stg_people", "stg_occurrences"} <= {
+        t.name for t in spark.catalog.listTables() if t.isTemporary}
+    assert spark.table("door_holder_engagement").count() > 0
+    gold_tables = {n: models[n] for n in ("dim_date", "dim_group", "dim_person",
+                                          "fct_group_membership", "fct_connection_request",
+                                          "fct_attendance", "door_holder_engagement",
+                                          "door_holder_giving")}
+    failed = warehouse.checks(gold_tables).where("failures > 0").collect()
+    # One person may have several current versions in this made-up history.
+    assert {r.check_name for r in failed} <= {"unique.door_holder_giving.person_key"}
