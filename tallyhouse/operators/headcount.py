@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_col, rank_in
-from ..functions.dates import us_week_number
 
 GRAIN = ("sunday_date", "campus", "schedule", "literal", "city", "event")
 
@@ -106,7 +105,3 @@ def positional_previous(hc: DataFrame, order: Sequence[str], offset: int = 7) ->
         "prev_week": F.lag("cnt", offset).over(w)}).withColumn(
         "wow", F.round(F.try_divide((F.col("cnt") - F.col("prev_week")).cast("double"),
                                     F.col("prev_week").cast("double")), 6))
-
-
-def with_week(hc: DataFrame, date: str = "sunday_date") -> DataFrame:
-    return hc.withColumn("week_of_year", us_week_number(date))

@@ -55,7 +55,8 @@ def in_person_rows(spark, sf_dir):
 
 @query("dense_date_index", f"""
     WITH {I.HC_SQL}
-    SELECT *, dense_rank() OVER (ORDER BY sunday_date DESC) AS date_index FROM hc""")
+    SELECT *, dense_rank() OVER (ORDER BY sunday_date DESC) AS date_index FROM hc""",
+       wide=("date_index",))
 def dense_date_index(spark, sf_dir):
     return headcount.date_index(_kept(spark, sf_dir))
 
@@ -64,7 +65,8 @@ def dense_date_index(spark, sf_dir):
     WITH {I.HC_SQL},
     p AS (SELECT *, row_number() OVER w - 1 AS row_index, lag(cnt, 7) OVER w AS prev_week
           FROM hc WINDOW w AS (ORDER BY literal, sunday_date, campus, schedule))
-    SELECT *, round((cnt - prev_week) / nullif(prev_week, 0)::DOUBLE, 6) AS wow FROM p""")
+    SELECT *, round((cnt - prev_week) / nullif(prev_week, 0)::DOUBLE, 6) AS wow FROM p""",
+       wide=("row_index",))
 def positional_lag7(spark, sf_dir):
     return headcount.positional_previous(
         _hc(spark, sf_dir), ["literal", "sunday_date", "campus", "schedule"])
@@ -331,7 +333,8 @@ WIDE = (f"(sum(cnt) FILTER ({HOME}))::BIGINT AS all_campuses, "
     WITH {I.HC_SQL}
     SELECT year(sunday_date) % 100 * 100 + month(sunday_date) AS yymm,
            strftime(min(sunday_date), '%b %y') AS label, {WIDE}
-    FROM hc WHERE sunday_date BETWEEN DATE '1999-06-01' AND DATE '2000-06-30' GROUP BY 1""")
+    FROM hc WHERE sunday_date BETWEEN DATE '1999-06-01' AND DATE '2000-06-30' GROUP BY 1""",
+       wide=("yymm",))
 def series_month(spark, sf_dir):
     return metrics.monthly_series(_hc(spark, sf_dir, "1999-06-01", "2000-06-30"), I.AS_OF,
                                   I.CAMPUSES)
@@ -358,7 +361,8 @@ YEARS = ", ".join(f"(sum(cnt) FILTER (year(sunday_date) = {y}))::BIGINT AS y{y}"
 
 @query("series_multi_year", f"""
     WITH {I.HC_SQL}
-    SELECT {WEEK.format('sunday_date')} AS week, {YEARS} FROM hc WHERE campus = 'A' GROUP BY 1""")
+    SELECT {WEEK.format('sunday_date')} AS week, {YEARS} FROM hc WHERE campus = 'A' GROUP BY 1""",
+       wide=("week",))
 def series_multi_year(spark, sf_dir):
     return metrics.multi_year(_hc(spark, sf_dir), 2000, "A")
 
@@ -367,7 +371,8 @@ def series_multi_year(spark, sf_dir):
     WITH {I.HC_SQL}
     SELECT m AS month, {YEARS}
     FROM unnest(range(1, 13)) t(m) LEFT JOIN hc ON month(sunday_date) = m AND campus = 'A'
-    GROUP BY 1""")
+    GROUP BY 1""",
+       wide=("month",))
 def series_multi_year_month(spark, sf_dir):
     return metrics.multi_year(_hc(spark, sf_dir), 2000, "A", "month")
 
@@ -481,7 +486,8 @@ def gathering_rolling_year(spark, sf_dir):
     d AS (SELECT sunday_date, sum(cnt) AS total FROM m
           WHERE campus = 'A' AND year(sunday_date) BETWEEN 1994 AND 2000
           GROUP BY 1 HAVING max(cnt) > 100)
-    SELECT year(sunday_date) AS year, sum(total)::BIGINT AS total FROM d GROUP BY 1""")
+    SELECT year(sunday_date) AS year, sum(total)::BIGINT AS total FROM d GROUP BY 1""",
+       wide=("year",))
 def year_totals(spark, sf_dir):
     return metrics.yearly_totals(_monthly(spark, sf_dir), I.AS_OF, "A")
 
@@ -570,12 +576,14 @@ def _comparison_sql(event: str, year: int) -> str:
                    ELSE 0 END AS bar FROM ra"""
 
 
-@query("holiday_comparison", _comparison_sql("Easter", 2000))
+@query("holiday_comparison", _comparison_sql("Easter", 2000),
+       wide=("rank",))
 def holiday_comparison(spark, sf_dir):
     return holidays.holiday_comparison(_special(spark, sf_dir), "Easter", 2000, I.CAMPUSES)
 
 
-@query("holiday_comparison_christmas", _comparison_sql("Christmas", 2000))
+@query("holiday_comparison_christmas", _comparison_sql("Christmas", 2000),
+       wide=("rank",))
 def holiday_comparison_christmas(spark, sf_dir):
     return holidays.holiday_comparison(_special(spark, sf_dir), "Christmas", 2000, I.CAMPUSES)
 
@@ -642,7 +650,8 @@ def easter_dates(spark, sf_dir):
            CASE WHEN f.year IS NOT NULL THEN 'Show' WHEN {ON} < holiday_date THEN 'Upcoming'
                 WHEN {ON} <= holiday_date + 14 THEN 'Processing' ELSE 'Show' END AS status,
            holiday_date - {ON} AS days_to_holiday
-    FROM hol h LEFT JOIN found f ON f.year = h.year AND f.event = h.event""")
+    FROM hol h LEFT JOIN found f ON f.year = h.year AND f.event = h.event""",
+       wide=("days_to_holiday",))
 def holiday_status(spark, sf_dir):
     rows = I.headcount_rows(spark, sf_dir).select("sunday_date")
     years = I.table(spark, sf_dir, "lineitem").select(

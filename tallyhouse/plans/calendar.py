@@ -24,7 +24,8 @@ WEEK = "((dayofyear({0}) + dayofweek(CAST(date_trunc('year', {0}) AS DATE)) - 1)
            dayofweek(d) + 1 AS day_of_week_number, dayname(d) AS day_of_week_name,
            dayofweek(d) IN (0, 6) AS is_weekend,
            CAST(date_trunc('week', d) AS DATE) + 6 AS sunday_date, coalesce(orders, 0) AS orders
-    FROM days LEFT JOIN n USING (d)""")
+    FROM days LEFT JOIN n USING (d)""",
+       wide=("calendar_year", "calendar_quarter", "month_number", "day_of_week_number"))
 def date_dimension(spark, sf_dir):
     """The date dimension from a fixed start to the newest order, with daily orders."""
     orders = I.table(spark, sf_dir, "orders")
@@ -41,7 +42,8 @@ def date_dimension(spark, sf_dir):
                       make_date(max(year(l_shipdate)), 12, 31) AS z FROM lineitem),
     days AS (SELECT unnest(range(a, z + 1, INTERVAL 1 DAY))::DATE AS d FROM b)
     SELECT d AS date_day, year(d) AS year, month(d) AS month_no, monthname(d) AS month,
-           quarter(d) AS quarter_no, 'Qtr ' || quarter(d) AS quarter, day(d) AS day FROM days""")
+           quarter(d) AS quarter_no, 'Qtr ' || quarter(d) AS quarter, day(d) AS day FROM days""",
+       wide=("year", "month_no", "quarter_no", "day"))
 def auto_calendar(spark, sf_dir):
     return calendar.auto_calendar(I.table(spark, sf_dir, "lineitem"), "l_shipdate")
 
@@ -59,7 +61,8 @@ def auto_calendar(spark, sf_dir):
            CAST(date_trunc('month', date_day) AS DATE) AS month_start_date,
            strftime(date_day, '%Y-%m') AS year_month,
            year(date_day) || '-Q' || quarter(date_day) AS year_quarter
-    FROM d""")
+    FROM d""",
+       wide=("year_month_number", "week_number"))
 def report_calendar(spark, sf_dir):
     days = calendar.fact_dates(I.table(spark, sf_dir, "lineitem"), "l_shipdate")
     return calendar.report_attributes(days, "date_day")
@@ -69,9 +72,11 @@ def report_calendar(spark, sf_dir):
     WITH {I.HC_SQL}
     SELECT sunday_date, {WEEK.format('sunday_date')} AS week_number,
            year(sunday_date) % 100 * 100 + month(sunday_date) AS yymm, sum(cnt)::BIGINT AS total
-    FROM hc GROUP BY 1, 2, 3""")
+    FROM hc GROUP BY 1, 2, 3""",
+       wide=("week_number", "yymm"))
 def us_week_number(spark, sf_dir):
-    return I.headcount(spark, sf_dir).groupBy("sunday_date").agg(F.sum("cnt").alias("total")).select(
+    per_date = I.headcount(spark, sf_dir).groupBy("sunday_date").agg(F.sum("cnt").alias("total"))
+    return per_date.select(
         "sunday_date", D.us_week_number("sunday_date").alias("week_number"),
         D.yymm_number("sunday_date").alias("yymm"), "total")
 
@@ -85,7 +90,8 @@ def us_week_number(spark, sf_dir):
            CASE WHEN date_rank % 2 = 0 THEN strftime(day, '%m/%d') ELSE chr(8203) END
              AS axis_label,
            dayname(day) AS day_of_week_name
-    FROM r""")
+    FROM r""",
+       wide=("month_day_number", "date_rank"))
 def day_axis(spark, sf_dir):
     days = calendar.fact_dates(I.table(spark, sf_dir, "events"), "ts", "day")
     return calendar.day_axis(days, "day")
@@ -95,7 +101,8 @@ def day_axis(spark, sf_dir):
     SELECT o_orderkey, year({ON}) - year(o_orderdate)
            - CASE WHEN strftime({ON}, '%m%d') < strftime(o_orderdate, '%m%d') THEN 1 ELSE 0 END
              AS age
-    FROM orders""")
+    FROM orders""",
+       wide=("age",))
 def age_years(spark, sf_dir):
     return I.table(spark, sf_dir, "orders").select(
         "o_orderkey", D.age_years(F.to_date("o_orderdate"), I.AS_OF).alias("age"))

@@ -138,7 +138,8 @@ def fact_membership(spark, sf_dir):
            year(ConnectedDateTime) * 10000 + month(ConnectedDateTime) * 100
              + day(ConnectedDateTime) AS connected_date_key,
            datesub('day', CreatedDateTime, ConnectedDateTime) AS days_to_connect
-    FROM r""")
+    FROM r""",
+       wide=("created_date_key",))
 def fact_request_category(spark, sf_dir):
     return _requests(spark, sf_dir).select(
         "connection_request_id", "opportunity_name", "request_category", "created_date_key",
@@ -216,7 +217,8 @@ def _engagement(spark, sf_dir):
         I.EVENTS_AS_OF)
 
 
-@query("engagement_mart", _ENGAGEMENT_SQL)
+@query("engagement_mart", _ENGAGEMENT_SQL,
+       wide=("age", "days_since_first_joined", "days_since_last_check_in"))
 def engagement_mart(spark, sf_dir):
     return _engagement(spark, sf_dir).drop("person_key", "gender", "marital_status",
                                            "campus_id", "is_person_active")

@@ -57,7 +57,8 @@ def scan_high_water_mark(spark, sf_dir):
     recent AS (SELECT PersonId FROM ranked
                WHERE rn = 1 AND eff >= TIMESTAMP '2001-07-20 00:00:00' - INTERVAL 26 HOUR)
     SELECT Id, PersonId, stage, CAST(eff AS DATE) AS effective, rn
-    FROM ranked WHERE rn <= 2 AND PersonId IN (SELECT PersonId FROM recent)""")
+    FROM ranked WHERE rn <= 2 AND PersonId IN (SELECT PersonId FROM recent)""",
+       wide=("rn",))
 def history_last_two_versions(spark, sf_dir):
     history = I.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("Id"), F.col("o_custkey").alias("PersonId"),

@@ -265,7 +265,8 @@ _SIGNUPS = {"event": "o_orderpriority", "signed_up": "CAST(o_orderdate AS DATE)"
     SELECT event, month_day, CASE WHEN month_day <= 618 THEN
              (sum(coalesce(n, 0)) OVER (PARTITION BY event ORDER BY month_day))::BIGINT END
              AS cumulative
-    FROM axis LEFT JOIN c USING (event, month_day)""")
+    FROM axis LEFT JOIN c USING (event, month_day)""",
+       wide=("month_day",))
 def cumulative_by_series(spark, sf_dir):
     rows = I.mapped(I.table(spark, sf_dir, "orders"), _SIGNUPS)
     return signups.cumulative(rows, "event", "signed_up", until=618)
@@ -283,8 +284,8 @@ def signups_on_day(spark, sf_dir):
 
 
 @query("signup_map", """
-    SELECT c_nationkey AS place, min(c_name) AS address, count(DISTINCT o_orderpriority) AS projects,
-           count(DISTINCT o_custkey) AS signups
+    SELECT c_nationkey AS place, min(c_name) AS address,
+           count(DISTINCT o_orderpriority) AS projects, count(DISTINCT o_custkey) AS signups
     FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1""")
 def signup_map(spark, sf_dir):
     customers = I.mapped(I.table(spark, sf_dir, "customer"), {

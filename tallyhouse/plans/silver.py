@@ -71,7 +71,8 @@ def staging_group_members(spark, sf_dir):
            coalesce(DidAttend, false) AS did_attend, IsFirstTime AS is_first_time,
            CASE RSVP WHEN 1 THEN 'Yes' WHEN 2 THEN 'No' WHEN 3 THEN 'Maybe' ELSE 'Unknown' END
              AS rsvp
-    FROM b""")
+    FROM b""",
+       wide=("occurrence_id",))
 def staging_attendance(spark, sf_dir):
     return S.attendance(I.attendance_bronze(spark, sf_dir)).select(
         "attendance_id", "occurrence_id", "person_alias_id", "did_attend", "is_first_time",
@@ -85,7 +86,8 @@ _OCCURRENCE_SQL = I.select_sql(
 @query("staging_occurrences", f"""
     WITH b AS (SELECT DISTINCT * FROM ({_OCCURRENCE_SQL}))
     SELECT Id AS occurrence_id, GroupId AS group_id, OccurrenceDate AS occurrence_date,
-           SundayDate AS sunday_date, NOT coalesce(DidNotOccur, false) AS did_occur FROM b""")
+           SundayDate AS sunday_date, NOT coalesce(DidNotOccur, false) AS did_occur FROM b""",
+       wide=("occurrence_id",))
 def staging_occurrences(spark, sf_dir):
     return S.occurrences(I.occurrences_bronze(spark, sf_dir)).select(
         "occurrence_id", "group_id", "occurrence_date", "sunday_date", "did_occur")
@@ -384,6 +386,20 @@ def title_split(spark, sf_dir):
         audience.thumbnail(F.col("doc_id").cast("string")).alias("thumbnail_url"))
 
 
+@query("platform_sundays", """
+    SELECT event_id, 'early' AS gathering, CAST(ts - INTERVAL 5 HOUR AS DATE) AS sunday_date
+    FROM events WHERE event_type IN ('view', 'click')
+      AND CAST(ts - INTERVAL 5 HOUR AS DATE) IN (DATE '2024-01-28', DATE '2024-01-21')""")
+def platform_sundays(spark, sf_dir):
+    """Broadcasts of the last two Sundays by local date, seen from a Wednesday."""
+    videos = I.table(spark, sf_dir, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("broadcast_start_time"),
+        F.when(F.col("event_type").isin("view", "click"), "Sunday Gathering // early ")
+        .otherwise("Rehearsal // early").alias("title"))
+    return audience.platform_sundays(videos, "2024-01-31").select(
+        "event_id", "gathering", "sunday_date")
+
+
 @query("gathering_titles", """
     SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE event_type || ' 9:30' END
              AS gathering,

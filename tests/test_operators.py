@@ -236,6 +236,10 @@ def test_special_sundays(spark):
         (2025, "Christmas", D(2025, 12, 28)), (2025, "Easter", D(2025, 4, 20))]
 
 
+def test_series_of_integers(spark):
+    assert [r.day for r in calendar.day_numbers(spark).collect()] == list(range(1, 367))
+
+
 # --- journeys --------------------------------------------------------------------------------
 
 def brute_as_of(versions, person, day):

@@ -186,3 +186,14 @@ def test_first_seen(spark):
                                "id string, page int, t string")
     assert rows(bronze.first_seen(df, "id", ["page"]).select("id", "t")) == [
         ("v1", "first"), ("v2", "only")]
+
+
+def test_load_all_skips_empty_tables(spark):
+    configs = {"one": config.TableConfig("s.one", "all_one", "id", None),
+               "two": config.TableConfig("s.two", "all_two", "id", None)}
+    data = {"s.one": spark.createDataFrame([(1, "x")], "id int, v string"),
+            "s.two": spark.createDataFrame([], "id int, v string")}
+    done = tables.load_all(spark, lambda c: data[c.source_table], "2024-01-01 00:00:00", "full",
+                           configs)
+    assert done == {"one": True, "two": False}
+    assert spark.table("all_one").first()["_source_system"] == "rms"
