@@ -534,8 +534,9 @@ _CHECK_IN = {"person_id": "user_id", "sunday": "CAST(ts AS DATE)",
              "type_name": "event_type", "did_attend": "value > 10"}
 _HOME = {"person_id": "c_custkey",
          "family_id": "CASE WHEN c_acctbal > 9000 THEN NULL ELSE c_custkey % 60 END",
-         "lat": "CASE WHEN c_acctbal < 0 THEN NULL ELSE 33.05 + c_nationkey * 0.1 END",
-         "lng": "-85.05 + c_nationkey * 0.05"}
+         "lat": "CASE WHEN c_acctbal < 0 THEN NULL "
+                "ELSE CAST(33.05 + c_nationkey * 0.1 AS DOUBLE) END",
+         "lng": "CAST(-85.05 + c_nationkey * 0.05 AS DOUBLE)"}
 _FAMILY_SQL = f"""
     ci AS (SELECT *, sunday AS day, CAST(date_trunc('week', sunday) AS DATE) + 6 AS sunday_date
            FROM ({I.select_sql('events', _CHECK_IN)})),
