@@ -169,18 +169,28 @@ def safe_cast(text: ColumnOrName, kind: str) -> Column:
 
 # --- JSON and text splitting -------------------------------------------------
 
+def single_spaced(text: ColumnOrName) -> Column:
+    """Spaces removed from the ends and runs of spaces inside made one."""
+    return F.trim(F.regexp_replace(as_col(text), " +", " "))
+
+
+def strip(text: ColumnOrName) -> Column:
+    """White space of any kind removed from the ends."""
+    return F.regexp_replace(as_col(text), r"^\s+|\s+$", "")
+
+
 def split_before(text: ColumnOrName, separator: str) -> Column:
-    """Trimmed text before the first separator; the whole text if there is none."""
+    """Text before the first separator; null if there is none."""
     c = as_col(text)
     at = F.instr(c, F.lit(separator))
-    return F.when(at > 0, F.trim(F.substring(c, F.lit(1), at - 1))).otherwise(c)
+    return F.when(at > 0, F.substring(c, F.lit(1), at - 1))
 
 
 def split_after(text: ColumnOrName, separator: str) -> Column:
-    """Trimmed text after the first separator; null if there is none."""
+    """Text after the first separator; null if there is none."""
     c = as_col(text)
     at = F.instr(c, F.lit(separator))
-    return F.when(at > 0, F.trim(F.substring(c, at + len(separator), F.length(c))))
+    return F.when(at > 0, F.substring(c, at + len(separator), F.length(c)))
 
 
 def iso_timestamp(text: ColumnOrName) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_col, safe_divide, split_after, split_before
+from ..functions.columns import (as_col, safe_divide, single_spaced, split_after, split_before,
+                                 strip)
 from ..functions.dates import as_date, last_sunday, local_date
 
 # Attendance per view, title marks, provenance labels.
@@ -24,7 +25,7 @@ def is_gathering_title(title):
 def gathering_of(title):
     """The text after the first '//', for titles that start with the literal."""
     c = as_col(title)
-    return F.when(c.startswith(TITLE_START), split_after(c, "//"))
+    return F.when(c.startswith(TITLE_START), strip(split_after(c, "//")))
 
 
 def released(videos: DataFrame) -> DataFrame:
@@ -70,9 +71,11 @@ def backfill_ids(snapshot: DataFrame) -> DataFrame:
 
 
 def title_parts(df: DataFrame, title: str, separator: str = " - ") -> DataFrame:
-    """Sermon title and speaker around the first separator."""
-    return df.withColumns({"sermon_title": split_before(title, separator),
-                           "speaker": split_after(title, separator)})
+    """Sermon title and speaker around the first separator; without one the whole
+    text is the title, as it is."""
+    return df.withColumns({
+        "sermon_title": F.coalesce(single_spaced(split_before(title, separator)), F.col(title)),
+        "speaker": single_spaced(split_after(title, separator))})
 
 
 def thumbnail(video_id):
@@ -126,8 +129,9 @@ def weekly_online(platform_a: DataFrame, platform_b: DataFrame, legacy: DataFram
 
 def online_card(weekly: DataFrame, as_of, lookback: int = 10, n: int = 5) -> DataFrame:
     """The online card of one date: previous week, prior year (-364), the mean of
-    the last n weeks with data out of `lookback`, and the changes (null unless both
-    sides are above zero)."""
+    the last n weeks with data out of `lookback`, and the changes. Week and year
+    changes are null unless both sides are above zero; against the average, a date
+    without data counts as zero."""
     on, d = as_date(as_of), F.col("sunday_date")
     weeks = [F.date_sub(on, 7 * i) for i in range(lookback)]
     average = (weekly.where(d.isin(*weeks) & (F.col("online") > 0))
@@ -144,9 +148,11 @@ def online_card(weekly: DataFrame, as_of, lookback: int = 10, n: int = 5) -> Dat
     card = weekly.agg(at(on, "online").alias("current"),
                       at(F.date_sub(on, 7), "online_one_platform").alias("previous_week"),
                       at(F.date_sub(on, 364), "online").alias("prior_year"))
+    against = F.when(F.col("five_week_average") > 0, F.round(safe_divide(
+        F.coalesce("current", F.lit(0)) - F.col("five_week_average"), "five_week_average"), 6))
     return card.withColumn("five_week_average", average).withColumns({
         "wow": change("previous_week"), "yoy": change("prior_year"),
-        "against_average": change("five_week_average")})
+        "against_average": against})
 
 
 def online_history(weekly: DataFrame) -> DataFrame:

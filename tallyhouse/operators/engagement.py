@@ -50,10 +50,10 @@ def launch_events(steps: DataFrame, as_of, date: str = "started_at",
 
 def requests_and_completions(requests: DataFrame, as_of, done: str,
                              by: Sequence[str] = ("campus_id", "opportunity_name")) -> DataFrame:
-    """Requests, and requests with the completed status, created in the last 90 and
-    365 days; every group has a row."""
+    """Requests, and requests with the completed status (in any case), created in the
+    last 90 and 365 days; every group has a row."""
     recent = window_flags("created_at", as_of)
-    completed = F.col("status") == done
+    completed = F.lower("status") == done.lower()
     return requests.groupBy(*by).agg(
         F.count_if(recent["past_90"]).alias("requests_90"),
         F.count_if(recent["past_365"]).alias("requests_365"),

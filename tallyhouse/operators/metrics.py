@@ -207,6 +207,7 @@ def gathering_averages(hc: DataFrame, as_of, by: Sequence[str] = ()) -> DataFram
 
     sums = hc.groupBy(*by).agg(
         mean(this_year).alias("year_mean"), mean(last_year).alias("last_year_mean"),
+        mean(this_year & (F.month(DATE) <= F.month(on))).alias("year_to_month_mean"),
         _sum_when(ytd, "cnt").alias("year_total"),
         _sum_when(ly_ytd, "cnt").alias("last_year_to_date_total"),
         _sum_when(last_year, "cnt").alias("last_year_total"))

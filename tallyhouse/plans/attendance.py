@@ -306,6 +306,8 @@ _MONTHLY = f"{I.HC_SQL}, m AS (SELECT * FROM hc WHERE schedule = '5:00pm')"
                  round(coalesce(avg(cnt) FILTER (year(sunday_date) = 2000), 0), 6) AS year_mean,
                  round(coalesce(avg(cnt) FILTER (year(sunday_date) = 1999), 0), 6)
                    AS last_year_mean,
+                 round(coalesce(avg(cnt) FILTER (year(sunday_date) = 2000
+                   AND month(sunday_date) <= 6), 0), 6) AS year_to_month_mean,
                  (sum(cnt) FILTER (year(sunday_date) = 2000 AND sunday_date <= {ON}))::BIGINT
                    AS year_total,
                  (sum(cnt) FILTER (year(sunday_date) = 1999

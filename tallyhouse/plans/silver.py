@@ -373,10 +373,12 @@ def backfill_ids(spark, sf_dir):
 
 @query("title_split", """
     SELECT doc_id, CASE WHEN instr(text, '. ') > 0
-                        THEN trim(substr(text, 1, instr(text, '. ') - 1), ' ') ELSE text END
+                        THEN trim(regexp_replace(substr(text, 1, instr(text, '. ') - 1),
+                                                 ' +', ' ', 'g'), ' ') ELSE text END
                      AS sermon_title,
            CASE WHEN instr(text, '. ') > 0
-                THEN trim(substr(text, instr(text, '. ') + 2), ' ') END AS speaker,
+                THEN trim(regexp_replace(substr(text, instr(text, '. ') + 2), ' +', ' ', 'g'), ' ')
+                END AS speaker,
            'https://img.youtube.com/vi/' || doc_id || '/maxresdefault.jpg' AS thumbnail_url
     FROM documents""")
 def title_split(spark, sf_dir):

@@ -47,8 +47,9 @@ def test_text_splits(spark):
     t = F.lit("Grace  - A Name - x")
     assert one(spark, a=C.split_before(t, " - "), b=C.split_after(t, " - "),
                c=C.split_before(F.lit("none"), " - "), d=C.split_after(F.lit("none"), " - "),
-               e=C.blank_concat(F.lit(None), F.lit(", "), F.lit("GA"))) == (
-        "Grace", "A Name - x", "none", None, ", GA")
+               e=C.blank_concat(F.lit(None), F.lit(", "), F.lit("GA")),
+               f=C.single_spaced(F.lit("  a   b ")), g=C.strip(F.lit("\t a  b \n"))) == (
+        "Grace ", "A Name - x", None, None, ", GA", "a b", "a  b")
 
 
 def test_iso_timestamps(spark):

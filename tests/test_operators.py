@@ -312,6 +312,41 @@ def test_two_titles_in_one_week_are_blank(spark):
     assert (r.raw_title, r.sermon_title, r.thumbnail_url, r.views) == (None, None, None, 12)
 
 
+def test_title_parts(spark):
+    df = spark.createDataFrame([(" Hope   now  -  Sam  Lee - x ",), ("No speaker ",), (None,)],
+                               "t string")
+    assert rows(audience.title_parts(df, "t").select("sermon_title", "speaker")) == [
+        ("Hope now", "Sam Lee - x"), ("No speaker ", None), (None, None)]
+
+
+def test_gathering_titles(spark):
+    df = spark.createDataFrame([("Sunday Gathering // 9:30 // x ",), ("FULL GATHERING",),
+                                ("x Sunday Gathering // y",)], "t string")
+    got = df.select(audience.is_gathering_title("t").alias("is"),
+                    audience.gathering_of("t").alias("g")).collect()
+    assert [tuple(r) for r in got] == [(True, "9:30 // x"), (True, None), (False, None)]
+
+
+def test_live_views_and_their_source(spark):
+    df = spark.createDataFrame([(1, True, 5, 50), (2, True, 0, 50), (3, True, None, 50),
+                                (4, False, 9, 50)],
+                               "id int, was_live boolean, live_views int, total_views int")
+    assert rows(audience.with_live_views(df), "id", "views", "views_source") == [
+        (1, 5, audience.LIVE), (2, 50, audience.PROVISIONAL), (3, 50, audience.PROVISIONAL),
+        (4, 50, audience.TOTAL)]
+
+
+def test_online_card_uses_weeks_with_data(spark):
+    on = D(2024, 6, 2)
+    weekly = spark.createDataFrame(
+        [(on - dt.timedelta(days=7 * i), None if i == 2 else 0 if i == 3 else 100 + i, 50 + i)
+         for i in range(1, 10)], "sunday_date date, online bigint, online_one_platform bigint")
+    r = audience.online_card(weekly, on).first()
+    # Weeks 1, 4, 5, 6 and 7 back have data; the date itself does not.
+    assert (r.current, r.previous_week, r.five_week_average) == (None, 51, 105.0)
+    assert (r.wow, r.yoy, r.against_average) == (None, None, -1.0)
+
+
 # --- engagement ------------------------------------------------------------------------------
 
 def test_distinct_people_equals_distinct_counts_under_a_hot_group(spark):
