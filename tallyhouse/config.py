@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -26,7 +26,9 @@ ACTIVE_RECORD_STATUS = 3
 class TableConfig:
     """What to extract from one source table and how to merge it.
 
-    `columns` empty means every column the source offers.
+    `columns` empty means every column the source offers. A large table names the
+    creation time of its rows in `partition_column`; it never changes for a row, so a
+    batch names the only months its keys can be stored in.
     """
 
     source_table: str
@@ -35,13 +37,15 @@ class TableConfig:
     modified_column: str | None = "ModifiedDateTime"
     columns: tuple[str, ...] = ()
     decimal_columns: tuple[str, ...] = ()
-    partition_column: str | None = field(default=None)
+    partition_column: str | None = None
 
     def column_list(self, available: list[str]) -> list[str]:
         """Configured columns, first mention wins, in the configured order."""
         return list(dict.fromkeys(self.columns)) or list(available)
 
 
+CREATED = "CreatedDateTime"
+
 # Source tables, bronze names, change columns and money columns.
 TABLES: dict[str, TableConfig] = {
     "person": TableConfig("dbo.Person", "people"),
@@ -49,14 +53,17 @@ TABLES: dict[str, TableConfig] = {
     "person_historical": TableConfig(
         "dbo.AnalyticsDimPersonHistorical", "analytics_dim_person_historical",
         modified_column="EffectiveDate"),
-    "transaction": TableConfig("dbo.FinancialTransaction", "financial_transactions"),
+    "transaction": TableConfig("dbo.FinancialTransaction", "financial_transactions",
+                               partition_column=CREATED),
     "transaction_detail": TableConfig(
         "dbo.FinancialTransactionDetail", "financial_transaction_details",
-        decimal_columns=("Amount", "FeeAmount", "FeeCoverageAmount", "ForeignCurrencyAmount")),
+        decimal_columns=("Amount", "FeeAmount", "FeeCoverageAmount", "ForeignCurrencyAmount"),
+        partition_column=CREATED),
     "group_member": TableConfig("dbo.GroupMember", "group_members"),
-    "attendance": TableConfig("dbo.Attendance", "attendance"),
+    "attendance": TableConfig("dbo.Attendance", "attendance", partition_column=CREATED),
     "attendance_occurrence": TableConfig("dbo.AttendanceOccurrence", "attendance_occurrences"),
-    "connection_request": TableConfig("dbo.ConnectionRequest", "connection_requests"),
+    "connection_request": TableConfig("dbo.ConnectionRequest", "connection_requests",
+                                      partition_column=CREATED),
     "financial_account": TableConfig("dbo.FinancialAccount", "financial_accounts"),
     # Aliases carry no change time: full loads only.
     "person_alias": TableConfig("dbo.PersonAlias", "person_aliases", modified_column=None),

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..config import TABLES, TableConfig
 from ..sources.tables import materialise
 from . import gold, quality
 from . import staging as S
@@ -28,6 +30,30 @@ RENAMED = {"attendance_occurrences": "occurrences",
            "analytics_dim_person_historical": "person_historical"}
 
 
+# The column spec behind each silver model.
+SPECS: dict[str, S.Model] = {
+    "people": S.PEOPLE, "person_aliases": S.PERSON_ALIASES, "groups": S.GROUPS,
+    "group_members": S.GROUP_MEMBERS, "group_types": S.GROUP_TYPES,
+    "attendance": S.ATTENDANCE, "attendance_occurrences": S.OCCURRENCES,
+    "campuses": S.CAMPUSES, "financial_accounts": S.FINANCIAL_ACCOUNTS,
+    "financial_transactions": S.FINANCIAL_TRANSACTIONS,
+    "financial_transaction_details": S.TRANSACTION_DETAILS,
+    "connection_requests": S.CONNECTION_REQUESTS,
+    "connection_opportunities": S.CONNECTION_OPPORTUNITIES,
+    "defined_values": S.DEFINED_VALUES,
+    "analytics_dim_person_historical": S.PERSON_HISTORICAL}
+
+
+def extract_configs(configs: Mapping[str, TableConfig] = TABLES) -> dict[str, TableConfig]:
+    """Table configurations limited to the columns the silver models read."""
+    out = {}
+    for key, config in configs.items():
+        needed = [config.primary_key, *SPECS[config.target].columns, config.modified_column]
+        columns = dict.fromkeys(c for c in needed if c and c != "_loaded_at")
+        out[key] = replace(config, columns=tuple(columns))
+    return out
+
+
 def silver(bronze: Callable[[str], DataFrame], as_of) -> dict[str, DataFrame]:
     """Every silver model, lazily, plus the current rows of the person history."""
     out = {}

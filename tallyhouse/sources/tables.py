@@ -7,6 +7,7 @@ view, and a partitioned merge rewrites only the partitions a batch touches.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -115,7 +116,31 @@ def materialise(df: DataFrame, name: str, as_table: bool) -> None:
         df.createOrReplaceTempView(name)
 
 
-def upsert_partitions(staged: DataFrame, path: str, keys: Sequence[str], partition: str) -> None:
+# Month of a partitioned table's rows as yyyyMM, 0 without a creation time. A number,
+# so that folder names are read back with one type.
+MONTH = "_month"
+
+
+def with_month(df: DataFrame, created: str) -> DataFrame:
+    return df.withColumn(MONTH, F.coalesce(
+        F.date_format(created, "yyyyMM").cast("int"), F.lit(0)))
+
+
+def publish_folder(df: DataFrame, name: str, folder: str, partition: str = MONTH) -> None:
+    """Write a partitioned table to a new folder, then point the view `name` at it. The
+    view remembers its folder; the old folder stays for the readers that still use it."""
+    path = f"{folder.rstrip('/')}/{name}-{os.urandom(6).hex()}"
+    df.write.partitionBy(partition).parquet(path)
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('folder' = '{path}') "
+                        f"AS SELECT * FROM parquet.`{path}`")
+
+
+def folder_of(spark: SparkSession, name: str) -> str:
+    return spark.sql(f"SHOW TBLPROPERTIES {name} ('folder')").first()["value"]
+
+
+def upsert_partitions(staged: DataFrame, path: str, keys: Sequence[str], partition: str,
+                      update: Sequence[str] | None = None) -> None:
     """Upsert into a partitioned Parquet folder, rewriting only touched partitions.
 
     `partition` must be fixed for a key (a creation month, say), so an existing row
@@ -125,18 +150,37 @@ def upsert_partitions(staged: DataFrame, path: str, keys: Sequence[str], partiti
     spark = staged.sparkSession
     touched = [r[0] for r in staged.select(partition).distinct().collect()]
     target = spark.read.parquet(path).where(F.col(partition).isin(touched))
-    (merge_upsert(target, staged, keys).write.partitionBy(partition)
+    (merge_upsert(target, staged, keys, update).write.partitionBy(partition)
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
 
 
+def reconcile(spark: SparkSession, name: str, current_keys: DataFrame, pk: str,
+              folder: str | None = None) -> int:
+    """The delete pass: rewrite a published table without the rows gone at the source.
+    Returns how many were removed; a table that lost nothing is left as it is."""
+    stored = spark.table(name)
+    removed = deleted_rows(stored, current_keys, pk).count()
+    if removed:
+        kept = remove_deleted(stored, current_keys, pk)
+        if folder is None:
+            publish(kept, name)
+        else:
+            publish_folder(kept, name, folder)
+    return removed
+
+
 def load_table(spark: SparkSession, source: DataFrame, config: TableConfig, as_of, mode: str,
-               database: str | None = None, reconcile_deletes: bool = False) -> bool:
+               database: str | None = None, reconcile_deletes: bool = False,
+               folder: str | None = None) -> bool:
     """Load one configured table, 'full' or 'incremental'. False if nothing was loaded.
 
     Full loads decide the schema; incremental loads are cast to the schema the
-    target already has and merged on its primary key.
+    target already has and merged on its primary key. With a `folder`, a table whose
+    configuration names a creation time is kept there by month, and an incremental
+    load rewrites only the months its batch touches.
     """
     name = f"{database}.{config.target}" if database else config.target
+    monthly = folder if config.partition_column else None
     if mode == "full":
         batch = bronze.scan(source, config)
     else:
@@ -145,14 +189,22 @@ def load_table(spark: SparkSession, source: DataFrame, config: TableConfig, as_o
     if loaded:
         stamped = bronze.stamp(bronze.force_decimals(batch, config.decimal_columns), as_of)
         if mode == "full":
-            publish(bronze.conform(stamped, bronze.decided_schema(
-                stamped, config.decimal_columns)), name)
+            decided = bronze.conform(stamped, bronze.decided_schema(
+                stamped, config.decimal_columns))
+            if monthly:
+                publish_folder(with_month(decided, config.partition_column), name, monthly)
+            else:
+                publish(decided, name)
         else:
-            target = spark.table(name)
             update = [c for c in batch.columns if c != config.primary_key] + [MERGE_META]
-            publish(merge_upsert(target, stamped, [config.primary_key], update), name)
+            key = [config.primary_key]
+            if monthly:
+                upsert_partitions(with_month(stamped, config.partition_column),
+                                  folder_of(spark, name), key, MONTH, update)
+            else:
+                publish(merge_upsert(spark.table(name), stamped, key, update), name)
     if reconcile_deletes:
-        publish(remove_deleted(spark.table(name), source, config.primary_key), name)
+        reconcile(spark, name, source, config.primary_key, monthly)
     return loaded
 
 

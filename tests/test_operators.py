@@ -467,3 +467,14 @@ def test_warehouse_builds_views_and_tables_and_passes_its_checks(spark, sf_dir):
     failed = warehouse.checks(gold_tables).where("failures > 0").collect()
     # One person may have several current versions in this made-up history.
     assert {r.check_name for r in failed} <= {"unique.door_holder_giving.person_key"}
+
+
+def test_extracts_list_each_needed_column_once():
+    from tallyhouse.operators import warehouse
+
+    configs = warehouse.extract_configs()
+    assert len(configs) == 15
+    for c in configs.values():
+        assert c.columns[0] == "Id" and len(set(c.columns)) == len(c.columns)
+        assert c.modified_column is None or c.modified_column in c.columns
+    assert "CreatedDateTime" in configs["attendance"].columns

@@ -197,3 +197,29 @@ def test_load_all_skips_empty_tables(spark):
                            configs)
     assert done == {"one": True, "two": False}
     assert spark.table("all_one").first()["_source_system"] == "rms"
+
+
+def test_monthly_table_rewrites_only_touched_months(spark, tmp_path):
+    c = config.TableConfig("dbo.F", "monthly_facts", "id", "changed", partition_column="created")
+    at = dt.datetime
+    cols = "id int, v string, created timestamp, changed timestamp"
+    first = spark.createDataFrame(
+        [(1, "a", at(2024, 1, 3), at(2024, 1, 3)), (2, "b", at(2024, 2, 3), at(2024, 2, 3)),
+         (3, "c", None, at(2024, 2, 3))], cols)
+    folder = str(tmp_path)
+    assert tables.load_table(spark, first, c, "2024-02-04 00:00:00", "full", folder=folder)
+    path = tables.folder_of(spark, "monthly_facts")
+    january = tmp_path / path.rpartition("/")[2] / "_month=202401"
+    files = sorted(p.name for p in january.iterdir())
+    later = spark.createDataFrame(
+        [(2, "B", at(2024, 2, 3), at(2024, 3, 1)), (4, "d", at(2024, 3, 1), at(2024, 3, 1))], cols)
+    assert tables.load_table(spark, later, c, "2024-03-01 06:00:00", "incremental", folder=folder)
+    assert rows(spark.table("monthly_facts").select("id", "v", "_month")) == [
+        (1, "a", 202401), (2, "B", 202402), (3, "c", 0), (4, "d", 202403)]
+    assert files and files == sorted(p.name for p in january.iterdir())
+    # The delete pass moves to a new folder; one that finds nothing leaves the table alone.
+    assert tables.reconcile(spark, "monthly_facts", first.where("id <> 1"), "id", folder) == 2
+    moved = tables.folder_of(spark, "monthly_facts")
+    assert moved != path and rows(spark.table("monthly_facts").select("id")) == [(2,), (3,)]
+    assert tables.reconcile(spark, "monthly_facts", first, "id", folder) == 0
+    assert tables.folder_of(spark, "monthly_facts") == moved
