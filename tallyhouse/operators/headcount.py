@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_col, rank_in
+from ..functions.dates import us_week_number
 
 GRAIN = ("sunday_date", "campus", "schedule", "literal", "city", "event")
 
@@ -22,6 +23,9 @@ SERVICE_TIMES = ("8:00am", "8:30am", "9:00am", "9:15am", "9:30am", "10:00am", "1
 # Regular-Sunday schedule and ministry orders.
 REGULAR_SCHEDULE_ORDER = ("9:30am", "11:30am", "11:45am", "5pm")
 LITERAL_ORDER = ("Adults", "Door Holder", "HS", "MS", "PK", "bloom")
+# The regular event, and Christmas Eve Sundays kept out of its report.
+REGULAR_EVENT = "Sunday Gathering"
+SKIPPED_EVES = tuple(f"{y}-12-24" for y in (2016, 2017, 2019, 2020, 2021, 2022, 2023, 2024))
 # Service slots by schedule name.
 SERVICE_SLOTS = {"9:30am Gathering": ("9:15am", "9:30am"),
                  "11:45am Gathering": ("11:00am", "11:45am")}
@@ -48,7 +52,8 @@ def regroup(feeds: DataFrame) -> DataFrame:
     return feeds.groupBy(*keys).agg(F.sum("cnt").alias("cnt"))
 
 
-def city_label(campus, far_campus: str = "DC", label: str = "D.C.", home: str = "Atlanta"):
+def city_label(campus, far_campus: str, label: str, home: str):
+    """The far campus's city label, or the home city; null without a campus."""
     c = as_col(campus)
     return F.when(c == far_campus, label).when(c != far_campus, home)
 
@@ -90,7 +95,7 @@ def in_person(hc: DataFrame, online: str = "Online", event: str | None = None,
 
 def date_index(hc: DataFrame, date: str = "sunday_date") -> DataFrame:
     """Give every row its date's dense index, the newest date being 1. Ranked over
-    the distinct dates only, then joined back."""
+    the distinct dates only (one row per date), then joined back."""
     dates = hc.select(date).distinct()
     ranked = dates.withColumn("date_index", F.row_number().over(Window.orderBy(F.desc(date))))
     return hc.join(ranked, date)
@@ -98,10 +103,44 @@ def date_index(hc: DataFrame, date: str = "sunday_date") -> DataFrame:
 
 def positional_previous(hc: DataFrame, order: Sequence[str], offset: int = 7) -> DataFrame:
     """The count `offset` rows earlier in a total order, and the ratio to it (zero
-    counts divide to null)."""
+    counts divide to null). The order crosses all keys, so this window has none; its
+    input is the aggregated headcount, which the calendar and the axes bound."""
     w = Window.orderBy(*order)
     return hc.withColumns({
         "row_index": F.row_number().over(w) - 1,
         "prev_week": F.lag("cnt", offset).over(w)}).withColumn(
         "wow", F.round(F.try_divide((F.col("cnt") - F.col("prev_week")).cast("double"),
                                     F.col("prev_week").cast("double")), 6))
+
+
+# --- the report tables -------------------------------------------------------------------
+
+def regular_sundays(grouped: DataFrame, city: str, campuses: Sequence[str],
+                    skip_dates: Sequence[str] = SKIPPED_EVES) -> DataFrame:
+    """Regular in-person Sundays of one city with their week, sort orders and date
+    index. The index counts the dates of every in-person row, before the event, city
+    and skipped dates are picked. `grouped` (the regrouped feeds) is read twice, so it
+    should be a table or kept."""
+    indexed = with_sort_orders(date_index(in_person(grouped)), campuses)
+    return in_person(indexed, event=REGULAR_EVENT, city=city, skip_dates=skip_dates).withColumn(
+        "week_of_year", us_week_number("sunday_date"))
+
+
+def online_sundays(grouped: DataFrame, city: str, online: str = "Online",
+                   skip_dates: Sequence[str] = ("2024-12-24",)) -> DataFrame:
+    """Online Sundays of one city. The previous value is positional over all rows,
+    online or not, as the report takes it."""
+    order = ["literal", "sunday_date", "campus", "schedule", "city", "event"]
+    rows = positional_previous(grouped, order)
+    kept = rows.where((F.col("campus") == online) & (F.col("city") == city))
+    skipped = [F.lit(d).cast("date") for d in skip_dates]
+    return kept.where(~F.col("sunday_date").isin(skipped)).withColumn(
+        "week_of_year", us_week_number("sunday_date"))
+
+
+def monthly_gatherings(grouped: DataFrame, city: str,
+                       campuses: Sequence[str]) -> DataFrame:
+    """In-person monthly gatherings (and special Sundays) of one city, schedule names
+    trimmed and numbered by time of day."""
+    return with_sort_orders(in_person(grouped, city=city), campuses).withColumns({
+        "schedule": F.trim("schedule"), "week_of_year": us_week_number("sunday_date")})

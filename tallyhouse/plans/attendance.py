@@ -11,6 +11,7 @@ from .registry import query
 
 ON = f"DATE '{I.AS_OF}'"
 DAILY = "daily AS (SELECT campus, sunday_date, sum(cnt)::BIGINT AS total FROM hc GROUP BY 1, 2)"
+WEEK = "((dayofyear({0}) + dayofweek(CAST(date_trunc('year', {0}) AS DATE)) - 1) // 7 + 1)"
 HOME = "campus IN ('A', 'B', 'C')"
 
 
@@ -46,6 +47,77 @@ def feed_union_regroup(spark, sf_dir):
         "sunday_date", "campus", "schedule", "literal", "cnt")
 
 
+_EVENT = "CASE WHEN l_linenumber = 7 THEN 'Easter' ELSE 'Sunday Gathering' END"
+_CITY = "CASE WHEN campus = 'C' THEN 'South' ELSE 'North' END"
+_FEEDS_SQL = f"""
+    rows AS (SELECT *, {_CITY} AS city FROM (
+      SELECT CAST(date_trunc('week', l_shipdate) AS DATE) + 6 AS sunday_date,
+             CASE l_suppkey % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C'
+                  ELSE 'Online' END AS campus,
+             CASE l_linenumber % 3 WHEN 0 THEN '9:30am' WHEN 1 THEN '11:45am'
+                  ELSE '5:00pm' END AS schedule,
+             CASE l_returnflag WHEN 'A' THEN 'Adults' WHEN 'N' THEN 'Door Holder'
+                  ELSE 'MS' END AS literal,
+             {_EVENT} AS event, CAST(l_quantity AS BIGINT) AS v FROM lineitem)
+      WHERE day(sunday_date) NOT IN (28, 29)),
+    grouped AS (SELECT sunday_date, campus, schedule, literal, city, event,
+                       sum(v)::BIGINT AS cnt FROM rows GROUP BY ALL)"""
+
+
+def _grouped(spark, sf_dir):
+    """Three feeds with a city and an event, united and regrouped."""
+    rows = (I.headcount_rows(spark, sf_dir).withColumn("event", F.expr(_EVENT))
+            .withColumn("city", F.expr(_CITY)))
+    feeds = [headcount.feed(rows.where(F.col("literal") == flag).drop("literal"), name)
+             for flag, name in (("A", "Adults"), ("N", "Door Holder"), ("R", "MS"))]
+    return headcount.regroup(headcount.union_feeds(feeds))
+
+
+@query("regular_sundays", f"""
+    WITH {_FEEDS_SQL},
+    i AS (SELECT *, dense_rank() OVER (ORDER BY sunday_date DESC) AS date_index FROM grouped
+          WHERE campus <> 'Online')
+    SELECT sunday_date, campus, schedule, literal, cnt, date_index,
+           CASE schedule WHEN '9:30am' THEN 1 WHEN '11:45am' THEN 3 ELSE 5 END AS schedule_order,
+           CASE literal WHEN 'Adults' THEN 1 WHEN 'Door Holder' THEN 2 ELSE 4 END
+             AS literal_order,
+           {WEEK.format('sunday_date')} AS week_of_year
+    FROM i WHERE event = 'Sunday Gathering' AND city = 'North'
+      AND sunday_date <> DATE '1995-12-24'""", wide=("date_index", "week_of_year"))
+def regular_sundays(spark, sf_dir):
+    out = headcount.regular_sundays(_grouped(spark, sf_dir).persist(), "North", I.CAMPUSES, ["1995-12-24"])
+    return out.select("sunday_date", "campus", "schedule", "literal", "cnt", "date_index",
+                      "schedule_order", "literal_order", "week_of_year")
+
+
+@query("online_sundays", f"""
+    WITH {_FEEDS_SQL},
+    p AS (SELECT *, row_number() OVER w - 1 AS row_index, lag(cnt, 7) OVER w AS prev_week
+          FROM grouped
+          WINDOW w AS (ORDER BY literal, sunday_date, campus, schedule, city, event))
+    SELECT sunday_date, schedule, literal, event, cnt, row_index, prev_week,
+           round((cnt - prev_week) / nullif(prev_week, 0)::DOUBLE, 6) AS wow,
+           {WEEK.format('sunday_date')} AS week_of_year
+    FROM p WHERE campus = 'Online' AND city = 'North' AND sunday_date <> DATE '1995-12-24'""",
+       wide=("row_index", "week_of_year"))
+def online_sundays(spark, sf_dir):
+    out = headcount.online_sundays(_grouped(spark, sf_dir), "North", I.ONLINE, ["1995-12-24"])
+    return out.select("sunday_date", "schedule", "literal", "event", "cnt", "row_index",
+                      "prev_week", "wow", "week_of_year")
+
+
+@query("monthly_gatherings", f"""
+    WITH {_FEEDS_SQL}
+    SELECT sunday_date, campus, schedule, literal, event, cnt,
+           CASE schedule WHEN '9:30am' THEN 5 WHEN '11:45am' THEN 10 ELSE 19 END
+             AS schedule_sort
+    FROM grouped WHERE campus <> 'Online' AND city = 'North'""")
+def monthly_gatherings(spark, sf_dir):
+    out = headcount.monthly_gatherings(_grouped(spark, sf_dir), "North", I.CAMPUSES)
+    return out.select("sunday_date", "campus", "schedule", "literal", "event", "cnt",
+                      "schedule_sort")
+
+
 @query("in_person_rows", f"""
     WITH {I.HC_SQL}
     SELECT * FROM hc WHERE campus <> 'Online' AND sunday_date <> DATE '1995-12-24'""")
@@ -204,8 +276,6 @@ def yoy_364(spark, sf_dir):
 
 # --- averages ------------------------------------------------------------------------------
 
-WEEK = ("((dayofyear({0}) + dayofweek(CAST(date_trunc('year', {0}) AS DATE)) - 1) // 7 + 1)")
-
 
 @query("five_week_avg", f"""
     WITH {I.HC_SQL},

@@ -296,7 +296,7 @@ def sunday_only_groups(spark, sf_dir):
 _HC_ORDERS_SQL = f"""
     WITH {I.HC_SQL}
     SELECT sunday_date, campus, literal, schedule, cnt, {I.SLOT_SQL} AS slot,
-           CASE WHEN campus = 'C' THEN 'D.C.' ELSE 'Atlanta' END AS city_label,
+           CASE WHEN campus = 'C' THEN 'Far' ELSE 'Home' END AS city_label,
            CASE schedule WHEN '9:30am' THEN 1 WHEN '11:45am' THEN 3 ELSE 5 END AS schedule_order,
            CASE campus WHEN 'A' THEN 1 WHEN 'B' THEN 2 WHEN 'C' THEN 3 ELSE 4 END AS campus_order,
            CASE literal WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 99 END AS literal_order,
@@ -308,7 +308,7 @@ _HC_ORDERS_SQL = f"""
 def service_slot(spark, sf_dir):
     hc = I.with_slot(I.headcount(spark, sf_dir))
     out = headcount.with_sort_orders(hc, I.CAMPUSES, ["A", "N"])
-    return out.withColumn("city_label", headcount.city_label("campus", "C"))
+    return out.withColumn("city_label", headcount.city_label("campus", "C", "Far", "Home"))
 
 
 _FOLD = "CASE WHEN p_size % 2 = 0 THEN upper(p_name) ELSE p_name END"
