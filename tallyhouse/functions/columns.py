@@ -41,7 +41,11 @@ def flag_text(value: ColumnOrName) -> Column:
 
 
 def iso_text(timestamp: ColumnOrName) -> Column:
-    return F.date_format(as_col(timestamp), "yyyy-MM-dd'T'HH:mm:ss")
+    """ISO text; milliseconds appear only when there are any."""
+    c = as_col(timestamp)
+    fraction = F.date_format(c, ".SSS")
+    return F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"),
+                    F.when(fraction == ".000", "").otherwise(fraction))
 
 
 def decode(code: ColumnOrName, labels: Mapping, otherwise: str | None = "Unknown") -> Column:

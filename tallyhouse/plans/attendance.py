@@ -85,7 +85,8 @@ def _grouped(spark, sf_dir):
     FROM i WHERE event = 'Sunday Gathering' AND city = 'North'
       AND sunday_date <> DATE '1995-12-24'""", wide=("date_index", "week_of_year"))
 def regular_sundays(spark, sf_dir):
-    out = headcount.regular_sundays(_grouped(spark, sf_dir).persist(), "North", I.CAMPUSES, ["1995-12-24"])
+    out = headcount.regular_sundays(_grouped(spark, sf_dir).persist(), "North", I.CAMPUSES,
+                                    ["1995-12-24"])
     return out.select("sunday_date", "campus", "schedule", "literal", "cnt", "date_index",
                       "schedule_order", "literal_order", "week_of_year")
 

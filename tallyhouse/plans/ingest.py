@@ -270,13 +270,15 @@ def type_mismatch_report(spark, sf_dir):
 
 # --- audience snapshots ------------------------------------------------------------------
 
+# Two runs whose periods overlap and together cover the table.
+_FIRST_RUN = "ts < TIMESTAMP '2024-01-15 00:00:00'"
+_SECOND_RUN = "ts >= TIMESTAMP '2024-01-10 00:00:00'"
 _VIEWS = "CAST(floor(value * 10) AS BIGINT)"
 
 
-def _payloads(spark, sf_dir, since, until):
-    """One JSON array per event of a period, as a media job would land it."""
-    events = I.table(spark, sf_dir, "events").where(
-        f"ts >= TIMESTAMP '{since} 00:00:00' AND ts < TIMESTAMP '{until} 00:00:00'")
+def _payloads(spark, sf_dir, period):
+    """One JSON array per event of a run's period, as a media job would land it."""
+    events = I.table(spark, sf_dir, "events").where(period)
     record = F.struct(
         F.col("event_id").cast("string").alias("video_id"), F.col("event_type").alias("title"),
         F.date_format("ts", "yyyy-MM-dd").alias("published_at"),
@@ -290,13 +292,13 @@ def _payloads(spark, sf_dir, since, until):
            CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 'old' ELSE event_type END AS title,
            {_VIEWS} AS views, value > 50 AS was_live,
            CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 14 ELSE 21 END AS taken_on
-    FROM events WHERE ts < TIMESTAMP '2024-01-20'""")
+    FROM events""")
 def snapshot_upsert(spark, sf_dir):
     """A first snapshot, then a run that refreshes some of its videos and adds others."""
-    stored = snapshots.unpack_a(_payloads(spark, sf_dir, "2024-01-01", "2024-01-15"),
+    stored = snapshots.unpack_a(_payloads(spark, sf_dir, _FIRST_RUN),
                                 "rows_json").withColumns({
         "title": F.lit("old"), "snapshot_taken_at": F.lit("2024-01-14").cast("timestamp")})
-    rows = snapshots.unpack_a(_payloads(spark, sf_dir, "2024-01-10", "2024-01-20"), "rows_json")
+    rows = snapshots.unpack_a(_payloads(spark, sf_dir, _SECOND_RUN), "rows_json")
     merged = snapshots.merge_snapshot(stored, rows, "2024-01-21 21:00:00")
     return merged.select("video_id", "title", "views", "was_live",
                          F.dayofmonth("snapshot_taken_at").alias("taken_on"))
@@ -305,12 +307,12 @@ def snapshot_upsert(spark, sf_dir):
 @query("titles_upsert", """
     SELECT CAST(event_id AS VARCHAR) AS video_id, strftime(ts, '%Y-%m-%d') AS published_at,
            CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 'old' ELSE event_type END AS title
-    FROM events WHERE ts < TIMESTAMP '2024-01-20'""")
+    FROM events""")
 def titles_upsert(spark, sf_dir):
     stored = snapshots.unpack_a(
-        _payloads(spark, sf_dir, "2024-01-01", "2024-01-15"), "rows_json").select(
+        _payloads(spark, sf_dir, _FIRST_RUN), "rows_json").select(
         "video_id", F.lit("old").alias("title"), "published_at")
-    rows = snapshots.unpack_a(_payloads(spark, sf_dir, "2024-01-10", "2024-01-20"), "rows_json")
+    rows = snapshots.unpack_a(_payloads(spark, sf_dir, _SECOND_RUN), "rows_json")
     return snapshots.merge_titles(stored, rows)
 
 
@@ -320,10 +322,10 @@ def titles_upsert(spark, sf_dir):
     SELECT day AS sunday_date, event_type AS gathering, CAST(id AS VARCHAR) AS video_id,
            CASE WHEN event_type = 'error' THEN NULL ELSE n END AS one_minute_views,
            CASE WHEN day < DATE '2024-01-08' THEN 7 ELSE 14 END AS taken_on
-    FROM b WHERE day < DATE '2024-01-15'""")
+    FROM b""")
 def platform_b_insert(spark, sf_dir):
     """Safely unpacked rows are added only for gatherings not stored yet."""
-    daily = (I.table(spark, sf_dir, "events").where("ts < TIMESTAMP '2024-01-15 00:00:00'")
+    daily = (I.table(spark, sf_dir, "events")
              .groupBy(F.to_date("ts").alias("sunday_date"), F.col("event_type").alias("gathering"))
              .agg(F.count("*").alias("n"), F.max("event_id").alias("id")))
     record = F.struct(

@@ -406,7 +406,7 @@ def platform_sundays(spark, sf_dir):
     SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE event_type || ' 9:30' END
              AS gathering,
            strftime(ts - INTERVAL 5 HOUR, '%Y-%m-%d') AS local_day
-    FROM events WHERE event_type <> 'signup'""")
+    FROM events""")
 def gathering_titles(spark, sf_dir):
     """Titles after '//', and the local date of an ISO start time."""
     from ..functions.columns import iso_timestamp
@@ -416,7 +416,7 @@ def gathering_titles(spark, sf_dir):
         F.concat(F.lit("Sunday Gathering // "), "event_type", F.lit(" 9:30 ")))
     start = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.when(
         F.col("value") > 20, "+0000").when(F.col("value") > 10, "+00:00").otherwise("Z"))
-    rows = I.table(spark, sf_dir, "events").where("event_type <> 'signup'").select(
+    rows = I.table(spark, sf_dir, "events").select(
         "event_id", title.alias("title"), start.alias("start"))
     return rows.select("event_id", audience.gathering_of("title").alias("gathering"),
                        local_date(iso_timestamp("start"), audience.LOCAL_ZONE)

@@ -178,9 +178,11 @@ def first_seen(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 
 def encode_for_extract(df: DataFrame, flags: Sequence[str] = (), timestamps: Sequence[str] = (),
-                       money: Sequence[str] = (), floats: Sequence[str] = ()) -> DataFrame:
-    """Source-side encodings: bits as 'true'/'false', times as ISO text, money as
-    decimal(18,2), statistics as doubles."""
+                       money: Sequence[str] = (), floats: Sequence[str] = (),
+                       dates: Sequence[str] = ()) -> DataFrame:
+    """Source-side encodings: bits as 'true'/'false', times and dates as ISO text,
+    money as decimal(18,2), statistics as doubles."""
     changed = {c: flag_text(c) for c in flags} | {c: iso_text(c) for c in timestamps}
     changed |= {c: exact(c) for c in money} | {c: as_col(c).cast("double") for c in floats}
+    changed |= {c: F.date_format(c, "yyyy-MM-dd") for c in dates}
     return df.withColumns(changed)

@@ -20,7 +20,9 @@ def landed_stream(spark: SparkSession, folder: str, schema: T.StructType,
 
 def within_lookback(stream: DataFrame, key: str, modified: str,
                     hours: int = LOOKBACK_HOURS) -> DataFrame:
-    """Drop repeats of a record inside the look-back; the watermark bounds the state."""
+    """Drop repeats of a record inside the look-back; the watermark bounds the state. An
+    edit has a new modification time, so it is not a repeat and passes. Rows further
+    behind than the look-back are late and dropped: use it where that is wanted."""
     return (stream.withWatermark(modified, f"{hours} hours")
             .dropDuplicatesWithinWatermark([key, modified]))
 

@@ -181,6 +181,18 @@ def test_partitioned_upsert_touches_only_named_partitions(spark, tmp_path):
     assert untouched == sorted(p.name for p in (tmp_path / "t" / "y=2020").iterdir())
 
 
+def test_source_encodings(spark):
+    at = dt.datetime
+    df = spark.createDataFrame(
+        [(True, at(2024, 1, 2, 3, 4, 5), "1.005", 2, dt.date(2024, 2, 29)),
+         (None, at(2024, 1, 2, 3, 4, 5, 120000), None, None, None)],
+        "b boolean, t timestamp, m string, f int, d date")
+    out = bronze.encode_for_extract(df, ["b"], ["t"], ["m"], ["f"], ["d"])
+    got = [tuple(r) for r in out.withColumn("m", F.col("m").cast("string")).collect()]
+    assert got == [("true", "2024-01-02T03:04:05", "1.01", 2.0, "2024-02-29"),
+                   (None, "2024-01-02T03:04:05.120", None, None, None)]
+
+
 def test_first_seen(spark):
     df = spark.createDataFrame([("v1", 2, "later"), ("v1", 1, "first"), ("v2", 3, "only")],
                                "id string, page int, t string")
