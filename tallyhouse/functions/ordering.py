@@ -37,26 +37,32 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
 
 
 def with_row_index(df: DataFrame, key: str, out: str = "row_index", start: int = 1,
-                   buckets: int = 64) -> DataFrame:
+                   splits: int = 64) -> DataFrame:
     """Consecutive numbers in the order of a unique numeric `key`.
 
-    Range buckets are cut at approximate quantiles of the key, which come from a
-    scalar subquery of the same plan. Each bucket is numbered on its own and
-    shifted by the row count of the buckets before it, so no task sorts the whole
-    table; only one count per bucket is gathered. Uneven cuts change the balance,
-    never the numbers.
+    The key range is cut at approximate quantiles into `splits` ranges and each of
+    those again, so there are up to splits**2 ranges however the keys are spread (the
+    first cuts come from a scalar subquery, the second from one row per range). Each
+    range is numbered on its own and shifted by the row count of the ranges before
+    it: no task sorts the whole table, and at most splits**2 counts are gathered or
+    broadcast. Uneven cuts change the balance, never the numbers.
     """
-    points = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(F.col(key), points, 10000).alias("cuts")).scalar()
     k = as_col(key)
-    tagged = df.withColumn("_cuts", cuts).withColumn(
-        "_bucket", F.size(F.filter("_cuts", lambda c: c < k))).drop("_cuts")
-    offsets = (tagged.groupBy("_bucket").agg(F.count("*").alias("_n"))
-               .withColumn("_before", F.sum("_n").over(
-                   Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)))
-               .select("_bucket", F.coalesce("_before", F.lit(0)).alias("_before")))
-    local = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
+    cuts = F.percentile_approx(k, [i / splits for i in range(1, splits)], 10000).alias("_cuts")
+
+    def place(cut_points: str) -> Column:
+        return F.size(F.filter(cut_points, lambda c: c < k))
+
+    first = df.withColumn("_cuts", df.agg(cuts).scalar()).withColumn(
+        "_range", place("_cuts")).drop("_cuts")
+    inner = first.groupBy("_range").agg(cuts)  # one row per first range
+    tagged = (first.join(F.broadcast(inner), "_range")
+              .withColumn("_range", F.col("_range") * splits + place("_cuts")).drop("_cuts"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (tagged.groupBy("_range").agg(F.count("*").alias("_n"))
+               .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    local = F.row_number().over(Window.partitionBy("_range").orderBy(key))
     return (tagged.withColumn("_local", local)
-            .join(F.broadcast(offsets), "_bucket")  # one row per bucket
+            .join(F.broadcast(offsets), "_range")
             .withColumn(out, F.col("_before") + F.col("_local") - 1 + start)
-            .drop("_bucket", "_local", "_before"))
+            .drop("_range", "_local", "_before"))
