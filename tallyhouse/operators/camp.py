@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_col, not_in
@@ -46,43 +46,58 @@ def _levels(rows: Sequence[str]):
             for r in rows]
 
 
-def matrix(orders: DataFrame, rows: Sequence[str], average_cost: bool = False) -> DataFrame:
-    """Quantity and cost by nested rows with a subtotal at every level."""
-    values = [F.sum("quantity").alias("quantity"), F.sum("total_cost").alias("total_cost")]
-    if average_cost:
-        values.append(F.avg("unit_cost").alias("average_unit_cost"))
+def _cells(orders: DataFrame, keys: Sequence[str], names: DataFrame | None,
+           item: str | None) -> DataFrame:
+    """Orders summed to their finest cells. Subtotals copy rows once per level, so they
+    copy these instead of the orders. Keys that are attributes of the item come from
+    `names` (one row per `item`), joined to sums per item: a hot item is a few rows by
+    then, and the orders themselves are shuffled only after the map-side sum."""
+    measures = [F.sum("quantity").alias("quantity"), F.sum("total_cost").alias("total_cost"),
+                F.sum("unit_cost").alias("_unit"), F.count("unit_cost").alias("_n")]
+    if names is None:
+        return orders.groupBy(*keys).agg(*measures)
+    own = [k for k in keys if k not in names.columns]
+    return (orders.groupBy(*own, item).agg(*measures).join(names, item)
+            .groupBy(*keys).agg(*[F.sum(c).alias(c) for c in
+                                  ("quantity", "total_cost", "_unit", "_n")]))
+
+
+def _rolled(cells: DataFrame, rows: Sequence[str], measures: Sequence[Column]) -> DataFrame:
     labels = [c.alias(f"_{r}") for r, c in zip(rows, _levels(rows))]
-    return (orders.rollup(*rows).agg(*labels, *values)
-            .select(*[F.col(f"_{r}").alias(r) for r in rows],
-                    *[c for c in ("quantity", "total_cost", "average_unit_cost")
-                      if average_cost or c != "average_unit_cost"]))
+    return cells.rollup(*rows).agg(*labels, *measures).drop(*rows).withColumnsRenamed(
+        {f"_{r}": r for r in rows})
 
 
-def pivot_matrix(orders: DataFrame, rows: Sequence[str], column: str,
-                 values: Sequence[str]) -> DataFrame:
+def matrix(orders: DataFrame, rows: Sequence[str], average_cost: bool = False,
+           names: DataFrame | None = None, item: str | None = None) -> DataFrame:
+    """Quantity and cost by nested rows with a subtotal at every level, and the mean
+    unit cost of the orders if asked for."""
+    measures = [F.sum("quantity").alias("quantity"), F.sum("total_cost").alias("total_cost")]
+    if average_cost:
+        measures.append(F.try_divide(F.sum("_unit"), F.sum("_n")).alias("average_unit_cost"))
+    return _rolled(_cells(orders, rows, names, item), rows, measures)
+
+
+def pivot_matrix(orders: DataFrame, rows: Sequence[str], column: str, values: Sequence[str],
+                 names: DataFrame | None = None, item: str | None = None) -> DataFrame:
     """Quantity and cost with a column pair per listed value, a total pair, and row
-    subtotals at every level. The orders are first summed to the finest cells; the
-    pivot and the subtotals then work on those."""
-    cells = orders.groupBy(*rows, column).agg(
-        F.sum("quantity").alias("quantity"), F.sum("total_cost").alias("total_cost"))
-    labels = [c.alias(f"_{r}") for r, c in zip(rows, _levels(rows))]
+    subtotals at every level."""
     measures = []
     for m in ("quantity", "total_cost"):
         measures += [F.sum(F.when(F.col(column) == v, F.col(m))).alias(f"{m}_{i}")
                      for i, v in enumerate(values, start=1)]
         measures.append(F.sum(m).alias(m))
-    names = [f"{m}_{i}" for m in ("quantity", "total_cost") for i in range(1, len(values) + 1)]
-    return cells.rollup(*rows).agg(*labels, *measures).select(
-        *[F.col(f"_{r}").alias(r) for r in rows], *names, "quantity", "total_cost")
+    return _rolled(_cells(orders, [*rows, column], names, item), rows, measures)
 
 
-def totals(orders: DataFrame, meal_price, meal_items: Sequence[str],
-           item: str = "item") -> DataFrame:
+def totals(orders: DataFrame, meal_price, meal_items: Sequence[str], package: str = "item",
+           names: DataFrame | None = None, item: str | None = None) -> DataFrame:
     """Total cost, and meals as a price times the quantity of the meal packages.
     `meal_price` is a scalar (a looked-up setting)."""
-    meals = F.sum(F.when(F.col(item).isin(list(meal_items)), F.col("quantity")))
-    return orders.agg(F.sum("total_cost").alias("total_cost"),
-                      F.coalesce(meals, F.lit(0)).alias("meals")).select(
+    meals = F.sum(F.when(F.col(package).isin(list(meal_items)), F.col("quantity")))
+    return _cells(orders, [package], names, item).agg(
+        F.sum("total_cost").alias("total_cost"),
+        F.coalesce(meals, F.lit(0)).alias("meals")).select(
         "total_cost", (meal_price * F.col("meals")).alias("meals_total"))
 
 

@@ -111,13 +111,16 @@ def map_check_ins(check_ins: DataFrame, people: DataFrame,
                   ministries: Mapping[str, Sequence[str]],
                   campus_codes: Mapping[int, str] = MAP_CAMPUS_CODES,
                   box: Sequence[float] = MAP_BOX) -> DataFrame:
-    """Attended check-ins of mapped campuses and ministries with usable coordinates."""
+    """Attended check-ins of mapped campuses and ministries with usable coordinates, as
+    counts `n` per person, Sunday and codes. Counted before the join, so a person with
+    very many check-ins is a few rows by then."""
     code = ministry_code("type_name", ministries)
     wanted = (check_ins.where(F.col("did_attend") & F.col("sunday_date").isNotNull()
                               & F.col("campus_id").isin(list(campus_codes)))
               .withColumn("min_code", code).where("min_code IS NOT NULL")
-              .select("person_id", "sunday_date",
-                      decode("campus_id", campus_codes, "U").alias("campus_code"), "min_code"))
+              .groupBy("person_id", "sunday_date",
+                       decode("campus_id", campus_codes, "U").alias("campus_code"), "min_code")
+              .agg(F.count("*").alias("n")))
     located = (people.where(in_box("lat", "lng", *box) & F.col("family_id").isNotNull())
                .select("person_id", "family_id", "lat", "lng"))
     return wanted.join(located, "person_id")
@@ -134,7 +137,7 @@ def family_week(mapped: DataFrame, gifts: DataFrame) -> DataFrame:
     rolled = (mapped.groupBy("sunday_date", "family_id", "lat", "lng")
               .agg(distinct_codes("campus_code").alias("campus_list"),
                    distinct_codes("min_code").alias("min_list"),
-                   F.count("*").alias("headcount")))
+                   F.sum("n").alias("headcount")))
     return rolled.join(gifts, "family_id", "left")
 
 

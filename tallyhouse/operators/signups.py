@@ -9,23 +9,27 @@ from ..functions.dates import month_day_number
 from .audience import single_value
 
 
-def cumulative(signups: DataFrame, series: str, date: str, until: int | None = None) -> DataFrame:
+def cumulative(signups: DataFrame, series: str, date: str, until: int | None = None,
+               axis: DataFrame | None = None) -> DataFrame:
     """Running signups of each series by month-day number, on a dense axis.
 
     Signups are counted per (series, month-day) first, so the window holds at most
-    366 rows per series. A day without signups repeats the running count; days
-    after `until` are blank.
+    366 rows per series. The axis is the month-days of all series, or the `month_day`
+    column of `axis`; signups before its first day still count. A day without signups
+    repeats the running count, and days after `until` are blank.
     """
     counted = (signups.groupBy(F.col(series), month_day_number(date).alias("month_day"))
                .agg(F.count("*").alias("n")))
-    names = counted.select(series).distinct()
+    shown = counted if axis is None else axis
     # At most 366 numbers.
-    days = counted.agg(F.sort_array(F.collect_set("month_day")).alias("days")).scalar()
-    dense = names.withColumn("month_day", F.explode(days))
+    days = shown.agg(F.sort_array(F.collect_set("month_day")).alias("days")).scalar()
+    dense = (counted.select(series).distinct().withColumn("month_day", F.explode(days))
+             .withColumn("_shown", F.lit(True)))
     w = Window.partitionBy(series).orderBy("month_day").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    out = (dense.join(counted, [series, "month_day"], "left")
-           .withColumn("cumulative", F.sum(F.coalesce("n", F.lit(0))).over(w)).drop("n"))
+    out = (dense.join(counted, [series, "month_day"], "full")
+           .withColumn("cumulative", F.sum(F.coalesce("n", F.lit(0))).over(w))
+           .where("_shown").drop("n", "_shown"))
     if until is None:
         return out
     return out.withColumn("cumulative", F.when(F.col("month_day") <= until, F.col("cumulative")))

@@ -8,8 +8,6 @@ from ..operators import camp
 from . import inputs as I
 from .registry import query
 
-UNIT = ("CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) / CAST(l_quantity AS DECIMAL(10,0)), 2) "
-        "AS DECIMAL(18,2))")
 # The price per unit is fixed by part and supplier bands, so rows share unit costs.
 ORDERS = {"item_key": "l_partkey", "hotel_key": "l_suppkey",
           "quantity": "CAST(l_quantity AS BIGINT)",
@@ -26,14 +24,13 @@ JOINED_SQL = f"""o AS (SELECT *, quantity * unit_cost AS total_cost
     k AS (SELECT * FROM o WHERE NOT is_test AND deleted_at IS NULL AND status IN (160, 70))"""
 
 
-def _orders(spark, sf_dir):
-    parts = I.mapped(I.table(spark, sf_dir, "part"), PARTS)
-    return camp.with_total_cost(
-        I.mapped(I.table(spark, sf_dir, "lineitem"), ORDERS).join(parts, "item_key"))
+def _kept(spark, sf_dir):
+    return camp.with_total_cost(camp.counted_orders(
+        I.mapped(I.table(spark, sf_dir, "lineitem"), ORDERS)))
 
 
-def _kept(spark, sf_dir):
-    return camp.counted_orders(_orders(spark, sf_dir))
+def _names(spark, sf_dir):
+    return {"names": I.mapped(I.table(spark, sf_dir, "part"), PARTS), "item": "item_key"}
 
 
 def _label(column: str) -> str:
@@ -58,7 +55,8 @@ _PIVOT_COLUMNS = ", ".join(
            sum(quantity)::BIGINT AS quantity, sum(total_cost)::DOUBLE AS total_cost
     FROM k GROUP BY ROLLUP (unit_cost, brand)""")
 def pivot_rollup(spark, sf_dir):
-    return _money(camp.pivot_matrix(_kept(spark, sf_dir), ["unit_cost", "brand"], "item", TYPES))
+    return _money(camp.pivot_matrix(_kept(spark, sf_dir), ["unit_cost", "brand"], "item", TYPES,
+                                    **_names(spark, sf_dir)))
 
 
 @query("matrix_subtotals", f"""
@@ -67,7 +65,8 @@ def pivot_rollup(spark, sf_dir):
            sum(quantity)::BIGINT AS quantity, sum(total_cost)::DOUBLE AS total_cost
     FROM k GROUP BY ROLLUP (item, unit_cost, brand)""")
 def matrix_subtotals(spark, sf_dir):
-    return _money(camp.matrix(_kept(spark, sf_dir), ["item", "unit_cost", "brand"]))
+    return _money(camp.matrix(_kept(spark, sf_dir), ["item", "unit_cost", "brand"],
+                              **_names(spark, sf_dir)))
 
 
 @query("matrix_average_cost", f"""
@@ -77,7 +76,7 @@ def matrix_subtotals(spark, sf_dir):
            round((sum(unit_cost) / count(*))::DOUBLE, 4) AS average_unit_cost
     FROM k GROUP BY ROLLUP (item)""")
 def matrix_average_cost(spark, sf_dir):
-    out = camp.matrix(_kept(spark, sf_dir), ["item"], average_cost=True)
+    out = camp.matrix(_kept(spark, sf_dir), ["item"], True, **_names(spark, sf_dir))
     return _money(out).withColumn("average_unit_cost",
                                   F.round(F.col("average_unit_cost").cast("double"), 4))
 
@@ -93,7 +92,7 @@ def camp_totals(spark, sf_dir):
     settings = I.mapped(I.table(spark, sf_dir, "region"),
                         {"key": "r_name", "value": "r_regionkey"})
     return _money(camp.totals(_kept(spark, sf_dir), camp.setting(settings, "ASIA"),
-                              ("PROMO", "SMALL"))).withColumn(
+                              ("PROMO", "SMALL"), **_names(spark, sf_dir))).withColumn(
         "meals_total", F.col("meals_total").cast("bigint"))
 
 
@@ -103,7 +102,7 @@ def camp_totals(spark, sf_dir):
            sum(total_cost)::DOUBLE AS total_cost
     FROM k GROUP BY ROLLUP (flag, item)""")
 def outstanding_by_type(spark, sf_dir):
-    return _money(camp.matrix(_kept(spark, sf_dir), ["flag", "item"]))
+    return _money(camp.matrix(_kept(spark, sf_dir), ["flag", "item"], **_names(spark, sf_dir)))
 
 
 @query("team_chart", """

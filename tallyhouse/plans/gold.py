@@ -568,8 +568,11 @@ def _family_weeks(spark, sf_dir):
     signals = I.mapped(I.table(spark, sf_dir, "orders"), {
         "person_id": "o_custkey", "last_gift_date": "CAST(o_orderdate AS DATE)",
         "prev_gift_date": "CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) END"})
-    gifts = journey.gift_dates(signals.join(people.select("person_id", "family_id"),
-                                            "person_id"))
+    per_person = signals.groupBy("person_id").agg(
+        F.max("last_gift_date").alias("last_gift_date"),
+        F.max("prev_gift_date").alias("prev_gift_date"))
+    gifts = journey.gift_dates(per_person.join(people.select("person_id", "family_id"),
+                                               "person_id"))
     return journey.family_week(journey.map_check_ins(check_ins, people, _MIN), gifts)
 
 

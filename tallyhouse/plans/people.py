@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.dates import week_ending_sunday
+from ..functions.dates import month_day_number, week_ending_sunday
 from ..operators import audience, engagement, lookup, signups
+from ..operators.calendar import date_spine
 from . import inputs as I
 from .registry import query
 
@@ -272,6 +273,21 @@ def cumulative_by_series(spark, sf_dir):
     return signups.cumulative(rows, "event", "signed_up", until=618)
 
 
+@query("cumulative_on_axis", """
+    WITH c AS (SELECT o_orderpriority AS event, o_orderdate AS d FROM orders),
+    axis AS (SELECT month(x) * 100 + day(x) AS month_day
+             FROM (SELECT unnest(range(DATE '2001-04-21', DATE '2001-06-19', INTERVAL 1 DAY)) AS x))
+    SELECT event, month_day,
+           count(*) FILTER (month(d) * 100 + day(d) <= month_day) AS cumulative
+    FROM c, axis GROUP BY event, month_day""", wide=("month_day",))
+def cumulative_on_axis(spark, sf_dir):
+    """The report's own axis, April 21 to June 18."""
+    axis = date_spine(spark, "2001-04-21", "2001-06-18").select(
+        month_day_number("date_day").alias("month_day"))
+    rows = I.mapped(I.table(spark, sf_dir, "orders"), _SIGNUPS)
+    return signups.cumulative(rows, "event", "signed_up", axis=axis)
+
+
 @query("signups_on_day", """
     SELECT count(DISTINCT user_id) AS signups, count(DISTINCT event_type) AS projects,
            count(DISTINCT user_id) FILTER (month(ts) = 1 AND day(ts) = 14) AS signups_on_day,
@@ -290,8 +306,9 @@ def signups_on_day(spark, sf_dir):
 def signup_map(spark, sf_dir):
     customers = I.mapped(I.table(spark, sf_dir, "customer"), {
         "person": "c_custkey", "place": "c_nationkey", "address": "c_name"})
-    rows = I.mapped(I.table(spark, sf_dir, "orders"), {
-        "person": "o_custkey", "project": "o_orderpriority"}).join(customers, "person")
+    pairs = I.mapped(I.table(spark, sf_dir, "orders"), {
+        "person": "o_custkey", "project": "o_orderpriority"}).distinct()
+    rows = pairs.join(customers, "person")
     return signups.by_place(rows, "place", "address", "project", "person")
 
 
