@@ -98,7 +98,7 @@ def date_index(hc: DataFrame, date: str = "sunday_date") -> DataFrame:
     the distinct dates only (one row per date), then joined back."""
     dates = hc.select(date).distinct()
     ranked = dates.withColumn("date_index", F.row_number().over(Window.orderBy(F.desc(date))))
-    return hc.join(ranked, date)
+    return hc.join(ranked, date, "left")
 
 
 def positional_previous(hc: DataFrame, order: Sequence[str], offset: int = 7) -> DataFrame:

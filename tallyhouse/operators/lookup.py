@@ -34,7 +34,8 @@ def with_context(df: DataFrame, context: DataFrame, keys: Sequence[str],
 
 def event_group_hotels(events: DataFrame, event_groups: DataFrame, event_hotels: DataFrame,
                        groups: DataFrame, hotels: DataFrame) -> DataFrame:
-    """Every group of an event with every hotel of that event."""
+    """Every group of an event with every hotel of that event: the result is that
+    product, so its size is the report's, not an intermediate."""
     pairs = event_groups.join(event_hotels, "event_id").join(
         events.select(F.col("id").alias("event_id"), F.col("name").alias("event_name")),
         "event_id")

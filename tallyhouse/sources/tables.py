@@ -66,11 +66,12 @@ def missing_only(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> Da
     """Batch rows whose key the target does not hold. The target is first cut down
     to the batch's keys, so a large target is scanned but not shuffled."""
     keys = list(keys)
-    present = target.select(*keys).join(batch.select(*keys), keys, "left_semi").distinct()
+    present = target.select(*keys).join(batch.select(*keys), keys, "left_semi")
     return batch.join(present, keys, "left_anti")
 
 
-def existing_keys(target: DataFrame, date_column: str, dates: Sequence, keys: Sequence[str]):
+def existing_keys(target: DataFrame, date_column: str, dates: Sequence,
+                  keys: Sequence[str]) -> DataFrame:
     """Keys already stored for a set of dates (a pushed-down IN filter)."""
     return target.where(F.col(date_column).isin(list(dates))).select(*keys).distinct()
 
@@ -79,8 +80,8 @@ def remove_deleted(target: DataFrame, current_keys: DataFrame, pk: str) -> DataF
     """Target rows whose key still exists at the source. A null key in the current
     set matches nothing and a null target key is never removed, as with NOT IN
     over non-null keys."""
-    keys = current_keys.select(pk).where(F.col(pk).isNotNull()).distinct()
-    return (target.where(F.col(pk).isNull()).unionByName(target.join(keys, pk, "left_semi")))
+    still_there = target.join(current_keys.select(pk), pk, "left_semi")
+    return still_there.unionByName(target.where(F.col(pk).isNull()))
 
 
 def deleted_rows(target: DataFrame, current_keys: DataFrame, pk: str) -> DataFrame:
