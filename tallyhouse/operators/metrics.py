@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (change_ratio, percent_text, rank_in, safe_divide,
-                                 trend_arrow)
+                                 short_date_text, trend_arrow)
 from ..functions.dates import (as_date, is_sunday, month_start,
                                snapped_year_before, trailing, us_week_number, year_before,
                                yymm_number, yyyyww_text)
@@ -96,6 +96,22 @@ def previous_gathered(hc: DataFrame, by: Sequence[str] = (),
                               "previous": F.lag("total").over(w)})
 
 
+def date_labels(hc: DataFrame, as_of) -> DataFrame:
+    """The dates a report names: the selected one, five weeks before it, the last
+    gathered Sunday before it, the last gathering of any weekday with its month, and
+    the newest date with data."""
+    on, d = as_date(as_of), F.col(DATE)
+    earlier = (d < on) & (F.col("total") != 0)
+    dates = daily(hc).agg(
+        F.max(F.when(earlier & is_sunday(DATE), d)).alias("previous_sunday"),
+        F.max(F.when(earlier, d)).alias("previous_gathering"), F.max(d).alias("latest"))
+    return dates.select(
+        on.alias("selected"), F.date_sub(on, 35).alias("five_weeks_before"), "previous_sunday",
+        F.date_format("previous_sunday", "MM/dd/yyyy").alias("previous_sunday_label"),
+        F.date_format("previous_gathering", "yyyy-MM").alias("previous_month_label"),
+        short_date_text("latest").alias("latest_label"))
+
+
 def card_previous(hc: DataFrame, as_of, by: Sequence[str] = ()) -> DataFrame:
     """The count seven days ago, or 21 days ago when that is zero or missing."""
     on = as_date(as_of)

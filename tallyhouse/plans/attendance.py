@@ -228,6 +228,20 @@ def wow_by_literal(spark, sf_dir):
                                   ["campus", "literal"])
 
 
+@query("date_labels", f"""
+    WITH {I.HC_SQL}, d AS (SELECT sunday_date, sum(cnt) AS total FROM hc GROUP BY 1),
+    x AS (SELECT max(sunday_date) FILTER (sunday_date < {ON} AND total <> 0
+                                          AND isodow(sunday_date) = 7) AS p,
+                 max(sunday_date) FILTER (sunday_date < {ON} AND total <> 0) AS g,
+                 max(sunday_date) AS m FROM d)
+    SELECT {ON} AS selected, {ON} - 35 AS five_weeks_before, p AS previous_sunday,
+           strftime(p, '%m/%d/%Y') AS previous_sunday_label,
+           strftime(g, '%Y-%m') AS previous_month_label,
+           month(m) || '/' || day(m) || '/' || year(m) AS latest_label FROM x""")
+def date_labels(spark, sf_dir):
+    return metrics.date_labels(_hc(spark, sf_dir), I.AS_OF)
+
+
 @query("prev_gathered", f"""
     WITH {I.HC_SQL}, {DAILY}
     SELECT campus, sunday_date, total,
