@@ -36,6 +36,18 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     return df.withColumn(rank_name, F.row_number().over(w)).where(F.col(rank_name) <= n)
 
 
+def _place(df: DataFrame, cuts: str, key: Column, splits: int, out: str) -> DataFrame:
+    """How many of the sorted `cuts` lie below the key: a binary search in log2(splits)
+    generated-code steps (splits is a power of two)."""
+    df = df.withColumn(out, F.lit(0))
+    step = splits // 2
+    while step:
+        below = F.get(cuts, F.col(out) + (step - 1)) < key
+        df = df.withColumn(out, F.col(out) + F.when(below, step).otherwise(0))
+        step //= 2
+    return df
+
+
 def with_row_index(df: DataFrame, key: str, out: str = "row_index", start: int = 1,
                    splits: int = 64) -> DataFrame:
     """Consecutive numbers in the order of a unique numeric `key`.
@@ -49,15 +61,12 @@ def with_row_index(df: DataFrame, key: str, out: str = "row_index", start: int =
     """
     k = as_col(key)
     cuts = F.percentile_approx(k, [i / splits for i in range(1, splits)], 10000).alias("_cuts")
-
-    def place(cut_points: str) -> Column:
-        return F.size(F.filter(cut_points, lambda c: c < k))
-
-    first = df.withColumn("_cuts", df.agg(cuts).scalar()).withColumn(
-        "_range", place("_cuts")).drop("_cuts")
-    inner = first.groupBy("_range").agg(cuts)  # one row per first range
-    tagged = (first.join(F.broadcast(inner), "_range")
-              .withColumn("_range", F.col("_range") * splits + place("_cuts")).drop("_cuts"))
+    first = _place(df.withColumn("_cuts", df.agg(cuts).scalar()), "_cuts", k, splits,
+                   "_outer").drop("_cuts")
+    inner = first.groupBy("_outer").agg(cuts)  # one row per first range
+    tagged = _place(first.join(F.broadcast(inner), "_outer"), "_cuts", k, splits, "_inner")
+    tagged = tagged.withColumn("_range", F.col("_outer") * splits + F.col("_inner")).drop(
+        "_cuts", "_outer", "_inner")
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (tagged.groupBy("_range").agg(F.count("*").alias("_n"))
                .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))

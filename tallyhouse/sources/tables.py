@@ -146,13 +146,18 @@ def upsert_partitions(staged: DataFrame, path: str, keys: Sequence[str], partiti
 
     `partition` must be fixed for a key (a creation month, say), so an existing row
     can only be in a partition the batch names. The partition values of one batch
-    are few and are the only thing collected.
+    are few and are the only thing collected. The batch is read several times, so it
+    is kept (spilling to disk) until the write is done.
     """
     spark = staged.sparkSession
-    touched = [r[0] for r in staged.select(partition).distinct().collect()]
-    target = spark.read.parquet(path).where(F.col(partition).isin(touched))
-    (merge_upsert(target, staged, keys, update).write.partitionBy(partition)
-     .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
+    batch = staged.persist()
+    try:
+        touched = [r[0] for r in batch.select(partition).distinct().collect()]
+        target = spark.read.parquet(path).where(F.col(partition).isin(touched))
+        (merge_upsert(target, batch, keys, update).write.partitionBy(partition)
+         .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
+    finally:
+        batch.unpersist()
 
 
 def reconcile(spark: SparkSession, name: str, current_keys: DataFrame, pk: str,

@@ -193,6 +193,6 @@ def test_row_index(spark, spread):
     keys = (rnd.sample(range(10**6), 3000) if spread == "even" else
             [*range(2000), *(10**15 + i for i in range(50)), -10**12])
     df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(9)
-    got = {r.k: r.row_index for r in O.with_row_index(df, "k", splits=5).collect()}
+    got = {r.k: r.row_index for r in O.with_row_index(df, "k", splits=8).collect()}
     assert got == {k: i for i, k in enumerate(sorted(keys), start=1)}
     assert O.with_row_index(df.where("k is null"), "k").count() == 0
