@@ -146,18 +146,13 @@ def upsert_partitions(staged: DataFrame, path: str, keys: Sequence[str], partiti
 
     `partition` must be fixed for a key (a creation month, say), so an existing row
     can only be in a partition the batch names. The partition values of one batch
-    are few and are the only thing collected. The batch is read several times, so it
-    is kept (spilling to disk) until the write is done.
+    are few and are the only thing collected.
     """
     spark = staged.sparkSession
-    batch = staged.persist()
-    try:
-        touched = [r[0] for r in batch.select(partition).distinct().collect()]
-        target = spark.read.parquet(path).where(F.col(partition).isin(touched))
-        (merge_upsert(target, batch, keys, update).write.partitionBy(partition)
-         .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
-    finally:
-        batch.unpersist()
+    touched = [r[0] for r in staged.select(partition).distinct().collect()]
+    target = spark.read.parquet(path).where(F.col(partition).isin(touched))
+    (merge_upsert(target, staged, keys, update).write.partitionBy(partition)
+     .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
 
 
 def reconcile(spark: SparkSession, name: str, current_keys: DataFrame, pk: str,
@@ -180,35 +175,41 @@ def load_table(spark: SparkSession, source: DataFrame, config: TableConfig, as_o
                folder: str | None = None) -> bool:
     """Load one configured table, 'full' or 'incremental'. False if nothing was loaded.
 
-    Full loads decide the schema; incremental loads are cast to the schema the
-    target already has and merged on its primary key. With a `folder`, a table whose
-    configuration names a creation time is kept there by month, and an incremental
-    load rewrites only the months its batch touches.
+    The source is read once, into a staging table that is dropped at the end; typing
+    and merging, which read a batch several times, use that. Full loads decide the
+    schema; incremental loads are cast to the schema the target already has and merged
+    on its primary key. With a `folder`, a table whose configuration names a creation
+    time is kept there by month, and an incremental load rewrites only the months its
+    batch touches.
     """
-    name = f"{database}.{config.target}" if database else config.target
+    def qualify(name: str) -> str:
+        return f"{database}.{name}" if database else name
+
+    name, staging = qualify(config.target), qualify(f"_stg_{config.target}")
     monthly = folder if config.partition_column else None
-    if mode == "full":
-        batch = bronze.scan(source, config)
-    else:
-        batch = bronze.scan_incremental(source, config, as_of)
-    loaded = not batch.isEmpty()
-    if loaded:
-        stamped = bronze.stamp(bronze.force_decimals(batch, config.decimal_columns), as_of)
-        if mode == "full":
-            decided = bronze.conform(stamped, bronze.decided_schema(
-                stamped, config.decimal_columns))
+    batch = (bronze.scan(source, config) if mode == "full"
+             else bronze.scan_incremental(source, config, as_of))
+    bronze.stamp(bronze.force_decimals(batch, config.decimal_columns), as_of).write.format(
+        "parquet").mode("overwrite").saveAsTable(staging)
+    try:
+        staged = spark.table(staging)
+        loaded = not staged.isEmpty()
+        if loaded and mode == "full":
+            typed = bronze.conform(staged, bronze.decided_schema(staged, config.decimal_columns))
             if monthly:
-                publish_folder(with_month(decided, config.partition_column), name, monthly)
+                publish_folder(with_month(typed, config.partition_column), name, monthly)
             else:
-                publish(decided, name)
-        else:
+                publish(typed, name)
+        elif loaded:
             update = [c for c in batch.columns if c != config.primary_key] + [MERGE_META]
             key = [config.primary_key]
             if monthly:
-                upsert_partitions(with_month(stamped, config.partition_column),
+                upsert_partitions(with_month(staged, config.partition_column),
                                   folder_of(spark, name), key, MONTH, update)
             else:
-                publish(merge_upsert(spark.table(name), stamped, key, update), name)
+                publish(merge_upsert(spark.table(name), staged, key, update), name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
     if reconcile_deletes:
         reconcile(spark, name, source, config.primary_key, monthly)
     return loaded

@@ -156,6 +156,7 @@ def test_load_table_full_incremental_and_delete_pass(spark):
                              reconcile_deletes=True)
     got = {r.id: (float(r.amount), r.note) for r in spark.table("loaded").collect()}
     assert got == {2: (9.0, "7"), 3: (3.0, "8")}
+    assert not spark.catalog.tableExists("_stg_loaded")
     # Nothing changed since: the batch is skipped.
     assert not tables.load_table(spark, later, c, "2024-02-05 00:00:00", "incremental")
 
