@@ -84,6 +84,10 @@ def gold_models(spark: SparkSession, s: Mapping[str, DataFrame], as_of
             g["door_holder_engagement"], s["person_current"])}
 
 
+# The large fact is stored by week, the unit its reports read.
+PARTITIONS = {"fct_attendance": "sunday_date"}
+
+
 def build(spark: SparkSession, bronze: Callable[[str], DataFrame], as_of,
           database: str | None = None) -> dict[str, DataFrame]:
     """Silver as views, gold as tables; later gold models read the tables already
@@ -94,7 +98,7 @@ def build(spark: SparkSession, bronze: Callable[[str], DataFrame], as_of,
     built: dict[str, DataFrame] = {}
     for name, make in gold_models(spark, models, as_of).items():
         target = f"{database}.{name}" if database else name
-        materialise(make(built), target, as_table=True)
+        materialise(make(built), target, as_table=True, partition=PARTITIONS.get(name))
         built[name] = spark.table(target)
     return models | built
 

@@ -91,7 +91,13 @@ def deleted_rows(target: DataFrame, current_keys: DataFrame, pk: str) -> DataFra
 
 # --- writers -----------------------------------------------------------------
 
-def publish(df: DataFrame, name: str) -> None:
+def _laid_out(df: DataFrame, partition: str) -> DataFrame:
+    """Rows brought to the tasks that write their partition: few files per partition,
+    while adaptive execution splits a partition that is too large for one task."""
+    return df.hint("rebalance", F.col(partition))
+
+
+def publish(df: DataFrame, name: str, partition: str | None = None) -> None:
     """Write a new table version, then point the view `name` at it. Readers and the
     job itself keep the old version until the write has finished, and a lost or
     repeated run leaves the view as it was."""
@@ -103,16 +109,17 @@ def publish(df: DataFrame, name: str) -> None:
     number = 1 + max((int(n[len(prefix):]) for n in old), default=0)
     qualify = (lambda n: f"{database}.{n}") if database else (lambda n: n)
     fresh = qualify(f"{prefix}{number}")
-    df.write.format("parquet").mode("overwrite").saveAsTable(fresh)
+    rows = df if partition is None else _laid_out(df, partition)
+    rows.write.format("parquet").mode("overwrite").saveAsTable(fresh, partitionBy=partition)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {fresh}")
     for stale in sorted(old, key=lambda n: int(n[len(prefix):]))[:-1]:
         spark.sql(f"DROP TABLE IF EXISTS {qualify(stale)}")
 
 
-def materialise(df: DataFrame, name: str, as_table: bool) -> None:
+def materialise(df: DataFrame, name: str, as_table: bool, partition: str | None = None) -> None:
     """Silver models are views, gold models are tables."""
     if as_table:
-        publish(df, name)
+        publish(df, name, partition)
     else:
         df.createOrReplaceTempView(name)
 
@@ -131,7 +138,7 @@ def publish_folder(df: DataFrame, name: str, folder: str, partition: str = MONTH
     """Write a partitioned table to a new folder, then point the view `name` at it. The
     view remembers its folder; the old folder stays for the readers that still use it."""
     path = f"{folder.rstrip('/')}/{name}-{os.urandom(6).hex()}"
-    df.write.partitionBy(partition).parquet(path)
+    _laid_out(df, partition).write.partitionBy(partition).parquet(path)
     df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('folder' = '{path}') "
                         f"AS SELECT * FROM parquet.`{path}`")
 
@@ -151,7 +158,8 @@ def upsert_partitions(staged: DataFrame, path: str, keys: Sequence[str], partiti
     spark = staged.sparkSession
     touched = [r[0] for r in staged.select(partition).distinct().collect()]
     target = spark.read.parquet(path).where(F.col(partition).isin(touched))
-    (merge_upsert(target, staged, keys, update).write.partitionBy(partition)
+    merged = _laid_out(merge_upsert(target, staged, keys, update), partition)
+    (merged.write.partitionBy(partition)
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
 
 

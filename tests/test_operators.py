@@ -460,6 +460,9 @@ def test_warehouse_builds_views_and_tables_and_passes_its_checks(spark, sf_dir):
     assert {"stg_people", "stg_occurrences"} <= {
         t.name for t in spark.catalog.listTables() if t.isTemporary}
     assert spark.table("door_holder_engagement").count() > 0
+    one_week = spark.table("fct_attendance").where("sunday_date = DATE '2024-01-14'")
+    plan = one_week._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(sunday_date" in plan and one_week.count() > 0
     gold_tables = {n: models[n] for n in ("dim_date", "dim_group", "dim_person",
                                           "fct_group_membership", "fct_connection_request",
                                           "fct_attendance", "door_holder_engagement",
