@@ -367,7 +367,7 @@ def full_load_roundtrip(spark, sf_dir):
     orders = I.table(spark, sf_dir, "orders").withColumn(
         "created_year", F.year("o_orderdate"))
     path = f"{folder}/orders"
-    orders.write.partitionBy("created_year").mode("overwrite").parquet(path)
+    tables.write_folder(orders, path, "created_year")
     late = orders.where("o_orderdate >= TIMESTAMP '2001-06-01 00:00:00'").withColumn(
         "o_orderstatus", F.lit("F"))
     tables.upsert_partitions(late, path, ["o_orderkey"], "created_year")

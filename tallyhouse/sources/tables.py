@@ -134,11 +134,15 @@ def with_month(df: DataFrame, created: str) -> DataFrame:
         F.date_format(created, "yyyyMM").cast("int"), F.lit(0)))
 
 
+def write_folder(df: DataFrame, path: str, partition: str) -> None:
+    _laid_out(df, partition).write.partitionBy(partition).parquet(path)
+
+
 def publish_folder(df: DataFrame, name: str, folder: str, partition: str = MONTH) -> None:
     """Write a partitioned table to a new folder, then point the view `name` at it. The
     view remembers its folder; the old folder stays for the readers that still use it."""
     path = f"{folder.rstrip('/')}/{name}-{os.urandom(6).hex()}"
-    _laid_out(df, partition).write.partitionBy(partition).parquet(path)
+    write_folder(df, path, partition)
     df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('folder' = '{path}') "
                         f"AS SELECT * FROM parquet.`{path}`")
 
