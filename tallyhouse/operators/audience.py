@@ -113,7 +113,7 @@ def weekly_online(platform_a: DataFrame, platform_b: DataFrame, legacy: DataFram
                 .agg(F.sum(F.round(F.col(views) * PEOPLE_PER_VIEW).cast("bigint")).alias("n"))
                 .select("sunday_date", F.lit(source).alias("source"), "n"))
 
-    old = (legacy.groupBy("sunday_date").agg(F.sum("cnt").cast("bigint").alias("n"))
+    old = (legacy.groupBy("sunday_date").agg(F.sum("cnt").alias("n"))
            .select("sunday_date", F.lit("old").alias("source"), "n"))
     rows = (people(platform_a, "total_views", "a")
             .unionByName(people(platform_b, "one_minute_views", "b")).unionByName(old))

@@ -87,7 +87,7 @@ def holiday_series(special: DataFrame, year: int, campuses: Sequence[str],
                                         F.max("year").alias("last_year"))
 
     def or_zero(c):
-        return F.coalesce(c, F.lit(0)).cast("bigint")
+        return F.coalesce(c, F.lit(0))
 
     here = F.col("campus").isin(list(campuses))
     wide = (special.where(F.col("year").between(year - years + 1, year))

@@ -31,7 +31,7 @@ def _sum_when(condition: Column, value: str = "total") -> Column:
 
 
 def _or_zero(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0)).cast("bigint")
+    return F.coalesce(c, F.lit(0))
 
 
 def _day_number(date: str = DATE) -> Column:
@@ -128,6 +128,18 @@ def week_over_week(hc: DataFrame, as_of, by: Sequence[str] = (),
             .withColumn("wow", ratio).withColumn("arrow", trend_arrow("wow")))
 
 
+def gathering_over_gathering(hc: DataFrame, as_of, by: Sequence[str] = ()) -> DataFrame:
+    """Change against the gathering date before the selected one. That date is the
+    same for every group, and a group that missed it counts 0 there."""
+    on, d = as_date(as_of), F.col(DATE)
+    before = hc.where(d < on).agg(F.max(DATE).alias("d")).scalar()
+    sums = hc.groupBy(*by).agg(_or_zero(_sum_when(d == on, "cnt")).alias("current"),
+                               _or_zero(_sum_when(d == before, "cnt")).alias("previous"))
+    return (sums.withColumn("previous_date", before)
+            .withColumn("change", change_ratio("current", "previous", 0))
+            .withColumn("arrow", trend_arrow("change")))
+
+
 def year_over_year(hc: DataFrame, as_of, by: Sequence[str] = ()) -> DataFrame:
     """Change against last year's date snapped to its week; 0 when missing."""
     on = as_date(as_of)

@@ -579,6 +579,22 @@ def year_totals(spark, sf_dir):
     return metrics.yearly_totals(_monthly(spark, sf_dir), I.AS_OF, "A")
 
 
+@query("gathering_over_gathering", f"""
+    WITH {_MONTHLY},
+    p AS (SELECT max(sunday_date) AS previous_date FROM m WHERE sunday_date < {ON}),
+    s AS (SELECT campus, literal,
+                 coalesce(sum(cnt) FILTER (sunday_date = {ON}), 0)::BIGINT AS current,
+                 coalesce(sum(cnt) FILTER (sunday_date = previous_date), 0)::BIGINT AS previous,
+                 any_value(previous_date) AS previous_date
+          FROM m, p GROUP BY campus, literal),
+    r AS (SELECT *, coalesce(round((current - previous) / nullif(previous, 0)::DOUBLE, 6), 0)
+                      AS change FROM s)
+    SELECT *, CASE WHEN change >= 0 THEN '▲' ELSE '▼' END AS arrow FROM r""")
+def gathering_over_gathering(spark, sf_dir):
+    return metrics.gathering_over_gathering(_monthly(spark, sf_dir, until=I.AS_OF), I.AS_OF,
+                                            ["campus", "literal"])
+
+
 @query("gathering_month_table", f"""
     WITH {_MONTHLY},
     p AS (SELECT (SELECT max(sunday_date) FROM (SELECT sunday_date FROM m

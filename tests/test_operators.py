@@ -133,6 +133,15 @@ def test_selected_date_without_rows_counts_zero(spark):
     assert (r.current, r.previous, r.wow, r.arrow) == (0, 50, -1.0, "▼")
 
 
+def test_a_group_that_missed_the_last_gathering_counts_zero_there(spark):
+    s = sundays(9)
+    df = hc(spark, [(s[0], "A", "x", "5", 30), (s[4], "A", "x", "5", 20), (s[0], "B", "x", "5", 9),
+                    (s[8], "B", "x", "5", 8)])
+    got = {r.campus: r for r in metrics.gathering_over_gathering(df, s[0], ["campus"]).collect()}
+    assert {r.previous_date for r in got.values()} == {s[4]}
+    assert (got["A"].change, got["B"].previous, got["B"].change) == (0.5, 0, 0.0)
+
+
 def test_yoy_364_needs_the_exact_date(spark):
     s = sundays(53)
     df = hc(spark, [(s[0], "A", "x", "9", 90), (s[52], "A", "x", "9", 100), (s[1], "A", "x", "9", 9)])
