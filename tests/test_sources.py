@@ -137,9 +137,10 @@ def test_history_increment_keeps_two_versions_of_changed_people(spark):
         [(1, 1, at(2024, 1, 1)), (2, 1, at(2024, 1, 5)), (3, 1, at(2024, 1, 9, 12)),
          (4, 1, at(2024, 1, 9, 12)), (5, 2, at(2024, 1, 1)), (6, 3, at(2024, 1, 9, 20))],
         "Id int, PersonId int, EffectiveDate timestamp")
-    out = bronze.history_incremental(df, "2024-01-10 00:00:00")
-    assert sorted((r.PersonId, r.Id, r.rn) for r in out.collect()) == [
-        (1, 3, 2), (1, 4, 1), (3, 6, 1)]
+    for few in (10, 0):  # broadcast, and ranked before the join
+        out = bronze.history_incremental(df, "2024-01-10 00:00:00", few=few)
+        assert sorted((r.PersonId, r.Id, r.rn) for r in out.collect()) == [
+            (1, 3, 2), (1, 4, 1), (3, 6, 1)]
 
 
 def test_load_table_full_incremental_and_delete_pass(spark):
