@@ -55,3 +55,26 @@ def test_filters_and_columns_reach_the_scan(name, column, spark, sf_dir):
 def test_top_versions_are_limited_before_the_shuffle(spark, sf_dir):
     plan = plan_of(entry.queries()["history_last_two_versions"](spark, sf_dir))
     assert plan.count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("name", [
+    "wow", "wow_by_literal", "yoy_snapped", "yoy_364", "trailing_35_365", "five_week_avg",
+    "five_week_avg_dates", "series_month", "series_week", "series_multi_year", "prev_gathered",
+    "card_previous", "latest_totals", "date_labels", "sunday_summary", "group_metrics",
+    "infer_types"])
+def test_comparisons_read_their_table_once(name, spark, sf_dir):
+    assert plan_of(entry.queries()[name](spark, sf_dir)).count("FileScan parquet") == 1
+
+
+@pytest.mark.parametrize("name", ["yoy_snapped", "series_week", "past_year_avg_excl",
+                                  "adhoc_two_dates", "series_month"])
+def test_report_periods_bound_the_scan_on_both_sides(name, spark, sf_dir):
+    plan = plan_of(entry.queries()[name](spark, sf_dir))
+    assert "GreaterThanOrEqual(l_shipdate" in plan and "LessThan(l_shipdate" in plan
+
+
+@pytest.mark.parametrize("name", ["pivot_rollup", "matrix_subtotals"])
+def test_subtotals_copy_cells_not_orders(name, spark, sf_dir):
+    plan = plan_of(entry.queries()[name](spark, sf_dir))
+    below = plan[plan.index("Expand"):]
+    assert "partial_sum" in below and "Exchange hashpartitioning" in below
