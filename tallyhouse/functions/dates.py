@@ -138,8 +138,8 @@ def christmas_eve(year: ColumnOrName) -> Column:
 
 
 def local_date(timestamp: ColumnOrName, zone: str) -> Column:
-    """Calendar date of a UTC instant in a zone or fixed offset."""
-    return F.to_date(F.from_utc_timestamp(as_col(timestamp), zone))
+    """Calendar date of an instant in a zone or fixed offset, whatever the session's zone."""
+    return F.to_date(F.convert_timezone(None, F.lit(zone), as_col(timestamp)))
 
 
 # Days to publish a holiday's counts, and the status labels.

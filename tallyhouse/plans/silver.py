@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import blank_concat, in_box, not_in
+from ..functions.columns import blank_concat, in_box, iso_timestamp, not_in
 from ..operators import audience, camp, headcount, journey, lookup
 from ..operators import staging as S
 from . import inputs as I
@@ -395,7 +395,8 @@ def title_split(spark, sf_dir):
 def platform_sundays(spark, sf_dir):
     """Broadcasts of the last two Sundays by local date, seen from a Wednesday."""
     videos = I.table(spark, sf_dir, "events").select(
-        "event_id", F.col("ts").cast("timestamp").alias("broadcast_start_time"),
+        "event_id", iso_timestamp(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
+                                           F.lit("Z"))).alias("broadcast_start_time"),
         F.when(F.col("event_type").isin("view", "click"), "Sunday Gathering // early ")
         .otherwise("Rehearsal // early").alias("title"))
     return audience.platform_sundays(videos, "2024-01-31").select(
@@ -409,7 +410,6 @@ def platform_sundays(spark, sf_dir):
     FROM events""")
 def gathering_titles(spark, sf_dir):
     """Titles after '//', and the local date of an ISO start time."""
-    from ..functions.columns import iso_timestamp
     from ..functions.dates import local_date
 
     title = F.when(F.col("event_type") == "error", F.lit("Rehearsal // x")).otherwise(

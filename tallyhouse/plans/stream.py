@@ -56,5 +56,4 @@ def stream_dedupe(spark, sf_dir):
            count(*) AS cnt FROM events GROUP BY 1, 2""")
 def weekly_audience_windows(spark, sf_dir):
     """The streaming weekly window, run here over the whole table as a batch."""
-    events = I.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return ingest.weekly_counts(events, "ts", ["event_type"])
+    return ingest.weekly_counts(I.table(spark, sf_dir, "events"), "ts", ["event_type"])
