@@ -322,7 +322,8 @@ _ONLINE_SQL = f"""
                  (sum(CAST(round(views * 1.94::DOUBLE) AS BIGINT))
                     FILTER (s = 'O' AND o_orderdate >= TIMESTAMP '1998-01-01'))::BIGINT AS a,
                  (sum(CAST(round(views * 1.94::DOUBLE) AS BIGINT)) FILTER (s = 'P'))::BIGINT AS b,
-                 (sum(views) FILTER (s = 'F'))::BIGINT AS old
+                 (sum(views) FILTER (s = 'F' OR (s = 'O' AND o_orderdate < TIMESTAMP '1998-01-01')))
+                   ::BIGINT AS old
           FROM v GROUP BY 1),
     weekly AS (SELECT sunday_date, CASE WHEN a > 0 THEN a + coalesce(b, 0) ELSE old END AS online,
                       CASE WHEN a > 0 THEN a ELSE old END AS online_one_platform FROM p)"""
@@ -332,11 +333,15 @@ def _weekly_online(spark, sf_dir):
     rows = I.table(spark, sf_dir, "orders").select(
         week_ending_sunday(F.to_date("o_orderdate")).alias("sunday_date"), "o_orderstatus",
         "o_orderdate", F.floor(F.col("o_totalprice") / 1000).alias("views"))
-    a = rows.where("o_orderstatus = 'O' AND o_orderdate >= TIMESTAMP '1998-01-01'")
+    # Open orders are counted by hand until platform A starts in 1998.
+    started = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    is_open = F.col("o_orderstatus") == "O"
+    a = rows.where(is_open & started)
     return audience.weekly_online(
         a.withColumnRenamed("views", "total_views"),
         rows.where("o_orderstatus = 'P'").withColumnRenamed("views", "one_minute_views"),
-        rows.where("o_orderstatus = 'F'").withColumnRenamed("views", "cnt"))
+        rows.where((F.col("o_orderstatus") == "F") | (is_open & ~started))
+        .withColumnRenamed("views", "cnt"))
 
 
 @query("audience_online", f"""
