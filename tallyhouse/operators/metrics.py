@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import (change_ratio, percent_text, rank_in, safe_divide,
-                                 short_date_text, trend_arrow)
+from ..functions.columns import (change_ratio, dash_if_null, percent_text, rank_in,
+                                 safe_divide, short_date_text, trend_arrow)
 from ..functions.dates import (as_date, is_sunday, month_start,
                                snapped_year_before, trailing, us_week_number, year_before,
                                yymm_number, yyyyww_text)
@@ -210,12 +210,15 @@ def past_year_average(hc: DataFrame, as_of, holidays: DataFrame,
 
 def share_of_past_year(hc: DataFrame, as_of, holidays: DataFrame,
                        by: Sequence[str]) -> DataFrame:
-    """The selected date's count as a share of the past-year average, with its text."""
+    """The selected date's count as a share of the past-year average, with the texts of
+    the share and of the average ('-' without one)."""
     current = count_on(hc, as_of, by, "current")
     average = past_year_average(hc, as_of, holidays, by)
     share = F.round(safe_divide("current", "past_year_average", 0), 6)
     return (current.join(average, list(by), "left").withColumn("share", share)
-            .withColumn("share_text", F.concat(percent_text("share"), F.lit(" of Avg"))))
+            .withColumn("share_text", F.concat(percent_text("share"), F.lit(" of Avg")))
+            .withColumn("average_text", dash_if_null(
+                F.round("past_year_average").cast("bigint"))))
 
 
 def gathering_averages(hc: DataFrame, as_of, by: Sequence[str] = ()) -> DataFrame:

@@ -366,7 +366,9 @@ def past_year_avg_excl(spark, sf_dir):
     SELECT cur.*, year_total, dates, past_year_average,
            coalesce(round(current / past_year_average, 6), 0) AS share,
            CAST(round(coalesce(round(current / past_year_average, 6), 0) * 100) AS BIGINT)
-             || '% of Avg' AS share_text
+             || '% of Avg' AS share_text,
+           coalesce(CAST(CAST(round(past_year_average) AS BIGINT) AS VARCHAR), '-')
+             AS average_text
     FROM cur LEFT JOIN avgs USING (campus)""")
 def share_of_past_year(spark, sf_dir):
     return metrics.share_of_past_year(_kept(spark, sf_dir, "1999-06-01", I.AS_OF), I.AS_OF,
