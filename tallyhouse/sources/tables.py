@@ -112,7 +112,8 @@ def publish(df: DataFrame, name: str, partition: str | None = None) -> None:
     rows = df if partition is None else _laid_out(df, partition)
     rows.write.format("parquet").mode("overwrite").saveAsTable(fresh, partitionBy=partition)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {fresh}")
-    for stale in sorted(old, key=lambda n: int(n[len(prefix):]))[:-1]:
+    # Two versions stay: the one readers may still use, and one a lost run may have left.
+    for stale in sorted(old, key=lambda n: int(n[len(prefix):]))[:-2]:
         spark.sql(f"DROP TABLE IF EXISTS {qualify(stale)}")
 
 

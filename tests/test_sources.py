@@ -167,6 +167,10 @@ def test_publish_keeps_the_view_readable_while_replacing(spark):
     tables.publish(spark.table("numbers").where("id > 0"), "numbers")
     tables.publish(spark.table("numbers").where("id > 1"), "numbers")
     assert rows(spark.table("numbers")) == [(2,)]
+    for _ in range(3):
+        tables.publish(spark.table("numbers"), "numbers")
+    kept = [t.name for t in spark.catalog.listTables() if t.name.startswith("numbers__v")]
+    assert len(kept) == 3 and rows(spark.table("numbers")) == [(2,)]
     tables.materialise(spark.range(2), "two", as_table=False)
     assert spark.table("two").count() == 2
 
