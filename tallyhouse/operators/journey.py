@@ -23,7 +23,8 @@ OPEN_END = "9999-01-01"
 
 def validity(history: DataFrame, key: str, effective: str, tie: str) -> DataFrame:
     """Close each version on the day of the key's next one (open versions end in 9999).
-    Of versions that start on one day the last by `tie` holds; the others are empty.
+    Of versions that start on one day the last by `tie` holds; the others are empty. A
+    version without a key or a start keeps its row, with no end.
 
     The next day is looked up in one row per (key, day), which is at most a calendar
     of rows per key, and joined back. The versions themselves are never gathered or
@@ -32,9 +33,9 @@ def validity(history: DataFrame, key: str, effective: str, tie: str) -> DataFram
     days = history.groupBy(key, effective).agg(F.max(tie).alias("_last")).withColumn(
         "_next", F.lead(effective).over(Window.partitionBy(key).orderBy(effective)))
     until = F.coalesce("_next", F.lit(OPEN_END).cast("date"))
-    return (history.join(days, [key, effective])
+    return (history.join(days, [key, effective], "left")
             .withColumn("expire_date", F.when(F.col(tie) == F.col("_last"), until)
-                        .otherwise(F.col(effective)))
+                        .when(F.col("_last").isNotNull(), F.col(effective)))
             .drop("_last", "_next"))
 
 

@@ -278,6 +278,13 @@ def test_as_of_join_matches_brute_force_under_a_hot_key(spark):
     assert got == {f: brute_as_of(versions, p, d) for p, f, d in asked}
 
 
+def test_validity_keeps_versions_without_a_start(spark):
+    df = spark.createDataFrame([(1, 1, D(2024, 1, 1)), (1, 2, None), (None, 3, D(2024, 1, 1))],
+                               "k int, id int, d date")
+    assert rows(journey.validity(df, "k", "d", "id"), "id", "expire_date") == [
+        (1, D(9999, 1, 1)), (2, None), (3, None)]
+
+
 def test_validity_ends_are_half_open(spark):
     history = spark.createDataFrame(
         [(1, D(2024, 6, 2), D(2024, 6, 9), "a"), (2, D(2024, 5, 1), D(2024, 6, 2), "b")],
