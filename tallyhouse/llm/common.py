@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,7 +86,7 @@ def slices(batches: Iterable[pa.RecordBatch], chars: int = 8 << 20,
            column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds about `chars` bytes of text (one row at least)."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = total = 0
         for i, size in enumerate(sizes):
             if total and total + size > chars:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import exact_dedup
+from . import byte_bpe, exact_dedup, packing
 from .common import table
 from .registry import QUERIES, SQL, query
 
@@ -23,3 +23,16 @@ SELECT doc_id, keep_id, group_size, coalesce(doc_id = keep_id, keep_id IS NULL)
 FROM t JOIN g USING (text_sha256)""")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
+
+
+@query("op2_byte_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return byte_bpe.digest(byte_bpe.decode(ids, path))
+
+
+@query("op6_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), path))
