@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, packing
+from . import byte_bpe, exact_dedup, language, packing, token_count
 from .common import table
 from .registry import QUERIES, SQL, query
 
@@ -36,3 +36,15 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), path))
+
+
+@query("op1_token_counts")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_count.token_counts(table(spark, sf_dir, "documents"), path)
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return language.predictions(table(spark, sf_dir, "documents"), path)
