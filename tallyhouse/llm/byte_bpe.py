@@ -39,7 +39,7 @@ class Encoder:
                                      .replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]"))
         self.longest = max(map(len, ranks))
         self.words = [0] * ((max(ranks.values()) >> 6) + 1)  # zero between calls
-        self.pieces = Memo(self.merge)
+        self.pieces = Memo(self.merge, 300_000)
         self.chunks = Memo(self.chunk)
 
     def merge(self, piece: bytes) -> bytes:
@@ -51,56 +51,75 @@ class Encoder:
         n = len(piece)
         end = list(range(1, n + 1))  # of the part that starts at an index
         before = list(range(-1, n - 1))
-        pair = [rank_of(piece[i:i + 2], -1) for i in range(n)]  # of a part and the next
-        pair[-1] = -1
-        buckets: dict[int, list[int]] = {}
+        pair = [rank_of(piece[i:i + 2], -1) for i in range(n - 1)]  # of a part and the next
+        pair.append(-1)
+        buckets: dict[int, int | list[int]] = {}  # a position, or a heap of several
+        top = 0  # a bit for every word that is not zero
         for i, rank in enumerate(pair):
             if rank >= 0:
-                buckets.setdefault(rank, []).append(i)
-        top = 0  # a bit for every word that is not zero
-        for rank in buckets:
-            words[rank >> 6] |= 1 << (rank & 63)
-            top |= 1 << (rank >> 6)
+                if rank in buckets:
+                    self.queue(buckets, rank, i)
+                else:
+                    buckets[rank] = i
+                    words[rank >> 6] |= 1 << (rank & 63)
+                    top |= 1 << (rank >> 6)
         while top:
             at = (top & -top).bit_length() - 1
-            low = words[at] & -words[at]
+            word = words[at]
+            low = word & -word
             rank = (at << 6) + low.bit_length() - 1
-            bucket = buckets[rank]
-            i = heappop(bucket)
-            if not bucket:
+            i = buckets[rank]
+            if type(i) is list:
+                heap, i = i, heappop(i)
+                if len(heap) == 1:
+                    buckets[rank] = heap[0]
+            else:
                 del buckets[rank]
-                words[at] ^= low
-                if not words[at]:
+                words[at] = word = word ^ low
+                if not word:
                     top &= top - 1
             if pair[i] != rank:
                 continue  # stale: the pair has changed
             j = end[i]
             stop = end[i] = end[j]
             pair[j] = -1
-            changed = [(i, end[stop])] if stop < n else []
             if stop < n:
                 before[stop] = i
+                right = end[stop]
+                pair[i] = rank = rank_of(piece[i:right], -1) if right - i <= longest else -1
+                if rank >= 0:
+                    if rank in buckets:
+                        self.queue(buckets, rank, i)
+                    else:
+                        buckets[rank] = i
+                        words[rank >> 6] |= 1 << (rank & 63)
+                        top |= 1 << (rank >> 6)
             else:
                 pair[i] = -1
             if i:
-                changed.append((before[i], stop))
-            for left, right in changed:
-                rank = rank_of(piece[left:right], -1) if right - left <= longest else -1
-                if rank != pair[left]:
-                    pair[left] = rank
-                    if rank >= 0:
-                        if rank in buckets:
-                            heappush(buckets[rank], left)
-                        else:
-                            buckets[rank] = [left]
-                            words[rank >> 6] |= 1 << (rank & 63)
-                            top |= 1 << (rank >> 6)
+                left = before[i]
+                pair[left] = rank = rank_of(piece[left:stop], -1) if stop - left <= longest else -1
+                if rank >= 0:
+                    if rank in buckets:
+                        self.queue(buckets, rank, left)
+                    else:
+                        buckets[rank] = left
+                        words[rank >> 6] |= 1 << (rank & 63)
+                        top |= 1 << (rank >> 6)
         ids, i = [], 0
         while i < n:
             ids.append(self.ranks[piece[i:end[i]]])
             i = end[i]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    @staticmethod
+    def queue(buckets: dict, rank: int, position: int) -> None:
+        """Another position for a rank that already has one."""
+        if type(buckets[rank]) is list:
+            heappush(buckets[rank], position)
+        else:
+            buckets[rank] = sorted((buckets[rank], position))
+
     def chunk(self, text: str) -> bytes:
         return b"".join([self.pieces[m.encode()] for m in self.pattern.findall(text)])
 
@@ -127,53 +146,62 @@ def encoder(data, pattern: str) -> Encoder:
     return _LOADED[key]
 
 
+def encoded(batches: Iterator[pa.RecordBatch], data, pattern: str) -> Iterator[pa.RecordBatch]:
+    """(doc_id, ids) of batches of (doc_id, text)."""
+    own = encoder(data, pattern)
+    for batch in slices(batches):
+        found = [own.encode(t) for t in batch.column("text").to_pylist()]
+        ends = np.cumsum([0, *map(len, found)]) // 4
+        ids = pa.ListArray.from_arrays(
+            pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
+
+
+def decoded(batches: Iterator[pa.RecordBatch], data) -> Iterator[pa.RecordBatch]:
+    """(doc_id, ids, decoded) of batches of (doc_id, ids), one document at a time."""
+    token = {rank: word for word, rank in load_ranks(data.value).items()}
+    for batch in batches:
+        texts = [b"".join(map(token.__getitem__, x.values.to_numpy().tolist()))
+                 if x.values is not None else None for x in batch.column("ids")]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.binary())],
+            ["doc_id", "ids", "decoded"])
+
+
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, ids array<int>) of each whole text, every match of `pattern` on its own.
 
     A null or empty text has no ids. Repeated rows and null doc_ids pass through; other
     columns are ignored; an empty table gives no rows.
     """
-    spark = ship(docs.sparkSession)
-    data = file_bytes(spark, path)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(data, pattern)
-        for batch in slices(batches):
-            found = [own.encode(t) for t in batch.column("text").to_pylist()]
-            ends = np.cumsum([0, *map(len, found)]) // 4
-            ids = pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
-
+    data = file_bytes(ship(docs.sparkSession), path)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return id_text(docs).mapInArrow(run, f"doc_id {id_type}, ids array<int>")
+    return id_text(docs).mapInArrow(lambda batches: encoded(batches, data, pattern),
+                                    f"doc_id {id_type}, ids array<int>")
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """`encoded` (doc_id, ids) with the bytes that the ids stand for, as `decoded`."""
-    spark = ship(encoded.sparkSession)
-    data = file_bytes(spark, path)
+def decode(ids: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids) with the bytes that the ids stand for, as `decoded` (null ids: null)."""
+    data = file_bytes(ship(ids.sparkSession), path)
+    id_type = ids.schema["doc_id"].dataType.simpleString()
+    return ids.select("doc_id", "ids").mapInArrow(
+        lambda batches: decoded(batches, data),
+        f"doc_id {id_type}, ids array<int>, decoded binary")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = load_ranks(data.value)
-        token = [b""] * (max(ranks.values()) + 1)
-        for word, rank in ranks.items():
-            token[rank] = word
-        for batch in batches:
-            ids = batch.column("ids")
-            texts = [b"".join(map(token.__getitem__, x)) for x in ids.to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), ids, pa.array(texts, pa.binary())],
-                ["doc_id", "ids", "decoded"])
 
-    id_type = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.mapInArrow(run, f"doc_id {id_type}, ids array<int>, decoded binary")
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """decode(encode(docs)) in one pass through one Python worker per task."""
+    data = file_bytes(ship(docs.sparkSession), path)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return id_text(docs).mapInArrow(
+        lambda batches: decoded(encoded(batches, data, pattern), data),
+        f"doc_id {id_type}, ids array<int>, decoded binary")
 
 
-def digest(decoded: DataFrame) -> DataFrame:
+def digest(pairs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of encoded and decoded documents."""
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return decoded.select(
+    return pairs.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -64,23 +64,48 @@ def file_bytes(spark: SparkSession, path: str):
 
 
 class Memo(dict):
-    """A dictionary that computes what it lacks and forgets everything at `limit` entries.
+    """A dictionary that computes what it lacks, for two generations of `limit` entries.
 
-    It lives as long as the Python worker, so tasks that follow find the common words.
-    Long keys are computed each time and not kept, which bounds the memory.
+    When the younger one is full it becomes the older, and the older is forgotten; what is
+    used again moves back. It lives as long as the Python worker, so tasks that follow find
+    the common words. Long keys are not kept, which bounds the memory.
     """
 
-    def __init__(self, compute: Callable, limit: int = 400_000, longest: int = 48):
+    def __init__(self, compute: Callable, limit: int = 150_000, longest: int = 40):
         self.compute, self.limit, self.longest = compute, limit, longest
+        self.older: dict = {}
 
-    def __missing__(self, key):
-        value = self.compute(key)
+    def put(self, key, value) -> None:
         if len(key) <= self.longest:
             if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        self.put(key, value)
         return value
 
+    def all_of(self, keys: Iterable, compute: Callable) -> dict:
+        """Values of the distinct keys; those it lacks are computed in one call."""
+        found, new = {}, []
+        for key in keys:
+            value = self.get(key)
+            if value is None:
+                value = self.older.get(key)
+                if value is None:
+                    new.append(key)
+                    continue
+                self.put(key, value)
+            found[key] = value
+        for key, value in compute(new).items():
+            found[key] = value
+            self.put(key, value)
+        return found
+
 
 def slices(batches: Iterable[pa.RecordBatch], chars: int = 8 << 20,
            column: str = "text") -> Iterator[pa.RecordBatch]:

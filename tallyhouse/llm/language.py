@@ -169,26 +169,21 @@ class Scorer:
     def __init__(self, model: bytes, languages: list[str], prior: np.ndarray, table: np.ndarray):
         self.languages, self.prior, self.table = languages, prior, table
         self.lattice = Lattice(vocabulary(model))
-        self.memo = Memo(lambda w: self.score([w])[w])
+        self.memo = Memo(None)
 
-    def score(self, words: list[str]) -> dict[str, np.ndarray | None]:
-        """Log probability of each word by language; None for one that has no letter."""
+    def score(self, words: list[str]) -> dict[str, np.ndarray | bool]:
+        """Log probability of each word by language; False for one that has no letter."""
         cut = {w: blocks(w) for w in words if any(map(str.isalpha, w))}
         parts = self.lattice.log_probability(
             list({b for p in cut.values() for b in p}), self.table)
-        return {w: sum(parts[b] for b in cut[w]) if w in cut else None for w in words}
+        return {w: sum(parts[b] for b in cut[w]) if w in cut else False for w in words}
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        memo = self.memo
         counted = [Counter(words_of(t)) if t else {} for t in texts]
-        new = list({w for c in counted for w in c if w not in memo})
-        if len(memo) + len(new) > memo.limit:
-            memo.clear()
-            new = list({w for c in counted for w in c})
-        memo.update(self.score(new))
+        logs = self.memo.all_of({w for c in counted for w in c}, self.score)
         out = []
         for c in counted:
-            known = [(memo[w], n) for w, n in c.items() if memo[w] is not None]
+            known = [(v, n) for w, n in c.items() if (v := logs[w]) is not False]
             if not known or not self.languages:
                 out.append((UNDECIDED, 0.0))
                 continue
@@ -196,9 +191,6 @@ class Scorer:
                 [v for v, _ in known])
             top = int(total.argmax())
             out.append((self.languages[top], float(1 / np.exp(total - total[top]).sum())))
-        for w in new:
-            if len(w) > memo.longest:
-                del memo[w]
         return out
 
 

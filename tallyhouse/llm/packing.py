@@ -36,28 +36,16 @@ class FileEncoder:
 
         self.tokenizer = Tokenizer.from_str(data.decode())
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.chunks = Memo(self.one)
+        self.chunks = Memo(None)
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def one(self, chunk: str) -> bytes:
-        return self.ids([chunk])[0]
+    def ids(self, texts: list[str]) -> dict[str, bytes]:
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        return {t: np.array(e.ids, "<u4").tobytes() for t, e in zip(texts, found)}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        memo = self.chunks
         cut = [CHUNK.findall(t) for t in texts]
-        new = list({c for chunks in cut for c in chunks if c not in memo})
-        if len(memo) + len(new) > memo.limit:
-            memo.clear()
-            new = list({c for chunks in cut for c in chunks})
-        memo.update(zip(new, self.ids(new)))  # bounded by one slice of texts beyond the limit
-        found = [b"".join(map(memo.__getitem__, chunks)) for chunks in cut]
-        for c in new:
-            if len(c) > memo.longest:
-                del memo[c]
-        return found
+        found = self.chunks.all_of({c for chunks in cut for c in chunks}, self.ids)
+        return [b"".join(map(found.__getitem__, chunks)) for chunks in cut]
 
 
 _LOADED: dict[int, FileEncoder] = {}

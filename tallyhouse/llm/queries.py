@@ -28,8 +28,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_byte_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return byte_bpe.digest(byte_bpe.decode(ids, path))
+    return byte_bpe.digest(byte_bpe.round_trip(
+        table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN))
 
 
 @query("op6_packing")

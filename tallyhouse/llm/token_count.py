@@ -41,7 +41,7 @@ class Counter:
         self.scores = scores
         self.longest = max(map(len, scores))
         self.unknown = min(scores.values()) - 10.0
-        self.memo = Memo(lambda word: self.count([word])[word])
+        self.memo = Memo(None)
 
     def count(self, words: Iterable[str]) -> dict[str, int]:
         """Tokens of each distinct word, by one walk over their trie."""
@@ -73,19 +73,13 @@ class Counter:
 
     def texts(self, texts: list[str]) -> list[tuple[int, int]]:
         """(tokens, pre-tokens) of each text."""
-        memo = self.memo
         cut = [PRE_TOKEN.findall(t) for t in texts]
-        new = {w for words in cut for w in words if w not in memo}
-        if len(memo) + len(new) > memo.limit:
-            memo.clear()
-            new = {w for words in cut for w in words}
-        counted = self.count(w.replace(" ", MARK) for w in new)
-        memo.update((w, counted[w.replace(" ", MARK)]) for w in new)
-        out = [(sum(map(memo.__getitem__, words)), len(words)) for words in cut]
-        for w in new:
-            if len(w) > memo.longest:
-                del memo[w]
-        return out
+        found = self.memo.all_of({w for words in cut for w in words}, self.marked)
+        return [(sum(map(found.__getitem__, words)), len(words)) for words in cut]
+
+    def marked(self, words: list[str]) -> dict[str, int]:
+        counted = self.count(w.replace(" ", MARK) for w in words)
+        return {w: counted[w.replace(" ", MARK)] for w in words}
 
 
 _LOADED: dict[int, Counter] = {}
