@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, language, packing, token_count
+from . import byte_bpe, exact_dedup, language, near_dedup, packing, token_count
 from .common import table
 from .registry import QUERIES, SQL, query
 
@@ -48,3 +48,35 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return language.predictions(table(spark, sf_dir, "documents"), path)
+
+
+@query("op3_minhash", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] ELSE list_transform(
+           range(1, greatest(len(w) - 3, 1) + 1),
+           lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+  FROM w),
+c AS (SELECT s_key, min(doc_id) AS node, any_value(s) AS s
+      FROM (SELECT doc_id, s, md5(array_to_string(list_sort(s), chr(10))) AS s_key FROM s
+            WHERE len(s) > 0) GROUP BY s_key),
+e AS (SELECT node, len(s) AS n, unnest(s) AS x FROM c),
+l AS (SELECT a.node AS a, b.node AS b FROM e a JOIN e b ON a.x = b.x AND a.node < b.node
+      GROUP BY a.node, b.node
+      HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT node AS a, node AS b FROM c WHERE node IN (SELECT a FROM u)
+      UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a),
+p AS (SELECT a AS node, min(b) AS part FROM r GROUP BY a),
+k AS (SELECT s.doc_id, len(s.s) AS n_shingles,
+             CASE WHEN len(s.s) = 0 THEN s.doc_id ELSE coalesce(p.part, c.node) END AS component_id
+      FROM s LEFT JOIN c ON c.s_key = md5(array_to_string(list_sort(s.s), chr(10)))
+             LEFT JOIN p ON p.node = c.node)
+SELECT doc_id, n_shingles, component_id,
+       coalesce(doc_id = component_id, component_id IS NULL) AS kept FROM k""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(table(spark, sf_dir, "documents"), words=4)
