@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, language, near_dedup, packing, token_count
+from . import byte_bpe, exact_dedup, fingerprints, language, near_dedup, packing, token_count
 from .common import table
 from .registry import QUERIES, SQL, query
 
@@ -80,3 +80,8 @@ SELECT doc_id, n_shingles, component_id,
        coalesce(doc_id = component_id, component_id IS NULL) AS kept FROM k""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"), words=4)
+
+
+@query("op8_fingerprints")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
