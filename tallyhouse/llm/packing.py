@@ -28,19 +28,37 @@ END = (0).to_bytes(4, "little")
 
 
 class FileEncoder:
-    """Ids by a tokenizers file whose pre-tokeniser is the byte-level one: common chunks
-    are looked up, new ones go to the library in one call per batch."""
+    """Ids by a tokenizers file whose pre-tokeniser is the byte-level one.
+
+    Texts are cut into chunks that no token crosses; common chunks are looked up. New ones
+    go to the library joined by line ends, which have an id of their own there.
+    """
 
     def __init__(self, data: bytes):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(data.decode())
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.chunks = Memo(None)
-
-    def ids(self, texts: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return {t: np.array(e.ids, "<u4").tobytes() for t, e in zip(texts, found)}
+        self.line_end = self.batch(["\n"])[0][0]
+        self.chunks = Memo(None, 250_000)
+
+    def batch(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in
+                self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def ids(self, chunks: list[str], together: int = 500) -> dict[str, bytes]:
+        spaces = [c for c in chunks if c.isspace()]
+        rest = [c for c in chunks if not c.isspace()]
+        found = {c: ids.tobytes() for c, ids in zip(spaces, self.batch(spaces))}
+        for at in range(0, len(rest), together):
+            part = rest[at:at + together]
+            ids = self.batch(["\n".join(part)])[0]
+            flat, ends = ids.tobytes(), np.flatnonzero(ids == self.line_end).tolist()
+            start = 0
+            for c, end in zip(part, [*ends, len(ids)]):
+                found[c] = flat[4 * start:4 * end]
+                start = end + 1
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [CHUNK.findall(t) for t in texts]
