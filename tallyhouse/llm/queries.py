@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, fingerprints, language, near_dedup, packing, token_count
+from . import (byte_bpe, exact_dedup, fingerprints, language, licenses, near_dedup, packing,
+               pii, secrets, token_count)
 from .common import table
 from .registry import QUERIES, SQL, query
 
@@ -85,3 +86,42 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_fingerprints")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op5_secrets")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+_TEMPLATES = ", ".join("('" + name + "', '" + text.replace("'", "''") + "')"
+                       for name, text in licenses.TEMPLATES)
+
+
+@query("op7_licenses", f"""
+WITH t AS (SELECT name, list_distinct(list_transform(range(1, len(w)),
+                        lambda i: w[i] || ' ' || w[i + 1])) AS b
+           FROM (SELECT name, list_filter(string_split(lower(regexp_replace(
+                        txt, '[^A-Za-z0-9\\n]+', ' ', 'g')), ' '), lambda x: x <> '') AS w
+                 FROM (VALUES {_TEMPLATES}) v(name, txt))),
+d AS (SELECT doc_id, row_number() OVER () AS r, lower(regexp_replace(
+               coalesce(text, ''), '[^A-Za-z0-9\\n]+', ' ', 'g')) AS x FROM documents),
+u AS (SELECT r, unnest(string_split(x, chr(10))) AS x FROM d UNION ALL SELECT r, x FROM d),
+b AS (SELECT r, list_distinct(list_transform(range(1, greatest(len(w), 1)),
+             lambda i: w[i] || ' ' || w[i + 1])) AS b
+      FROM (SELECT r, list_filter(string_split(replace(x, chr(10), ' '), ' '),
+                                  lambda y: y <> '') AS w FROM u)),
+h AS (SELECT r, name, max(2.0::DOUBLE * len(list_intersect(b.b, t.b)) / (len(b.b) + len(t.b)))
+             AS dice
+      FROM b JOIN t ON len(b.b) BETWEEN len(t.b) * 0.5 AND len(t.b) * 2
+      GROUP BY r, name)
+SELECT d.doc_id, count(h.name) AS n_licenses,
+       coalesce(string_agg(h.name, ',' ORDER BY h.name), '') AS licenses,
+       coalesce(max(h.dice), 0.0::DOUBLE) AS best_dice
+FROM d LEFT JOIN h ON h.r = d.r AND h.dice >= 0.8 GROUP BY d.r, d.doc_id""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op10_pii")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.entities(table(spark, sf_dir, "documents")))
