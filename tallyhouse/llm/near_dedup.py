@@ -149,19 +149,21 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node in `links` (a, b): its smallest connected node.
 
     Each round points every node at the neighbour (or itself) of least hash and contracts
-    the links to the nodes pointed at; a new hash each round keeps long chains from
-    shrinking by one node only.
+    the links to the nodes pointed at. The first hash is the one that chose the members that
+    others are compared with, so groups of near copies vanish at once; a new hash in each
+    later round keeps long chains from shrinking by one node only.
     """
     ends = links.select("a", "b").where("a <> b")
-    root = checkpointed(ends.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-                        .withColumn("root", F.col("node")))
+    root = ends.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn(
+        "root", F.col("node"))
     seed = 0
     while not ends.isEmpty():
+        salt = [F.lit(seed)] if seed else []
         both = ends.unionByName(ends.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        rank = F.xxhash64(F.lit(seed), "b")
+        rank = F.xxhash64("b", *salt)
         best = both.groupBy("a").agg(F.min_by("b", rank).alias("b"), F.min(rank).alias("rank"))
         point = checkpointed(best.select(F.col("a").alias("from"), F.when(
-            F.col("rank") < F.xxhash64(F.lit(seed), "a"), F.col("b")).otherwise(
+            F.col("rank") < F.xxhash64("a", *salt), F.col("b")).otherwise(
                 F.col("a")).alias("to")))
         to_a = point.select(F.col("from").alias("a"), F.col("to").alias("na"))
         to_b = point.select(F.col("from").alias("b"), F.col("to").alias("nb"))
@@ -169,12 +171,11 @@ def components(links: DataFrame) -> DataFrame:
             ends.join(to_a, "a").join(to_b, "b")
             .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
             .where("a <> b").distinct())
-        root = checkpointed(
-            root.join(point, F.col("root") == F.col("from"), "left")
-            .select("node", F.coalesce("to", "root").alias("root")))
+        root = (root.join(point, F.col("root") == F.col("from"), "left")
+                .select("node", F.coalesce("to", "root").alias("root")))
         seed += 1
     least = root.groupBy("root").agg(F.min("node").alias("component"))
-    return root.join(least, "root").select("node", "component")
+    return checkpointed(root.join(least, "root").select("node", "component"))
 
 
 def labelled(rows: DataFrame, parts: DataFrame) -> DataFrame:
@@ -206,7 +207,7 @@ def links(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFr
         F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     found = confirmed(possible(star), docs, words, percent)
 
-    parts = checkpointed(components(found))
+    parts = components(found)
     member = labelled(members, parts)
     pivot = parts.select(F.col("node").alias("other"), F.col("component").alias("other_part"))
     star = (member.join(pivot, "other", "left")
@@ -216,7 +217,7 @@ def links(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFr
     more = confirmed(possible(star), docs, words, percent)
     found = found.unionByName(more)
 
-    parts = checkpointed(components(found))
+    parts = components(found)
     rest = labelled(members.where("node <> first and node <> other"), parts)
     mixed_bands = (rest.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"))
                    .where("low <> high").select("band"))
