@@ -41,12 +41,9 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the cluster's spark.checkpoint.dir.
-
-    Only a local session without that setting (tests) gets a folder of its own.
-    """
-    spark = df.sparkSession
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The cluster's spark.checkpoint.dir. Only a local session without that setting (tests)
+    gets a folder of its own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         base = (spark.conf.get("spark.checkpoint.dir", None)
@@ -54,9 +51,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
         if not base and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(base or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder beside the checkpoints, for tables written between stages."""
+    return f"{checkpoint_folder(spark).rstrip('/')}/{purpose}-{os.urandom(6).hex()}"
+
+
 def file_bytes(spark: SparkSession, path: str):
     """A vocabulary file (a few MB, fixed) as a broadcast variable."""
     with open(path, "rb") as f:
