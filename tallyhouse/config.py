@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -70,8 +69,10 @@ TABLES: dict[str, TableConfig] = {
     "defined_value": TableConfig("dbo.DefinedValue", "defined_values"),
     "group_type": TableConfig(
         "dbo.GroupType", "group_types",
-        decimal_columns=tuple(f"{a}To{b}RelationshipMultiplier"
-                              for a in ("Leader", "NonLeader") for b in ("Leader", "NonLeader"))),
+        decimal_columns=("LeaderToLeaderRelationshipMultiplier",
+                         "LeaderToNonLeaderRelationshipMultiplier",
+                         "NonLeaderToLeaderRelationshipMultiplier",
+                         "NonLeaderToNonLeaderRelationshipMultiplier")),
     "campus": TableConfig("dbo.Campus", "campuses", decimal_columns=("TitheMetric",)),
     "connection_opportunity": TableConfig(
         "dbo.ConnectionOpportunity", "connection_opportunities"),
@@ -99,10 +100,12 @@ def session(app: str = "tallyhouse", cores: int | str = "*", **conf) -> SparkSes
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the cluster's spark.checkpoint.dir; a local temporary
-    folder only where that setting is absent, as in tests."""
+    """A new folder under the cluster's spark.checkpoint.dir. Only a local session may
+    leave that unset; it gets a folder in its warehouse."""
     base = (spark.conf.get("spark.checkpoint.dir", None)
             or spark.sparkContext.getConf().get("spark.checkpoint.dir"))
-    if base:
-        return f"{base.rstrip('/')}/{purpose}-{os.urandom(6).hex()}"
-    return tempfile.mkdtemp(prefix=f"{purpose}-")
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
+    return f"{base.rstrip('/')}/{purpose}-{os.urandom(6).hex()}"

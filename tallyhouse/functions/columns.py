@@ -209,3 +209,10 @@ def in_box(lat: ColumnOrName, lng: ColumnOrName, south, north, west, east) -> Co
     """Inside a latitude/longitude box, with missing and zero coordinates rejected."""
     la, lo = as_col(lat), as_col(lng)
     return (la != 0) & (lo != 0) & la.between(south, north) & lo.between(west, east)
+
+
+def distinct_count(column: str, where: Column | None = None) -> Column:
+    """Aggregate: distinct values, a blank counted as one value, of the rows `where` holds."""
+    c, held = F.col(column), F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    blank = F.coalesce(F.max((c.isNull() & held).cast("int")), F.lit(0))
+    return F.count_distinct(F.when(held, c)) + blank

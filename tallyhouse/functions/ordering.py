@@ -10,21 +10,29 @@ from pyspark.sql import functions as F
 from .columns import as_col
 
 
+def _tie_break(df: DataFrame, rest: Sequence[str], order: Sequence[str]) -> list[str]:
+    """The columns that can be ordered (maps cannot) and are not in `order` yet."""
+    return [f.name for f in df.schema if f.name in rest and f.name not in order
+            and "map<" not in f.dataType.simpleString()]
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key by `order`.
 
     An aggregate, not a window: map tasks keep one row per key, so a hot key
-    costs one row per task in the shuffle. A missing order value sorts first.
+    costs one row per task in the shuffle. A missing order value sorts first; rows equal
+    in `order` are told apart by their other columns, so the answer does not depend on
+    the order in which rows arrive.
     """
     rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
+    best = F.max_by(F.struct(*rest), F.struct(*order, *_tie_break(df, rest, order))).alias("_row")
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*").select(*df.columns)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first row of each key by `order`; map-side combined like latest_per_key."""
+    """The first row of each key by `order`; combined and tied like latest_per_key."""
     rest = [c for c in df.columns if c not in keys]
-    best = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
+    best = F.min_by(F.struct(*rest), F.struct(*order, *_tie_break(df, rest, order))).alias("_row")
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*").select(*df.columns)
 
 

@@ -83,11 +83,13 @@ def thumbnail(video_id):
     return F.when(c.isNotNull(), F.concat(F.lit(THUMBNAIL[0]), c, F.lit(THUMBNAIL[1])))
 
 
-def single_value(column: str):
-    """Aggregate: the value if the group has exactly one distinct value, else null.
-    Min and max replace a distinct set, so nothing is collected."""
+def single_value(column: str, blank: bool = True):
+    """Aggregate: the value if the group has exactly one distinct value, else null. A
+    blank beside another value is a second value, unless `blank` is false. Min and max
+    replace a distinct set, so nothing is collected."""
     low, high = F.min(column), F.max(column)
-    return F.when(low.eqNullSafe(high), low)
+    whole = F.count(F.col(column)) == F.count(F.lit(1)) if blank else F.lit(True)
+    return F.when(low.eqNullSafe(high) & whole, low)
 
 
 def weekly_sermon(clips: DataFrame, as_of) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import dash_if_null, month_day_text, round_down, round_up
+from ..functions.columns import (dash_if_null, distinct_count, month_day_text, round_down,
+                                 round_up)
 from ..functions.dates import (as_date, as_timestamp, dayofweek, is_sunday, meetings_in_period,
                                trailing)
 
@@ -29,15 +30,15 @@ def distinct_people(df: DataFrame, by: Sequence[str], person: str,
     two map-side combined aggregates however many conditions there are, where a
     distinct count per condition would copy the input once for each. Group columns
     that belong to the person come from `attributes` (one row per person), joined to
-    the flags rather than to the rows, so a busy person is one row by then.
+    the flags rather than to the rows, so a busy person is one row by then. A blank
+    person counts as one, without attributes.
     """
     own = [c for c in by if attributes is None or c not in attributes.columns]
     flags = [F.max(F.coalesce(c, F.lit(False))).alias(n) for n, c in conditions.items()]
     people = df.groupBy(*own, person).agg(*flags)
     if attributes is not None:
-        people = people.join(attributes, person)
-    return (people.groupBy(*by).agg(*[F.count_if(F.col(n) & F.col(person).isNotNull()).alias(n)
-                                for n in conditions]))
+        people = people.join(attributes, person, "left")
+    return people.groupBy(*by).agg(*[F.count_if(F.col(n)).alias(n) for n in conditions])
 
 
 def launch_events(steps: DataFrame, as_of, date: str = "started_at",
@@ -102,8 +103,8 @@ def active_members(members: DataFrame, type_id) -> DataFrame:
     """Distinct people and groups of one group type."""
     one = members.where(F.col("type_id") == type_id)
     return (one.groupBy("person_id", "group_id").agg(F.lit(1).alias("_"))
-            .agg(F.count_distinct("person_id").alias("active_people"),
-                 F.count_distinct("group_id").alias("active_groups")))
+            .agg(distinct_count("person_id").alias("active_people"),
+                 distinct_count("group_id").alias("active_groups")))
 
 
 def new_members(members: DataFrame, as_of, by: Sequence[str] = ("type_id",),
@@ -150,7 +151,7 @@ def social_signups(members: DataFrame, as_of, type_id) -> DataFrame:
     """Distinct people who joined a group of the type in the last 35 days."""
     since = as_timestamp(as_of) - F.expr("INTERVAL 35 DAYS")
     return (members.where((F.col("type_id") == type_id) & (F.col("created_at") >= since))
-            .agg(F.count_distinct("person_id").alias("signups")))
+            .agg(distinct_count("person_id").alias("signups")))
 
 
 def meetings_held(groups: DataFrame, as_of, by: Sequence[str] = ("meeting_rhythm",)) -> DataFrame:

@@ -25,7 +25,8 @@ REGULAR_SCHEDULE_ORDER = ("9:30am", "11:30am", "11:45am", "5pm")
 LITERAL_ORDER = ("Adults", "Door Holder", "HS", "MS", "PK", "bloom")
 # The regular event, and Christmas Eve Sundays kept out of its report.
 REGULAR_EVENT = "Sunday Gathering"
-SKIPPED_EVES = tuple(f"{y}-12-24" for y in (2016, 2017, 2019, 2020, 2021, 2022, 2023, 2024))
+SKIPPED_EVES = ("2016-12-24", "2017-12-24", "2019-12-24", "2020-12-24", "2021-12-24",
+                "2022-12-24", "2023-12-24", "2024-12-24")
 # Service slots by schedule name.
 SERVICE_SLOTS = {"9:30am Gathering": ("9:15am", "9:30am"),
                  "11:45am Gathering": ("11:00am", "11:45am")}
@@ -103,12 +104,22 @@ def date_index(hc: DataFrame, date: str = "sunday_date") -> DataFrame:
 
 def positional_previous(hc: DataFrame, order: Sequence[str], offset: int = 7) -> DataFrame:
     """The count `offset` rows earlier in a total order, and the ratio to it (zero
-    counts divide to null). The order crosses all keys, so this window has none; its
-    input is the aggregated headcount, which the calendar and the axes bound."""
-    w = Window.orderBy(*order)
-    return hc.withColumns({
-        "row_index": F.row_number().over(w) - 1,
-        "prev_week": F.lag("cnt", offset).over(w)}).withColumn(
+    counts divide to null). Rows are numbered within the first two order columns and
+    shifted by the rows of the groups before, one row per group; the earlier count is
+    found by its number. The order has to be total. `hc` is read three times."""
+    first, then = list(order[:2]), list(order[2:])
+    before = Window.orderBy(*first).rowsBetween(Window.unboundedPreceding, -1)
+    starts = hc.groupBy(*first).agg(F.count("*").alias("_n")).select(
+        *first, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    local = F.row_number().over(Window.partitionBy(*first).orderBy(*then)) - 1
+    numbered = (hc.withColumn("_local", local).alias("h").join(starts.alias("s"), [
+        F.col(f"h.{c}").eqNullSafe(F.col(f"s.{c}")) for c in first])
+        .select("h.*", (F.col("_start") + F.col("_local")).cast("int").alias("row_index"))
+        .drop("_local"))
+    earlier = numbered.select((F.col("row_index") + offset).alias("_index"),
+                              F.col("cnt").alias("prev_week"))
+    return numbered.join(earlier, F.col("row_index") == F.col("_index"), "left").drop(
+        "_index").withColumn(
         "wow", F.round(F.try_divide((F.col("cnt") - F.col("prev_week")).cast("double"),
                                     F.col("prev_week").cast("double")), 6))
 

@@ -14,16 +14,19 @@ def lookup_value(df: DataFrame, table: DataFrame, on: Mapping[str, str], value:
                  out: str) -> DataFrame:
     """Left lookup of one value by key columns ({column of df: column of table}).
 
-    Repeats of one value are fine; a key with several different values fails the
-    job when one of its rows is looked up. The table is reduced to one row per key
+    Repeats of one value are fine; a key with several different values (a blank beside
+    another is two) fails the job when one of its rows is looked up. The table is reduced to one row per key
     first, so the join never fans out.
     """
     keys = list(on.values())
-    one = table.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
-    side = one.select(*[F.col(k).alias(c) for c, k in on.items()], "_low", "_high")
-    checked = F.when(F.col("_low").eqNullSafe(F.col("_high")), F.col("_low")).otherwise(
+    one = table.groupBy(*keys).agg(
+        F.min(value).alias("_low"),
+        (F.min(value).eqNullSafe(F.max(value))
+         & F.count(F.col(value)).isin(F.lit(0), F.count(F.lit(1)))).alias("_single"))
+    side = one.select(*[F.col(k).alias(c) for c, k in on.items()], "_low", "_single")
+    checked = F.when(F.coalesce("_single", F.lit(True)), F.col("_low")).otherwise(
         F.raise_error(F.lit(f"several values of {value} for one key")))
-    return df.join(side, list(on), "left").withColumn(out, checked).drop("_low", "_high")
+    return df.join(side, list(on), "left").withColumn(out, checked).drop("_low", "_single")
 
 
 def with_context(df: DataFrame, context: DataFrame, keys: Sequence[str],

@@ -57,10 +57,21 @@ def accepted_values(df: DataFrame, column: str, values: Sequence, name: str,
 def freshness(df: DataFrame, loaded_at: str, as_of, name: str, warn: int = WARN_HOURS,
               error: int = ERROR_HOURS) -> DataFrame:
     """Hours since the newest load, and pass / warn / error."""
-    newest = df.agg(F.max(loaded_at).alias("newest"))
+    newest = df.agg(F.lit(name).alias("check_name"), F.max(loaded_at).alias("newest"))
+    return _aged(newest, as_of, warn, error)
+
+
+def freshness_by(df: DataFrame, source: str, loaded_at: str, as_of, warn: int = WARN_HOURS,
+                 error: int = ERROR_HOURS) -> DataFrame:
+    """Freshness of every source named in a column, in one scan."""
+    newest = df.groupBy(F.col(source).alias("check_name")).agg(F.max(loaded_at).alias("newest"))
+    return _aged(newest, as_of, warn, error)
+
+
+def _aged(newest: DataFrame, as_of, warn: int, error: int) -> DataFrame:
     hours = F.timestamp_diff("SECOND", "newest", as_timestamp(as_of)) / 3600
     return newest.select(
-        F.lit(name).alias("check_name"), F.floor(hours).cast("bigint").alias("hours_old"),
+        "check_name", F.floor(hours).cast("bigint").alias("hours_old"),
         F.when(F.col("newest").isNull() | (hours > error), "error")
         .when(hours > warn, "warn").otherwise("pass").alias("state"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import distinct_count
 from ..functions.dates import month_day_number
 from .audience import single_value
 
@@ -40,15 +41,15 @@ def on_day(signups: DataFrame, date: str, month_day: int, person: str, project:
     day's weekday name (blank when the years disagree)."""
     picked = month_day_number(date) == month_day
     tagged = signups.withColumn("_weekday", F.when(picked, F.date_format(date, "EEEE")))
-    return tagged.agg(F.count_distinct(project).alias("projects"),
-                      F.count_distinct(person).alias("signups"),
-                      F.count_distinct(F.when(picked, F.col(person))).alias("signups_on_day"),
-                      single_value("_weekday").alias("day_of_week"))
+    return tagged.agg(distinct_count(project).alias("projects"),
+                      distinct_count(person).alias("signups"),
+                      distinct_count(person, picked).alias("signups_on_day"),
+                      single_value("_weekday", blank=False).alias("day_of_week"))
 
 
 def by_place(signups: DataFrame, place: str, address: str, project: str,
              person: str) -> DataFrame:
     """Map points: first address, distinct projects and distinct signups per place."""
     return signups.groupBy(place).agg(F.min(address).alias("address"),
-                                      F.count_distinct(project).alias("projects"),
-                                      F.count_distinct(person).alias("signups"))
+                                      distinct_count(project).alias("projects"),
+                                      distinct_count(person).alias("signups"))

@@ -34,7 +34,7 @@ def _kept(spark, sf_dir, since=None, until=None):
                 WHEN l_linenumber % 3 = 1 THEN '11:45am' ELSE '5:00pm' END AS schedule,
            CASE l_returnflag WHEN 'A' THEN 'Adults' WHEN 'N' THEN 'Door Holder' ELSE 'MS' END
              AS literal, sum(v)::BIGINT AS cnt
-    FROM rows WHERE day(sunday_date) NOT IN (28, 29) GROUP BY 1, 2, 3, 4""")
+    FROM rows GROUP BY 1, 2, 3, 4""")
 def feed_union_regroup(spark, sf_dir):
     """Three feeds, one of them without a schedule, united by name and regrouped."""
     rows = I.headcount_rows(spark, sf_dir)
@@ -58,8 +58,7 @@ _FEEDS_SQL = f"""
                   ELSE '5:00pm' END AS schedule,
              CASE l_returnflag WHEN 'A' THEN 'Adults' WHEN 'N' THEN 'Door Holder'
                   ELSE 'MS' END AS literal,
-             {_EVENT} AS event, CAST(l_quantity AS BIGINT) AS v FROM lineitem)
-      WHERE day(sunday_date) NOT IN (28, 29)),
+             {_EVENT} AS event, CAST(l_quantity AS BIGINT) AS v FROM lineitem)),
     grouped AS (SELECT sunday_date, campus, schedule, literal, city, event,
                        sum(v)::BIGINT AS cnt FROM rows GROUP BY ALL)"""
 
@@ -643,7 +642,7 @@ _SPECIAL_SQL = f"""{HOLIDAY_SQL},
                               ELSE 'Online' END AS campus, l_returnflag AS literal,
                          l_linenumber, CAST(l_quantity AS BIGINT) AS v FROM lineitem)
                  JOIN hol USING (sunday_date)
-            WHERE day(sunday_date) NOT IN (28, 29) GROUP BY ALL)"""
+            GROUP BY ALL)"""
 
 
 def _comparison_sql(event: str, year: int) -> str:
@@ -720,21 +719,21 @@ def holiday_series(spark, sf_dir):
 
 @query("schedule_rank", f"""
     WITH {_SPECIAL_SQL},
-    b AS (SELECT literal, year, schedule, schedule_sort, sum(cnt)::BIGINT AS v FROM spl
-          WHERE event = 'Easter' GROUP BY ALL)
-    SELECT literal, year, schedule, v,
-           (SELECT count(*) FROM b o WHERE o.literal = b.literal AND o.year = b.year
-              AND o.schedule_sort <= b.schedule_sort) AS rank FROM b""")
+    b AS (SELECT event, literal, year, schedule, schedule_sort, sum(cnt)::BIGINT AS v FROM spl
+          GROUP BY ALL)
+    SELECT event, literal, year, schedule, v,
+           (SELECT count(*) FROM b o WHERE o.event = b.event AND o.literal = b.literal
+              AND o.year = b.year AND o.schedule_sort <= b.schedule_sort) AS rank FROM b""")
 def schedule_rank(spark, sf_dir):
-    """Running rank of services within (ministry, year); ties share the higher rank."""
+    """Running rank of services within (holiday, ministry, year); ties share the higher rank."""
     from pyspark.sql import Window
 
-    base = (_special(spark, sf_dir).where("event = 'Easter'")
-            .groupBy("literal", "year", "schedule", "schedule_sort")
+    base = (_special(spark, sf_dir).groupBy("event", "literal", "year", "schedule", "schedule_sort")
             .agg(F.sum("cnt").alias("v")))
-    upto = Window.partitionBy("literal", "year").orderBy("schedule_sort").rangeBetween(
+    upto = Window.partitionBy("event", "literal", "year").orderBy("schedule_sort").rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
-    return base.select("literal", "year", "schedule", "v", F.count("*").over(upto).alias("rank"))
+    return base.select("event", "literal", "year", "schedule", "v",
+                       F.count("*").over(upto).alias("rank"))
 
 
 @query("easter_dates", f"""

@@ -16,8 +16,7 @@ from pyspark.sql.types import StructType
 from ..functions.dates import as_date, week_ending_sunday
 from ..operators import staging as S
 
-# Sundays inside the data; 2000-05-28 is a dropped week, so the Sunday before
-# AS_OF that gathered is 2000-05-21.
+# Sundays inside the data.
 AS_OF = "2000-06-04"
 EVENTS_AS_OF = "2024-01-28"
 CAMPUSES = ("A", "B", "C")
@@ -58,16 +57,14 @@ def as_bronze(df: DataFrame, model: S.Model) -> DataFrame:
 # --- headcount -----------------------------------------------------------------
 
 HC_SQL = """hc AS (
-  SELECT * FROM (
-    SELECT CAST(date_trunc('week', l_shipdate) AS DATE) + 6 AS sunday_date,
-           CASE l_suppkey % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C'
-                ELSE 'Online' END AS campus,
-           l_returnflag AS literal,
-           CASE l_linenumber % 3 WHEN 0 THEN '9:30am' WHEN 1 THEN '11:45am'
-                ELSE '5:00pm' END AS schedule,
-           CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS cnt
-    FROM lineitem GROUP BY 1, 2, 3, 4)
-  WHERE day(sunday_date) NOT IN (28, 29))"""
+  SELECT CAST(date_trunc('week', l_shipdate) AS DATE) + 6 AS sunday_date,
+         CASE l_suppkey % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C'
+              ELSE 'Online' END AS campus,
+         l_returnflag AS literal,
+         CASE l_linenumber % 3 WHEN 0 THEN '9:30am' WHEN 1 THEN '11:45am'
+              ELSE '5:00pm' END AS schedule,
+         CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS cnt
+  FROM lineitem GROUP BY 1, 2, 3, 4)"""
 
 CAMPUS_EXPR = ("CASE l_suppkey % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' "
                "ELSE 'Online' END")
@@ -86,14 +83,12 @@ def shipped_between(lineitem: DataFrame, since=None, until=None) -> DataFrame:
 
 
 def headcount_rows(spark: SparkSession, sf_dir: str, since=None, until=None) -> DataFrame:
-    """Line items as headcount entries, before aggregation. Weeks whose Sunday falls
-    on day 28 or 29 did not gather."""
-    rows = shipped_between(table(spark, sf_dir, "lineitem"), since, until).select(
+    """Line items as headcount entries, before aggregation."""
+    return shipped_between(table(spark, sf_dir, "lineitem"), since, until).select(
         week_ending_sunday(F.to_date("l_shipdate")).alias("sunday_date"),
         F.expr(CAMPUS_EXPR).alias("campus"), F.col("l_returnflag").alias("literal"),
         F.expr(SCHEDULE_EXPR).alias("schedule"), F.col("l_linenumber"),
         F.col("l_quantity").cast("bigint").alias("value"))
-    return rows.where(~F.dayofmonth("sunday_date").isin(28, 29))
 
 
 def headcount(spark: SparkSession, sf_dir: str, since=None, until=None) -> DataFrame:

@@ -382,16 +382,21 @@ def first_time_week(spark, sf_dir):
     return audience.first_time_by_week(first, "1995-06-04")
 
 
-@query("single_value_or_null", f"""
-    WITH {I.HC_SQL}
-    SELECT sunday_date, campus,
-           CASE WHEN count(DISTINCT schedule) = 1 THEN max(schedule) END AS only_schedule,
+@query("single_value_or_null", """
+    WITH s AS (SELECT l_orderkey, l_returnflag AS literal,
+                      nullif(l_linestatus, 'O') AS schedule FROM lineitem)
+    SELECT l_orderkey,
+           CASE WHEN count(DISTINCT schedule) + CAST(count(*) > count(schedule) AS INT) = 1
+                THEN max(schedule) END AS only_schedule,
            coalesce(CASE WHEN count(DISTINCT literal) = 1 THEN max(literal) END, 'All Ministries')
              AS title
-    FROM hc WHERE cnt > 150 GROUP BY sunday_date, campus""")
+    FROM s GROUP BY l_orderkey""")
 def single_value_or_null(spark, sf_dir):
-    hc = I.headcount(spark, sf_dir).where("cnt > 150")
-    return hc.groupBy("sunday_date", "campus").agg(
+    """The one schedule and ministry of each order's lines; a blank is a value too."""
+    rows = I.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_returnflag").alias("literal"),
+        F.nullif("l_linestatus", F.lit("O")).alias("schedule"))
+    return rows.groupBy("l_orderkey").agg(
         audience.single_value("schedule").alias("only_schedule"),
         F.coalesce(audience.single_value("literal"), F.lit("All Ministries")).alias("title"))
 
@@ -403,7 +408,7 @@ _CLIPS = {"video_id": "CAST(user_id AS STRING)", "title": "concat('Talk - ', use
 @query("weekly_sermon", f"""
     WITH c AS (SELECT 'Talk - ' || user_id AS title, CAST(user_id AS VARCHAR) AS video_id,
                       CAST(floor(value * 10) AS BIGINT) AS views FROM events
-               WHERE CAST(ts AS DATE) BETWEEN {DAY} AND {DAY} + 1 AND value > 250),
+               WHERE CAST(ts AS DATE) BETWEEN {DAY} AND {DAY} + 1),
     one AS (SELECT CASE WHEN count(DISTINCT title) = 1 THEN max(title) END AS raw_title,
                    sum(views)::BIGINT AS views,
                    CASE WHEN count(DISTINCT video_id) = 1 THEN max(video_id) END AS video_id FROM c)
@@ -414,5 +419,5 @@ _CLIPS = {"video_id": "CAST(user_id AS STRING)", "title": "concat('Talk - ', use
     FROM one""")
 def weekly_sermon(spark, sf_dir):
     """The clips of one Sunday and Monday: blank unless exactly one title was released."""
-    clips = I.mapped(I.table(spark, sf_dir, "events").where("value > 250"), _CLIPS)
+    clips = I.mapped(I.table(spark, sf_dir, "events"), _CLIPS)
     return audience.weekly_sermon(clips, I.EVENTS_AS_OF)

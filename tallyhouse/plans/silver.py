@@ -269,10 +269,9 @@ _MINISTRIES = {"p": ("purchase",), "b": ("signup",), "d": ("view", "click")}
 @query("ministry_codes", """
     SELECT event_type, CASE event_type WHEN 'purchase' THEN 'p' WHEN 'signup' THEN 'b'
              WHEN 'view' THEN 'd' WHEN 'click' THEN 'd' END AS code, count(*) AS n
-    FROM events WHERE event_type <> 'signup' OR value > 50 GROUP BY 1, 2""")
+    FROM events GROUP BY 1, 2""")
 def ministry_codes(spark, sf_dir):
-    rows = I.table(spark, sf_dir, "events").where(
-        not_in("event_type", ["signup"]) | (F.col("value") > 50))
+    rows = I.table(spark, sf_dir, "events")
     code = journey.ministry_code("event_type", _MINISTRIES)
     return rows.groupBy("event_type", code.alias("code")).agg(F.count("*").alias("n"))
 

@@ -64,22 +64,18 @@ def scan_since_mark(source: DataFrame, config: TableConfig, log: DataFrame, view
 
 def history_incremental(history: DataFrame, as_of, person: str = "PersonId",
                         effective: str = "EffectiveDate", row_id: str = "Id",
-                        hours: int = LOOKBACK_HOURS, versions: int = 2,
-                        few: int = 1_000_000) -> DataFrame:
+                        hours: int = LOOKBACK_HOURS, versions: int = 2) -> DataFrame:
     """The newest versions of every person whose newest version is inside the window.
 
     A person's newest version is inside the window exactly when some version is, so
-    the changed people come from a pushed-down filter. Up to `few` of them (they are
-    counted first) are broadcast, and only their rows are ranked. Beyond that, every
-    person is cut to their newest versions before the join: the rank limit runs
-    before its shuffle, so a person with very many versions never fills one task.
+    the changed people come from a pushed-down filter. Every person is cut to their
+    newest versions before the join: the rank limit runs before its shuffle, so a person
+    with very many versions never fills one task, and the optimizer broadcasts the
+    changed people where their size allows it.
     """
     since = as_timestamp(as_of) - F.expr(f"INTERVAL {hours} HOURS")
     changed = history.where(F.col(effective) >= since).select(person).distinct()
     newest_first = [F.desc(effective), F.desc(row_id)]
-    if changed.limit(few + 1).count() <= few:
-        rows = history.join(F.broadcast(changed), person, "left_semi")
-        return top_per_key(rows, [person], newest_first, versions)
     newest = top_per_key(history, [person], newest_first, versions)
     return newest.join(changed, person, "left_semi")
 

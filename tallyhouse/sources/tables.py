@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import TABLES, TableConfig
 from ..functions.ordering import latest_per_key
@@ -152,34 +153,86 @@ def folder_of(spark: SparkSession, name: str) -> str:
     return spark.sql(f"SHOW TBLPROPERTIES {name} ('folder')").first()["value"]
 
 
+def _of_partitions(rows: DataFrame, partition: str, values: DataFrame) -> DataFrame:
+    """Rows whose partition is among `values` (a blank one matches a blank one). A join,
+    so no list is collected and the scan prunes partitions while it runs."""
+    wanted = values.select(F.col(partition).alias("_wanted")).distinct()
+    return rows.join(wanted, F.col(partition).eqNullSafe(F.col("_wanted")), "left_semi")
+
+
+def _drop_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def upsert_partitions(staged: DataFrame, path: str, keys: Sequence[str], partition: str,
-                      update: Sequence[str] | None = None) -> None:
+                      update: Sequence[str] | None = None, fixed: bool = False) -> None:
     """Upsert into a partitioned Parquet folder, rewriting only touched partitions.
 
-    `partition` must be fixed for a key (a creation month, say), so an existing row
-    can only be in a partition the batch names. The partition values of one batch
-    are few and are the only thing collected.
+    Touched are the partitions the batch names and those that hold its keys now, which a
+    scan of the key columns finds: a row whose partition value has changed moves. With
+    `fixed` the caller states that the value never changes for a key (a creation month)
+    and the scan is left out. A blank partition value is a partition of its own. Each
+    partition is overwritten on its own, so a lost job may leave some old and some new;
+    merging the same batch again sets that right, as stored rows of its keys are replaced
+    wherever they are.
     """
-    spark = staged.sparkSession
-    touched = [r[0] for r in staged.select(partition).distinct().collect()]
-    target = spark.read.parquet(path).where(F.col(partition).isin(touched))
-    merged = _laid_out(merge_upsert(target, staged, keys, update), partition)
-    (merged.write.partitionBy(partition)
+    spark, keys = staged.sparkSession, list(keys)
+    # Folder names do not tell the partition's type when they are all blank; the batch does.
+    stored_as = T.StructType([
+        T.StructField(f.name, staged.schema[f.name].dataType) if f.name == partition else f
+        for f in spark.read.parquet(path).schema])
+    target = spark.read.schema(stored_as).parquet(path)
+    batch_keys = staged.select(*keys).distinct()
+    touched = staged.select(partition)
+    if not fixed:
+        touched = touched.unionByName(target.select(*keys, partition).join(
+            batch_keys, keys, "left_semi").select(partition))
+    old = _of_partitions(target, partition, touched)
+    stored = old.join(batch_keys, keys, "left_semi")
+    matched = latest_per_key(stored, keys, [c for c in target.columns if c not in keys])
+    merged = old.join(batch_keys, keys, "left_anti").unionByName(
+        merge_upsert(matched, staged, keys, update))
+    emptied: list[str] = []
+    if not fixed:
+        # Partitions that only held rows which move away: few, and usually none.
+        located = target.select(*keys, F.col(partition).alias("_from"), F.regexp_replace(
+            F.col("_metadata.file_path"), "/[^/]*$", "").alias("_folder"))
+        left = (located.join(staged.select(*keys, partition), keys)
+                .where(~F.col(partition).eqNullSafe(F.col("_from")))
+                .select("_from", "_folder").distinct())
+        stay = merged.select(F.col(partition).alias("_stay")).distinct()
+        emptied = [r["_folder"] for r in left.join(
+            stay, F.col("_from").eqNullSafe(F.col("_stay")), "left_anti").collect()]
+    (_laid_out(merged, partition).write.partitionBy(partition)
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
+    _drop_folders(spark, emptied)
 
 
 def reconcile(spark: SparkSession, name: str, current_keys: DataFrame, pk: str,
-              folder: str | None = None) -> int:
-    """The delete pass: rewrite a published table without the rows gone at the source.
-    Returns how many were removed; a table that lost nothing is left as it is."""
+              folder: str | None = None, allow_empty: bool = False) -> int:
+    """The delete pass: a published table without the rows gone at the source. Returns how
+    many were removed; a table that lost nothing is left as it is, and of a table kept by
+    month only the months that lost rows are rewritten. A source without any key would
+    empty the table, so that has to be asked for."""
     stored = spark.table(name)
-    removed = deleted_rows(stored, current_keys, pk).count()
-    if removed:
-        kept = remove_deleted(stored, current_keys, pk)
-        if folder is None:
-            publish(kept, name)
-        else:
-            publish_folder(kept, name, folder)
+    if not allow_empty and current_keys.where(F.col(pk).isNotNull()).isEmpty():
+        raise ValueError(f"the source of {name} has no keys: nothing is deleted")
+    gone = deleted_rows(stored, current_keys, pk)
+    removed = gone.count()
+    if removed and folder is None:
+        publish(remove_deleted(stored, current_keys, pk), name)
+    elif removed:
+        path = folder_of(spark, name)
+        target = spark.read.parquet(path)
+        lost = deleted_rows(target, current_keys, pk).select(MONTH)
+        kept = remove_deleted(_of_partitions(target, MONTH, lost), current_keys, pk)
+        months = [r[0] for r in lost.distinct().join(
+            kept.select(MONTH).distinct(), MONTH, "left_anti").collect()]  # months now empty
+        (_laid_out(kept, MONTH).write.partitionBy(MONTH)
+         .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
+        _drop_folders(spark, [f"{path}/{MONTH}={m}" for m in months])
     return removed
 
 
@@ -218,7 +271,7 @@ def load_table(spark: SparkSession, source: DataFrame, config: TableConfig, as_o
             key = [config.primary_key]
             if monthly:
                 upsert_partitions(with_month(staged, config.partition_column),
-                                  folder_of(spark, name), key, MONTH, update)
+                                  folder_of(spark, name), key, MONTH, update, fixed=True)
             else:
                 publish(merge_upsert(spark.table(name), staged, key, update), name)
     finally:

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import LOOKBACK_HOURS
 from ..functions.ordering import latest_per_key
-from ..sources.tables import upsert_partitions
+from ..sources.tables import missing_only, upsert_partitions
 
 
 def landed_stream(spark: SparkSession, folder: str, schema: T.StructType,
@@ -30,15 +30,27 @@ def within_lookback(stream: DataFrame, key: str, modified: str,
 def upsert_stream(stream: DataFrame, path: str, key: str, modified: str, partition: str,
                   checkpoint: str) -> StreamingQuery:
     """Merge each micro-batch into a partitioned Parquet folder, then stop when the
-    landed files are used up. A batch keeps the newest row per key, and merging it
-    again changes nothing, so a batch replayed after a failure is harmless."""
+    landed files are used up. A batch keeps the newest row per key (of equal times the
+    one with the greatest other columns), and merging it again changes nothing, so a
+    batch replayed after a failure is harmless. An edit may change the partition value:
+    the row moves."""
     def merge(batch: DataFrame, _: int) -> None:
-        upsert_partitions(latest_per_key(batch, [key], [modified]), path, [key], partition)
+        newest = latest_per_key(batch, [key], [modified]).persist()  # read several times
+        upsert_partitions(newest, path, [key], partition)
+        newest.unpersist()
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def repair_late(landed: DataFrame, path: str, key: str, modified: str) -> None:
+    """Add the landed rows that the look-back dropped as late: each (key, time) that the
+    folder lacks, once. The answer then no longer depends on how files were batched."""
+    stored = landed.sparkSession.read.schema(landed.schema).parquet(path)
+    late = missing_only(landed.dropDuplicates([key, modified]), stored, [key, modified])
+    late.write.mode("append").parquet(path)
+
+
 # Windows are aligned to the epoch, a Thursday: four days later is a Monday.
 MONDAY_OFFSET = "4 days"
 

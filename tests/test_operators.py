@@ -497,3 +497,33 @@ def test_extracts_list_each_needed_column_once():
         assert c.columns[0] == "Id" and len(set(c.columns)) == len(c.columns)
         assert c.modified_column is None or c.modified_column in c.columns
     assert "CreatedDateTime" in configs["attendance"].columns
+
+
+def test_blank_is_a_value(spark):
+    from tallyhouse.functions.columns import distinct_count
+    from tallyhouse.operators import audience, engagement, lookup
+
+    df = spark.createDataFrame([("a", "x"), ("a", None), ("b", "y"), ("b", "y"), ("c", None)],
+                               "k string, v string")
+    got = {r.k: r.one for r in df.groupBy("k").agg(audience.single_value("v").alias("one"))
+           .collect()}
+    assert got == {"a": None, "b": "y", "c": None}
+    assert df.agg(distinct_count("v").alias("n")).first().n == 3
+    members = spark.createDataFrame([(1, 7, 34), (None, 7, 34)],
+                                    "person_id int, group_id int, type_id int")
+    assert tuple(engagement.active_members(members, 34).first()) == (2, 1)
+    keys = spark.createDataFrame([("b",), ("c",), ("z",)], "k string")
+    out = lookup.lookup_value(keys, df, {"k": "k"}, "v", "found")
+    assert {r.k: r.found for r in out.collect()} == {"b": "y", "c": None, "z": None}
+    with pytest.raises(Exception, match="several values"):
+        lookup.lookup_value(df, df, {"k": "k"}, "v", "found").collect()
+
+
+def test_latest_row_of_equal_times_does_not_depend_on_order(spark):
+    from tallyhouse.functions.ordering import first_per_key, latest_per_key
+
+    rows = [(1, 5, "a"), (1, 5, "b")]
+    for data in (rows, rows[::-1]):
+        df = spark.createDataFrame(data, "id int, t int, v string")
+        assert latest_per_key(df, ["id"], ["t"]).first().v == "b"
+        assert first_per_key(df, ["id"], ["t"]).first().v == "a"

@@ -137,10 +137,9 @@ def test_history_increment_keeps_two_versions_of_changed_people(spark):
         [(1, 1, at(2024, 1, 1)), (2, 1, at(2024, 1, 5)), (3, 1, at(2024, 1, 9, 12)),
          (4, 1, at(2024, 1, 9, 12)), (5, 2, at(2024, 1, 1)), (6, 3, at(2024, 1, 9, 20))],
         "Id int, PersonId int, EffectiveDate timestamp")
-    for few in (10, 0):  # broadcast, and ranked before the join
-        out = bronze.history_incremental(df, "2024-01-10 00:00:00", few=few)
-        assert sorted((r.PersonId, r.Id, r.rn) for r in out.collect()) == [
-            (1, 3, 2), (1, 4, 1), (3, 6, 1)]
+    out = bronze.history_incremental(df, "2024-01-10 00:00:00")
+    assert sorted((r.PersonId, r.Id, r.rn) for r in out.collect()) == [
+        (1, 3, 2), (1, 4, 1), (3, 6, 1)]
 
 
 def test_load_table_full_incremental_and_delete_pass(spark):
@@ -235,9 +234,25 @@ def test_monthly_table_rewrites_only_touched_months(spark, tmp_path):
     assert rows(spark.table("monthly_facts").select("id", "v", "_month")) == [
         (1, "a", 202401), (2, "B", 202402), (3, "c", 0), (4, "d", 202403)]
     assert files and files == sorted(p.name for p in january.iterdir())
-    # The delete pass moves to a new folder; one that finds nothing leaves the table alone.
+    # The delete pass drops months that it empties and leaves the others alone.
+    february = january.parent / "_month=202402"
+    before = sorted(p.name for p in february.iterdir())
     assert tables.reconcile(spark, "monthly_facts", first.where("id <> 1"), "id", folder) == 2
-    moved = tables.folder_of(spark, "monthly_facts")
-    assert moved != path and rows(spark.table("monthly_facts").select("id")) == [(2,), (3,)]
+    assert tables.folder_of(spark, "monthly_facts") == path
+    assert rows(spark.table("monthly_facts").select("id")) == [(2,), (3,)]
+    assert before == sorted(p.name for p in february.iterdir()) and not january.exists()
     assert tables.reconcile(spark, "monthly_facts", first, "id", folder) == 0
-    assert tables.folder_of(spark, "monthly_facts") == moved
+    with pytest.raises(ValueError, match="no keys"):
+        tables.reconcile(spark, "monthly_facts", first.where("id < 0"), "id", folder)
+
+
+def test_partitioned_upsert_keeps_blank_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    cols = "id int, v string, day int"
+    tables.write_folder(spark.createDataFrame([(1, "a", None), (2, "b", None), (3, "c", 5)],
+                                              cols), path, "day")
+    batch = spark.createDataFrame([(9, "n", None), (3, "moved", None)], cols)
+    for _ in range(2):  # a replay changes nothing
+        tables.upsert_partitions(batch, path, ["id"], "day")
+        got = spark.read.schema(cols).parquet(path).select("id", "v", "day")
+        assert rows(got) == [(1, "a", None), (2, "b", None), (3, "moved", None), (9, "n", None)]

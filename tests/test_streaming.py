@@ -36,6 +36,50 @@ def test_upsert_stream_is_incremental_and_replayable(spark, tmp_path):
     assert run("c2") == [(1, "b"), (2, "y"), (3, "z")]
 
 
+def test_upsert_stream_moves_rows_and_keeps_blank_days(spark, tmp_path):
+    src, table = str(tmp_path / "src"), str(tmp_path / "table")
+    spark.createDataFrame([], SCHEMA).write.parquet(table)
+    blank = dt.datetime(2024, 1, 1, 1)
+    land(spark, src, [row(1, "a", 1), row(4, "only", 1, day=3), (2, "n", blank, None),
+                      (3, "m", blank, None)])
+    schema = spark.read.parquet(src).schema
+
+    def run(checkpoint):
+        stream = ingest.landed_stream(spark, src, schema)
+        ingest.upsert_stream(stream, table, "id", "changed", "day",
+                             str(tmp_path / checkpoint)).awaitTermination()
+        return sorted((r.id, r.v, r.day.day if r.day else None)
+                      for r in spark.read.schema(schema).parquet(table).collect())
+
+    assert run("c1") == [(1, "a", 1), (2, "n", None), (3, "m", None), (4, "only", 3)]
+    # Row 1 moves to day 2, row 4 leaves its day empty, row 2 is edited without a day; of two
+    # versions with one time the greater wins whatever their order.
+    land(spark, src, [row(1, "b", 5, day=2), row(4, "moved", 5, day=2),
+                      (2, "x", dt.datetime(2024, 1, 1, 9), None),
+                      (2, "z", dt.datetime(2024, 1, 1, 9), None)])
+    after = [(1, "b", 2), (2, "z", None), (3, "m", None), (4, "moved", 2)]
+    assert run("c1") == after
+    assert run("c2") == after
+
+
+def test_late_rows_are_repaired(spark, tmp_path):
+    src = str(tmp_path / "src")
+    land(spark, src, [row(2, "b", 1, day=4)])
+    schema = spark.read.parquet(src).schema
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+    for rows in ([], [row(9, "late", 1), row(2, "b", 1, day=4)]):
+        if rows:
+            land(spark, src, rows)
+        stream = ingest.landed_stream(spark, src, schema, files_per_trigger=1)
+        (ingest.within_lookback(stream, "id", "changed").writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", check)
+         .trigger(availableNow=True).start()).awaitTermination()
+    landed = spark.read.schema(schema).parquet(src)
+    for _ in range(2):
+        ingest.repair_late(landed, out, "id", "changed")
+        assert sorted(r.id for r in spark.read.schema(schema).parquet(out).collect()) == [2, 9]
+
+
 def test_dedupe_within_lookback_and_late_rows(spark, tmp_path):
     src = str(tmp_path / "src")
     land(spark, src, [row(1, "a", 1), row(1, "a", 1), row(2, "b", 1, day=4)])
