@@ -82,6 +82,7 @@ class Memo(dict):
     def __init__(self, compute: Callable, limit: int = 150_000, longest: int = 40):
         self.compute, self.limit, self.longest = compute, limit, longest
         self.older: dict = {}
+        self.long: list = []
 
     def put(self, key, value) -> None:
         if len(key) <= self.longest:
@@ -97,22 +98,20 @@ class Memo(dict):
         self.put(key, value)
         return value
 
-    def all_of(self, keys: Iterable, compute: Callable) -> dict:
-        """Values of the distinct keys; those it lacks are computed in one call."""
-        found, new = {}, []
-        for key in keys:
-            value = self.get(key)
-            if value is None:
-                value = self.older.get(key)
-                if value is None:
-                    new.append(key)
-                    continue
-                self.put(key, value)
-            found[key] = value
-        for key, value in compute(new).items():
-            found[key] = value
-            self.put(key, value)
-        return found
+    def with_all(self, keys: set, compute: Callable) -> dict:
+        """Itself, holding all of `keys`; those it lacks are computed in one call. Beyond
+        `limit` it holds no more than the keys of one call, long ones only until the next."""
+        for key in self.long:
+            self.pop(key, None)
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
+        new = keys - self.keys()
+        old = [key for key in new if key in self.older]
+        self.update(zip(old, map(self.older.__getitem__, old)))
+        self.update(compute(list(new.difference(old))))
+        self.long = [key for key in new if len(key) > self.longest]
+        return self
 
 
 def slices(batches: Iterable[pa.RecordBatch], chars: int = 8 << 20,

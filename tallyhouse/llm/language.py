@@ -180,7 +180,7 @@ class Scorer:
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         counted = [Counter(words_of(t)) if t else {} for t in texts]
-        logs = self.memo.all_of({w for c in counted for w in c}, self.score)
+        logs = self.memo.with_all(set().union(*counted), self.score)
         out = []
         for c in counted:
             known = [(v, n) for w, n in c.items() if (v := logs[w]) is not False]

@@ -9,6 +9,7 @@ saved. Only the last bin of a group can stay badly filled.
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,27 +26,50 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .byte_bpe import CHUNK
 from .common import Memo, checkpointed, file_bytes, id_text, ship, slices
 
+# Fixed value: the pattern of the byte-level pre-tokeniser.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END = (0).to_bytes(4, "little")
 
 
+def byte_of_char() -> dict[str, int]:
+    """How a byte-level file writes bytes: printable Latin-1 as itself, the others by the
+    characters from U+0100 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def ranks_of(data: bytes) -> dict[bytes, int]:
+    """The vocabulary of a byte-level tokenizers file as merge ranks, special tokens left
+    out (their strings are ordinary text). Merging by rank is the file's own rule if each
+    merge makes the token of the next id, which is checked."""
+    file, byte = json.loads(data), byte_of_char()
+    vocabulary, special = file["model"]["vocab"], {t["content"] for t in file["added_tokens"]}
+    for i, pair in enumerate(file["model"]["merges"]):
+        left, right = pair.split(" ") if isinstance(pair, str) else pair
+        if vocabulary[left + right] != 256 + i:
+            raise ValueError("the file's merges are not in the order of its ids")
+    return {bytes(byte[c] for c in token): i for token, i in vocabulary.items()
+            if token not in special}
+
+
 class FileEncoder:
     """Ids by a tokenizers file whose pre-tokeniser is the byte-level one.
 
     Texts are cut into chunks that no token crosses; common chunks are looked up. New ones
-    go to the library joined by line ends, which have an id of their own there.
+    are encoded joined by line ends, which have an id of their own there. The file's merges
+    are run by tiktoken, whose results for it are those of the tokenizers library (tested on
+    every token and on whole texts) at a fifth of the time.
     """
 
     def __init__(self, data: bytes):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(data.decode())
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.line_end = self.batch(["\n"])[0][0]
+        self.tokenizer = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks_of(data),
+                                           special_tokens={})
+        self.line_end = int(self.batch(["\n"])[0][0])
         self.chunks = Memo(None, 250_000)
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in
-                self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(self.tokenizer.encode_ordinary(t), "<u4") for t in texts]
 
     def ids(self, chunks: list[str], together: int = 500) -> dict[str, bytes]:
         spaces = [c for c in chunks if c.isspace()]
@@ -62,7 +87,7 @@ class FileEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [CHUNK.findall(t) for t in texts]
-        found = self.chunks.all_of({c for chunks in cut for c in chunks}, self.ids)
+        found = self.chunks.with_all(set().union(*cut), self.ids)
         return [b"".join(map(found.__getitem__, chunks)) for chunks in cut]
 
 

@@ -74,7 +74,7 @@ class Counter:
     def texts(self, texts: list[str]) -> list[tuple[int, int]]:
         """(tokens, pre-tokens) of each text."""
         cut = [PRE_TOKEN.findall(t) for t in texts]
-        found = self.memo.all_of({w for words in cut for w in words}, self.marked)
+        found = self.memo.with_all(set().union(*cut), self.marked)
         return [(sum(map(found.__getitem__, words)), len(words)) for words in cut]
 
     def marked(self, words: list[str]) -> dict[str, int]:
