@@ -70,10 +70,10 @@ def stream_dedupe(spark, sf_dir, files_per_trigger=4):
             .option("path", f"{folder}/table").option("checkpointLocation", f"{folder}/checkpoint")
             .trigger(availableNow=True).start())
     done.awaitTermination()
-    ingest.repair_late(spark.read.schema(schema).parquet(f"{folder}/landed"),
-                       f"{folder}/table", "event_id", "ts")
-    return (spark.read.schema(schema).parquet(f"{folder}/table").groupBy("day")
-            .agg(F.count("*").alias("events")))
+    whole = ingest.with_late(spark.read.schema(schema).parquet(f"{folder}/table"),
+                             spark.read.schema(schema).parquet(f"{folder}/landed"),
+                             "event_id", "ts")
+    return whole.groupBy("day").agg(F.count("*").alias("events"))
 
 
 @query("weekly_audience_windows", """

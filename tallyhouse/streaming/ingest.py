@@ -43,12 +43,12 @@ def upsert_stream(stream: DataFrame, path: str, key: str, modified: str, partiti
             .trigger(availableNow=True).start())
 
 
-def repair_late(landed: DataFrame, path: str, key: str, modified: str) -> None:
-    """Add the landed rows that the look-back dropped as late: each (key, time) that the
-    folder lacks, once. The answer then no longer depends on how files were batched."""
-    stored = landed.sparkSession.read.schema(landed.schema).parquet(path)
-    late = missing_only(landed.dropDuplicates([key, modified]), stored, [key, modified])
-    late.write.mode("append").parquet(path)
+def with_late(stored: DataFrame, landed: DataFrame, key: str, modified: str) -> DataFrame:
+    """The stream's output with the landed rows that the look-back dropped as late: each
+    (key, time) that the output lacks, once. The answer then no longer depends on how
+    files were batched."""
+    return stored.unionByName(missing_only(
+        landed.dropDuplicates([key, modified]), stored, [key, modified]))
 
 
 # Windows are aligned to the epoch, a Thursday: four days later is a Monday.
