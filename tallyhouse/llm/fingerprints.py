@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import Memo, id_text, ship, slices
+from .common import id_text, ship, slices
 from .near_dedup import MIX, mixed
 
 BUCKETS = 1 << 18
@@ -32,12 +32,13 @@ BAND = (1.5, 8.0)  # inverse document frequency, natural logarithm
 
 _rng = np.random.Generator(np.random.PCG64(7))
 SALTS = _rng.integers(0, 1 << 63, FAMILIES, np.uint64)
-_TERMS = Memo(xxhash.xxh3_64_intdigest, 300_000)
+# How many zeros a number below 2**(LEVELS - 1) ends with, LEVELS - 1 at most.
+ZEROS = np.array([LEVELS - 1] + [(i & -i).bit_length() - 1 for i in range(1, 1 << LEVELS - 1)])
 
 def terms(text: str) -> np.ndarray:
     """Sorted hashes of the distinct lower-case terms."""
     found = set(text.lower().split())
-    return np.unique(np.fromiter(map(_TERMS.__getitem__, found), np.uint64, len(found)))
+    return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)))
 
 def document_frequencies(docs: DataFrame) -> np.ndarray:
     """Documents that hold a term of each bucket, over all documents; BUCKETS numbers."""
@@ -73,14 +74,16 @@ def subset_hashes(text: str, inside: np.ndarray) -> np.ndarray:
     kept = found[inside[(found % np.uint64(BUCKETS)).astype(np.int64)]]
     if len(kept):
         found = kept
-    h = mixed((found[:, None] ^ SALTS) * MIX) | np.uint64(1 << (LEVELS - 1))
-    level = np.log2((h & (~h + np.uint64(1))).astype(np.float64)).astype(np.int64)
+    h = mixed((found[:, None] ^ SALTS) * MIX)
+    level = ZEROS[(h & np.uint64(len(ZEROS) - 1)).astype(np.intp)]
     cell = (level * FAMILIES + np.arange(FAMILIES)).ravel()
-    sums = [np.bincount(cell, x.ravel().astype(np.float64), SUBSETS).reshape(LEVELS, FAMILIES)
-            for x in (h >> np.uint64(32), h & np.uint64(0xFFFFFFFF), np.ones_like(h))]
-    high, low, members = (x[::-1].cumsum(axis=0)[::-1] for x in sums)  # exact below 2**53
-    total = high.astype(np.uint64) * MIX + low.astype(np.uint64)
-    return np.where(members > 0, (mixed(total) & np.uint64(0xFFFF)).astype(np.int64), -1)
+    sums = np.bincount(cell, (h >> np.uint64(32)).astype(np.float64).ravel(), SUBSETS)
+    members = np.bincount(cell, minlength=SUBSETS)
+    # Of each level and the rarer ones after it; exact below 2**53.
+    total, members = (x.reshape(LEVELS, FAMILIES)[::-1].cumsum(axis=0)[::-1]
+                      for x in (sums, members))
+    hashes = mixed(total.astype(np.uint64) + MIX) & np.uint64(0xFFFF)
+    return np.where(members > 0, hashes.astype(np.int64), -1)
 
 
 def as_text(hashes: np.ndarray) -> str:
