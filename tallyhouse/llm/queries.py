@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (byte_bpe, exact_dedup, fingerprints, language, licenses, near_dedup, packing,
-               pii, secrets, token_count)
+               pii, secret_scan, token_count)
 from .common import table
 from .registry import QUERIES, SQL, query
 
@@ -90,7 +90,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_secrets")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
+    return secret_scan.report(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
 _TEMPLATES = ", ".join("('" + name + "', '" + text.replace("'", "''") + "')"
