@@ -179,12 +179,14 @@ class Scorer:
         return {w: sum(parts[b] for b in cut[w]) if w in cut else False for w in words}
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        if not self.languages:
+            return [(UNDECIDED, 0.0)] * len(texts)
         counted = [Counter(words_of(t)) if t else {} for t in texts]
         logs = self.memo.with_all(set().union(*counted), self.score)
         out = []
         for c in counted:
             known = [(v, n) for w, n in c.items() if (v := logs[w]) is not False]
-            if not known or not self.languages:
+            if not known:
                 out.append((UNDECIDED, 0.0))
                 continue
             total = self.prior + np.array([n for _, n in known], float) @ np.array(

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, checkpointed, id_text, join_kept, ship, slices
+from .common import checkpointed, id_text, join_kept, ship, slices
 
 PERMUTATIONS, ROWS = 128, 4
 BITS = 2  # kept of each minimum
@@ -34,7 +34,6 @@ _rng = np.random.Generator(np.random.PCG64(20240229))
 MULTIPLY = _rng.integers(0, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 ADD = _rng.integers(0, 1 << 63, PERMUTATIONS, np.uint64)
 MIX = np.uint64(0x9E3779B97F4A7C15)
-_WORDS = Memo(xxhash.xxh3_64_intdigest)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -51,7 +50,7 @@ def shingle_set(text: bytes, words: int) -> np.ndarray:
     found = text.lower().split()
     if not found:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_WORDS.__getitem__, found), np.uint64, len(found))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
     size = min(words, len(found))
     n = len(found) - size + 1
     h = np.full(n, size, np.uint64)
