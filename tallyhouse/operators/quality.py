@@ -26,6 +26,18 @@ def unique(df: DataFrame, keys: Sequence[str], name: str, severity: str = "error
     return _result(present.where("c > 1").agg(F.count("*").alias("n")), name, severity)
 
 
+def key_checks(df: DataFrame, key: str, name: str, severity: str = "error") -> DataFrame:
+    """`unique` and `not_null` of a key from one aggregation over it."""
+    counted = df.groupBy(F.col(key).alias("k")).agg(F.count("*").alias("c")).agg(
+        F.count_if(F.col("k").isNotNull() & (F.col("c") > 1)).alias("unique"),
+        F.sum(F.when(F.col("k").isNull(), F.col("c"))).alias("not_null"))
+    rows = F.array(*[F.struct(F.lit(f"{kind}.{name}.{key}").alias("check_name"),
+                              F.coalesce(kind, F.lit(0)).cast("bigint").alias("failures"))
+                     for kind in ("unique", "not_null")])
+    return counted.select(F.explode(rows).alias("r")).select(
+        "r.*", F.lit(severity).alias("severity"))
+
+
 def not_null(df: DataFrame, columns: Sequence[str], name: str,
              severity: str = "error") -> DataFrame:
     """Rows with a null, per column, in one scan."""

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import TABLES, TableConfig
 from ..sources.tables import materialise
@@ -156,6 +157,20 @@ ACCEPTED = {"fct_connection_request": [
     ("request_category", ["Door Holder", "Connect Group", "Other"])]}
 
 
+def bronze_checks(bronze: Callable[[str], DataFrame], as_of, configs=TABLES) -> DataFrame:
+    """Checks of the source tables: every key unique and present (one scan a table), people
+    as fresh as their newest load (severity says how late), and staging as long as bronze."""
+    out = [quality.key_checks(bronze(c.target), c.primary_key, c.target)
+           for c in configs.values()]
+    people = bronze("people")
+    if "_loaded_at" in people.columns:
+        age = quality.freshness(people, "_loaded_at", as_of, "freshness.people")
+        out.append(age.select("check_name", (F.col("state") != "pass").cast("bigint")
+                              .alias("failures"), F.col("state").alias("severity")))
+    out.append(quality.same_row_count(people, S.people(people), "row_count.people"))
+    return quality.together(out)
+
+
 def checks(models: Mapping[str, DataFrame]) -> DataFrame:
     """Every check whose models are given: (check_name, failures, severity)."""
     out = []

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from ..config import TableConfig, shared_folder
@@ -377,3 +379,55 @@ def full_load_roundtrip(spark, sf_dir):
     tables.upsert_partitions(late, path, ["o_orderkey"], "created_year")
     return (spark.read.parquet(path).groupBy("created_year", "o_orderstatus")
             .agg(F.count("*").alias("orders")))
+
+
+# --- the real load path ---------------------------------------------------------------------
+
+_FIRST, _SECOND = "2000-06-01 00:00:00", "2002-02-01 00:00:00"
+_LOADED_SQL = f"""
+    SELECT CASE WHEN o_orderkey % 5 = 0 AND o_orderdate < TIMESTAMP '{_FIRST}' THEN 'E'
+                ELSE o_orderstatus END AS o_orderstatus, count(*) AS orders,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2)) * 100) AS BIGINT) AS cents,
+           'private_note' AS left_out
+    FROM orders WHERE o_orderkey % 7 <> 0 GROUP BY 1"""
+
+
+def _load_path(spark, sf_dir, folder=None):
+    """Orders loaded in full, then a batch of edits and new orders merged, then the orders
+    gone at the source removed, all through load_table; what the table then holds."""
+    name = f"loaded_orders_{os.urandom(4).hex()}"
+    config = TableConfig(
+        "dbo.Orders", name, "o_orderkey", "modified",
+        ("o_orderkey", "o_orderstatus", "o_totalprice", "created", "modified"),
+        ("o_totalprice",), "created" if folder else None)
+    source = I.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("string"),
+        F.col("o_orderdate").cast("timestamp").alias("created"),
+        F.col("o_custkey").alias("private_note"))
+    old = F.col("created") < F.lit(_FIRST).cast("timestamp")
+    first = source.where(old).withColumn("modified", F.col("created"))
+    tables.load_table(spark, first, config, _FIRST, "full", folder=folder)
+    edited = source.where(old & (F.col("o_orderkey") % 5 == 0)).withColumn(
+        "o_orderstatus", F.lit("E"))
+    batch = first.unionByName(edited.unionByName(source.where(~old)).withColumn(
+        "modified", F.lit("2002-01-31 12:00:00").cast("timestamp")))
+    tables.load_table(spark, batch, config, _SECOND, "incremental", folder=folder)
+    left = source.where("o_orderkey % 7 <> 0")
+    tables.reconcile(spark, name, left, "o_orderkey", folder)
+    stored = spark.table(name)
+    missing = sorted(set(source.columns) - set(stored.columns))
+    return stored.groupBy("o_orderstatus").agg(
+        F.count("*").alias("orders"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)") * 100).cast("bigint").alias("cents")
+    ).withColumn("left_out", F.lit(",".join(missing)))
+
+
+@query("load_path_table", _LOADED_SQL)
+def load_path_table(spark, sf_dir):
+    return _load_path(spark, sf_dir)
+
+
+@query("load_path_folder", _LOADED_SQL)
+def load_path_folder(spark, sf_dir):
+    """The same, kept by month of creation in a folder."""
+    return _load_path(spark, sf_dir, shared_folder(spark, "load-path"))

@@ -132,3 +132,19 @@ def quality_models(spark, sf_dir):
     """Every check of the silver models; the ones that find something."""
     models = warehouse.silver(I.bronze(spark, sf_dir), I.AS_OF)
     return warehouse.checks(models).where("failures > 0")
+
+
+@query("quality_bronze", """
+    SELECT 'not_null.financial_transaction_details.Id' AS check_name, count(*) AS failures,
+           'error' AS severity FROM lineitem
+    UNION ALL SELECT 'freshness.people', 1, 'warn'""")
+def quality_bronze(spark, sf_dir):
+    """Keys, freshness and row counts of the fifteen source tables; those that find something."""
+    bronze = I.bronze(spark, sf_dir)
+
+    def stamped(name):
+        df = bronze(name)
+        return df.drop("_loaded_at").withColumn("_loaded_at", F.lit("2024-01-31 06:00:00").cast(
+            "timestamp")) if name == "people" else df
+
+    return warehouse.bronze_checks(stamped, "2024-02-01 18:00:00").where("failures > 0")
