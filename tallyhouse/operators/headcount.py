@@ -111,7 +111,7 @@ def positional_previous(hc: DataFrame, order: Sequence[str], offset: int = 7) ->
     before = Window.orderBy(*first).rowsBetween(Window.unboundedPreceding, -1)
     starts = hc.groupBy(*first).agg(F.count("*").alias("_n")).select(
         *first, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    local = F.row_number().over(Window.partitionBy(*first).orderBy(*then)) - 1
+    local = F.row_number().over(Window.partitionBy(*first).orderBy(*(then or first))) - 1
     numbered = (hc.withColumn("_local", local).alias("h").join(starts.alias("s"), [
         F.col(f"h.{c}").eqNullSafe(F.col(f"s.{c}")) for c in first])
         .select("h.*", (F.col("_start") + F.col("_local")).cast("int").alias("row_index"))
