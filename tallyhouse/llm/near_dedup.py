@@ -7,8 +7,8 @@
    32 keys with a chance of 5e-8.
 3. Candidates are never expanded into all pairs of a bucket. First each node is compared
    with the bucket's member of least hash, which is the same in most buckets of a group of
-   near copies; then, where components still differ, with another member per bucket; and
-   last the pairs of nodes that are still in different components and that the packed bits
+   near copies; then, unless links already connect them, with another member per bucket;
+   and last the pairs of nodes that are not known to be connected and that the packed bits
    do not rule out (six standard deviations below the threshold).
 4. A pair is a link if its full sets say so. Components are found by contracting the links.
 """
@@ -120,7 +120,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     """The distinct (a, b) of `pairs` whose full sets are similar enough, checkpointed."""
     pairs = checkpointed(pairs.select("a", "b").distinct())
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    if ids.count() <= SMALL_IDS:  # else the texts are shuffled to the ids
+    if 2 * pairs.count() <= SMALL_IDS:  # else the texts are shuffled to the ids
         ids = F.broadcast(ids)
     texts = id_text(docs).join(ids, F.col("doc_id") == F.col("id"), "left_semi")
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
@@ -177,6 +177,18 @@ def components(links: DataFrame) -> DataFrame:
     return checkpointed(root.join(least, "root").select("node", "component"))
 
 
+def hooked(links: DataFrame) -> DataFrame:
+    """(node, component) of the nodes in `links`: the neighbour of least hash, and from
+    there its own. Nodes of one such component are connected; connected nodes may have two.
+    """
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    up = both.where(F.xxhash64("b") < F.xxhash64("a")).groupBy(F.col("a").alias("node")).agg(
+        F.min_by("b", F.xxhash64("b")).alias("up"))
+    further = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
+    return checkpointed(up.join(further, "up", "left")
+                        .select("node", F.coalesce("top", "up").alias("component")))
+
+
 def labelled(rows: DataFrame, parts: DataFrame) -> DataFrame:
     """`rows` (.., node) with the component of the node, itself if it has no link."""
     parts = parts.select("node", F.col("component").alias("part"))
@@ -206,7 +218,7 @@ def links(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFr
         F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     found = confirmed(possible(star), docs, words, percent)
 
-    parts = components(found)
+    parts = hooked(found)
     member = labelled(members, parts)
     pivot = parts.select(F.col("node").alias("other"), F.col("component").alias("other_part"))
     star = (member.join(pivot, "other", "left")
@@ -216,7 +228,7 @@ def links(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFr
     more = confirmed(possible(star), docs, words, percent)
     found = found.unionByName(more)
 
-    parts = components(found)
+    parts = hooked(found)
     rest = labelled(members.where("node <> first and node <> other"), parts)
     mixed_bands = (rest.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"))
                    .where("low <> high").select("band"))
