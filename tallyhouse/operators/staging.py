@@ -41,16 +41,16 @@ COMMON = {"CreatedDateTime": "created_at", "ModifiedDateTime": "updated_at",
 @dataclass(frozen=True)
 class Model:
     entity: str
-    keep: str
-    flags: str = ""
-    dates: str = ""
-    decimals: str = ""
+    keep: tuple[str, ...]
+    flags: tuple[str, ...] = ()
+    dates: tuple[str, ...] = ()
+    decimals: tuple[str, ...] = ()
     names: dict[str, str] = field(default_factory=dict)
 
     @property
     def columns(self) -> list[str]:
         """Bronze columns the model reads."""
-        return f"{self.keep} {self.flags} {self.dates} {self.decimals}".split()
+        return [*self.keep, *self.flags, *self.dates, *self.decimals]
 
     def name_of(self, bronze: str) -> str:
         special = {"Id": f"{self.entity}_id", "Guid": f"{self.entity}_guid"} | COMMON | self.names
@@ -58,124 +58,136 @@ class Model:
             return special[bronze]
         name = snake(bronze)
         verb = name.startswith(("is_", "takes_", "show_", "allow_", "uses_", "was_", "did_"))
-        return name if verb or bronze not in self.flags.split() else f"is_{name}"
+        return name if verb or bronze not in self.flags else f"is_{name}"
 
     def rename(self, bronze: DataFrame) -> DataFrame:
         kinds = {c: kind for kind, listed in (("BOOLEAN", self.flags), ("DATE", self.dates),
                                               ("DECIMAL(38,9)", self.decimals))
-                 for c in listed.split()}
+                 for c in listed}
         return bronze.selectExpr(*[
             f"CAST(`{c}` AS {kinds[c]}) AS {self.name_of(c)}" if c in kinds
             else f"`{c}` AS {self.name_of(c)}" for c in self.columns])
 
 
-AUDIT = "CreatedDateTime ModifiedDateTime _loaded_at"
+AUDIT = ("CreatedDateTime", "ModifiedDateTime", "_loaded_at")
 
 # The columns each model exposes.
 PEOPLE = Model(
     "person",
-    "Id Guid PrimaryFamilyId PrimaryCampusId GivingId FirstName NickName MiddleName LastName "
-    "BirthDay BirthMonth BirthYear Gender MaritalStatusValueId Email EmailPreference "
-    f"RecordTypeValueId RecordStatusValueId ConnectionStatusValueId {AUDIT}",
-    flags="IsEmailActive IsDeceased",
+    ("Id", "Guid", "PrimaryFamilyId", "PrimaryCampusId", "GivingId", "FirstName", "NickName",
+     "MiddleName", "LastName", "BirthDay", "BirthMonth", "BirthYear", "Gender",
+     "MaritalStatusValueId", "Email", "EmailPreference", "RecordTypeValueId",
+     "RecordStatusValueId", "ConnectionStatusValueId", *AUDIT),
+    flags=("IsEmailActive", "IsDeceased"),
     names={"Gender": "gender_code", "EmailPreference": "email_preference_code"})
 PERSON_ALIASES = Model(
     "person_alias",
-    "Id Guid PersonId AliasPersonId AliasPersonGuid Name AliasedDateTime LastVisitDateTime "
-    "_loaded_at")
+    ("Id", "Guid", "PersonId", "AliasPersonId", "AliasPersonGuid", "Name", "AliasedDateTime",
+     "LastVisitDateTime", "_loaded_at"))
 PERSON_HISTORICAL = Model(
     "person_historical",
-    "Id PersonId CurrentRowIndicator EffectiveDate ExpireDate PrimaryFamilyId CampusId "
-    "CampusName FirstName NickName LastName GenderText MaritalStatus ConnectionStatus "
-    "RecordStatus RecordType Email EmailPreferenceText CurrentJourneyGivingStage "
-    "PreviousJourneyGivingStage JourneyGivingStageChangeDate GivingBin GivingPercentile "
-    "NextExpectedGiftDate MailingAddressStreet1 MailingAddressCity MailingAddressState "
-    "MailingAddressPostalCode MailingAddressFull _loaded_at",
-    flags="IsDeceased",
+    ("Id", "PersonId", "CurrentRowIndicator", "EffectiveDate", "ExpireDate", "PrimaryFamilyId",
+     "CampusId", "CampusName", "FirstName", "NickName", "LastName", "GenderText", "MaritalStatus",
+     "ConnectionStatus", "RecordStatus", "RecordType", "Email", "EmailPreferenceText",
+     "CurrentJourneyGivingStage", "PreviousJourneyGivingStage", "JourneyGivingStageChangeDate",
+     "GivingBin", "GivingPercentile", "NextExpectedGiftDate", "MailingAddressStreet1",
+     "MailingAddressCity", "MailingAddressState", "MailingAddressPostalCode",
+     "MailingAddressFull", "_loaded_at"),
+    flags=("IsDeceased",),
     names={"CurrentRowIndicator": "is_current_row", "GenderText": "gender",
            "EmailPreferenceText": "email_preference"})
 GROUPS = Model(
     "group",
-    "Id Guid ParentGroupId GroupTypeId CampusId GroupAdministratorPersonAliasId Name "
-    f"Description StatusValueId InactiveDateTime ArchivedDateTime {AUDIT}",
-    flags="IsSecurityRole IsActive IsArchived IsPublic AllowGuests")
+    ("Id", "Guid", "ParentGroupId", "GroupTypeId", "CampusId", "GroupAdministratorPersonAliasId",
+     "Name", "Description", "StatusValueId", "InactiveDateTime", "ArchivedDateTime", *AUDIT),
+    flags=("IsSecurityRole", "IsActive", "IsArchived", "IsPublic", "AllowGuests"))
 GROUP_MEMBERS = Model(
     "group_member",
-    "Id Guid GroupId PersonId GroupRoleId GroupTypeId ScheduleTemplateId GroupMemberStatus "
-    "GuestCount GroupOrder CommunicationPreference ScheduleStartDate "
-    "ScheduleReminderEmailOffsetDays DateTimeAdded InactiveDateTime ArchivedDateTime " + AUDIT,
-    flags="IsSystem IsNotified IsArchived IsChatMuted IsChatBanned",
+    ("Id", "Guid", "GroupId", "PersonId", "GroupRoleId", "GroupTypeId", "ScheduleTemplateId",
+     "GroupMemberStatus", "GuestCount", "GroupOrder", "CommunicationPreference",
+     "ScheduleStartDate", "ScheduleReminderEmailOffsetDays", "DateTimeAdded", "InactiveDateTime",
+     "ArchivedDateTime", *AUDIT),
+    flags=("IsSystem", "IsNotified", "IsArchived", "IsChatMuted", "IsChatBanned"),
     names={"GroupMemberStatus": "group_member_status_code", "DateTimeAdded": "added_at",
            "CommunicationPreference": "communication_preference_code"})
 GROUP_TYPES = Model(
     "group_type",
-    "Id Guid InheritedGroupTypeId DefaultGroupRoleId GroupTypePurposeValueId "
-    f"GroupStatusDefinedTypeId Name Description GroupTerm GroupMemberTerm Order {AUDIT}",
-    flags="IsSystem TakesAttendance ShowInGroupList IsSchedulingEnabled "
-          "AttendanceCountsAsWeekendService EnableGroupHistory",
+    ("Id", "Guid", "InheritedGroupTypeId", "DefaultGroupRoleId", "GroupTypePurposeValueId",
+     "GroupStatusDefinedTypeId", "Name", "Description", "GroupTerm", "GroupMemberTerm", "Order",
+     *AUDIT),
+    flags=("IsSystem", "TakesAttendance", "ShowInGroupList", "IsSchedulingEnabled",
+           "AttendanceCountsAsWeekendService", "EnableGroupHistory"),
     names={"EnableGroupHistory": "is_group_history_enabled",
            "AttendanceCountsAsWeekendService": "attendance_counts_as_weekend_service"})
 ATTENDANCE = Model(
     "attendance",
-    "Id Guid OccurrenceId PersonAliasId CampusId DeviceId AttendanceCodeId "
-    "AttendanceCheckInSessionId SearchResultGroupId SearchTypeValueId QualifierValueId "
-    "SourceValueId DeclineReasonValueId CheckedInByPersonAliasId CheckedOutByPersonAliasId "
-    "PresentByPersonAliasId ScheduledByPersonAliasId StartDateTime EndDateTime "
-    f"PresentDateTime RSVPDateTime RSVP CheckInStatus Note {AUDIT}",
-    flags="DidAttend IsFirstTime Processed ScheduledToAttend RequestedToAttend "
-          "ScheduleConfirmationSent ScheduleReminderSent",
+    ("Id", "Guid", "OccurrenceId", "PersonAliasId", "CampusId", "DeviceId", "AttendanceCodeId",
+     "AttendanceCheckInSessionId", "SearchResultGroupId", "SearchTypeValueId", "QualifierValueId",
+     "SourceValueId", "DeclineReasonValueId", "CheckedInByPersonAliasId",
+     "CheckedOutByPersonAliasId", "PresentByPersonAliasId", "ScheduledByPersonAliasId",
+     "StartDateTime", "EndDateTime", "PresentDateTime", "RSVPDateTime", "RSVP", "CheckInStatus",
+     "Note", *AUDIT),
+    flags=("DidAttend", "IsFirstTime", "Processed", "ScheduledToAttend", "RequestedToAttend",
+           "ScheduleConfirmationSent", "ScheduleReminderSent"),
     names={"StartDateTime": "started_at", "EndDateTime": "ended_at", "RSVP": "rsvp_code",
            "CheckInStatus": "check_in_status_code"})
 OCCURRENCES = Model(
     "occurrence",
-    "Id Guid GroupId LocationId ScheduleId StepTypeId AttendanceTypeValueId RootGroupTypeId "
-    f"OccurrenceDateKey Name Notes AnonymousAttendanceCount {AUDIT}",
-    flags="DidNotOccur", dates="OccurrenceDate SundayDate")
+    ("Id", "Guid", "GroupId", "LocationId", "ScheduleId", "StepTypeId", "AttendanceTypeValueId",
+     "RootGroupTypeId", "OccurrenceDateKey", "Name", "Notes", "AnonymousAttendanceCount", *AUDIT),
+    flags=("DidNotOccur",),
+    dates=("OccurrenceDate", "SundayDate"))
 CAMPUSES = Model(
     "campus",
-    "Id Guid LocationId LeaderPersonAliasId TeamGroupId CampusStatusValueId CampusTypeValueId "
-    "Name ShortCode Description Url ServiceTimes TimeZoneId Order AverageWeekendAttendance "
-    + AUDIT,
-    flags="IsActive IsSystem", dates="OpenedDate ClosedDate", decimals="TitheMetric")
+    ("Id", "Guid", "LocationId", "LeaderPersonAliasId", "TeamGroupId", "CampusStatusValueId",
+     "CampusTypeValueId", "Name", "ShortCode", "Description", "Url", "ServiceTimes", "TimeZoneId",
+     "Order", "AverageWeekendAttendance", *AUDIT),
+    flags=("IsActive", "IsSystem"),
+    dates=("OpenedDate", "ClosedDate"),
+    decimals=("TitheMetric",))
 FINANCIAL_ACCOUNTS = Model(
     "financial_account",
-    "Id Guid ParentAccountId CampusId AccountTypeValueId ImageBinaryFileId Name PublicName "
-    f"Description PublicDescription GlCode Url Order {AUDIT}",
-    flags="IsActive IsPublic IsTaxDeductible UsesCampusChildAccounts",
-    dates="StartDate EndDate")
+    ("Id", "Guid", "ParentAccountId", "CampusId", "AccountTypeValueId", "ImageBinaryFileId",
+     "Name", "PublicName", "Description", "PublicDescription", "GlCode", "Url", "Order", *AUDIT),
+    flags=("IsActive", "IsPublic", "IsTaxDeductible", "UsesCampusChildAccounts"),
+    dates=("StartDate", "EndDate"))
 FINANCIAL_TRANSACTIONS = Model(
     "financial_transaction",
-    "Id Guid BatchId ScheduledTransactionId FinancialGatewayId FinancialPaymentDetailId "
-    "SettledGroupId AuthorizedPersonAliasId ProcessedByPersonAliasId TransactionTypeValueId "
-    "SourceTypeValueId NonCashAssetTypeValueId ForeignCurrencyCodeValueId TransactionCode "
-    "Status StatusMessage TransactionDateTime TransactionDateKey ProcessedDateTime "
-    f"SettledDate SettledDateKey FutureProcessingDateTime {AUDIT}",
-    flags="IsSettled IsReconciled ShowAsAnonymous", dates="SundayDate",
+    ("Id", "Guid", "BatchId", "ScheduledTransactionId", "FinancialGatewayId",
+     "FinancialPaymentDetailId", "SettledGroupId", "AuthorizedPersonAliasId",
+     "ProcessedByPersonAliasId", "TransactionTypeValueId", "SourceTypeValueId",
+     "NonCashAssetTypeValueId", "ForeignCurrencyCodeValueId", "TransactionCode", "Status",
+     "StatusMessage", "TransactionDateTime", "TransactionDateKey", "ProcessedDateTime",
+     "SettledDate", "SettledDateKey", "FutureProcessingDateTime", *AUDIT),
+    flags=("IsSettled", "IsReconciled", "ShowAsAnonymous"),
+    dates=("SundayDate",),
     names={"SettledDate": "settled_at"})
 TRANSACTION_DETAILS = Model(
     "financial_transaction_detail",
-    f"Id Guid TransactionId AccountId EntityTypeId EntityId {AUDIT}",
-    decimals="Amount FeeAmount FeeCoverageAmount ForeignCurrencyAmount",
+    ("Id", "Guid", "TransactionId", "AccountId", "EntityTypeId", "EntityId", *AUDIT),
+    decimals=("Amount", "FeeAmount", "FeeCoverageAmount", "ForeignCurrencyAmount"),
     names={"TransactionId": "financial_transaction_id", "AccountId": "financial_account_id"})
 CONNECTION_REQUESTS = Model(
     "connection_request",
-    "Id Guid ConnectionOpportunityId ConnectionTypeId ConnectionTypeSourceId "
-    "ConnectionStatusId PersonAliasId ConnectorPersonAliasId CampusId AssignedGroupId "
-    "AssignedGroupMemberRoleId AssignedGroupMemberStatus ConnectionState Order FollowupDate "
-    f"ConnectedDateTime CreatedDateKey {AUDIT}",
-    flags="WasCompletedOnTime", dates="DueDate DueSoonDate",
+    ("Id", "Guid", "ConnectionOpportunityId", "ConnectionTypeId", "ConnectionTypeSourceId",
+     "ConnectionStatusId", "PersonAliasId", "ConnectorPersonAliasId", "CampusId",
+     "AssignedGroupId", "AssignedGroupMemberRoleId", "AssignedGroupMemberStatus",
+     "ConnectionState", "Order", "FollowupDate", "ConnectedDateTime", "CreatedDateKey", *AUDIT),
+    flags=("WasCompletedOnTime",),
+    dates=("DueDate", "DueSoonDate"),
     names={"AssignedGroupMemberStatus": "assigned_group_member_status_code",
            "ConnectionState": "connection_state_code", "FollowupDate": "followup_at"})
 CONNECTION_OPPORTUNITIES = Model(
     "connection_opportunity",
-    "Id Guid ConnectionTypeId Name PublicName Description Summary Order "
-    f"RequestDueDateOffsetInDays RequestDueSoonOffsetInDays {AUDIT}",
-    flags="IsActive",
+    ("Id", "Guid", "ConnectionTypeId", "Name", "PublicName", "Description", "Summary", "Order",
+     "RequestDueDateOffsetInDays", "RequestDueSoonOffsetInDays", *AUDIT),
+    flags=("IsActive",),
     names={"RequestDueDateOffsetInDays": "request_due_date_offset_days",
            "RequestDueSoonOffsetInDays": "request_due_soon_offset_days"})
 DEFINED_VALUES = Model(
-    "defined_value", f"Id Guid DefinedTypeId CategoryId Value Description Order {AUDIT}",
-    flags="IsActive IsSystem")
+    "defined_value",
+    ("Id", "Guid", "DefinedTypeId", "CategoryId", "Value", "Description", "Order", *AUDIT),
+    flags=("IsActive", "IsSystem"))
 
 
 def open_during(active: Column, start: Column, end: Column, as_of,
