@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import TABLES, TableConfig
+from ..config import TableConfig
 from ..functions.ordering import latest_per_key
 from . import bronze
 
@@ -282,7 +282,12 @@ def load_table(spark: SparkSession, source: DataFrame, config: TableConfig, as_o
 
 
 def load_all(spark: SparkSession, read: Callable[[TableConfig], DataFrame], as_of, mode: str,
-             configs: Mapping[str, TableConfig] = TABLES, **options) -> dict[str, bool]:
-    """Load every configured table."""
+             configs: Mapping[str, TableConfig] | None = None, **options) -> dict[str, bool]:
+    """Load every configured table; by default all source tables, limited to the columns
+    that the silver models read, so no sensitive column is stored."""
+    if configs is None:
+        from ..operators.warehouse import extract_configs
+
+        configs = extract_configs()
     return {key: load_table(spark, read(config), config, as_of, mode, **options)
             for key, config in configs.items()}

@@ -205,6 +205,19 @@ def test_first_seen(spark):
         ("v1", "first"), ("v2", "only")]
 
 
+def test_load_all_reads_configured_columns_by_default(spark):
+    seen = {}
+
+    def read(c):
+        seen[c.target] = c.columns
+        return spark.createDataFrame([], ", ".join(f"`{n}` string" for n in c.columns)).withColumn(
+            "SSNEncrypted", F.lit("x"))
+
+    done = tables.load_all(spark, read, "2024-01-01 00:00:00", "full")
+    assert len(done) == 15 and not any(done.values())
+    assert all(seen.values()) and "SSNEncrypted" not in seen["people"]
+
+
 def test_load_all_skips_empty_tables(spark):
     configs = {"one": config.TableConfig("s.one", "all_one", "id", None),
                "two": config.TableConfig("s.two", "all_two", "id", None)}
