@@ -5,10 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from tallyhouse.plans import QUERIES, SQL
 from tests.oracle import compare
 
-NAMES = list(entry.queries())
-WRITES = {"full_load_roundtrip", "stream_upsert", "stream_dedupe"}
+NAMES = list(QUERIES)  # the corpus queries have tests of their own
+WRITES = {"full_load_roundtrip", "stream_upsert", "stream_dedupe", "load_path_table",
+          "load_path_folder"}
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -21,7 +23,8 @@ def test_matches_sql(name, spark, sf_dir, con):
 
 
 def test_sql_only_for_known_queries():
-    assert set(entry.oracle_sql()) <= set(NAMES)
+    assert set(SQL) <= set(NAMES)
+    assert set(entry.oracle_sql()) <= set(entry.queries()) and set(NAMES) <= set(entry.queries())
 
 
 def test_entry_has_rows(spark):
