@@ -6,10 +6,10 @@
 2. Nodes that share a band key are candidates. A link of similarity 0.8 shares none of the
    32 keys with a chance of 5e-8.
 3. Candidates are never expanded into all pairs of a bucket. First each node is compared
-   with the bucket's member of least hash, which is the same in most buckets of a group of
-   near copies; then, unless links already connect them, with another member per bucket;
-   and last the pairs of nodes that are not known to be connected and that the packed bits
-   do not rule out (six standard deviations below the threshold).
+   with the bucket's member that shares most keys with others, usually the text that the
+   copies were made from; then, unless links already connect them, with another member per
+   bucket; and last the pairs of nodes that are not known to be connected and that the packed
+   bits do not rule out (six standard deviations below the threshold).
 4. A pair is a link if its full sets say so. Components are found by contracting the links.
 """
 
@@ -144,26 +144,36 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return checkpointed(both.mapInArrow(run, pairs.schema))
 
 
+def ranked(size: Column, node: Column | str, seed: int = 0) -> Column:
+    """A number that orders nodes by `size`, then by a hash that `seed` varies."""
+    return size * (1 << 20) + F.pmod(F.xxhash64(node, F.lit(seed)), F.lit(1 << 20))
+
+
+def pointed(links: DataFrame, seed: int = 0) -> DataFrame:
+    """(from, to): each node in `links` and its neighbour of most links, or itself if none
+    has more. The hub of a star takes all its leaves at once; equal nodes of a chain are
+    told apart by a hash."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    degree = both.groupBy(F.col("a").alias("b")).agg(F.count("*").alias("degree"))
+    rank = ranked(F.col("degree"), "b", seed)
+    best = both.join(degree, "b").groupBy("a").agg(
+        F.max_by("b", rank).alias("b"), F.max(rank).alias("rank"), F.count("*").alias("degree"))
+    return best.select(F.col("a").alias("from"), F.when(
+        F.col("rank") > ranked(F.col("degree"), "a", seed), F.col("b")).otherwise(
+            F.col("a")).alias("to"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node in `links` (a, b): its smallest connected node.
 
-    Each round points every node at the neighbour (or itself) of least hash and contracts
-    the links to the nodes pointed at. The first hash is the one that chose the members that
-    others are compared with, so groups of near copies vanish at once; a new hash in each
-    later round keeps long chains from shrinking by one node only.
+    Each round contracts the links to the nodes pointed at, until none is left.
     """
-    ends = links.select("a", "b").where("a <> b")
+    ends = links.select("a", "b").where("a <> b").distinct()
     root = ends.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn(
         "root", F.col("node"))
     seed = 0
     while not ends.isEmpty():
-        salt = [F.lit(seed)] if seed else []
-        both = ends.unionByName(ends.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        rank = F.xxhash64("b", *salt)
-        best = both.groupBy("a").agg(F.min_by("b", rank).alias("b"), F.min(rank).alias("rank"))
-        point = checkpointed(best.select(F.col("a").alias("from"), F.when(
-            F.col("rank") < F.xxhash64("a", *salt), F.col("b")).otherwise(
-                F.col("a")).alias("to")))
+        point = checkpointed(pointed(ends, seed))
         to_a = point.select(F.col("from").alias("a"), F.col("to").alias("na"))
         to_b = point.select(F.col("from").alias("b"), F.col("to").alias("nb"))
         ends = checkpointed(
@@ -178,15 +188,13 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def hooked(links: DataFrame) -> DataFrame:
-    """(node, component) of the nodes in `links`: the neighbour of least hash, and from
+    """(node, component) of the nodes in `links`: the neighbour of most links, and from
     there its own. Nodes of one such component are connected; connected nodes may have two.
     """
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    up = both.where(F.xxhash64("b") < F.xxhash64("a")).groupBy(F.col("a").alias("node")).agg(
-        F.min_by("b", F.xxhash64("b")).alias("up"))
-    further = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
-    return checkpointed(up.join(further, "up", "left")
-                        .select("node", F.coalesce("top", "up").alias("component")))
+    point = checkpointed(pointed(links))
+    further = point.select(F.col("from").alias("to"), F.col("to").alias("top"))
+    return point.join(further, "to").select(F.col("from").alias("node"),
+                                            F.col("top").alias("component"))
 
 
 def labelled(rows: DataFrame, parts: DataFrame) -> DataFrame:
@@ -198,12 +206,17 @@ def labelled(rows: DataFrame, parts: DataFrame) -> DataFrame:
 def links(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Confirmed (a, b) that connect all nodes (node, n, bands, bits) which links connect."""
     rows = nodes.select("node", F.explode("bands").alias("band"))
-    first, other = F.xxhash64("node"), F.xxhash64("node", "band")
     shared = (rows.groupBy("band")
-              .agg(F.min_by("node", first).alias("first"), F.min_by("node", other).alias("other"),
-                   F.min("node").alias("low"), F.max("node").alias("high"))
-              .where("low <> high").drop("low", "high"))
+              .agg(F.count("*").alias("size"), F.min("node").alias("low"),
+                   F.max("node").alias("high"))
+              .where("low <> high").select("band", "size"))
     members = checkpointed(rows.join(shared, "band"))
+    # The text that others were made from keeps the keys that most of them share.
+    popular = members.groupBy("node").agg(F.sum("size").alias("shared_with"))
+    pivots = (members.join(popular, "node").groupBy("band")
+              .agg(F.max_by("node", ranked(F.col("shared_with"), "node")).alias("first"),
+                   F.min_by("node", F.xxhash64("node", "band")).alias("other")))
+    members = checkpointed(members.drop("size").join(pivots, "band"))
     light = nodes.select("node", "n", "bits")
 
     def possible(pairs: DataFrame) -> DataFrame:
