@@ -7,9 +7,9 @@
    32 keys with a chance of 5e-8.
 3. Candidates are never expanded into all pairs of a bucket. First each node is compared
    with the bucket's member that shares most keys with others, usually the text that the
-   copies were made from; then, unless links already connect them, with another member per
-   bucket; and last the pairs of nodes that are not known to be connected and that the packed
-   bits do not rule out (six standard deviations below the threshold).
+   copies were made from; then, unless links already connect them, with three further
+   members per bucket; and last the pairs of nodes that are not known to be connected and
+   that the packed bits do not rule out (six standard deviations below the threshold).
 4. A pair is a link if its full sets say so. Components are found by contracting the links.
 """
 
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from .common import checkpointed, id_text, join_kept, ship, slices
 
 PERMUTATIONS, ROWS = 128, 4
+OTHERS = 3  # further members of a bucket that all are compared with
 BITS = 2  # kept of each minimum
 SMALL_IDS = 500_000  # ids that may be broadcast (8 bytes each)
 
@@ -215,7 +216,8 @@ def links(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFr
     popular = members.groupBy("node").agg(F.sum("size").alias("shared_with"))
     pivots = (members.join(popular, "node").groupBy("band")
               .agg(F.max_by("node", ranked(F.col("shared_with"), "node")).alias("first"),
-                   F.min_by("node", F.xxhash64("node", "band")).alias("other")))
+                   F.array(*[F.min_by("node", F.xxhash64("node", "band", F.lit(k)))
+                             for k in range(OTHERS)]).alias("others")))
     members = checkpointed(members.drop("size").join(pivots, "band"))
     light = nodes.select("node", "n", "bits")
 
@@ -234,15 +236,17 @@ def links(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFr
     parts = hooked(found)
     member = labelled(members, parts)
     pivot = parts.select(F.col("node").alias("other"), F.col("component").alias("other_part"))
-    star = (member.join(pivot, "other", "left")
-            .where("node <> other and other <> first")
+    star = (member.select("node", "part", "first", F.explode("others").alias("other"))
+            .where("node <> other and other <> first and part <> other")
+            .distinct().join(pivot, "other", "left")
             .where(F.col("part") != F.coalesce("other_part", "other"))
             .select(F.col("other").alias("a"), F.col("node").alias("b")).distinct())
     more = confirmed(possible(star), docs, words, percent)
     found = found.unionByName(more)
 
     parts = hooked(found)
-    rest = labelled(members.where("node <> first and node <> other"), parts)
+    rest = labelled(members.where(
+        "node <> first and not array_contains(others, node)"), parts)
     mixed_bands = (rest.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"))
                    .where("low <> high").select("band"))
     rest = checkpointed(rest.select("band", "node", "part").join(mixed_bands, "band")
