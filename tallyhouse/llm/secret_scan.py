@@ -1,11 +1,11 @@
 """Secrets by form and by a battery of randomness tests, in DataFrame functions only.
 
 Named assignments, access keys and long hexadecimal runs are found by form. Every other
-long run of encoding characters is a candidate. Its alphabet is inferred (hexadecimal,
-base32, lower-case alphanumeric, base64), and three tests ask whether it could be a uniform
-random string over that alphabet: chi-squared of the character counts, runs above and below
-the middle of the alphabet, and serial correlation of neighbours. Tokens made by people fail
-at least one. Within each class of length, Benjamini and Hochberg's rule decides which
+long run of encoding characters is a candidate. Its alphabet is inferred (hexadecimal and
+alphanumeric of either case, base32, base64), and three tests ask whether it could be a
+uniform random string over that alphabet: chi-squared of the character counts, runs above and
+below the middle of the alphabet, and serial correlation of neighbours. Tokens made by people
+fail at least one. Within each class of length, Benjamini and Hochberg's rule decides which
 candidates are rejected as not random while controlling the share of false rejections; those
 it cannot reject, and which carry enough bits, are added to the secrets.
 """
@@ -33,8 +33,10 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ALPHABETS = {
     "hex": DIGITS + "abcdef",
+    "base16": DIGITS + "ABCDEF",
     "base32": UPPER + "234567",
     "lower36": DIGITS + LOWER,
+    "upper36": DIGITS + UPPER,
     "base64": UPPER + LOWER + DIGITS + "+/",
 }
 LENGTHS = (24, 32, 48)  # borders of the classes of length
@@ -83,8 +85,10 @@ def encoding(token: Column) -> Column:
     characters alone, such as words and numbers)."""
     digit, lower, upper = token.rlike("[0-9]"), token.rlike("[a-z]"), token.rlike("[A-Z]")
     return (F.when(token.rlike("^[0-9a-f]+$") & digit & lower, "hex")
+            .when(token.rlike("^[0-9A-F]+$") & digit & upper, "base16")
             .when(token.rlike("^[A-Z2-7]+$") & digit & upper, "base32")
             .when(token.rlike("^[a-z0-9]+$") & digit & lower, "lower36")
+            .when(token.rlike("^[A-Z0-9]+$") & digit & upper, "upper36")
             .when(token.rlike("^[A-Za-z0-9+/]+$") & digit & lower & upper, "base64"))
 
 
