@@ -4,8 +4,8 @@ Emails, addresses, card and phone numbers are found by form. These seed the boot
 words before an entity are its lexical context, and every token that could be an identifier
 (it has a digit or an at sign) is an instance in its context. Spark scores the graph of
 contexts and instances in turn: a context is as good as its instances are known, an
-instance as good as its best contexts. Confident contexts then mark instances that no form
-covers.
+instance as good as the contexts that were confident before. Confident contexts then mark
+instances that no form covers.
 """
 
 from __future__ import annotations
@@ -148,33 +148,37 @@ def confident_contexts(scanned: DataFrame, rounds: int = 3, least: float = 0.6,
                        support: int = 3) -> DataFrame:
     """(context) whose instances are mostly identifiers.
 
-    An instance that a form found has score 1, others start at 0. A context's score is the
-    mean over its distinct instances, an instance's is 1 - the product of (1 - score) over
-    the contexts with at least `support` instances. After `rounds` turns the contexts with a
-    score of `least` and a known instance or more remain. Edges are counted once however
+    An instance that a form found has score 1, any other 1 - the product of (1 - confidence)
+    over the confident contexts that it occurs in, so 0 at first. A context's confidence is
+    the mean score of its distinct instances. In each of the `rounds` turns the contexts that
+    reach `least`, with at least `support` instances and two or more of them found by a form
+    or by confident contexts, become confident, and their confidence stays as it is then. So
+    a context is judged only by forms and by contexts that were confident before it: its own
+    vote for an instance never comes back to it, on any way. Edges are counted once however
     often they occur, so a hot context or instance is one row per task before it is shuffled.
     """
     edges = checkpointed(
         scanned.select(F.explode("instances").alias("i")).select("i.context", "i.form", "i.known")
         .groupBy("context", "form").agg(F.max("known").alias("known")))
-    score = F.when(F.col("known"), 1.0).otherwise(0.0)
-    current = edges.withColumn("score", score)
-    contexts = None
+    good = None
     for _ in range(rounds):
-        contexts = (current.groupBy("context")
-                    .agg(F.avg("score").alias("confidence"), F.count("*").alias("n"))
-                    .where(F.col("n") >= support))
-        # 1 - prod(1 - c), kept away from log(0)
-        doubt = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence"))))
-        spread = (edges.join(contexts, "context").groupBy("form")
-                  .agg((1 - F.exp(doubt)).alias("spread")))
-        current = checkpointed(
-            edges.join(spread, "form", "left")
-            .withColumn("score", F.when(F.col("known"), 1.0).otherwise(
-                F.coalesce("spread", F.lit(0.0)))).drop("spread"))
-    known = current.groupBy("context").agg(F.sum(F.col("known").cast("int")).alias("known"))
-    return (contexts.where(F.col("confidence") >= least).join(known, "context")
-            .where("known >= 2").select("context"))
+        score = F.col("known").cast("double")
+        current = edges
+        if good is not None:
+            # 1 - prod(1 - c), kept away from log(0)
+            doubt = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence"))))
+            spread = (edges.join(good, "context").groupBy("form")
+                      .agg((1 - F.exp(doubt)).alias("spread")))
+            current = edges.join(spread, "form", "left")
+            score = F.when(F.col("known"), 1.0).otherwise(F.coalesce("spread", F.lit(0.0)))
+        new = (current.withColumn("score", score).groupBy("context")
+               .agg(F.avg("score").alias("confidence"), F.count("*").alias("n"),
+                    F.count_if(F.col("score") > 0).alias("found"))
+               .where((F.col("n") >= support) & (F.col("found") >= 2)
+                      & (F.col("confidence") >= least)).select("context", "confidence"))
+        good = checkpointed(new if good is None else
+                            good.union(new.join(good, "context", "left_anti")))
+    return good.select("context")
 
 
 def entities(docs: DataFrame) -> DataFrame:
