@@ -10,6 +10,7 @@ instances that no form covers.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -31,6 +32,11 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 HAS_DIGIT = re.compile(r"[0-9@]")
+# A run of token characters is one start here too.
+TOKEN = re.compile(r"(?<![\w/.@+-])[^\W0-9]*+(?:[/.+-]++[^\W0-9]*+)*+[0-9@][\w/.@+-]*+")
+AROUND = "/._+-"
+WORD = re.compile(r"[^\W\d_]+|[:=#]")
+LINE = "\n"
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -74,43 +80,52 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def words_before(text: str, start: int, n: int = 2, window: int = 80) -> str:
-    """The last n words before a position, in lower case; a line end is a word of its own."""
-    before = text[max(0, start - window):start]
-    line = before.rpartition("\n")[2]
-    words = re.findall(r"[^\W\d_]+|[:=#]", line.lower())[-n:]
-    return " ".join(words) if len(words) == n else ""
+def words_before(text: str, starts: list[int], n: int = 2) -> Iterator[str]:
+    """The last n words on the line before each of the ascending positions, in lower case. A
+    line starts with as many line ends, so that there are always n. Looks at no character
+    twice."""
+    done, words = 0, [LINE] * n
+    for start in starts:
+        gap = text[done:start]
+        if LINE in gap:
+            gap, words = gap.rpartition(LINE)[2], [LINE] * n
+        words = (words + WORD.findall(gap.lower()))[-n:]
+        done = start
+        yield " ".join(words)
+
+
+def form_of(token: str) -> str:
+    """The token in lower case; a hash of what is longer than 64 characters."""
+    form = token.lower()
+    return form if len(form) <= 64 else hashlib.sha256(form.encode()).hexdigest()
 
 
 def scan_text(text: str) -> tuple[list, list]:
     """(base spans, instances); an instance is (context, form, known, start, end)."""
     base = base_spans(text)
-    instances = []
     if not HAS_DIGIT.search(text):
-        return base, instances
+        return base, []
     taken = sorted((a, b) for _, a, b in base)
-    for a, b in taken:
-        if context := words_before(text, a):
-            instances.append((context, text[a:b].lower()[:64], True, a, b))
+    found = [(a, b, True) for a, b in taken]
     k = 0
-    for hit in iter_tokens(text):
-        a, b = hit
+    for a, b in iter_tokens(text):
         while k < len(taken) and taken[k][1] <= a:
             k += 1
         if k < len(taken) and taken[k][0] < b:
             continue  # part of a known entity
-        if context := words_before(text, a):
-            instances.append((context, text[a:b].lower(), False, a, b))
-    return base, instances
+        found.append((a, b, False))
+    found.sort()
+    return base, [(context, form_of(text[a:b]), known, a, b) for (a, b, known), context
+                  in zip(found, words_before(text, [a for a, _, _ in found]))]
 
 
 def iter_tokens(text: str) -> Iterator[tuple[int, int]]:
-    """Spans of the tokens of 6 to 64 characters with 4 digits or more, without the
-    punctuation around them."""
-    for m in re.finditer(r"(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9/._-]{4,62}[A-Za-z0-9])"
-                         r"(?![A-Za-z0-9])", text):
-        if sum(c.isdigit() for c in m[0]) >= 4:
-            yield m.span()
+    """Spans of the tokens with a digit or an at sign, without the punctuation around them."""
+    for m in TOKEN.finditer(text):
+        a, b = m.span()
+        token = m[0].rstrip(AROUND)
+        b = a + len(token)
+        yield b - len(token.lstrip(AROUND)), b
 
 
 SPAN = "array<struct<kind:int,start:int,end:int>>"
