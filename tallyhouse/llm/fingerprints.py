@@ -1,9 +1,10 @@
 """I-Match fingerprints of documents over several randomised lexicon subsets.
 
-The lexicon is the set of terms whose inverse document frequency lies in a band. It is
-kept as a fixed number of hash buckets with their document frequencies, so what is
-broadcast has the same size however many terms there are. A document keeps its terms of
-the lexicon, sorted and distinct. Every subset of the lexicon, chosen by a hash of the
+The lexicon is the set of terms whose inverse document frequency lies in a band. Documents
+are counted per 64-bit hash of a term. A band up to an idf of h bounds the lexicon: each of
+its terms is in e**-h of the documents or more, so there are at most e**h times the mean
+number of distinct terms of a document, however many documents there are. That is what is
+broadcast. A document keeps its terms of the lexicon, sorted and distinct. Every subset of the lexicon, chosen by a hash of the
 term, gives a hash of the kept terms in it. Sixteen families of nested subsets range from
 the whole lexicon to a 2**-14 part of it, so that some suit documents of any length. The
 fingerprint is the list of these hashes.
@@ -64,6 +65,44 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> np.ndarray:
     low, high = band
     return (seen >= n * np.exp(-high)) & (seen <= n * np.exp(-low)) & (seen > 0)
 
+def term_frequencies(docs: DataFrame, pending: int = 1 << 21) -> DataFrame:
+    """(term, n): documents that hold the term of a hash, over all documents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in slices(batches):
+            for text in batch.column("text").to_pylist():
+                held.append(terms(text))
+                size += len(held[-1])
+                if size >= pending:
+                    yield counted(held)
+                    held, size = [], 0
+        if held:
+            yield counted(held)
+
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        found, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found.view(np.int64)), pa.array(n, pa.int64())], ["term", "n"])
+
+    return (id_text(docs).select("text").mapInArrow(run, "term long, n long")
+            .groupBy("term").agg(F.sum("n").alias("n")))
+
+def lexicon_terms(docs: DataFrame, band: tuple[float, float] = BAND) -> np.ndarray:
+    """Sorted hashes of the terms whose inverse document frequency lies in the band."""
+    n = max(docs.count(), 1)
+    low, high = (float(n * np.exp(-x)) for x in band)
+    rows = (term_frequencies(docs).where((F.col("n") >= high) & (F.col("n") <= low))
+            .select("term").toArrow())
+    return np.sort(rows["term"].to_numpy().view(np.uint64))
+
+def held_by(inside: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Which hashes a lexicon holds: sorted terms, or a flag per bucket."""
+    if inside.dtype == bool:
+        return inside[(found % np.uint64(BUCKETS)).astype(np.int64)]
+    if not len(inside):
+        return np.zeros(len(found), bool)
+    return inside[np.minimum(np.searchsorted(inside, found), len(inside) - 1)] == found
+
 def subset_hashes(text: str, inside: np.ndarray) -> np.ndarray:
     """[level, family]: a 16-bit hash per subset; -1 where no term of the text is in it.
 
@@ -71,7 +110,7 @@ def subset_hashes(text: str, inside: np.ndarray) -> np.ndarray:
     A text without a term of the lexicon is taken by all its terms.
     """
     found = terms(text)
-    kept = found[inside[(found % np.uint64(BUCKETS)).astype(np.int64)]]
+    kept = found[held_by(inside, found)]
     if len(kept):
         found = kept
     h = mixed((found[:, None] ^ SALTS) * MIX)
@@ -155,7 +194,7 @@ def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND, ranges: int
     rows, and the only document of a table is its own next one.
     """
     spark = ship(docs.sparkSession)
-    inside = spark.sparkContext.broadcast(lexicon(docs, band))
+    inside = spark.sparkContext.broadcast(lexicon_terms(docs, band))
     if ranges is None:
         ranges = min(2000, max(docs.rdd.getNumPartitions(),
                                int(spark.conf.get("spark.sql.shuffle.partitions"))))
