@@ -11,12 +11,14 @@ from .registry import query
 
 
 def _land(spark, sf_dir, folder):
-    """Events landed as several files, with a repeated slice in the last ones."""
+    """Events landed as several files, as many as the scan has partitions and eight at least,
+    with a repeated slice in the last ones."""
     events = I.table(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"),
         F.to_date("ts").alias("day"))
     landed = events.unionByName(events.where("event_type = 'signup'"))
-    landed.repartitionByRange(8, "ts").write.parquet(folder)
+    files = max(8, events.select(F.spark_partition_id()).distinct().count())
+    landed.repartitionByRange(files, "ts").write.parquet(folder)
     return events.schema
 
 
@@ -51,8 +53,8 @@ def stream_upsert(spark, sf_dir):
     run()
     edits = I.mapped(I.table(spark, sf_dir, "events").where(
         "event_type IN ('signup', 'error')"), _EDITS)
-    edits.select(*[F.col(f.name).cast(f.dataType) for f in schema]).coalesce(2).write.mode(
-        "append").parquet(f"{folder}/landed")
+    edits.select(*[F.col(f.name).cast(f.dataType) for f in schema]).write.mode("append").parquet(
+        f"{folder}/landed")
     run()
     return (spark.read.schema(schema).parquet(f"{folder}/table").groupBy("day", "event_type")
             .agg(F.count("*").alias("events"), F.count_distinct("event_id").alias("keys")))
