@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import (byte_bpe, exact_dedup, fingerprints, language, licenses, near_dedup, packing,
-               pii, secret_scan, token_count)
+from . import (byte_bpe, exact_dedup, fingerprints, infill, language, licenses, mixing,
+               near_dedup, packing, pii, resample, secret_scan, token_count)
 from .common import table
 from .registry import QUERIES, SQL, query
 
@@ -125,3 +126,107 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_pii")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.entities(table(spark, sf_dir, "documents")))
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op11_resample", rf"""
+WITH bits AS (SELECT i AS x, list_reduce([i] || range(8), lambda c, k:
+                CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t
+              FROM range(256) r(i)),
+crc_of AS (SELECT list(t ORDER BY x) AS t FROM bits),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")},
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")},
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+e AS (SELECT r, unnest(w) AS w FROM d),
+words AS (SELECT w FROM e UNION SELECT w FROM b),
+hexed AS (SELECT w, hex(encode(w)) AS h FROM words),
+crc AS (SELECT w, xor(list_reduce([4294967295] || list_transform(range(length(h) // 2), lambda i:
+                 (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16
+                 + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1),
+                 lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+        FROM hexed, crc_of),
+s AS (SELECT bucket, count(*) AS n FROM e JOIN crc USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM b JOIN crc USING (w) GROUP BY bucket),
+g AS (SELECT k AS bucket, CAST(floor(1000 * ln(
+             ((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000))
+             / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000))))
+             AS BIGINT) AS gain
+      FROM range(10000) r(k) LEFT JOIN s ON s.bucket = k LEFT JOIN t ON t.bucket = k),
+v AS (SELECT r, sum(gain) AS weight FROM e JOIN crc USING (w) JOIN g USING (bucket) GROUP BY r),
+h AS (SELECT d.r, doc_id, len(w) AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+             ('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT AS h
+      FROM d LEFT JOIN v ON v.r = d.r),
+c AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT)
+                AS score FROM h),
+p AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank
+      FROM c WHERE n_features >= 20)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN rank <=
+         (SELECT 10 * count(*) // 100 FROM p) THEN rank END AS rank
+FROM c LEFT JOIN p USING (r)""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_mixing", r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''),
+             '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size,
+         ('0x' || sha256('1:' || coalesce(doc_id::VARCHAR, ''))[1:15])::BIGINT AS place
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size,
+             [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+      FROM d GROUP BY source),
+n AS (SELECT count(*) AS n, sum(source_size) * 1.5::DOUBLE AS words FROM s),
+-- shares by weight of what the capped sources leave, until none is above its cap
+r AS (SELECT 0 AS step, source, source_size, w, false AS capped FROM s
+      UNION ALL
+      SELECT step + 1, source, source_size, w, capped OR
+             (words - sum(CASE WHEN capped THEN 2 * source_size ELSE 0 END) OVER ()) * w
+             / sum(CASE WHEN capped THEN 0 ELSE w END) OVER () > 2 * source_size
+      FROM r, n WHERE step <= n),
+l AS (SELECT * FROM r WHERE step = (SELECT max(step) FROM r)),
+t AS (SELECT source, source_size, CASE WHEN capped THEN (2 * source_size)::DOUBLE ELSE
+             (words - sum(CASE WHEN capped THEN 2 * source_size ELSE 0 END) OVER ()) * w
+             / sum(CASE WHEN capped THEN 0 ELSE w END) OVER () END AS target
+      FROM l, n),
+o AS (SELECT d.doc_id, d.size, t.source_size, t.target,
+             least(floor(t.target + 0.5), 2 * t.source_size)::BIGINT AS goal,
+             sum(d.size) OVER (PARTITION BY d.source ORDER BY place, doc_id, size
+                               ROWS UNBOUNDED PRECEDING) - d.size AS start
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       (greatest(0, least(size, goal - start))
+        + greatest(0, least(size, goal - source_size - start)))::BIGINT AS taken
+FROM o""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(*mixing.mix(table(spark, sf_dir, "documents")))
+
+
+@query("op13_infill", r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                  sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS s FROM documents),
+h AS (SELECT *, len(u) AS n, ('0x' || s[1:8])::BIGINT AS h1, ('0x' || s[9:16])::BIGINT AS h2,
+             ('0x' || s[17:24])::BIGINT AS h3, ('0x' || s[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>')
+                       OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+             array_to_string(u[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+              WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = infill.round_trip(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
