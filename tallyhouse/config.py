@@ -26,8 +26,7 @@ class TableConfig:
     """What to extract from one source table and how to merge it.
 
     `columns` empty means every column the source offers. A large table names the
-    creation time of its rows in `partition_column`; it never changes for a row, so a
-    batch names the only months its keys can be stored in.
+    creation time of its rows in `partition_column`, by whose month it may be kept.
     """
 
     source_table: str

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import TableConfig, shared_folder
 from ..functions.columns import as_col
-from ..sources import bronze, snapshots, tables
+from ..sources import bronze, digests, snapshots, tables, versions
 from . import inputs as I
 from .registry import query
 
@@ -392,28 +392,28 @@ _LOADED_SQL = f"""
     FROM orders WHERE o_orderkey % 7 <> 0 GROUP BY 1"""
 
 
-def _load_path(spark, sf_dir, folder=None):
+def _load_path(spark, sf_dir, by_month=False):
     """Orders loaded in full, then a batch of edits and new orders merged, then the orders
     gone at the source removed, all through load_table; what the table then holds."""
     name = f"loaded_orders_{os.urandom(4).hex()}"
     config = TableConfig(
         "dbo.Orders", name, "o_orderkey", "modified",
         ("o_orderkey", "o_orderstatus", "o_totalprice", "created", "modified"),
-        ("o_totalprice",), "created" if folder else None)
+        ("o_totalprice",), "created")
     source = I.table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("string"),
         F.col("o_orderdate").cast("timestamp").alias("created"),
         F.col("o_custkey").alias("private_note"))
     old = F.col("created") < F.lit(_FIRST).cast("timestamp")
     first = source.where(old).withColumn("modified", F.col("created"))
-    tables.load_table(spark, first, config, _FIRST, "full", folder=folder)
+    tables.load_table(spark, first, config, _FIRST, "full", by_month=by_month)
     edited = source.where(old & (F.col("o_orderkey") % 5 == 0)).withColumn(
         "o_orderstatus", F.lit("E"))
     batch = first.unionByName(edited.unionByName(source.where(~old)).withColumn(
         "modified", F.lit("2002-01-31 12:00:00").cast("timestamp")))
-    tables.load_table(spark, batch, config, _SECOND, "incremental", folder=folder)
+    tables.load_table(spark, batch, config, _SECOND, "incremental", by_month=by_month)
     left = source.where("o_orderkey % 7 <> 0")
-    tables.reconcile(spark, name, left, "o_orderkey", folder)
+    tables.reconcile(spark, name, left, "o_orderkey", by_month)
     stored = spark.table(name)
     missing = sorted(set(source.columns) - set(stored.columns))
     return stored.groupBy("o_orderstatus").agg(
@@ -429,5 +429,144 @@ def load_path_table(spark, sf_dir):
 
 @query("load_path_folder", _LOADED_SQL)
 def load_path_folder(spark, sf_dir):
-    """The same, kept by month of creation in a folder."""
-    return _load_path(spark, sf_dir, shared_folder(spark, "load-path"))
+    """The same, kept by month of creation."""
+    return _load_path(spark, sf_dir, by_month=True)
+
+
+# --- versioned tables -------------------------------------------------------------------------
+
+# Orders whose time is not known at first, and orders that are dated 45 days later afterwards.
+_UNKNOWN, _MOVED = "o_orderkey % 11 = 0", "o_orderkey % 13 = 0"
+_AFTER_SQL = f"""CASE WHEN {_UNKNOWN} THEN o_orderdate
+    WHEN {_MOVED} THEN o_orderdate + INTERVAL 45 DAY ELSE o_orderdate END"""
+
+
+@query("load_path_moves", f"""
+    SELECT CAST(strftime({_AFTER_SQL}, '%Y%m') AS INT) AS _month,
+           CASE WHEN {_UNKNOWN} OR {_MOVED} THEN 'M' ELSE o_orderstatus END AS o_orderstatus,
+           count(*) AS orders, count(DISTINCT o_orderkey) AS keys
+    FROM orders GROUP BY 1, 2""")
+def load_path_moves(spark, sf_dir):
+    """Creation times that become known or are corrected, through the load path of a table
+    kept by month: no key is in two months."""
+    name = f"moved_orders_{os.urandom(4).hex()}"
+    config = TableConfig("dbo.Orders", name, "o_orderkey", "modified",
+                         ("o_orderkey", "o_orderstatus", "created", "modified"), (), "created")
+    source = I.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("timestamp").alias("created"))
+    first = source.withColumn("created", F.expr(f"CASE WHEN NOT {_UNKNOWN} THEN created END"))
+    tables.load_table(spark, first.withColumn("modified", F.lit(_FIRST).cast("timestamp")),
+                      config, _FIRST, "full", by_month=True)
+    later = source.where(f"{_UNKNOWN} OR {_MOVED}").withColumns({
+        "o_orderstatus": F.lit("M"), "modified": F.lit(_SECOND).cast("timestamp"),
+        "created": F.expr(f"CASE WHEN {_UNKNOWN} THEN created "
+                          "ELSE created + INTERVAL '45' DAY END")})
+    tables.load_table(spark, later, config, _SECOND, "incremental", by_month=True)
+    return spark.table(name).groupBy("_month", "o_orderstatus").agg(
+        F.count("*").alias("orders"), F.count_distinct("o_orderkey").alias("keys"))
+
+
+def _events_by_day(spark, sf_dir, name):
+    events = I.table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.to_date("ts").alias("day"))
+    versions.replace(events, name, ["event_id"], "day")
+    return events
+
+
+@query("merge_versions", """
+    WITH d AS (SELECT CAST(ts AS DATE) AS day, event_type FROM events),
+    b AS (SELECT 'before' AS step, day, event_type AS kind FROM d
+          UNION ALL SELECT 'died', day, event_type FROM d
+          UNION ALL SELECT 'merged', CASE WHEN event_type = 'signup' THEN day + 1 ELSE day END,
+                           CASE WHEN event_type = 'signup' THEN 'second' ELSE event_type END
+                    FROM d)
+    SELECT step, CAST(day AS DATE) AS day, kind, count(*) AS events FROM b GROUP BY 1, 2, 3
+    UNION ALL SELECT 'refused', NULL, NULL, 1
+    UNION ALL SELECT 'left over', NULL, NULL, 0""")
+def merge_versions(spark, sf_dir):
+    """A merge over many days that dies before its commit leaves the table as it was; of two
+    writers that started together the second is refused; what they left is dropped."""
+    name = f"versioned_{os.urandom(4).hex()}"
+    events = _events_by_day(spark, sf_dir, name)
+
+    def seen(step):
+        return spark.table(name).groupBy("day", F.col("event_type").alias("kind")).agg(
+            F.count("*").alias("events")).select(F.lit(step).alias("step"), "day", "kind", "events")
+
+    def written(step):
+        path = f"{shared_folder(spark, 'versions')}/{step}"
+        seen(step).write.parquet(path)
+        return spark.read.parquet(path)
+
+    out = written("before")
+    base = versions.manifest(spark, name)
+    signups = events.where("event_type = 'signup'").withColumn("day", F.date_add("day", 1))
+    versions.stage(signups.withColumn("event_type", F.lit("first")), name, ["event_id"], "day")
+    out = out.unionByName(written("died"))
+    versions.upsert(signups.withColumn("event_type", F.lit("second")), name)
+    refused = 0
+    try:  # a writer that still starts from the first manifest
+        versions.rewrite(signups.withColumn("event_type", F.lit("third")), name, base, ())
+    except versions.Conflict:
+        refused = 1
+    out = out.unionByName(written("merged"))
+    versions.expire(spark, name, grace_hours=0.0)
+    used = {p.data for p in versions.manifest(spark, name).parts}
+    left = [t for t in versions.data_tables(spark, name) if t not in used]
+    return out.unionByName(spark.createDataFrame(
+        [("refused", None, None, refused), ("left over", None, None, len(left))], out.schema))
+
+
+@query("key_index_probe", """
+    SELECT CAST(count(*) AS BIGINT) AS probed, CAST(count(*) FILTER (event_id % 2 = 0) AS BIGINT)
+             AS found, CAST(0 AS BIGINT) AS missed, true AS few_false
+    FROM events""")
+def key_index_probe(spark, sf_dir):
+    """Every event looked up through the index of a table that holds every second one: how
+    many pairs of key and day are possible, and whether false ones stay below 3 in 100 of
+    the days a key could be ruled out of."""
+    name = f"indexed_{os.urandom(4).hex()}"
+    events = I.table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("day"))
+    held_events = events.where("event_id % 2 = 0")
+    versions.replace(held_events, name, ["event_id"], "day")
+    held = versions.manifest(spark, name)
+    pairs = versions.candidates(spark, held, events.select("event_id"))
+    true = held_events.select("event_id", versions.text_of("day").alias("value"),
+                              F.lit(1).alias("is_true"))
+    counted = pairs.join(true, ["event_id", "value"], "left").agg(
+        F.count("*").alias("pairs"), F.count("is_true").alias("hits"))
+    sent = events.agg(F.count("*").alias("probed"), F.count_if(F.col("event_id") % 2 == 0)
+                      .alias("held"))
+    both = counted.unionByName(sent, allowMissingColumns=True).agg(
+        *[F.sum(c).alias(c) for c in ("pairs", "hits", "probed", "held")])
+    false = F.col("pairs") - F.col("hits")
+    return both.select(
+        "probed", F.col("hits").alias("found"), (F.col("held") - F.col("hits")).alias("missed"),
+        (false <= 0.03 * (F.col("probed") * len(held.parts) - F.col("hits"))).alias("few_false"))
+
+
+# --- comparing keys by digests ---------------------------------------------------------------
+
+_GONE = "o_orderstatus = 'P' AND o_orderkey % 4096 < 1024"
+
+
+@query("reconcile_by_digest", f"""
+    SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE NOT ({_GONE})""")
+def reconcile_by_digest(spark, sf_dir):
+    """The delete pass with keys compared by digests of ranges."""
+    orders = I.table(spark, sf_dir, "orders")
+    target = orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    gone = digests.gone_keys(target, orders.where(f"NOT ({_GONE})"), "o_orderkey")
+    return target.join(gone, "o_orderkey", "left_anti")
+
+
+@query("digest_fetches", f"""
+    WITH r AS (SELECT DISTINCT o_orderkey // 256 AS r FROM orders WHERE {_GONE})
+    SELECT (SELECT count(*) FROM orders WHERE {_GONE}) AS gone,
+           (SELECT count(*) FROM orders WHERE o_orderkey // 256 IN (SELECT r FROM r)) AS fetched""")
+def digest_fetches(spark, sf_dir):
+    """How many keys the delete pass looks at one by one: those near a change."""
+    orders = I.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    a, b = digests.near_changes(orders, orders.where(f"NOT ({_GONE})"), "o_orderkey")
+    return a.join(b.withColumn("here", F.lit(1)), "o_orderkey", "left").agg(
+        F.count_if(F.col("here").isNull()).alias("gone"), F.count("*").alias("fetched"))

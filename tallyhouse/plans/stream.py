@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from ..config import shared_folder
@@ -41,13 +43,12 @@ _EDITS = {"event_id": "event_id", "user_id": "user_id",
 def stream_upsert(spark, sf_dir):
     """Landed files, then edits that move a row to another day, rows without a day and
     versions of one time, upserted as a stream; then summarised."""
-    folder = shared_folder(spark, "stream-upsert")
+    folder, name = shared_folder(spark, "stream-upsert"), f"streamed_{os.urandom(4).hex()}"
     schema = _land(spark, sf_dir, f"{folder}/landed")
-    spark.createDataFrame([], schema).write.parquet(f"{folder}/table")
 
     def run():
         stream = ingest.landed_stream(spark, f"{folder}/landed", schema, files_per_trigger=4)
-        ingest.upsert_stream(stream, f"{folder}/table", "event_id", "ts", "day",
+        ingest.upsert_stream(stream, name, "event_id", "ts", "day",
                              f"{folder}/checkpoint").awaitTermination()
 
     run()
@@ -56,7 +57,7 @@ def stream_upsert(spark, sf_dir):
     edits.select(*[F.col(f.name).cast(f.dataType) for f in schema]).write.mode("append").parquet(
         f"{folder}/landed")
     run()
-    return (spark.read.schema(schema).parquet(f"{folder}/table").groupBy("day", "event_type")
+    return (spark.table(name).groupBy("day", "event_type")
             .agg(F.count("*").alias("events"), F.count_distinct("event_id").alias("keys")))
 
 

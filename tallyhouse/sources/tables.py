@@ -2,7 +2,8 @@
 
 The `merge_*`, `remove_deleted` and `missing_only` functions are lazy plans. The
 others write: a full load and a whole-table merge publish a new version behind a
-view, and a partitioned merge rewrites only the partitions a batch touches.
+view. Tables kept by month are in `versions`: a merge there rewrites only the partitions
+a batch touches, and they appear together.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from . import bronze
 MERGE_META = "_loaded_at"
 
 
-def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, _new) with the row's other columns as a struct, failing at run time if a
     key repeats. Only the batch is shuffled, and repeats are combined map-side."""
     rest = F.struct(*[c for c in df.columns if c not in keys])
@@ -48,7 +49,7 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     update = [c for c in (update or target.columns) if c in staged.columns and c not in keys]
-    batch = _one_per_key(bronze.conform(staged, target.schema), keys)
+    batch = one_per_key(bronze.conform(staged, target.schema), keys)
     kept = (target.join(batch, keys, "left")
             .select(*[F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}"))
                       .otherwise(F.col(c)).alias(c) if c in update else F.col(c)
@@ -92,7 +93,7 @@ def deleted_rows(target: DataFrame, current_keys: DataFrame, pk: str) -> DataFra
 
 # --- writers -----------------------------------------------------------------
 
-def _laid_out(df: DataFrame, partition: str) -> DataFrame:
+def laid_out(df: DataFrame, partition: str) -> DataFrame:
     """Rows brought to the tasks that write their partition: few files per partition,
     while adaptive execution splits a partition that is too large for one task."""
     return df.hint("rebalance", F.col(partition))
@@ -110,7 +111,7 @@ def publish(df: DataFrame, name: str, partition: str | None = None) -> None:
     number = 1 + max((int(n[len(prefix):]) for n in old), default=0)
     qualify = (lambda n: f"{database}.{n}") if database else (lambda n: n)
     fresh = qualify(f"{prefix}{number}")
-    rows = df if partition is None else _laid_out(df, partition)
+    rows = df if partition is None else laid_out(df, partition)
     rows.write.format("parquet").mode("overwrite").saveAsTable(fresh, partitionBy=partition)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {fresh}")
     # Two versions stay: the one readers may still use, and one a lost run may have left.
@@ -137,20 +138,7 @@ def with_month(df: DataFrame, created: str) -> DataFrame:
 
 
 def write_folder(df: DataFrame, path: str, partition: str) -> None:
-    _laid_out(df, partition).write.partitionBy(partition).parquet(path)
-
-
-def publish_folder(df: DataFrame, name: str, folder: str, partition: str = MONTH) -> None:
-    """Write a partitioned table to a new folder, then point the view `name` at it. The
-    view remembers its folder; the old folder stays for the readers that still use it."""
-    path = f"{folder.rstrip('/')}/{name}-{os.urandom(6).hex()}"
-    write_folder(df, path, partition)
-    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('folder' = '{path}') "
-                        f"AS SELECT * FROM parquet.`{path}`")
-
-
-def folder_of(spark: SparkSession, name: str) -> str:
-    return spark.sql(f"SHOW TBLPROPERTIES {name} ('folder')").first()["value"]
+    laid_out(df, partition).write.partitionBy(partition).parquet(path)
 
 
 def _of_partitions(rows: DataFrame, partition: str, values: DataFrame) -> DataFrame:
@@ -167,16 +155,15 @@ def _drop_folders(spark: SparkSession, folders: Sequence[str]) -> None:
 
 
 def upsert_partitions(staged: DataFrame, path: str, keys: Sequence[str], partition: str,
-                      update: Sequence[str] | None = None, fixed: bool = False) -> None:
-    """Upsert into a partitioned Parquet folder, rewriting only touched partitions.
+                      update: Sequence[str] | None = None) -> None:
+    """Upsert into a plain partitioned Parquet folder, rewriting only touched partitions.
 
     Touched are the partitions the batch names and those that hold its keys now, which a
-    scan of the key columns finds: a row whose partition value has changed moves. With
-    `fixed` the caller states that the value never changes for a key (a creation month)
-    and the scan is left out. A blank partition value is a partition of its own. Each
-    partition is overwritten on its own, so a lost job may leave some old and some new;
-    merging the same batch again sets that right, as stored rows of its keys are replaced
-    wherever they are.
+    scan of the key columns finds: a row whose partition value has changed moves. A blank
+    partition value is a partition of its own. Each partition is overwritten on its own, so
+    a lost job may leave some old and some new; merging the same batch again sets that
+    right, as stored rows of its keys are replaced wherever they are. `versions.upsert`
+    does the same at once for all partitions, and needs no scan of the keys.
     """
     spark, keys = staged.sparkSession, list(keys)
     # Folder names do not tell the partition's type when they are all blank; the batch does.
@@ -185,74 +172,67 @@ def upsert_partitions(staged: DataFrame, path: str, keys: Sequence[str], partiti
         for f in spark.read.parquet(path).schema])
     target = spark.read.schema(stored_as).parquet(path)
     batch_keys = staged.select(*keys).distinct()
-    touched = staged.select(partition)
-    if not fixed:
-        touched = touched.unionByName(target.select(*keys, partition).join(
-            batch_keys, keys, "left_semi").select(partition))
+    touched = staged.select(partition).unionByName(target.select(*keys, partition).join(
+        batch_keys, keys, "left_semi").select(partition))
     old = _of_partitions(target, partition, touched)
     stored = old.join(batch_keys, keys, "left_semi")
     matched = latest_per_key(stored, keys, [c for c in target.columns if c not in keys])
     merged = old.join(batch_keys, keys, "left_anti").unionByName(
         merge_upsert(matched, staged, keys, update))
-    emptied: list[str] = []
-    if not fixed:
-        # Partitions that only held rows which move away: few, and usually none.
-        located = target.select(*keys, F.col(partition).alias("_from"), F.regexp_replace(
-            F.col("_metadata.file_path"), "/[^/]*$", "").alias("_folder"))
-        left = (located.join(staged.select(*keys, partition), keys)
-                .where(~F.col(partition).eqNullSafe(F.col("_from")))
-                .select("_from", "_folder").distinct())
-        stay = merged.select(F.col(partition).alias("_stay")).distinct()
-        emptied = [r["_folder"] for r in left.join(
-            stay, F.col("_from").eqNullSafe(F.col("_stay")), "left_anti").collect()]
-    (_laid_out(merged, partition).write.partitionBy(partition)
+    # Partitions that only held rows which move away: few, and usually none.
+    located = target.select(*keys, F.col(partition).alias("_from"), F.regexp_replace(
+        F.col("_metadata.file_path"), "/[^/]*$", "").alias("_folder"))
+    left = (located.join(staged.select(*keys, partition), keys)
+            .where(~F.col(partition).eqNullSafe(F.col("_from")))
+            .select("_from", "_folder").distinct())
+    stay = merged.select(F.col(partition).alias("_stay")).distinct()
+    emptied = [r["_folder"] for r in left.join(
+        stay, F.col("_from").eqNullSafe(F.col("_stay")), "left_anti").collect()]
+    (laid_out(merged, partition).write.partitionBy(partition)
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
     _drop_folders(spark, emptied)
 
 
 def reconcile(spark: SparkSession, name: str, current_keys: DataFrame, pk: str,
-              folder: str | None = None, allow_empty: bool = False) -> int:
+              by_month: bool = False, allow_empty: bool = False) -> int:
     """The delete pass: a published table without the rows gone at the source. Returns how
     many were removed; a table that lost nothing is left as it is, and of a table kept by
-    month only the months that lost rows are rewritten. A source without any key would
-    empty the table, so that has to be asked for."""
+    month only the months that lost rows are rewritten. The keys of both sides are compared
+    by digests, so only ranges that differ are looked at key by key. A source without any
+    key would empty the table, so that has to be asked for."""
+    from . import digests, versions
+
     stored = spark.table(name)
     if not allow_empty and current_keys.where(F.col(pk).isNotNull()).isEmpty():
         raise ValueError(f"the source of {name} has no keys: nothing is deleted")
-    gone = deleted_rows(stored, current_keys, pk)
-    removed = gone.count()
-    if removed and folder is None:
-        publish(remove_deleted(stored, current_keys, pk), name)
-    elif removed:
-        path = folder_of(spark, name)
-        target = spark.read.parquet(path)
-        lost = deleted_rows(target, current_keys, pk).select(MONTH)
-        kept = remove_deleted(_of_partitions(target, MONTH, lost), current_keys, pk)
-        months = [r[0] for r in lost.distinct().join(
-            kept.select(MONTH).distinct(), MONTH, "left_anti").collect()]  # months now empty
-        (_laid_out(kept, MONTH).write.partitionBy(MONTH)
-         .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
-        _drop_folders(spark, [f"{path}/{MONTH}={m}" for m in months])
+    gone = digests.gone_keys(stored.select(pk), current_keys.select(pk), pk)
+    if by_month:
+        return versions.remove(spark, name, gone)
+    removed = stored.join(gone, pk, "left_semi").count()
+    if removed:
+        publish(stored.join(gone, pk, "left_anti"), name)
     return removed
 
 
 def load_table(spark: SparkSession, source: DataFrame, config: TableConfig, as_of, mode: str,
                database: str | None = None, reconcile_deletes: bool = False,
-               folder: str | None = None) -> bool:
+               by_month: bool = False) -> bool:
     """Load one configured table, 'full' or 'incremental'. False if nothing was loaded.
 
     The source is read once, into a staging table that is dropped at the end; typing
     and merging, which read a batch several times, use that. Full loads decide the
     schema; incremental loads are cast to the schema the target already has and merged
-    on its primary key. With a `folder`, a table whose configuration names a creation
-    time is kept there by month, and an incremental load rewrites only the months its
-    batch touches.
+    on its primary key alone. With `by_month`, a table whose configuration names a creation
+    time is kept in monthly partitions, and an incremental load rewrites only the months
+    that its batch names or that hold its keys: a creation time may become known or change.
     """
+    from . import versions
+
     def qualify(name: str) -> str:
         return f"{database}.{name}" if database else name
 
     name, staging = qualify(config.target), qualify(f"_stg_{config.target}")
-    monthly = folder if config.partition_column else None
+    monthly = by_month and config.partition_column is not None
     batch = (bronze.scan(source, config) if mode == "full"
              else bronze.scan_incremental(source, config, as_of))
     bronze.stamp(bronze.force_decimals(batch, config.decimal_columns), as_of).write.format(
@@ -263,17 +243,17 @@ def load_table(spark: SparkSession, source: DataFrame, config: TableConfig, as_o
         if loaded and mode == "full":
             typed = bronze.conform(staged, bronze.decided_schema(staged, config.decimal_columns))
             if monthly:
-                publish_folder(with_month(typed, config.partition_column), name, monthly)
+                versions.replace(with_month(typed, config.partition_column), name,
+                                 [config.primary_key], MONTH)
             else:
                 publish(typed, name)
         elif loaded:
             update = [c for c in batch.columns if c != config.primary_key] + [MERGE_META]
-            key = [config.primary_key]
             if monthly:
-                upsert_partitions(with_month(staged, config.partition_column),
-                                  folder_of(spark, name), key, MONTH, update, fixed=True)
+                versions.upsert(with_month(staged, config.partition_column), name, update)
             else:
-                publish(merge_upsert(spark.table(name), staged, key, update), name)
+                publish(merge_upsert(spark.table(name), staged, [config.primary_key], update),
+                        name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
     if reconcile_deletes:

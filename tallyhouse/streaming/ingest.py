@@ -9,7 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import LOOKBACK_HOURS
 from ..functions.ordering import latest_per_key
-from ..sources.tables import missing_only, upsert_partitions
+from ..sources import versions
+from ..sources.tables import missing_only
 
 
 def landed_stream(spark: SparkSession, folder: str, schema: T.StructType,
@@ -27,16 +28,19 @@ def within_lookback(stream: DataFrame, key: str, modified: str,
             .dropDuplicatesWithinWatermark([key, modified]))
 
 
-def upsert_stream(stream: DataFrame, path: str, key: str, modified: str, partition: str,
+def upsert_stream(stream: DataFrame, name: str, key: str, modified: str, partition: str,
                   checkpoint: str) -> StreamingQuery:
-    """Merge each micro-batch into a partitioned Parquet folder, then stop when the
-    landed files are used up. A batch keeps the newest row per key (of equal times the
-    one with the greatest other columns), and merging it again changes nothing, so a
-    batch replayed after a failure is harmless. An edit may change the partition value:
-    the row moves."""
+    """Merge each micro-batch into the versioned table `name`, then stop when the landed
+    files are used up. A batch keeps the newest row per key (of equal times the one with the
+    greatest other columns); all its partitions appear at once, and merging it again changes
+    nothing, so a batch replayed after a failure is harmless. An edit may change the
+    partition value: the row moves."""
     def merge(batch: DataFrame, _: int) -> None:
         newest = latest_per_key(batch, [key], [modified]).persist()  # read several times
-        upsert_partitions(newest, path, [key], partition)
+        if versions.manifest(batch.sparkSession, name) is None:
+            versions.replace(newest, name, [key], partition)
+        else:
+            versions.upsert(newest, name)
         newest.unpersist()
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -229,34 +229,55 @@ def test_load_all_skips_empty_tables(spark):
     assert spark.table("all_one").first()["_source_system"] == "rms"
 
 
-def test_monthly_table_rewrites_only_touched_months(spark, tmp_path):
+def files_by_month(spark, name):
+    """{month: its files} of a table kept by month."""
+    found = spark.table(name).select("_month", F.input_file_name().alias("f")).distinct().collect()
+    return {m: sorted(r.f for r in found if r["_month"] == m) for m in {r["_month"] for r in found}}
+
+
+def test_monthly_table_rewrites_only_touched_months(spark):
     c = config.TableConfig("dbo.F", "monthly_facts", "id", "changed", partition_column="created")
     at = dt.datetime
     cols = "id int, v string, created timestamp, changed timestamp"
     first = spark.createDataFrame(
         [(1, "a", at(2024, 1, 3), at(2024, 1, 3)), (2, "b", at(2024, 2, 3), at(2024, 2, 3)),
          (3, "c", None, at(2024, 2, 3))], cols)
-    folder = str(tmp_path)
-    assert tables.load_table(spark, first, c, "2024-02-04 00:00:00", "full", folder=folder)
-    path = tables.folder_of(spark, "monthly_facts")
-    january = tmp_path / path.rpartition("/")[2] / "_month=202401"
-    files = sorted(p.name for p in january.iterdir())
+    assert tables.load_table(spark, first, c, "2024-02-04 00:00:00", "full", by_month=True)
+    before = files_by_month(spark, "monthly_facts")
     later = spark.createDataFrame(
         [(2, "B", at(2024, 2, 3), at(2024, 3, 1)), (4, "d", at(2024, 3, 1), at(2024, 3, 1))], cols)
-    assert tables.load_table(spark, later, c, "2024-03-01 06:00:00", "incremental", folder=folder)
+    assert tables.load_table(spark, later, c, "2024-03-01 06:00:00", "incremental", by_month=True)
     assert rows(spark.table("monthly_facts").select("id", "v", "_month")) == [
         (1, "a", 202401), (2, "B", 202402), (3, "c", 0), (4, "d", 202403)]
-    assert files and files == sorted(p.name for p in january.iterdir())
+    after = files_by_month(spark, "monthly_facts")
+    assert all(after[m] == before[m] for m in (0, 202401)) and after[202402] != before[202402]
     # The delete pass drops months that it empties and leaves the others alone.
-    february = january.parent / "_month=202402"
-    before = sorted(p.name for p in february.iterdir())
-    assert tables.reconcile(spark, "monthly_facts", first.where("id <> 1"), "id", folder) == 2
-    assert tables.folder_of(spark, "monthly_facts") == path
+    assert tables.reconcile(spark, "monthly_facts", first.where("id <> 1"), "id", True) == 2
     assert rows(spark.table("monthly_facts").select("id")) == [(2,), (3,)]
-    assert before == sorted(p.name for p in february.iterdir()) and not january.exists()
-    assert tables.reconcile(spark, "monthly_facts", first, "id", folder) == 0
+    left = files_by_month(spark, "monthly_facts")
+    assert left == {m: after[m] for m in (0, 202402)}
+    assert tables.reconcile(spark, "monthly_facts", first, "id", True) == 0
+    assert files_by_month(spark, "monthly_facts") == left
     with pytest.raises(ValueError, match="no keys"):
-        tables.reconcile(spark, "monthly_facts", first.where("id < 0"), "id", folder)
+        tables.reconcile(spark, "monthly_facts", first.where("id < 0"), "id", True)
+
+
+def test_a_creation_month_may_become_known_or_change(spark):
+    """A key is found in whatever month it is stored, and moves."""
+    c = config.TableConfig("dbo.F", "moving_facts", "id", "changed", partition_column="created")
+    at = dt.datetime
+    cols = "id int, v string, created timestamp, changed timestamp"
+    first = [(1, "a", None, at(2024, 2, 3)), (2, "b", at(2024, 1, 5), at(2024, 2, 3)),
+             (3, "c", at(2024, 1, 6), at(2024, 2, 3))]
+    tables.load_table(spark, spark.createDataFrame(first, cols), c, "2024-02-04 00:00:00", "full",
+                      by_month=True)
+    later = [(1, "A", at(2024, 1, 1), at(2024, 3, 1)), (2, "B", at(2023, 12, 31), at(2024, 3, 1)),
+             (4, "d", None, at(2024, 3, 1))]
+    for _ in range(2):  # a replay changes nothing
+        tables.load_table(spark, spark.createDataFrame(later, cols), c, "2024-03-01 06:00:00",
+                          "incremental", by_month=True)
+        assert rows(spark.table("moving_facts").select("id", "v", "_month")) == [
+            (1, "A", 202401), (2, "B", 202312), (3, "c", 202401), (4, "d", 0)]
 
 
 def test_partitioned_upsert_keeps_blank_partitions(spark, tmp_path):

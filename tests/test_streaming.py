@@ -18,8 +18,7 @@ def row(i, v, hour, day=1):
 
 
 def test_upsert_stream_is_incremental_and_replayable(spark, tmp_path):
-    src, table = str(tmp_path / "src"), str(tmp_path / "table")
-    spark.createDataFrame([], SCHEMA).write.parquet(table)
+    src, table = str(tmp_path / "src"), "streamed_edits"
     land(spark, src, [row(1, "a", 1), row(1, "b", 2), row(2, "x", 1)])
     schema = spark.read.parquet(src).schema
 
@@ -27,7 +26,7 @@ def test_upsert_stream_is_incremental_and_replayable(spark, tmp_path):
         stream = ingest.landed_stream(spark, src, schema)
         ingest.upsert_stream(stream, table, "id", "changed", "day",
                              str(tmp_path / checkpoint)).awaitTermination()
-        return sorted((r.id, r.v) for r in spark.read.schema(schema).parquet(table).collect())
+        return sorted((r.id, r.v) for r in spark.table(table).collect())
 
     assert run("c1") == [(1, "b"), (2, "x")]
     land(spark, src, [row(2, "y", 5), row(3, "z", 4, day=2)])
@@ -37,8 +36,7 @@ def test_upsert_stream_is_incremental_and_replayable(spark, tmp_path):
 
 
 def test_upsert_stream_moves_rows_and_keeps_blank_days(spark, tmp_path):
-    src, table = str(tmp_path / "src"), str(tmp_path / "table")
-    spark.createDataFrame([], SCHEMA).write.parquet(table)
+    src, table = str(tmp_path / "src"), "streamed_moves"
     blank = dt.datetime(2024, 1, 1, 1)
     land(spark, src, [row(1, "a", 1), row(4, "only", 1, day=3), (2, "n", blank, None),
                       (3, "m", blank, None)])
@@ -49,7 +47,7 @@ def test_upsert_stream_moves_rows_and_keeps_blank_days(spark, tmp_path):
         ingest.upsert_stream(stream, table, "id", "changed", "day",
                              str(tmp_path / checkpoint)).awaitTermination()
         return sorted((r.id, r.v, r.day.day if r.day else None)
-                      for r in spark.read.schema(schema).parquet(table).collect())
+                      for r in spark.table(table).collect())
 
     assert run("c1") == [(1, "a", 1), (2, "n", None), (3, "m", None), (4, "only", 3)]
     # Row 1 moves to day 2, row 4 leaves its day empty, row 2 is edited without a day; of two
