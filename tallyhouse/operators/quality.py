@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_timestamp
@@ -26,18 +27,6 @@ def unique(df: DataFrame, keys: Sequence[str], name: str, severity: str = "error
     return _result(present.where("c > 1").agg(F.count("*").alias("n")), name, severity)
 
 
-def key_checks(df: DataFrame, key: str, name: str, severity: str = "error") -> DataFrame:
-    """`unique` and `not_null` of a key from one aggregation over it."""
-    counted = df.groupBy(F.col(key).alias("k")).agg(F.count("*").alias("c")).agg(
-        F.count_if(F.col("k").isNotNull() & (F.col("c") > 1)).alias("unique"),
-        F.sum(F.when(F.col("k").isNull(), F.col("c"))).alias("not_null"))
-    rows = F.array(*[F.struct(F.lit(f"{kind}.{name}.{key}").alias("check_name"),
-                              F.coalesce(kind, F.lit(0)).cast("bigint").alias("failures"))
-                     for kind in ("unique", "not_null")])
-    return counted.select(F.explode(rows).alias("r")).select(
-        "r.*", F.lit(severity).alias("severity"))
-
-
 def not_null(df: DataFrame, columns: Sequence[str], name: str,
              severity: str = "error") -> DataFrame:
     """Rows with a null, per column, in one scan."""
@@ -96,6 +85,104 @@ def same_row_count(bronze: DataFrame, silver: DataFrame, name: str) -> DataFrame
         F.abs(F.col("after") - before).alias("failures"), F.lit("error").alias("severity"))
 
 
+# --- many checks in one pass -------------------------------------------------------------------
+
+@dataclass(frozen=True)
+class Check:
+    """One check of a plan. `kind` says how its rows are judged once they are summed up per
+    key: 'unique' counts keys that occur more than once, 'reference' the child rows whose key
+    no parent row has, 'count' rows, 'balance' the difference of two counts, and 'fresh' the
+    age of the newest key."""
+
+    name: str
+    kind: str
+    severity: str = "error"
+
+
+class CheckPlan:
+    """Checks of many models, each model read once.
+
+    A row of a model becomes one entry (check, key) per check that looks at it; rows that a
+    condition check accepts give none. Entries of all models are summed up per (check, key)
+    before they are shuffled, so uniqueness and references of all models share one shuffle,
+    a key that most rows have is one row per task, and parents meet their children there.
+    """
+
+    def __init__(self):
+        self.checks: list[Check] = []
+        self.entries: dict[int, tuple[DataFrame, list[Column]]] = {}  # by model
+
+    def _number(self, check: Check) -> int:
+        self.checks.append(check)
+        return len(self.checks) - 1
+
+    def _enter(self, df: DataFrame, number: int, key: Column | None = None,
+               when: Column | None = None, parent: bool = False) -> None:
+        entry = F.struct(
+            F.lit(number).alias("check"),
+            (F.lit(None) if key is None else key).cast("string").alias("key"),
+            F.lit(int(parent)).alias("parent"))
+        self.entries.setdefault(id(df), (df, []))[1].append(
+            entry if when is None else F.when(when, entry))
+
+    def unique(self, df: DataFrame, column: str, name: str, severity: str = "error") -> None:
+        key = F.col(column)
+        self._enter(df, self._number(Check(name, "unique", severity)), key, key.isNotNull())
+
+    def count(self, df: DataFrame, when: Column, name: str, severity: str = "error") -> None:
+        """Rows for which `when` is true."""
+        self._enter(df, self._number(Check(name, "count", severity)), when=when)
+
+    def not_null(self, df: DataFrame, column: str, name: str, severity: str = "error") -> None:
+        self.count(df, F.col(column).isNull(), name, severity)
+
+    def accepted(self, df: DataFrame, column: str, values: Sequence, name: str,
+                 severity: str = "error") -> None:
+        self.count(df, ~F.col(column).isin(list(values)), name, severity)
+
+    def reference(self, child: DataFrame, column: str, parent: DataFrame, parent_column: str,
+                  name: str, severity: str = "warn") -> None:
+        number = self._number(Check(name, "reference", severity))
+        kind = parent.schema[parent_column].dataType
+        self._enter(child, number, F.col(column).cast(kind), F.col(column).isNotNull())
+        self._enter(parent, number, F.col(parent_column), F.col(parent_column).isNotNull(), True)
+
+    def same_row_count(self, before: DataFrame, after: DataFrame, name: str) -> None:
+        number = self._number(Check(name, "balance"))
+        self._enter(before, number, parent=True)
+        self._enter(after, number)
+
+    def fresh(self, df: DataFrame, loaded_at: str, name: str) -> None:
+        """Age of the newest `loaded_at`; pass, warn or error is its severity."""
+        self._enter(df, self._number(Check(name, "fresh")), F.unix_timestamp(loaded_at))
+
+    def result(self, spark: SparkSession, as_of=None, warn: int = WARN_HOURS,
+               error: int = ERROR_HOURS) -> DataFrame:
+        """(check_name, failures, severity) of every check."""
+        rows = together([
+            df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+            for df, entries in self.entries.values()])
+        keys = rows.groupBy("check", "key").agg(
+            F.sum(1 - F.col("parent")).alias("n"), F.sum("parent").alias("parents"))
+        found = keys.groupBy("check").agg(
+            F.count_if(F.col("n") > 1).alias("unique"),
+            F.sum(F.when(F.col("parents") == 0, F.col("n"))).alias("reference"),
+            F.sum("n").alias("count"), F.abs(F.sum(F.col("n") - F.col("parents"))).alias("balance"),
+            F.max(F.col("key").try_cast("bigint")).alias("newest"))
+        listed = spark.createDataFrame(
+            [(i, c.name, c.kind, c.severity) for i, c in enumerate(self.checks)],
+            "check int, check_name string, kind string, severity string")
+        hours = (F.unix_timestamp(as_timestamp(as_of)) - F.col("newest")) / 3600 if as_of else F.lit(0)
+        late = (F.when(F.col("newest").isNull() | (hours > error), "error")
+                .when(hours > warn, "warn").otherwise("pass"))
+        failures = F.when(F.col("kind") == "fresh", (late != "pass").cast("bigint"))
+        for kind in ("unique", "reference", "count", "balance"):
+            failures = failures.when(F.col("kind") == kind, F.col(kind))
+        return listed.join(found, "check", "left").select(
+            "check_name", F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"),
+            F.when(F.col("kind") == "fresh", late).otherwise(F.col("severity")).alias("severity"))
+
+
 def together(checks: Sequence[DataFrame]) -> DataFrame:
     out = checks[0]
     for other in checks[1:]:

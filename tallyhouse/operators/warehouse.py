@@ -158,34 +158,37 @@ ACCEPTED = {"fct_connection_request": [
 
 
 def bronze_checks(bronze: Callable[[str], DataFrame], as_of, configs=TABLES) -> DataFrame:
-    """Checks of the source tables: every key unique and present (one scan a table), people
-    as fresh as their newest load (severity says how late), and staging as long as bronze."""
-    out = [quality.key_checks(bronze(c.target), c.primary_key, c.target)
-           for c in configs.values()]
-    people = bronze("people")
+    """Checks of the source tables: every key unique and present, people as fresh as their
+    newest load (severity says how late), and staging as long as bronze; one scan a table,
+    and one of staging."""
+    plan = quality.CheckPlan()
+    tables = {c.target: bronze(c.target) for c in configs.values()}
+    for c in configs.values():
+        df = tables[c.target]
+        plan.unique(df, c.primary_key, f"unique.{c.target}.{c.primary_key}")
+        plan.not_null(df, c.primary_key, f"not_null.{c.target}.{c.primary_key}")
+    people = tables["people"] if "people" in tables else bronze("people")
     if "_loaded_at" in people.columns:
-        age = quality.freshness(people, "_loaded_at", as_of, "freshness.people")
-        out.append(age.select("check_name", (F.col("state") != "pass").cast("bigint")
-                              .alias("failures"), F.col("state").alias("severity")))
-    out.append(quality.same_row_count(people, S.people(people), "row_count.people"))
-    return quality.together(out)
+        plan.fresh(people, "_loaded_at", "freshness.people")
+    plan.same_row_count(people, S.people(people), "row_count.people")
+    return plan.result(people.sparkSession, as_of)
 
 
 def checks(models: Mapping[str, DataFrame]) -> DataFrame:
-    """Every check whose models are given: (check_name, failures, severity)."""
-    out = []
+    """Every check whose models are given, each model read once: (check_name, failures,
+    severity)."""
+    plan = quality.CheckPlan()
     for name, df in models.items():
         for column in UNIQUE.get(name, []):
-            out.append(quality.unique(df, [column], f"unique.{name}.{column}"))
-        needed = UNIQUE.get(name, []) + REQUIRED.get(name, [])
-        if needed:
-            out.append(quality.not_null(df, needed, f"not_null.{name}"))
-        if name in REQUIRED_WARN:
-            out.append(quality.not_null(df, REQUIRED_WARN[name], f"not_null.{name}", "warn"))
+            plan.unique(df, column, f"unique.{name}.{column}")
+        for column in UNIQUE.get(name, []) + REQUIRED.get(name, []):
+            plan.not_null(df, column, f"not_null.{name}.{column}")
+        for column in REQUIRED_WARN.get(name, []):
+            plan.not_null(df, column, f"not_null.{name}.{column}", "warn")
         for column, parent, parent_column in REFERENCES.get(name, []):
             if parent in models:
-                out.append(quality.relationship(df, column, models[parent], parent_column,
-                                                f"reference.{name}.{column}"))
+                plan.reference(df, column, models[parent], parent_column,
+                               f"reference.{name}.{column}")
         for column, values in ACCEPTED.get(name, []):
-            out.append(quality.accepted_values(df, column, values, f"accepted.{name}.{column}"))
-    return quality.together(out)
+            plan.accepted(df, column, values, f"accepted.{name}.{column}")
+    return plan.result(next(iter(models.values())).sparkSession)

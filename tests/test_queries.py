@@ -82,3 +82,12 @@ def test_subtotals_copy_cells_not_orders(name, spark, sf_dir):
     plan = plan_of(entry.queries()[name](spark, sf_dir))
     below = plan[plan.index("Expand"):]
     assert "partial_sum" in below and "Exchange hashpartitioning" in below
+
+
+@pytest.mark.parametrize("name,scans,single", [("quality_models", 16, 0), ("quality_bronze", 16, 0)])
+def test_checks_read_each_model_once(name, scans, single, spark, sf_dir):
+    """Fifteen tables, and one of them a second time: the current rows of the history, and
+    staging beside bronze."""
+    plan = plan_of(entry.queries()[name](spark, sf_dir))
+    assert plan.count("FileScan") <= scans
+    assert plan.count("Exchange SinglePartition") <= single
