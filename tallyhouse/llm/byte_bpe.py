@@ -1,18 +1,18 @@
 """Byte-level BPE with a hierarchical-bitmap rank queue.
 
-A pre-token is a linked list of parts. Every adjacent pair that the vocabulary can merge
-is queued under its merge rank: a bucket of list positions per rank, and a bitmap of two
-levels over the ranks, in which find-first-set gives the lowest rank that has entries. An entry whose pair has changed meanwhile is skipped when it comes up, so merging
-n bytes costs n pushes and pops however long the pre-token is.
+Pre-tokens are linked lists of parts, many of them laid end to end with a barrier between
+them that merges with nothing. Every adjacent pair that the vocabulary can merge is queued
+under its merge rank: a bucket of list positions per rank, and a bitmap of two levels over
+the ranks, in which find-first-set gives the lowest rank that has entries. An entry whose
+pair has changed meanwhile is skipped when it comes up, so merging n bytes costs in
+proportion to n pushes and pops, however long a pre-token is.
 """
 
 from __future__ import annotations
 
 import base64
 import re
-import struct
 from collections.abc import Iterator
-from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, file_bytes, id_text, ship, slices
+from .common import Memo, file_bytes, held, id_text, ship, slices
 
 # Unicode White_Space, which `\s` of the pattern stands for.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -29,6 +29,14 @@ SPACE = "\t-\r \x85\xa0  -     　"
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
+# Ranks to a word of the lower level of the bitmap, as a power of two; both levels are then
+# about equally wide for vocabularies of some ten thousand tokens.
+WORD_BITS = 8
+LOW = (1 << WORD_BITS) - 1
+TOGETHER = 200_000  # bytes of pre-tokens that share a queue; a longer one has its own
+GONE = -2  # in place of the id of a part that was merged into the one before it
+
+
 class Encoder:
     """Ids of texts by a rank table; single bytes must be in it."""
 
@@ -37,98 +45,122 @@ class Encoder:
         # `\s` as written means White_Space; here it would also take U+001C to U+001F.
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{SPACE}")
                                      .replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]"))
-        self.longest = max(map(len, ranks))
-        self.words = [0] * ((max(ranks.values()) >> 6) + 1)  # zero between calls
-        self.pieces = Memo(self.merge, 300_000)
-        self.chunks = Memo(self.chunk)
-
-    def merge(self, piece: bytes) -> bytes:
-        """Little-endian 32-bit ids of one pre-token."""
-        rank_of, longest, words = self.ranks.get, self.longest, self.words
-        whole = rank_of(piece)
-        if whole is not None:
-            return whole.to_bytes(4, "little")
-        n = len(piece)
-        end = list(range(1, n + 1))  # of the part that starts at an index
-        before = list(range(-1, n - 1))
-        pair = [rank_of(piece[i:i + 2], -1) for i in range(n - 1)]  # of a part and the next
-        pair.append(-1)
-        buckets: dict[int, int | list[int]] = {}  # a position, or a heap of several
+        self.barrier = max(ranks.values()) + 1  # an id that nothing follows
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)] + [self.barrier])
+        self.byte_pairs = np.full((257, 257), -1)
+        self.byte_pairs[:256, :256] = [[ranks.get(bytes([a, b]), -1) for b in range(256)]
+                                       for a in range(256)]
+        # For each id those that may follow it, with the rank of the two as one.
+        self.follow: list[dict[int, int]] = [{} for _ in range(self.barrier + 1)]
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                left, right = ranks.get(token[:i]), ranks.get(token[i:])
+                if left is not None and right is not None:
+                    self.follow[left][right] = rank
+        self.pieces = Memo(None, 300_000)
+        self.chunks = Memo(None)
+
+    def merged(self, pieces: list[bytes]) -> list[bytes]:
+        """Little-endian 32-bit ids of pre-tokens that share one queue."""
+        follow = self.follow
+        data = np.frombuffer(b"\0" + b"\0".join(pieces) + b"\0", np.uint8).astype(np.int64)
+        data[0] = data[-1] = 256
+        data[np.cumsum([len(p) + 1 for p in pieces])] = 256  # the barriers
+        ids = self.byte_ids[data].tolist()  # of the part that starts at a position
+        end = list(range(1, len(data) + 1))  # of that part
+        before = list(range(-1, len(data) - 1))
+        pairs = np.append(self.byte_pairs[data[:-1], data[1:]], -1)  # of it and the next
+        pair = pairs.tolist()
+        order = np.flatnonzero(pairs >= 0)
+        order = order[np.argsort(pairs[order], kind="stable")]
+        ranks, starts = np.unique(pairs[order], return_index=True)
+        places, edges = order.tolist(), [*starts.tolist(), len(order)]
+        buckets = {rank: places[a:b] for rank, a, b in zip(ranks.tolist(), edges, edges[1:])}
+        words = [0] * ((self.barrier >> WORD_BITS) + 1)
         top = 0  # a bit for every word that is not zero
-        for i, rank in enumerate(pair):
-            if rank >= 0:
-                if rank in buckets:
-                    self.queue(buckets, rank, i)
-                else:
-                    buckets[rank] = i
-                    words[rank >> 6] |= 1 << (rank & 63)
-                    top |= 1 << (rank >> 6)
+        for rank in buckets:
+            words[rank >> WORD_BITS] |= 1 << (rank & LOW)
+            top |= 1 << (rank >> WORD_BITS)
         while top:
             at = (top & -top).bit_length() - 1
-            word = words[at]
-            low = word & -word
-            rank = (at << 6) + low.bit_length() - 1
-            i = buckets[rank]
-            if type(i) is list:
-                heap, i = i, heappop(i)
-                if len(heap) == 1:
-                    buckets[rank] = heap[0]
-            else:
-                del buckets[rank]
-                words[at] = word = word ^ low
-                if not word:
-                    top &= top - 1
-            if pair[i] != rank:
-                continue  # stale: the pair has changed
-            j = end[i]
-            stop = end[i] = end[j]
-            pair[j] = -1
-            if stop < n:
+            low = words[at] & -words[at]
+            rank = (at << WORD_BITS) + low.bit_length() - 1
+            words[at] ^= low
+            if not words[at]:
+                top &= top - 1
+            after = follow[rank]
+            positions = buckets.pop(rank)
+            positions.sort()  # the leftmost of two that overlap is merged
+            rest = iter(positions)
+            for i in rest:
+                if pair[i] != rank:
+                    continue  # stale: the pair has changed
+                j = end[i]
+                end[i] = stop = end[j]
                 before[stop] = i
-                right = end[stop]
-                pair[i] = rank = rank_of(piece[i:right], -1) if right - i <= longest else -1
-                if rank >= 0:
-                    if rank in buckets:
-                        self.queue(buckets, rank, i)
-                    else:
-                        buckets[rank] = i
-                        words[rank >> 6] |= 1 << (rank & 63)
-                        top |= 1 << (rank >> 6)
-            else:
-                pair[i] = -1
-            if i:
+                pair[j], ids[j], ids[i] = -1, GONE, rank
                 left = before[i]
-                pair[left] = rank = rank_of(piece[left:stop], -1) if stop - left <= longest else -1
-                if rank >= 0:
-                    if rank in buckets:
-                        self.queue(buckets, rank, left)
+                new, new_left = after.get(ids[stop], -1), follow[ids[left]].get(rank, -1)
+                pair[i], pair[left] = new, new_left
+                if new >= 0:
+                    if new in buckets:
+                        buckets[new].append(i)
                     else:
-                        buckets[rank] = left
-                        words[rank >> 6] |= 1 << (rank & 63)
-                        top |= 1 << (rank >> 6)
-        ids, i = [], 0
-        while i < n:
-            ids.append(self.ranks[piece[i:end[i]]])
-            i = end[i]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    @staticmethod
-    def queue(buckets: dict, rank: int, position: int) -> None:
-        """Another position for a rank that already has one."""
-        if type(buckets[rank]) is list:
-            heappush(buckets[rank], position)
-        else:
-            buckets[rank] = sorted((buckets[rank], position))
-
-    def chunk(self, text: str) -> bytes:
-        return b"".join([self.pieces[m.encode()] for m in self.pattern.findall(text)])
+                        buckets[new] = [i]
+                        words[new >> WORD_BITS] |= 1 << (new & LOW)
+                        top |= 1 << (new >> WORD_BITS)
+                if new_left >= 0:
+                    if new_left in buckets:
+                        buckets[new_left].append(left)
+                    else:
+                        buckets[new_left] = [left]
+                        words[new_left >> WORD_BITS] |= 1 << (new_left & LOW)
+                        top |= 1 << (new_left >> WORD_BITS)
+                if 0 <= new < rank or 0 <= new_left < rank:
+                    # What has just become possible comes before the others of this rank.
+                    if waiting := list(rest):
+                        buckets[rank] = waiting
+                        words[at] |= low
+                        top |= 1 << at
+        found = np.array(ids)
+        found = found[found != GONE]
+        edges = np.flatnonzero(found == self.barrier).tolist()
+        raw = found.astype("<u4").tobytes()
+        return [raw[4 * a + 4:4 * b] for a, b in zip(edges, edges[1:])]
+
+    def merge_all(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Little-endian 32-bit ids of each distinct pre-token."""
+        found, rest, size = {}, [], 0
+        for piece in pieces:
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                found[piece] = whole.to_bytes(4, "little")
+                continue
+            if rest and size + len(piece) > TOGETHER:
+                found.update(zip(rest, self.merged(rest)))
+                rest, size = [], 0
+            rest.append(piece)
+            size += len(piece)
+        if rest:
+            found.update(zip(rest, self.merged(rest)))
+        return found
 
-    def encode(self, text: str) -> bytes:
-        """Little-endian 32-bit ids of a whole text."""
-        return b"".join(map(self.chunks.__getitem__, CHUNK.findall(text)))
+    def merge(self, piece: bytes) -> bytes:
+        return self.merge_all([piece])[piece]
 
+    def new_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        cut = [[m.encode() for m in self.pattern.findall(c)] for c in chunks]
+        found = self.pieces.with_all(set().union(*cut), self.merge_all)
+        return {c: b"".join(map(found.__getitem__, pieces)) for c, pieces in zip(chunks, cut)}
 
-_LOADED: dict[int, Encoder] = {}
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of whole texts."""
+        cut = [CHUNK.findall(t) for t in texts]
+        found = self.chunks.with_all(set().union(*cut), self.new_chunks)
+        return [b"".join(map(found.__getitem__, chunks)) for chunks in cut]
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
 
 
 def load_ranks(data: bytes) -> dict[bytes, int]:
@@ -139,18 +171,15 @@ def load_ranks(data: bytes) -> dict[bytes, int]:
 
 def encoder(data, pattern: str) -> Encoder:
     """The worker's encoder for a broadcast rank file, built once."""
-    key = hash((data.value, pattern))
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Encoder(load_ranks(data.value), pattern)
-    return _LOADED[key]
+    return held(("byte_bpe", hash((data.value, pattern))),
+                lambda: Encoder(load_ranks(data.value), pattern))
 
 
 def encoded(batches: Iterator[pa.RecordBatch], data, pattern: str) -> Iterator[pa.RecordBatch]:
     """(doc_id, ids) of batches of (doc_id, text)."""
     own = encoder(data, pattern)
     for batch in slices(batches):
-        found = [own.encode(t) for t in batch.column("text").to_pylist()]
+        found = own.encode_all(batch.column("text").to_pylist())
         ends = np.cumsum([0, *map(len, found)]) // 4
         ids = pa.ListArray.from_arrays(
             pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))

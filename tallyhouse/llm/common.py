@@ -71,6 +71,23 @@ def file_bytes(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
+_HELD: dict = {}
+
+
+def held(key, build: Callable):
+    """What a Python worker keeps between tasks: the tables of one operator at a time, so
+    that those of a stage do not fill the memory of the next."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
+def forget() -> None:
+    """For tasks that need no tables: those of the stages before go."""
+    _HELD.clear()
+
+
 class Memo(dict):
     """A dictionary that computes what it lacks, for two generations of `limit` entries.
 
@@ -130,18 +147,20 @@ def slices(batches: Iterable[pa.RecordBatch], chars: int = 8 << 20,
 
 
 def join_kept(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """`docs` without the rows whose doc_id is in `gone`, one row per doc_id.
+    """`docs` without the rows whose doc_id is in `gone`, one row per doc_id: of rows that
+    repeat one the smallest text stays (a null one first).
 
-    A row without a doc_id stays, as no decision can name it. The window needs no
-    exchange or sort beyond those of the join.
+    Rows without a doc_id stay, as no decision can name them, and are not shuffled. The
+    window needs no exchange beyond that of the join.
     """
     from pyspark.sql import Window
 
-    left = docs.join(gone.select(F.col("doc_id").alias("__gone")),
-                     F.col("doc_id") == F.col("__gone"), "left_anti")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    return (left.withColumn("__first", first)
-            .where((F.col("__first") == 1) | F.col("doc_id").isNull()).drop("__first"))
+    left = docs.where(F.col("doc_id").isNotNull()).join(
+        gone.select(F.col("doc_id").alias("__gone")), F.col("doc_id") == F.col("__gone"),
+        "left_anti")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    return (left.withColumn("__first", first).where("__first = 1").drop("__first")
+            .unionByName(docs.where(F.col("doc_id").isNull())))
 
 
 def spans_text(spans: Column) -> Column:

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, join_kept, ship
+from .common import checkpointed, forget, join_kept, ship
 
 WHITE = r"[\x20\x09-\x0D]+"
 
@@ -39,6 +39,7 @@ def misra_gries(counters: int):
                     del weights[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         weights: dict[str, int] = {}
         for batch in batches:
             for pair in pc.value_counts(batch.column(0)).to_pylist():

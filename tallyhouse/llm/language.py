@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Memo, file_bytes, ship, slices
+from .common import file_bytes, held, ship, slices
 from .token_count import MARK, piece_scores
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -39,28 +39,87 @@ def blocks(word: str) -> list[str]:
 
 
 class Lattice:
-    """All segmentations of many blocks at once, those of one length side by side."""
+    """All segmentations of many blocks at once, those of one length side by side.
+
+    The pieces are a trie whose edges (node, character) lie in an open hash table, so all
+    blocks take a step at once and one leaves as soon as no piece goes on as it does.
+    """
 
     def __init__(self, pieces: dict[str, int]):
-        self.pieces = pieces  # piece: row of the probability table; its last row is 0
         self.longest = max(map(len, pieces))
+        self.unknown = len(pieces)  # row of a character that is no piece
+        edges, rows = {}, [-1]
+        for piece, row in pieces.items():
+            node = 0
+            for c in piece:
+                child = edges.setdefault((node, ord(c)), len(rows))
+                if child == len(rows):
+                    rows.append(-1)
+                node = child
+            rows[node] = row
+        self.row_of = np.array(rows)  # of the piece that ends at a node, or -1
+        self.bits = (4 * len(edges)).bit_length()
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.child = np.zeros(1 << self.bits, np.int64)
+        keys = np.array([node << 21 | c for node, c in edges], np.int64)
+        slots, waiting = self.slots(keys), np.arange(len(keys))
+        child = np.fromiter(edges.values(), np.int64, len(edges))
+        while len(waiting):
+            at = slots[waiting]
+            free = waiting[self.keys[at] < 0]
+            self.keys[slots[free]] = keys[free]  # of several to one slot the last stays
+            placed = self.keys[slots[waiting]] == keys[waiting]
+            self.child[slots[waiting[placed]]] = child[waiting[placed]]
+            waiting = waiting[~placed]
+            slots[waiting] = (slots[waiting] + 1) & ((1 << self.bits) - 1)
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        hashed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (hashed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def step(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """The node after a character, or -1."""
+        keys = nodes << 21 | chars
+        slots = self.slots(keys)
+        seen = self.keys[slots]
+        out = np.where(seen == keys, self.child[slots], -1)
+        on = np.flatnonzero((seen != keys) & (seen >= 0))
+        while len(on):
+            slots[on] = (slots[on] + 1) & ((1 << self.bits) - 1)
+            seen = self.keys[slots[on]]
+            hit = seen == keys[on]
+            out[on[hit]] = self.child[slots[on[hit]]]
+            on = on[~hit & (seen >= 0)]
+        return out
 
-    def ids(self, same: list[str], start: int, end: int) -> np.ndarray:
-        none = len(self.pieces) + (1 if end - start > 1 else 0)  # row of UNKNOWN, row of 0
-        return np.fromiter((self.pieces.get(w[start:end], none) for w in same),
-                           np.int64, len(same))
+    def spans(self, same: list[str]):
+        """(start, end, blocks, rows) of the pieces in blocks of one length, by start. Every
+        single character is one, if only an unknown one."""
+        n = len(same[0])
+        chars = np.array(same, f"U{n}").view(np.uint32).reshape(len(same), n).astype(np.int64)
+        for start in range(n):
+            blocks, nodes = np.arange(len(same)), np.zeros(len(same), np.int64)
+            for end in range(start + 1, min(n, start + self.longest) + 1):
+                nodes = self.step(nodes, chars[blocks, end - 1])
+                rows = np.where(nodes >= 0, self.row_of[nodes], -1)
+                if end == start + 1:
+                    yield start, end, blocks, np.where(rows >= 0, rows, self.unknown)
+                else:
+                    hit = rows >= 0
+                    if hit.any():
+                        yield start, end, blocks[hit], rows[hit]
+                alive = nodes >= 0
+                blocks, nodes = blocks[alive], nodes[alive]
+                if not len(blocks):
+                    break
 
     def forward(self, same: list[str], table: np.ndarray):
-        """(alpha[end][word, language], the ids of every span) of blocks of one length."""
-        n = len(same[0])
-        alpha = [np.ones((len(same), table.shape[1]))]
-        spans = {}
-        for end in range(1, n + 1):
-            total = np.zeros_like(alpha[0])
-            for start in range(max(0, end - self.longest), end):
-                ids = spans[start, end] = self.ids(same, start, end)
-                total += alpha[start] * table[ids]
-            alpha.append(total)
+        """(alpha[end, block, language], the spans) of blocks of one length."""
+        alpha = np.zeros((len(same[0]) + 1, len(same), table.shape[1]))
+        alpha[0] = 1.0
+        spans = list(self.spans(same))
+        for start, end, blocks, rows in spans:  # all spans up to a start are done before it
+            alpha[end, blocks] += alpha[start, blocks] * table[rows]
         return alpha, spans
 
     def log_probability(self, texts: list[str], table: np.ndarray) -> dict[str, np.ndarray]:
@@ -69,8 +128,8 @@ class Lattice:
             by_length.setdefault(len(w), []).append(w)
         out = {}
         for same in by_length.values():
-            for at in range(0, len(same), 20_000):
-                part = same[at:at + 20_000]
+            for at in range(0, len(same), 10_000):
+                part = same[at:at + 10_000]
                 out.update(zip(part, np.log(self.forward(part, table)[0][-1])))
         return out
 
@@ -82,14 +141,14 @@ class Lattice:
         uses = np.zeros(len(table))
         for n, same in by_length.items():
             alpha, spans = self.forward(same, table)
-            beta = [np.ones((len(same), 1)) for _ in range(n + 1)]
-            for start in range(n - 1, -1, -1):
-                beta[start] = sum(beta[end] * table[spans[start, end]]
-                                  for end in range(start + 1, n + 1) if (start, end) in spans)
+            beta = np.zeros_like(alpha)
+            beta[n] = 1.0
+            for start, end, blocks, rows in reversed(spans):
+                beta[start, blocks] += beta[end, blocks] * table[rows]
             weight = np.array([counts[w] for w in same])[:, None] / alpha[n]
-            for (start, end), ids in spans.items():
-                share = alpha[start] * table[ids] * beta[end] * weight
-                np.add.at(uses, ids, share[:, 0])
+            for start, end, blocks, rows in spans:
+                share = alpha[start, blocks] * table[rows] * beta[end, blocks] * weight[blocks]
+                np.add.at(uses, rows, share[:, 0])
         return uses
 
 
@@ -106,7 +165,8 @@ def learn(labelled: DataFrame, path: str, documents: int = 4000, words: int = 80
     text, lang).
 
     Fitted on a bounded sample: of each language about `documents` documents at most, by a
-    hash of the doc_id, and of these the `words` most frequent words. What reaches the
+    hash of the doc_id, and of these the `words` most frequent words (blocks of them, if
+    long; ties by a hash). What reaches the
     driver is one row per language and one per language and piece. Rows without text or
     lang are not used; no usable row at all gives no language.
     """
@@ -129,7 +189,8 @@ def learn(labelled: DataFrame, path: str, documents: int = 4000, words: int = 80
             for text, lang in zip(batch.column("text").to_pylist(),
                                   batch.column("lang").to_pylist()):
                 seen.setdefault(lang, Counter()).update(words_of(text or ""))
-            rows = [(lang, w[:BLOCK - 1], n) for lang, c in seen.items() for w, n in c.items()]
+            rows = [(lang, b, n) for lang, c in seen.items() for w, n in c.items()
+                    for b in blocks(w)]
             columns = list(zip(*rows)) or [[], [], []]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
@@ -137,7 +198,8 @@ def learn(labelled: DataFrame, path: str, documents: int = 4000, words: int = 80
 
     counted = (sample.select("text", "lang").mapInArrow(count, "lang string, word string, n long")
                .groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(
+        F.desc("n"), F.xxhash64("word"), "word"))
     chosen = counted.withColumn("rank", rank).where(F.col("rank") <= words)
 
     def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -146,7 +208,7 @@ def learn(labelled: DataFrame, path: str, documents: int = 4000, words: int = 80
         table = np.full((len(pieces) + 2, 1), 1.0 / len(pieces))
         table[-2:, 0] = UNKNOWN, 0.0
         pdf = pdf.sort_values("word")
-        counts = dict(zip((MARK + w for w in pdf["word"]), pdf["n"].astype(float)))
+        counts = dict(zip(pdf["word"], pdf["n"].astype(float)))
         for _ in range(rounds):
             uses = lattice.expected(counts, table)[:-2] + 0.01
             table[:-2, 0] = uses / uses.sum()
@@ -164,39 +226,55 @@ def learn(labelled: DataFrame, path: str, documents: int = 4000, words: int = 80
 
 
 class Scorer:
-    """Best language of a text and its posterior."""
+    """Best language of a text and its posterior; of equal ones the first by code point.
 
-    def __init__(self, model: bytes, languages: list[str], prior: np.ndarray, table: np.ndarray):
-        self.languages, self.prior, self.table = languages, prior, table
-        self.lattice = Lattice(vocabulary(model))
-        self.memo = Memo(None)
+    Known words are rows of one matrix. When `limit` of them are reached it starts anew with
+    the words of the texts at hand.
+    """
 
-    def score(self, words: list[str]) -> dict[str, np.ndarray | bool]:
-        """Log probability of each word by language; False for one that has no letter."""
-        cut = {w: blocks(w) for w in words if any(map(str.isalpha, w))}
+    def __init__(self, model: bytes, languages: list[str], prior: np.ndarray, table: np.ndarray,
+                 limit: int = 200_000):
+        self.languages, self.prior, self.table, self.limit = languages, prior, table, limit
+        self.lattice = Lattice(vocabulary(model))
+        self.row: dict[str, int] = {}  # 0 for a word without a letter
+        self.logs = np.zeros((1, len(languages)))
+
+    def add(self, words: set[str]) -> None:
+        """Give all of `words` a row."""
+        if len(self.row) + len(words - self.row.keys()) > self.limit:
+            self.row, self.logs = {}, np.zeros((1, len(self.languages)))
+        new = words - self.row.keys()
+        cut = {w: blocks(w) for w in new if any(map(str.isalpha, w))}
         parts = self.lattice.log_probability(
             list({b for p in cut.values() for b in p}), self.table)
-        return {w: sum(parts[b] for b in cut[w]) if w in cut else False for w in words}
+        rows = [sum(parts[b] for b in p) for p in cut.values()]
+        if rows:
+            self.row.update(zip(cut, range(len(self.logs), len(self.logs) + len(rows))))
+            self.logs = np.concatenate([self.logs, rows])
+        self.row.update((w, 0) for w in new if w not in cut)
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         if not self.languages:
             return [(UNDECIDED, 0.0)] * len(texts)
         counted = [Counter(words_of(t)) if t else {} for t in texts]
-        logs = self.memo.with_all(set().union(*counted), self.score)
+        self.add(set().union(*counted))
         out = []
         for c in counted:
-            known = [(v, n) for w, n in c.items() if (v := logs[w]) is not False]
-            if not known:
+            rows = np.fromiter(map(self.row.__getitem__, c), np.int64, len(c))
+            if not rows.any():
                 out.append((UNDECIDED, 0.0))
                 continue
-            total = self.prior + np.array([n for _, n in known], float) @ np.array(
-                [v for v, _ in known])
+            often = np.fromiter(c.values(), float, len(c)) * (rows > 0)
+            total = self.prior + often @ self.logs[rows]
             top = int(total.argmax())
             out.append((self.languages[top], float(1 / np.exp(total - total[top]).sum())))
         return out
 
 
-_LOADED: dict[int, Scorer] = {}
+def scorer(data, fitted) -> Scorer:
+    """The worker's scorer for a broadcast model, built once."""
+    return held(("language", hash(fitted.value[2].tobytes())),
+                lambda: Scorer(data.value, *fitted.value))
 
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray],
@@ -210,18 +288,13 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray],
     data, fitted = file_bytes(spark, path), spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = hash(fitted.value[2].tobytes())
-        if key not in _LOADED:
-            _LOADED.clear()
-            _LOADED[key] = Scorer(data.value, *fitted.value)
+        own = scorer(data, fitted)
         for batch in slices(batches):
-            found = _LOADED[key].predict(batch.column("text").to_pylist())
-            names, scores = zip(*found)
+            names, scores = zip(*own.predict(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 [*batch.schema.names, "lang_pred", "score"])
 
-
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
     return docs.mapInArrow(run, schema)
@@ -243,7 +316,14 @@ def predictions(docs: DataFrame, path: str) -> DataFrame:
 def drop_unidentified(docs: DataFrame, path: str, least: float = 0.5) -> DataFrame:
     """`docs` without the rows that are `und` or whose best posterior is below `least`."""
     model = learn(docs.where(~held_out()), path)
-    only = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    told = identify(only, model, path)
-    return told.where((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= least)).select(
-        "row.*")
+    spark = ship(docs.sparkSession)
+    data, fitted = file_bytes(spark, path), spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = scorer(data, fitted)
+        for batch in slices(batches):
+            told = own.predict(batch.column("text").to_pylist())
+            yield batch.filter(pa.array([lang != UNDECIDED and score >= least
+                                         for lang, score in told], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, id_text, join_kept, ship, slices
+from .common import checkpointed, forget, id_text, join_kept, ship, slices
 
 PERMUTATIONS, ROWS = 128, 4
 OTHERS = 3  # further members of a bucket that all are compared with
@@ -79,6 +79,7 @@ def packed(low: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, n_shingles, set_key, bands, bits) of each row; no key without a word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches):
             sets = [shingle_set(t, words)
                     for t in batch.column("text").cast(pa.binary()).to_pylist()]

@@ -10,6 +10,7 @@ saved. Only the last bin of a group can stay badly filled.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .byte_bpe import CHUNK
-from .common import Memo, checkpointed, file_bytes, id_text, ship, slices
+from .common import Memo, checkpointed, file_bytes, held, id_text, ship, slices
 
 # Fixed value: the pattern of the byte-level pre-tokeniser.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -39,10 +40,18 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def added_tokens(data: bytes) -> dict[str, int]:
+    """The tokens that the file cuts out of a text before anything else."""
+    added = json.loads(data)["added_tokens"]
+    if any(t.get("single_word") or t.get("lstrip") or t.get("rstrip") for t in added):
+        raise ValueError("added tokens that look at what is beside them are not supported")
+    return {t["content"]: t["id"] for t in added}
+
+
 def ranks_of(data: bytes) -> dict[bytes, int]:
-    """The vocabulary of a byte-level tokenizers file as merge ranks, special tokens left
-    out (their strings are ordinary text). Merging by rank is the file's own rule if each
-    merge makes the token of the next id, which is checked."""
+    """The vocabulary of a byte-level tokenizers file as merge ranks, without the added
+    tokens. Merging by rank is the file's own rule if each merge makes the token of the next
+    id, which is checked."""
     file, byte = json.loads(data), byte_of_char()
     vocabulary, special = file["model"]["vocab"], {t["content"] for t in file["added_tokens"]}
     for i, pair in enumerate(file["model"]["merges"]):
@@ -67,6 +76,9 @@ class FileEncoder:
                                            special_tokens={})
         self.line_end = int(self.batch(["\n"])[0][0])
         self.chunks = Memo(None, 250_000)
+        self.added = added_tokens(data)
+        self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))
+                              or "(?!)")
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(self.tokenizer.encode_ordinary(t), "<u4") for t in texts]
@@ -86,20 +98,26 @@ class FileEncoder:
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [CHUNK.findall(t) for t in texts]
+        parts, owners = [], []  # texts between added tokens, and whose they are
+        marks: dict[int, list[bytes]] = {}  # the added tokens of the few texts that have some
+        for k, text in enumerate(texts):
+            own = self.cut.split(text)
+            parts += own
+            owners += [k] * len(own)
+            if len(own) > 1:
+                marks[k] = [self.added[m].to_bytes(4, "little") for m in self.cut.findall(text)]
+        cut = [CHUNK.findall(t) for t in parts]
         found = self.chunks.with_all(set().union(*cut), self.ids)
-        return [b"".join(map(found.__getitem__, chunks)) for chunks in cut]
-
-
-_LOADED: dict[int, FileEncoder] = {}
+        out: list[list[bytes]] = [[] for _ in texts]
+        for k, chunks in zip(owners, cut):
+            if out[k]:
+                out[k].append(marks[k].pop(0))
+            out[k].append(b"".join(map(found.__getitem__, chunks)))
+        return [b"".join(own) for own in out]
 
 
 def file_encoder(data) -> FileEncoder:
-    key = hash(data.value)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = FileEncoder(data.value)
-    return _LOADED[key]
+    return held(("packing", hash(data.value)), lambda: FileEncoder(data.value))
 
 
 def cuts(n: int, size: int) -> list[tuple[int, int]]:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, id_text, ship, slices, spans_text
+from .common import checkpointed, forget, id_text, ship, slices, spans_text
 
 KINDS = ("email", "ip", "card", "phone")  # base kinds in the order of results
 FOUND = "id"  # kind of the spans that contexts add
@@ -143,6 +143,7 @@ def text_hash():
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, base, instances, row); `row` tells repeated doc_ids apart."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches):
             found = [scan_text(t) for t in batch.column("text").to_pylist()]
             base = [[dict(zip(("kind", "start", "end"), s)) for s in b] for b, _ in found]
@@ -263,6 +264,7 @@ def masked(docs: DataFrame, broadcast_contexts: int = 200_000) -> DataFrame:
             text_hash() == F.col("__hash")), "left").drop("__id", "__hash")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches):
             columns = dict(zip(batch.schema.names, batch.columns))
             old = columns["text"].to_pylist()

@@ -21,7 +21,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from .common import Memo, file_bytes, id_text, ship, slices
+from .common import file_bytes, held, id_text, Memo, ship, slices
 
 MARK = "▁"
 PRE_TOKEN = re.compile(r" *[^ \n]+| +|\n")
@@ -82,15 +82,8 @@ class Counter:
         return {w: counted[w.replace(" ", MARK)] for w in words}
 
 
-_LOADED: dict[int, Counter] = {}
-
-
 def counter(data) -> Counter:
-    key = hash(data.value)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Counter(piece_scores(data.value))
-    return _LOADED[key]
+    return held(("token_count", hash(data.value)), lambda: Counter(piece_scores(data.value)))
 
 
 def token_counts(docs: DataFrame, path: str) -> DataFrame:

@@ -134,3 +134,15 @@ def test_queries_equal_sql(spark, con, sf_dir, name):
     from tallyhouse.llm.queries import QUERIES, SQL
 
     assert compare(QUERIES[name](spark, sf_dir), con, SQL[name]) == ""
+
+
+def test_of_rows_that_repeat_an_id_the_smallest_text_stays(spark):
+    from tallyhouse.llm.common import join_kept
+
+    rows = [(1, "second text"), (1, "first text"), (2, "gone"), (None, "a"), (None, "a"), (3, "x"),
+            (3, None)]
+    gone = spark.createDataFrame([(2,)], "doc_id long")
+    for order in (rows, rows[::-1]):
+        got = join_kept(spark.createDataFrame(order, "doc_id long, text string"), gone).collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(
+            [(1, "first text"), (None, "a"), (None, "a"), (3, None)], key=repr)

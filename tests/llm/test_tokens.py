@@ -53,7 +53,6 @@ def test_rank_queue_equals_tiktoken(bpe, texts):
     own, theirs = bpe
     for text in texts[:300] + ["a" * 5001, "ab" * 3000 + "é" * 999]:
         assert ids_of(own.encode(text)) == theirs.encode_ordinary(text)
-    assert not any(own.words)
 
 
 @settings(max_examples=300, deadline=None)
@@ -151,11 +150,24 @@ def test_token_count_hard_rows(hard, empty):
     assert token_count.token_counts(empty, PIECES).count() == 0
 
 
+def test_pre_tokens_share_a_queue():
+    """Many pre-tokens together give what each gives alone, and what the library gives."""
+    ranks = byte_bpe.load_ranks(read(RANKS))
+    own = byte_bpe.Encoder(ranks, P.PATTERN)
+    rng = random.Random(5)
+    pieces = list({bytes(rng.choice(b"aabbethino s\x00\xc3\xa9") for _ in range(rng.randint(1, 40)))
+                   for _ in range(2000)} | {b"a" * n for n in (2, 3, 7, 500)} | {b"ab" * 300})
+    theirs = tiktoken.Encoding("t", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    together = own.merge_all(pieces)
+    for piece in pieces:
+        assert together[piece] == own.merge(piece)
+        assert ids_of(together[piece]) == theirs._encode_single_piece(piece)
+
+
 # --- packing ------------------------------------------------------------------------------
 
 def test_file_ids_equal_the_library(texts):
     library = Tokenizer.from_file(JSON)
-    library.encode_special_tokens = True
     own = packing.FileEncoder(read(JSON))
     rng = random.Random(1)
     letters = " \n\t\r　  abcdé'sTlre012!?.-日本\x1c\x85<|endoftext|>"
@@ -166,6 +178,18 @@ def test_file_ids_equal_the_library(texts):
     assert [ids_of(x) for x in own.encode(sample)] == want
 
 
+def test_added_tokens_are_cut_out_first():
+    library, own = Tokenizer.from_file(JSON), packing.FileEncoder(read(JSON))
+    assert own.added
+    sample = []
+    for mark in own.added:
+        sample += [f"a {mark} b", mark, f"{mark} a", f"a{mark}", mark * 3, f"x{mark}{mark} \n{mark}y",
+                   mark[:-1], f"{mark[1:]}{mark}", f"it's {mark}'s"]
+    want = [e.ids for e in library.encode_batch(sample, add_special_tokens=False)]
+    assert [ids_of(x) for x in own.encode(sample)] == want
+    assert ids_of(own.encode([f"a {next(iter(own.added))} b"])[0]) == [64, 220, 50256, 275]
+
+
 def check_packed(rows, size):
     bins = {}
     for r in rows:
@@ -187,7 +211,6 @@ def test_op6_on_the_table(spark, sf_dir, texts):
     total = sum(r.length for r in rows)
     assert bins <= 1.01 * -(-total // 2048)
     library = Tokenizer.from_file(JSON)
-    library.encode_special_tokens = True
     ids = pq.read_table(f"{sf_dir}/documents.parquet", columns=["doc_id"])["doc_id"].to_pylist()
     by = {}
     for r in sorted(rows, key=lambda r: r.piece):
@@ -249,6 +272,43 @@ def test_forward_sums_all_segmentations():
     assert np.isclose(uses[2], 2 * 0.03 / total) and np.isclose(uses[3], 2 * 0.04 / total)
 
 
+def brute_forward(word, pieces, table):
+    """Sum over all segmentations, by trying every first piece."""
+    if not word:
+        return np.ones(table.shape[1])
+    total = np.zeros(table.shape[1])
+    for k in range(1, len(word) + 1):
+        row = pieces.get(word[:k], len(pieces) if k == 1 else None)
+        if row is not None:
+            total += table[row] * brute_forward(word[k:], pieces, table)
+    return total
+
+
+def test_posteriors_against_brute_force():
+    """Words of one and of several blocks, repeated words, priors and ties."""
+    pieces = language.vocabulary(read(PIECES))
+    rng = np.random.Generator(np.random.PCG64(3))
+    table = rng.random((len(pieces) + 2, 3)) / len(pieces)
+    table[-2], table[-1] = language.UNKNOWN, 0.0
+    prior = np.log(np.array([0.5, 0.3, 0.2]))
+    scorer = language.Scorer(read(PIECES), ["a", "b", "c"], prior, table, limit=4)
+    texts = ["the cat sat", "the the hat ½", "ein straßen 東京 ж", "x" * 40, None, "12 _", "cat the"]
+    for _ in range(2):  # also when the known words were thrown away
+        for text, (lang, score) in zip(texts, scorer.predict(texts)):
+            words = [w for w in language.words_of(text or "") if any(map(str.isalpha, w))]
+            if not words:
+                assert (lang, score) == ("und", 0.0)
+                continue
+            logs = prior + sum(np.log(brute_forward(b, pieces, table))
+                               for w in words for b in language.blocks(w) if len(b) <= 14)
+            if all(len(b) <= 14 for w in words for b in language.blocks(w)):
+                best = np.exp(logs - logs.max())
+                assert lang == "abc"[int(logs.argmax())]
+                assert np.isclose(score, best.max() / best.sum())
+    even = language.Scorer(read(PIECES), ["a", "b"], np.zeros(2), table[:, [0, 0]])
+    assert even.predict(["the cat"]) == [("a", 0.5)]
+
+
 def test_held_out_accuracy(spark, sf_dir):
     from tallyhouse.llm.queries import QUERIES
 
