@@ -5,11 +5,12 @@
    node from here on, so exact copies cost nothing further.
 2. Nodes that share a band key are candidates. A link of similarity 0.8 shares none of the
    32 keys with a chance of 5e-8.
-3. Candidates are never expanded into all pairs of a bucket. First each node is compared
-   with the bucket's member that shares most keys with others, usually the text that the
-   copies were made from; then, unless links already connect them, with three further
-   members per bucket; and last the pairs of nodes that are not known to be connected and
-   that the packed bits do not rule out (six standard deviations below the threshold).
+3. Candidates are never expanded into all pairs of a bucket. In each of a few turns a node is
+   compared with one other, the pivot that it shares most buckets with; links join nodes into
+   groups, and buckets whose members are all of one group are done. For the nodes of the
+   buckets that are left (texts that share a passage, but are no links) an exact filter takes
+   over: sets that are linked share one of their rarest shingles. The packed bits rule out
+   pairs that are six standard deviations below the threshold.
 4. A pair is a link if its full sets say so. Components are found by contracting the links.
 """
 
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from .common import checkpointed, forget, id_text, join_kept, ship, slices
 
 PERMUTATIONS, ROWS = 128, 4
-OTHERS = 3  # further members of a bucket that all are compared with
+TURNS = 4  # in which every node is compared with one other of its buckets
+COMMON = 100_000  # shingles that are put in the order of their frequency (16 bytes each)
 BITS = 2  # kept of each minimum
 SMALL_IDS = 500_000  # ids that may be broadcast (8 bytes each)
 
@@ -205,21 +207,102 @@ def labelled(rows: DataFrame, parts: DataFrame) -> DataFrame:
     return rows.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
 
 
-def links(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def mixed_bands(members: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """(band, node, part) of the bands whose members are not all known to be connected."""
+    rows = (members.withColumn("part", F.col("node")) if parts is None
+            else labelled(members, parts))
+    mixed = (rows.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+             .where("low <> high").select("band"))
+    return checkpointed(rows.join(mixed, "band"))
+
+
+def partners(mixed: DataFrame, turn: int) -> DataFrame:
+    """(a, b): for each node one pivot of its mixed bands that it is not connected with, the
+    one it shares most of them with. A band's pivot is first the member that shares most
+    bands with others, usually the text that the copies were made from; in later turns the
+    first by a hash that all bands agree on."""
+    if turn == 0:
+        shared = (mixed.groupBy("band").agg(F.count("*").alias("size")).join(mixed, "band")
+                  .groupBy("node").agg(F.sum("size").alias("size")))
+        order = -ranked(F.col("size"), "node")
+        ordered = mixed.join(shared, "node").withColumn("order", order)
+    else:
+        ordered = mixed.withColumn("order", F.xxhash64("node", F.lit(turn)))
+    pivots = ordered.groupBy("band").agg(
+        F.min_by(F.struct("node", "part"), F.struct("order", "node")).alias("pivot"))
+    offers = (mixed.join(pivots, "band").where("part <> pivot.part")
+              .groupBy("node", F.col("pivot.node").alias("pivot")).agg(F.count("*").alias("n")))
+    return (offers.groupBy("node").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("a"))
+            .select("a", F.col("node").alias("b")))
+
+
+def rare_first(rest: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b) of the unconnected nodes in `rest` (node, part) that may be links, by an exact
+    filter: in any one order of all shingles, the sets of a link have one in common among
+    their first n - ceil(n * similarity) + 1. The order puts shingles that many texts have
+    last, so a passage that texts share brings them together only if little else is in them.
+    Which shingles count as common changes the number of candidates, never the links."""
+    spark = ship(docs.sparkSession)
+    texts = (id_text(docs).join(rest.select("node").distinct(), F.col("doc_id") == F.col("node"),
+                                "left_semi"))
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [shingle_set(t, words) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            found, n = np.unique(np.concatenate(sets), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found[n > 1].view(np.int64)), pa.array(n[n > 1])], ["shingle", "n"])
+
+    common = (texts.mapInArrow(frequent, "shingle long, n long").groupBy("shingle")
+              .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(COMMON).collect())
+    # Sorted hashes of the common shingles and their places, the most frequent last.
+    hashes = np.array([r["shingle"] for r in common], np.int64).view(np.uint64)
+    by_hash = np.argsort(hashes)
+    shared = spark.sparkContext.broadcast((hashes[by_hash], len(hashes) - by_hash))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, places = shared.value
+        for batch in slices(batches):
+            ids, firsts, sizes = [], [], []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(),
+                                    batch.column("text").cast(pa.binary()).to_pylist()):
+                own = shingle_set(text, words)
+                place = np.zeros(len(own), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                    place = np.where(known[at] == own, places[at], 0)
+                most = len(own) + percent * len(own) // -100 + 1
+                first = own[np.lexsort((own, place))[:most]]
+                ids += [doc_id] * len(first)
+                sizes += [len(own)] * len(first)
+                firsts.append(first)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(firsts).view(np.int64)),
+                 pa.array(ids, batch.schema.field("doc_id").type), pa.array(sizes, pa.int64())],
+                ["shingle", "node", "n"])
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    rows = checkpointed(texts.mapInArrow(prefixes, f"shingle long, node {id_type}, n long")
+                        .distinct().join(rest, "node"))
+    shared_by = (rows.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+                 .where("low <> high").select("shingle"))
+    rows = rows.join(shared_by, "shingle")
+    a = rows.select("shingle", F.col("node").alias("a"), F.col("part").alias("part_a"),
+                    F.col("n").alias("na"))
+    b = rows.select("shingle", F.col("node").alias("b"), F.col("part").alias("part_b"),
+                    F.col("n").alias("nb"))
+    return a.join(b, "shingle").where(
+        f"a < b and part_a <> part_b and least(na, nb) * 100 >= greatest(na, nb) * {percent}"
+    ).select("a", "b").distinct()
+
+
+def links(nodes: DataFrame, docs: DataFrame, words: int, percent: int,
+          turns: int = TURNS) -> DataFrame:
     """Confirmed (a, b) that connect all nodes (node, n, bands, bits) which links connect."""
     rows = nodes.select("node", F.explode("bands").alias("band"))
-    shared = (rows.groupBy("band")
-              .agg(F.count("*").alias("size"), F.min("node").alias("low"),
-                   F.max("node").alias("high"))
-              .where("low <> high").select("band", "size"))
+    shared = (rows.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+              .where("low <> high").select("band"))
     members = checkpointed(rows.join(shared, "band"))
-    # The text that others were made from keeps the keys that most of them share.
-    popular = members.groupBy("node").agg(F.sum("size").alias("shared_with"))
-    pivots = (members.join(popular, "node").groupBy("band")
-              .agg(F.max_by("node", ranked(F.col("shared_with"), "node")).alias("first"),
-                   F.array(*[F.min_by("node", F.xxhash64("node", "band", F.lit(k)))
-                             for k in range(OTHERS)]).alias("others")))
-    members = checkpointed(members.drop("size").join(pivots, "band"))
     light = nodes.select("node", "n", "bits")
 
     def possible(pairs: DataFrame) -> DataFrame:
@@ -230,36 +313,15 @@ def links(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFr
         return pairs.join(b, "b").join(a, "a").where(
             may_link(F.col("bits_a"), F.col("bits_b"), F.col("na"), F.col("nb"), percent))
 
-    star = members.where("node <> first").select(
-        F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    found = confirmed(possible(star), docs, words, percent)
-
-    parts = hooked(found)
-    member = labelled(members, parts)
-    pivot = parts.select(F.col("node").alias("other"), F.col("component").alias("other_part"))
-    star = (member.select("node", "part", "first", F.explode("others").alias("other"))
-            .where("node <> other and other <> first and part <> other")
-            .distinct().join(pivot, "other", "left")
-            .where(F.col("part") != F.coalesce("other_part", "other"))
-            .select(F.col("other").alias("a"), F.col("node").alias("b")).distinct())
-    more = confirmed(possible(star), docs, words, percent)
-    found = found.unionByName(more)
-
-    parts = hooked(found)
-    rest = labelled(members.where(
-        "node <> first and not array_contains(others, node)"), parts)
-    mixed_bands = (rest.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-                   .where("low <> high").select("band"))
-    rest = checkpointed(rest.select("band", "node", "part").join(mixed_bands, "band")
-                        .join(light, "node"))
-    a = rest.select("band", F.col("node").alias("a"), F.col("part").alias("part_a"),
-                    F.col("n").alias("na"), F.col("bits").alias("bits_a"))
-    b = rest.select("band", F.col("node").alias("b"), F.col("part").alias("part_b"),
-                    F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
-    pairs = a.join(b, "band").where(
-        "a < b and part_a <> part_b").where(
-        may_link(F.col("bits_a"), F.col("bits_b"), F.col("na"), F.col("nb"), percent))
-    return found.unionByName(confirmed(pairs, docs, words, percent))
+    mixed, found = mixed_bands(members, None), None
+    for turn in range(turns):
+        more = confirmed(possible(partners(mixed, turn)), docs, words, percent)
+        found = more if found is None else found.unionByName(more)
+        last = turn == turns - 1
+        mixed = mixed_bands(mixed.drop("part"), components(found) if last else hooked(found))
+    rest = mixed.select("node", "part").distinct()
+    return found.unionByName(
+        confirmed(possible(rare_first(rest, docs, words, percent)), docs, words, percent))
 
 
 def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
