@@ -146,41 +146,3 @@ def test_of_rows_that_repeat_an_id_the_smallest_text_stays(spark):
         got = join_kept(spark.createDataFrame(order, "doc_id long, text string"), gone).collect()
         assert sorted(map(tuple, got), key=repr) == sorted(
             [(1, "first text"), (None, "a"), (None, "a"), (3, None)], key=repr)
-
-
-def test_a_shared_passage_makes_no_pairs(spark, documents, monkeypatch):
-    """Texts that share 50 words and have 20 of their own share buckets, but none is compared
-    with all others; near copies among them are found all the same."""
-    passage = [f"p{i}" for i in range(50)]
-    rows = [(i, " ".join(passage + [f"w{i}x{k}" for k in range(20)])) for i in range(150)]
-    rows += [(1000 + i, rows[i][1] + " more") for i in range(0, 150, 10)]
-    counts = []
-    real = near_dedup.rare_first
-
-    def counted(*args):
-        out = real(*args)
-        counts.append(out.count())
-        return out
-
-    monkeypatch.setattr(near_dedup, "rare_first", counted)
-    got = {r.doc_id: (r.n_shingles, r.component_id)
-           for r in near_dedup.groups(documents(rows), words=4).collect()}
-    assert got == brute(rows, 4, 80)
-    assert len({c for _, c in got.values()}) == 150
-    assert counts[0] <= len(rows)  # in the buckets there are over 1,000
-
-
-def test_rare_first_alone_finds_every_link(spark, documents, monkeypatch):
-    """With no turn before it, and with few or no common shingles in order."""
-    rng = random.Random(4)
-    words = [f"v{i}" for i in range(30)]
-    rows = [(i, " ".join(rng.choice(words[:6 + i % 25]) for _ in range(rng.randint(1, 12))))
-            for i in range(120)]
-    sets = {i: sets_of(t, 1) for i, t in rows}
-    want = {(a, b) for a in sets for b in sets if a < b
-            and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
-    rest = spark.createDataFrame([(i, i) for i, _ in rows], "node long, part long")
-    for common in (0, 5, 1000):
-        monkeypatch.setattr(near_dedup, "COMMON", common)
-        found = {(r.a, r.b) for r in near_dedup.rare_first(rest, documents(rows), 1, 80).collect()}
-        assert want <= found
