@@ -35,11 +35,41 @@ def with_context(df: DataFrame, context: DataFrame, keys: Sequence[str],
     return df.join(context.select(*keys, *columns), list(keys), "left")
 
 
+# Rows of one side that a cell of the grid gets, about: a cell makes at most the square.
+CELL_ROWS = 1000
+
+
+def many_to_many(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str,
+                 cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Every pair of rows with the same `key`, however many rows one key has.
+
+    The rows of a key are dealt by a hash of their id over a grid: the left side over its
+    rows, the right side over its columns, as many as the key's count asks for. A left row is
+    copied to every column and a right row to every row, so each pair meets in one cell, and
+    a key with most of the rows is as many tasks as it has cells. A key of few rows has one
+    cell and no copies. Rows without a key match nothing.
+    """
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(key).agg(F.ceil(F.count("*") / cell_rows).cast("int").alias(name))
+
+    grid = counted(left, "_rows").join(counted(right, "_columns"), key)
+
+    def dealt(df: DataFrame, row_id: str, own: str, other: str, salt: str, copy: str) -> DataFrame:
+        return (df.join(grid, key).withColumn(salt, F.pmod(F.xxhash64(row_id), F.col(own)))
+                .withColumn(copy, F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                       F.col(other).cast("bigint") - 1)))
+                .drop("_rows", "_columns"))
+
+    a = dealt(left, left_id, "_rows", "_columns", "_r", "_c")
+    b = dealt(right, right_id, "_columns", "_rows", "_c", "_r")
+    return a.join(b, [key, "_r", "_c"]).drop("_r", "_c")
+
+
 def event_group_hotels(events: DataFrame, event_groups: DataFrame, event_hotels: DataFrame,
                        groups: DataFrame, hotels: DataFrame) -> DataFrame:
     """Every group of an event with every hotel of that event: the result is that
     product, so its size is the report's, not an intermediate."""
-    pairs = event_groups.join(event_hotels, "event_id").join(
+    pairs = many_to_many(event_groups, event_hotels, "event_id", "group_id", "hotel_id").join(
         events.select(F.col("id").alias("event_id"), F.col("name").alias("event_name")),
         "event_id")
     return (pairs.join(groups.select(F.col("id").alias("group_id"),
