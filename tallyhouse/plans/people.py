@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..config import shared_folder
 from ..functions.dates import month_day_number, week_ending_sunday
-from ..operators import audience, engagement, lookup, signups
+from ..operators import audience, bitmaps, engagement, lookup, signups
 from ..operators.calendar import date_spine
 from . import inputs as I
 from .registry import query
@@ -34,6 +35,34 @@ def period_distinct_people(spark, sf_dir):
     return engagement.launch_events(steps, ORDERS_TS, homes=homes)
 
 
+# Three periods: whole weeks, a year that starts and ends within one, and days of one week.
+_PERIODS = {"spring": ("2000-03-06", "2000-06-04"), "past_year": ("1999-06-05", "2000-06-03"),
+            "midweek": ("2000-05-30", "2000-06-02")}
+_BLANK = "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_custkey END"
+
+
+def _people_sql(first: str, last: str) -> str:
+    within = f"CAST(o_orderdate AS DATE) BETWEEN DATE '{first}' AND DATE '{last}'"
+    return (f"count(DISTINCT {_BLANK}) FILTER ({within}) + "
+            f"CAST(bool_or({within} AND o_orderkey % 50 = 0) AS BIGINT)")
+
+
+@query("period_people_bitmaps", f"""
+    SELECT o_orderpriority AS step_name, {", ".join(
+        f"{_people_sql(*days)} AS {name}" for name, days in _PERIODS.items())}
+    FROM orders GROUP BY 1""")
+def period_people_bitmaps(spark, sf_dir):
+    """Distinct people per step in three periods, from weekly bitmaps that were kept; orders
+    without a person count as one."""
+    steps = I.mapped(I.table(spark, sf_dir, "orders"), {
+        "step_name": "o_orderpriority", "person_id": _BLANK,
+        "started": "CAST(o_orderdate AS DATE)"})
+    folder = shared_folder(spark, "people-bitmaps")
+    bitmaps.weekly_bitmaps(steps, ["step_name"], "person_id", "started").write.parquet(folder)
+    return bitmaps.distinct_in_periods(steps, spark.read.parquet(folder), ["step_name"],
+                                       "person_id", "started", _PERIODS)
+
+
 @query("requests_completions", f"""
     SELECT o_custkey % 5 AS campus_id, o_orderpriority AS opportunity_name,
            count(*) FILTER (o_orderdate >= {ORDERS_AT} - INTERVAL 90 DAY) AS requests_90,

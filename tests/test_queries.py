@@ -11,7 +11,7 @@ from tests.oracle import compare
 NAMES = list(QUERIES)  # the corpus queries have tests of their own
 WRITES = {"full_load_roundtrip", "stream_upsert", "stream_dedupe", "load_path_table",
           "load_path_folder", "load_path_moves", "merge_versions", "key_index_probe",
-          "reconcile_by_digest", "digest_fetches"}
+          "reconcile_by_digest", "digest_fetches", "period_people_bitmaps"}
 
 
 @pytest.mark.parametrize("name", NAMES)
