@@ -94,31 +94,59 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
-_TEMPLATES = ", ".join("('" + name + "', '" + text.replace("'", "''") + "')"
-                       for name, text in licenses.TEMPLATES)
+def _template_rows() -> str:
+    def listed(values):
+        return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+    return ", ".join(f"({k}, '{name}', '{text.replace(chr(39), chr(39) * 2)}', {listed(marks)})"
+                     for k, (name, marks, text) in enumerate(licenses.TEMPLATES))
+
+
+def _sql_words(text: str) -> str:
+    return (f"list_filter(string_split(lower(regexp_replace({text}, '[^A-Za-z0-9]+', ' ', 'g')), "
+            "' '), lambda x: x <> '')")
 
 
 @query("op7_licenses", f"""
-WITH t AS (SELECT name, list_distinct(list_transform(range(1, len(w)),
-                        lambda i: w[i] || ' ' || w[i + 1])) AS b
-           FROM (SELECT name, list_filter(string_split(lower(regexp_replace(
-                        txt, '[^A-Za-z0-9\\n]+', ' ', 'g')), ' '), lambda x: x <> '') AS w
-                 FROM (VALUES {_TEMPLATES}) v(name, txt))),
-d AS (SELECT doc_id, row_number() OVER () AS r, lower(regexp_replace(
-               coalesce(text, ''), '[^A-Za-z0-9\\n]+', ' ', 'g')) AS x FROM documents),
-u AS (SELECT r, unnest(string_split(x, chr(10))) AS x FROM d UNION ALL SELECT r, x FROM d),
-b AS (SELECT r, list_distinct(list_transform(range(1, greatest(len(w), 1)),
-             lambda i: w[i] || ' ' || w[i + 1])) AS b
-      FROM (SELECT r, list_filter(string_split(replace(x, chr(10), ' '), ' '),
-                                  lambda y: y <> '') AS w FROM u)),
-h AS (SELECT r, name, max(2.0::DOUBLE * len(list_intersect(b.b, t.b)) / (len(b.b) + len(t.b)))
-             AS dice
-      FROM b JOIN t ON len(b.b) BETWEEN len(t.b) * 0.5 AND len(t.b) * 2
-      GROUP BY r, name)
-SELECT d.doc_id, count(h.name) AS n_licenses,
-       coalesce(string_agg(h.name, ',' ORDER BY h.name), '') AS licenses,
-       coalesce(max(h.dice), 0.0::DOUBLE) AS best_dice
-FROM d LEFT JOIN h ON h.r = d.r AND h.dice >= 0.8 GROUP BY d.r, d.doc_id""")
+WITH v(id, name, txt, marks) AS (VALUES {_template_rows()}),
+tw AS (SELECT id, name, {_sql_words("txt")} AS w FROM v),
+tp AS (SELECT id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b
+       FROM tw),
+mw AS (SELECT id, {_sql_words("m")} AS w FROM (SELECT id, unnest(marks) AS m FROM v)),
+mk AS (SELECT DISTINCT id, b FROM (SELECT id, unnest(list_transform(range(1, len(w)),
+              lambda i: w[i] || ' ' || w[i + 1])) AS b FROM mw)),
+tb AS (SELECT id, b, (id, b) IN (SELECT (id, b) FROM mk) AS marked
+       FROM (SELECT DISTINCT id, b FROM tp)),
+tm AS (SELECT id, count(*) AS m, count(*) FILTER (marked) AS marks FROM tb GROUP BY id),
+ts AS (SELECT id, count(*) AS s FROM tp GROUP BY id
+       UNION SELECT id, CAST(floor(m * 1.5) AS BIGINT) FROM tm),
+d AS (SELECT doc_id, row_number() OVER () AS r, {_sql_words("coalesce(text, '')")} AS w
+      FROM documents),
+p AS (SELECT r, i, w[i] || ' ' || w[i + 1] AS b
+      FROM (SELECT r, w, unnest(range(1, greatest(len(w), 1))) AS i FROM d)),
+h AS (SELECT r, id, i, b, marked FROM p JOIN tb USING (b)),
+sp AS (SELECT DISTINCT h.r, h.id, h.i AS first, max(g.i) AS last
+       FROM h JOIN ts ON ts.id = h.id
+       JOIN h g ON g.r = h.r AND g.id = h.id AND g.i >= h.i AND g.i < h.i + ts.s
+       JOIN tm ON tm.id = h.id
+       GROUP BY h.r, h.id, h.i, ts.s, m, tm.marks
+       HAVING 3 * count(DISTINCT g.b) >= 2 * m
+          AND count(DISTINCT g.b) FILTER (g.marked) = tm.marks),
+un AS (SELECT sp.r, sp.id, first, last, count(DISTINCT p.b) AS n,
+              count(DISTINCT p.b) FILTER ((sp.id, p.b) IN (SELECT (id, b) FROM tb)) AS shared
+       FROM sp JOIN p ON p.r = sp.r AND p.i BETWEEN first AND last
+       GROUP BY sp.r, sp.id, first, last),
+di AS (SELECT r, id, first, last, 2.0::DOUBLE * shared / (n + m) AS dice FROM un JOIN tm USING (id)),
+be AS (SELECT * FROM di WHERE dice >= 0.8 QUALIFY row_number() OVER (
+           PARTITION BY r, id ORDER BY dice DESC, first, last) = 1),
+ke AS (SELECT r, name, max(dice) AS dice FROM be x JOIN v USING (id)
+       WHERE NOT EXISTS (SELECT 1 FROM be y WHERE y.r = x.r AND y.dice > x.dice
+                                              AND y.first <= x.last AND x.first <= y.last)
+       GROUP BY r, name)
+SELECT d.doc_id, count(ke.name) AS n_licenses,
+       coalesce(string_agg(ke.name, ',' ORDER BY ke.name), '') AS licenses,
+       coalesce(max(ke.dice), 0.0::DOUBLE) AS best_dice
+FROM d LEFT JOIN ke ON ke.r = d.r GROUP BY d.r, d.doc_id""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(licenses.scan(table(spark, sf_dir, "documents")))
 

@@ -214,14 +214,63 @@ def test_personal_hard_rows(hard, empty):
 
 # --- licences --------------------------------------------------------------------------------
 
+def found_licenses(documents, texts):
+    rows = licenses.report(licenses.scan(documents(list(enumerate(texts))))).collect()
+    return [r.licenses for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
 def test_dice_and_size_bounds(documents):
-    rows = [(1, "text\nReleased under the  MIT license\nmore"), (2, "the MIT institute released"),
-            (3, "Licensed under CC BY-NC 4.0."), (4, "SPDX-License-Identifier: Apache-2.0\n" * 2),
-            (5, "licensed under the terms of a license that nobody here has ever seen")]
-    got = {r.doc_id: (r.n_licenses, r.licenses) for r in
-           licenses.report(licenses.scan(documents(rows))).collect()}
-    assert got[1] == (1, "MIT") and got[2] == (0, "") and got[4] == (1, "Apache-2.0")
-    assert "CC-BY-NC-4.0" in got[3][1] and got[5] == (0, "")
+    texts = ["text\nReleased under the  MIT license\nmore", "the MIT institute released",
+             "Licensed under CC BY-NC 4.0.", "SPDX-License-Identifier: Apache-2.0\n" * 2,
+             "licensed under the terms of a license that nobody here has ever seen",
+             "SPDX-License-Identifier: Zebra", "SPDX-License-Identifier: MIT"]
+    assert found_licenses(documents, texts) == [
+        "MIT", "", "CC-BY-NC-4.0", "Apache-2.0", "", "", "MIT"]
+
+
+def _plain_scan(text):
+    """Every window of the rule, one after the other."""
+    found = licenses.pairs(licenses.split_words(text))
+    best = []
+    for name, marks, template in licenses.TEMPLATES:
+        form = licenses.profile(template, marks, licenses.THRESHOLD)
+        own, seen = set(form["bigrams"]), []
+        for first in (k for k, b in enumerate(found) if b in own):
+            for size in form["sizes"]:
+                last = max(k for k in range(first, min(first + size, len(found)))
+                           if found[k] in own)
+                window = set(found[first:last + 1])
+                dice = 2 * len(window & own) / (len(window) + len(own))
+                if dice >= licenses.THRESHOLD and window >= set(form["marks"]):
+                    seen.append((-dice, first, last, name))
+        best += [min(seen)] if seen else []
+    return ",".join(sorted({x[3] for x in best if not any(
+        y[0] < x[0] and y[1] <= x[2] and x[1] <= y[2] for y in best)}))
+
+
+def test_planted_licenses_wrapped_embedded_and_changed(documents):
+    """Every template: alone, wrapped as a comment in prose, with words inserted; and texts
+    that share words with licences without being one."""
+    texts, names = [], []
+    prose = "the rest of this text speaks of software and of a license to use copies of it "
+    for k, (name, _, template) in enumerate(licenses.TEMPLATES):
+        found = template.split()
+        wrapped = "".join(w + ("\n * " if j % 7 == 6 else " ") for j, w in enumerate(found))
+        changed = " ".join(found[:-1] + ["indeed"] + found[-1:]) if len(found) > 60 else template
+        texts += [template.upper(), prose * 2 + wrapped + prose * 2, prose + changed, prose * (k + 1)]
+        names += [name, name, name, ""]
+    texts += ["Copyright 2020 X. Licensed under the MIT License.", "Licensed under the Apache",
+              "GNU General Public License, version 7", prose + licenses._BSD_START]
+    names += ["MIT", "", "", ""]
+    got = found_licenses(documents, texts)
+    assert got == [_plain_scan(t) for t in texts]
+    assert got == names
+
+
+def test_places_are_of_words(documents):
+    row = licenses.scan(documents([(1, "a b c. Released under the MIT License! d")])).collect()[0]
+    assert [(x.license, x.dice, x.first_word, x.last_word) for x in row.licenses] == [
+        ("MIT", 1.0, 3, 7)]
 
 
 def test_licence_hard_rows(hard, empty):
