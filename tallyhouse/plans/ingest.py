@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import dataclasses
 import os
 
 from pyspark.sql import functions as F
 
 from ..config import TableConfig, shared_folder
 from ..functions.columns import as_col
-from ..sources import bronze, digests, snapshots, tables, versions
+from ..sources import bronze, digests, runlog, snapshots, tables, versions
 from . import inputs as I
 from .registry import query
 
@@ -43,10 +44,43 @@ def scan_incremental_26h(spark, sf_dir):
                  WHERE event_type = 'signup' AND ts < TIMESTAMP '2024-01-20 00:00:00')
       AND ts <= TIMESTAMP '2024-01-26 00:00:00'""")
 def scan_high_water_mark(spark, sf_dir):
-    events = I.table(spark, sf_dir, "events")
-    log = events.where("ts < TIMESTAMP '2024-01-20 00:00:00'").select(
-        F.col("event_type").alias("view_name"), F.col("ts").alias("last_generated_time"))
-    return bronze.scan_since_mark(events, EVENTS, log, "signup", "2024-01-26 00:00:00")
+    """The mark is the entry that a load wrote after it had published."""
+    events = _events(spark, sf_dir)
+    log, config = _logged(os.urandom(4).hex())
+    until = events.where("event_type = 'signup' AND ts < TIMESTAMP '2024-01-20 00:00:00'").agg(
+        F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+    runlog.load_since_mark(spark, events, config, log, "signup", until)
+    return bronze.scan_since_mark(events, EVENTS, spark.table(log), "signup",
+                                  "2024-01-26 00:00:00")
+
+
+def _events(spark, sf_dir):
+    return I.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _logged(run):
+    return f"runs_{run}", dataclasses.replace(EVENTS, target=f"logged_events_{run}")
+
+
+@query("load_path_logged", """
+    SELECT event_type, count(*) AS events, CAST(count(DISTINCT event_id) AS BIGINT) AS keys
+    FROM (SELECT event_id, CASE WHEN event_type = 'signup' AND ts < TIMESTAMP '2024-01-10 00:00:00'
+                                THEN 'edited' ELSE event_type END AS event_type
+          FROM events WHERE ts <= TIMESTAMP '2024-01-26 00:00:00') e GROUP BY 1""")
+def load_path_logged(spark, sf_dir):
+    """Three loads by the log of runs. The second dies after it has published and before its
+    entry; the third starts from the first one's mark, with early signups edited since."""
+    log, config = _logged(os.urandom(4).hex())
+    events = _events(spark, sf_dir)
+    runlog.load_since_mark(spark, events, config, log, "events", "2024-01-12 00:00:00")
+    runlog.publish_since_mark(spark, events, config, log, "events", "2024-01-19 00:00:00")
+    early = "event_type = 'signup' AND ts < TIMESTAMP '2024-01-10 00:00:00'"
+    edited = events.withColumns({
+        "event_type": F.expr(f"CASE WHEN {early} THEN 'edited' ELSE event_type END"),
+        "ts": F.expr(f"CASE WHEN {early} THEN TIMESTAMP '2024-01-15 00:00:00' ELSE ts END")})
+    runlog.load_since_mark(spark, edited, config, log, "events", "2024-01-26 00:00:00")
+    return spark.table(config.target).groupBy("event_type").agg(
+        F.count("*").alias("events"), F.count_distinct("event_id").alias("keys"))
 
 
 @query("history_last_two_versions", """

@@ -18,12 +18,15 @@ def _land(spark, sf_dir, folder):
     events = I.table(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"),
         F.to_date("ts").alias("day"))
-    landed = events.unionByName(events.where("event_type = 'signup'"))
-    files = max(8, events.select(F.spark_partition_id()).distinct().count())
-    landed.repartitionByRange(files, "ts").write.parquet(folder)
+    _write(events.unionByName(events.where("event_type = 'signup'")), folder, events)
     return events.schema
 
 
+def _write(rows, folder, source):
+    files = max(8, source.select(F.spark_partition_id()).distinct().count())
+    rows.repartitionByRange(files, "ts").write.mode("append").parquet(folder)
+
+
 # Signups are edited a day later, which moves them; errors have no day, and of their two
 # versions with one time the greater type wins.
 _EDITS = {"event_id": "event_id", "user_id": "user_id",
@@ -83,5 +86,18 @@ def stream_dedupe(spark, sf_dir, files_per_trigger=4):
     SELECT CAST(date_trunc('week', ts) AS DATE) + 6 AS sunday_date, event_type,
            count(*) AS cnt FROM events GROUP BY 1, 2""")
 def weekly_audience_windows(spark, sf_dir):
-    """The streaming weekly window, run here over the whole table as a batch."""
-    return ingest.weekly_counts(I.table(spark, sf_dir, "events"), "ts", ["event_type"])
+    """Windowed state over landed files in two runs. Signups of the first days land only
+    before the second run, when their week is closed: they are late, and counted."""
+    folder = shared_folder(spark, "stream-weekly")
+    events = I.table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    held_back = "event_type = 'signup' AND ts < TIMESTAMP '2024-01-10 00:00:00'"
+    for rows in (events.where(f"NOT coalesce({held_back}, false)"), events.where(held_back)):
+        _write(rows, f"{folder}/landed", events)
+        stream = ingest.landed_stream(spark, f"{folder}/landed", events.schema)
+        ingest.weekly_stream(stream, "ts", ["event_type"], f"{folder}/weeks",
+                             f"{folder}/checkpoint").awaitTermination()
+    weeks = spark.read.schema("sunday_date date, event_type string, cnt long").parquet(
+        f"{folder}/weeks")
+    landed = spark.read.schema(events.schema).parquet(f"{folder}/landed")
+    return ingest.weekly_table(weeks, landed, "ts", ["event_type"]).drop("late")

@@ -66,3 +66,31 @@ def weekly_counts(stream: DataFrame, ts: str, by: list[str],
     rows = stream.withWatermark(ts, late) if stream.isStreaming else stream
     return (rows.groupBy(week.alias("week"), *by).agg(F.count("*").alias("cnt"))
             .select(F.date_sub(F.to_date("week.end"), 1).alias("sunday_date"), *by, "cnt"))
+
+
+def weekly_stream(stream: DataFrame, ts: str, by: list[str], folder: str, checkpoint: str,
+                  late: str = f"{LOOKBACK_HOURS} hours") -> StreamingQuery:
+    """Append the counts of a week to `folder` once, when the watermark has passed its end,
+    then stop when the landed files are used up. Open weeks stay in the state, which the
+    checkpoint keeps for the next run; rows of a week that is closed are late and dropped
+    (`weekly_table` counts them)."""
+    return (weekly_counts(stream, ts, by, late).writeStream.format("parquet").outputMode("append")
+            .option("path", folder).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def weekly_table(closed: DataFrame, landed: DataFrame, ts: str, by: list[str]) -> DataFrame:
+    """All weeks: (sunday_date, by, cnt, late). `late` is how many rows came after the week was
+    closed, null while it is open. A week is closed if it is not after the last one of the
+    stream's output, so a week whose rows all came late is closed too.
+
+    To correct only some weeks, restrict both inputs to them: a range on `ts` reaches the
+    scan of the landed files."""
+    emitted = closed.select("sunday_date", *by, F.col("cnt").alias("_emitted"))
+    last = closed.agg(F.max("sunday_date").alias("last")).scalar()
+    same = [F.col(f"w.{c}").eqNullSafe(F.col(f"e.{c}")) for c in ("sunday_date", *by)]
+    found = weekly_counts(landed, ts, by).alias("w").join(emitted.alias("e"), same, "left")
+    return found.select(
+        "w.sunday_date", *[f"w.{c}" for c in by], "w.cnt",
+        F.when(F.col("w.sunday_date") <= last,
+               F.col("w.cnt") - F.coalesce("e._emitted", F.lit(0))).alias("late"))

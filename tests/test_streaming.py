@@ -121,3 +121,27 @@ def test_weekly_counts_as_a_stream(spark, tmp_path):
     batch = ingest.weekly_counts(spark.read.parquet(src), "changed", ["v"])
     assert sorted((r.sunday_date, r.cnt) for r in batch.collect()) == got
     assert batch.where(F.col("cnt") > 0).count() == 2
+
+
+def test_weekly_stream_closes_weeks_and_counts_late_rows(spark, tmp_path):
+    src, weeks, check = (str(tmp_path / x) for x in ("src", "weeks", "check"))
+
+    def run(rows):
+        land(spark, src, rows)
+        stream = ingest.landed_stream(spark, src, spark.read.parquet(src).schema)
+        ingest.weekly_stream(stream, "changed", ["v"], weeks, check).awaitTermination()
+        closed = spark.read.schema("sunday_date date, v string, cnt long").parquet(weeks)
+        table = ingest.weekly_table(closed, spark.read.parquet(src), "changed", ["v"])
+        return (sorted((r.sunday_date.day, r.cnt) for r in closed.collect()),
+                sorted((r.sunday_date.day, r.v or "", r.cnt, r.late) for r in table.collect()))
+
+    # Nothing is closed: the watermark is 26 hours behind.
+    assert run([row(1, "a", 1), row(2, "a", 23, day=7), row(3, None, 2)]) == (
+        [], [(7, "", 1, None), (7, "a", 2, None)])
+    # The week to the 7th closes; the state of the first run is still there.
+    assert run([row(4, "a", 5, day=9)]) == (
+        [(7, 1), (7, 2)], [(7, "", 1, 0), (7, "a", 2, 0), (14, "a", 1, None)])
+    # One late row of a known group and one of a group that the week did not have.
+    assert run([row(5, "a", 5, day=3), row(6, "z", 5, day=3), row(7, "a", 5, day=10)]) == (
+        [(7, 1), (7, 2)],
+        [(7, "", 1, 0), (7, "a", 3, 1), (7, "z", 1, 1), (14, "a", 2, None)])
