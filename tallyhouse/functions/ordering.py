@@ -57,29 +57,29 @@ def _place(df: DataFrame, cuts: str, key: Column, splits: int, out: str) -> Data
 
 
 def with_row_index(df: DataFrame, key: str, out: str = "row_index", start: int = 1,
-                   splits: int = 64) -> DataFrame:
+                   splits: int = 1024) -> DataFrame:
     """Consecutive numbers in the order of a unique numeric `key`.
 
-    The key range is cut at approximate quantiles into `splits` ranges and each of
-    those again, so there are up to splits**2 ranges however the keys are spread (the
-    first cuts come from a scalar subquery, the second from one row per range). Each
-    range is numbered on its own and shifted by the row count of the ranges before
-    it: no task sorts the whole table, and at most splits**2 counts are gathered or
-    broadcast. Uneven cuts change the balance, never the numbers.
+    The keys are cut at approximate quantiles into `splits` ranges (a power of two), which
+    come from one scalar subquery. Each range is numbered on its own and shifted by the row
+    count of the ranges before it: no task sorts the whole table, and at most `splits` counts
+    are gathered, again as a scalar subquery. Uneven cuts change the balance, never the
+    numbers. The table is read three times: for the cuts, the counts (both of the key alone)
+    and the rows.
     """
     k = as_col(key)
-    cuts = F.percentile_approx(k, [i / splits for i in range(1, splits)], 10000).alias("_cuts")
-    first = _place(df.withColumn("_cuts", df.agg(cuts).scalar()), "_cuts", k, splits,
-                   "_outer").drop("_cuts")
-    inner = first.groupBy("_outer").agg(cuts)  # one row per first range
-    tagged = _place(first.join(F.broadcast(inner), "_outer"), "_cuts", k, splits, "_inner")
-    tagged = tagged.withColumn("_range", F.col("_outer") * splits + F.col("_inner")).drop(
-        "_cuts", "_outer", "_inner")
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (tagged.groupBy("_range").agg(F.count("*").alias("_n"))
-               .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    cuts = F.percentile_approx(k, [i / splits for i in range(1, splits)], 10 * splits)
+    tagged = _place(df.withColumn("_cuts", df.agg(cuts.alias("_cuts")).scalar()), "_cuts", k,
+                    splits, "_range").drop("_cuts")
+    counted = tagged.groupBy("_range").agg(F.count("*").alias("_n"))
+    # _before[r]: rows of the ranges up to r - 1, which are not all there.
+    ranges = F.map_from_entries(F.collect_list(F.struct("_range", "_n")))
+    running = F.aggregate(
+        F.sequence(F.lit(0), F.lit(splits - 2)), F.array(F.lit(0).cast("long")),
+        lambda done, r: F.concat(done, F.array(
+            F.element_at(done, -1) + F.coalesce(F.try_element_at("_counts", r), F.lit(0)))))
+    before = counted.agg(ranges.alias("_counts")).select(running.alias("_before")).scalar()
     local = F.row_number().over(Window.partitionBy("_range").orderBy(key))
-    return (tagged.withColumn("_local", local)
-            .join(F.broadcast(offsets), "_range")
-            .withColumn(out, F.col("_before") + F.col("_local") - 1 + start)
+    return (tagged.withColumn("_local", local).withColumn("_before", before)
+            .withColumn(out, F.get("_before", F.col("_range")) + F.col("_local") - 1 + start)
             .drop("_range", "_local", "_before"))

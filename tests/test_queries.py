@@ -11,7 +11,7 @@ from tests.oracle import compare
 NAMES = list(QUERIES)  # the corpus queries have tests of their own
 WRITES = {"full_load_roundtrip", "stream_upsert", "stream_dedupe", "load_path_table",
           "load_path_folder", "load_path_moves", "merge_versions", "key_index_probe",
-          "reconcile_by_digest", "digest_fetches", "period_people_bitmaps"}
+          "reconcile_by_digest", "digest_fetches", "period_people_bitmaps", "load_path_logged"}
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -91,3 +91,10 @@ def test_checks_read_each_model_once(name, scans, single, spark, sf_dir):
     plan = plan_of(entry.queries()[name](spark, sf_dir))
     assert plan.count("FileScan") <= scans
     assert plan.count("Exchange SinglePartition") <= single
+
+
+def test_rows_are_numbered_without_sorting_the_whole_table(spark, sf_dir):
+    """The cuts are one subquery that both readers of the ranges name."""
+    plan = plan_of(entry.queries()["type_mismatch_report"](spark, sf_dir))
+    assert plan.count("FileScan") <= 4 and plan.count("Exchange SinglePartition") <= 3
+    assert "Join" not in plan and "RangePartitioning" not in plan
