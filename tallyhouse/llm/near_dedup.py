@@ -8,8 +8,11 @@
 3. Candidates are never expanded into all pairs of a bucket. First each node is compared
    with the bucket's member that shares most keys with others, usually the text that the
    copies were made from; then, unless links already connect them, with three further
-   members per bucket; and last the pairs of nodes that are not known to be connected and
-   that the packed bits do not rule out (six standard deviations below the threshold).
+   members per bucket; and last the pairs of nodes that are not known to be connected, each in
+   the first band that it shares. Two filters come before the full sets: the packed bits (six
+   standard deviations below the threshold), and marks, a bitmap of the whole set: a bit of
+   one text that the other lacks stands for a shingle that it lacks, which bounds the
+   intersection from above and never rules out a link.
 4. A pair is a link if its full sets say so. Components are found by contracting the links.
 """
 
@@ -29,6 +32,8 @@ from .common import checkpointed, forget, id_text, join_kept, ship, slices
 PERMUTATIONS, ROWS = 128, 4
 OTHERS = 3  # further members of a bucket that all are compared with
 BITS = 2  # kept of each minimum
+MARKS_PER_SHINGLE = 4  # bits at least, up to the next power of two
+MOST_MARKS = 1 << 14  # bits; longer sets fill it, and the packed bits decide alone
 SMALL_IDS = 500_000  # ids that may be broadcast (8 bytes each)
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
@@ -76,8 +81,18 @@ def packed(low: np.ndarray) -> np.ndarray:
     return (grouped << shifts).sum(axis=2, dtype=np.uint64).view(np.int64)
 
 
+def marked(hashes: np.ndarray) -> np.ndarray:
+    """A bitmap of the set as longs; shorter bitmaps are folds of longer ones."""
+    size = 64
+    while size < min(MARKS_PER_SHINGLE * len(hashes), MOST_MARKS):
+        size *= 2
+    bits = np.zeros(size, bool)
+    bits[(hashes & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, bands, bits) of each row; no key without a word."""
+    """(doc_id, n_shingles, set_key, bands, bits, marks) of each row; no key without a word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         for batch in slices(batches):
@@ -93,14 +108,15 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
                            for s in sets], pa.binary()),
                  pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())),
-                 pa.array(list(packed(low)), pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "set_key", "bands", "bits"])
+                 pa.array(list(packed(low)), pa.list_(pa.int64())),
+                 pa.array([marked(s) for s in sets], pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "set_key", "bands", "bits", "marks"])
 
     ship(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return id_text(docs).mapInArrow(
         run, f"doc_id {id_type}, n_shingles long, set_key binary, bands array<long>, "
-             "bits array<long>")
+             "bits array<long>, marks array<long>")
 
 
 def may_link(a: Column, b: Column, na: Column, nb: Column, percent: int) -> Column:
@@ -118,6 +134,29 @@ def may_link(a: Column, b: Column, na: Column, nb: Column, percent: int) -> Colu
     return sizes & (PERMUTATIONS - unequal >= least)
 
 
+def enough_in_common(a: Column, b: Column, na: Column, nb: Column, percent: int) -> Column:
+    """False only if the bitmaps prove the intersection too small for a link."""
+    short = F.least(F.size(a), F.size(b))
+
+    def folded(x: Column) -> Column:
+        return F.when(F.size(x) == short, x).otherwise(F.zip_with(
+            F.slice(x, 1, short), F.slice(x, short + 1, short), lambda p, q: p.bitwiseOR(q)))
+
+    def lacking(x: Column, y: Column) -> Column:
+        each = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))
+        return F.aggregate(each, F.lit(0), lambda total, n: total + n)
+
+    fa, fb = folded(a), folded(b)
+    most = F.least(na - lacking(fa, fb), nb - lacking(fb, fa))
+    return ((F.greatest(F.size(a), F.size(b)) > 2 * short)
+            | (most * (100 + percent) >= (na + nb) * percent))
+
+
+def first_shared(a: Column, b: Column) -> Column:
+    """The place of the first band key that two nodes share."""
+    return F.coalesce(*[F.when(a[i] == b[i], F.lit(i)) for i in range(PERMUTATIONS // ROWS)])
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The distinct (a, b) of `pairs` whose full sets are similar enough, checkpointed."""
     pairs = checkpointed(pairs.select("a", "b").distinct())
@@ -206,8 +245,9 @@ def labelled(rows: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def links(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Confirmed (a, b) that connect all nodes (node, n, bands, bits) which links connect."""
-    rows = nodes.select("node", F.explode("bands").alias("band"))
+    """Confirmed (a, b) that connect all nodes (node, n, bands, bits, marks) which links
+    connect."""
+    rows = nodes.select("node", F.posexplode("bands").alias("place", "band"))
     shared = (rows.groupBy("band")
               .agg(F.count("*").alias("size"), F.min("node").alias("low"),
                    F.max("node").alias("high"))
@@ -220,15 +260,19 @@ def links(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFr
                    F.array(*[F.min_by("node", F.xxhash64("node", "band", F.lit(k)))
                              for k in range(OTHERS)]).alias("others")))
     members = checkpointed(members.drop("size").join(pivots, "band"))
-    light = nodes.select("node", "n", "bits")
+
+    def side(rows: DataFrame, of: str) -> DataFrame:
+        return rows.withColumnsRenamed({"node": of} | {
+            c: f"{c}_{of}" for c in ("n", "bits", "marks", "bands", "part", "place")})
+
+    def linkable() -> Column:
+        na, nb = F.col("n_a"), F.col("n_b")
+        return (may_link(F.col("bits_a"), F.col("bits_b"), na, nb, percent)
+                & enough_in_common(F.col("marks_a"), F.col("marks_b"), na, nb, percent))
 
     def possible(pairs: DataFrame) -> DataFrame:
-        a = light.select(F.col("node").alias("a"), F.col("n").alias("na"),
-                         F.col("bits").alias("bits_a"))
-        b = light.select(F.col("node").alias("b"), F.col("n").alias("nb"),
-                         F.col("bits").alias("bits_b"))
-        return pairs.join(b, "b").join(a, "a").where(
-            may_link(F.col("bits_a"), F.col("bits_b"), F.col("na"), F.col("nb"), percent))
+        light = nodes.drop("bands")
+        return pairs.join(side(light, "b"), "b").join(side(light, "a"), "a").where(linkable())
 
     star = members.where("node <> first").select(
         F.col("first").alias("a"), F.col("node").alias("b")).distinct()
@@ -250,15 +294,11 @@ def links(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFr
         "node <> first and not array_contains(others, node)"), parts)
     mixed_bands = (rest.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"))
                    .where("low <> high").select("band"))
-    rest = checkpointed(rest.select("band", "node", "part").join(mixed_bands, "band")
-                        .join(light, "node"))
-    a = rest.select("band", F.col("node").alias("a"), F.col("part").alias("part_a"),
-                    F.col("n").alias("na"), F.col("bits").alias("bits_a"))
-    b = rest.select("band", F.col("node").alias("b"), F.col("part").alias("part_b"),
-                    F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
-    pairs = a.join(b, "band").where(
-        "a < b and part_a <> part_b").where(
-        may_link(F.col("bits_a"), F.col("bits_b"), F.col("na"), F.col("nb"), percent))
+    rest = checkpointed(rest.select("band", "place", "node", "part").join(mixed_bands, "band")
+                        .join(nodes, "node"))
+    once = first_shared(F.col("bands_a"), F.col("bands_b")) == F.col("place_a")
+    pairs = side(rest, "a").join(side(rest, "b"), "band").where(
+        F.expr("a < b and part_a <> part_b") & once & linkable())
     return found.unionByName(confirmed(pairs, docs, words, percent))
 
 
@@ -278,7 +318,8 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         signed.where("n_shingles > 0")
         .join(classes.where(F.col("node").isNotNull()).withColumnRenamed("set_key", "_key"),
               F.col("doc_id") == F.col("node"), "left_semi")
-        .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bands", "bits"))
+        .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bands", "bits",
+                "marks"))
     parts = components(links(nodes, docs, words, percent))
     named = labelled(classes, parts).select("set_key", "part")
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())

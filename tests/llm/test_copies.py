@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +147,34 @@ def test_of_rows_that_repeat_an_id_the_smallest_text_stays(spark):
         got = join_kept(spark.createDataFrame(order, "doc_id long, text string"), gone).collect()
         assert sorted(map(tuple, got), key=repr) == sorted(
             [(1, "first text"), (None, "a"), (None, "a"), (3, None)], key=repr)
+
+
+def test_bitmaps_never_rule_out_a_link(spark):
+    """Sets of many sizes on both sides of a power of two, against the true similarity."""
+    rng = np.random.default_rng(5)
+    rows, links = [], 0
+    for _ in range(300):
+        n = int(rng.choice([1, 2, 15, 17, 60, 64, 70, 255, 260, 1100, 5000]))
+        x = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        cut = int(n * rng.choice([0, 0.05, 0.1, 0.2, 0.4, 1]))
+        y = np.r_[x[cut:], rng.integers(0, 1 << 63, int(cut * rng.random())).astype(np.uint64)]
+        x, y = np.unique(x), np.unique(y)
+        shared = len(np.intersect1d(x, y))
+        linked = shared > 0 and 100 * shared >= 80 * (len(x) + len(y) - shared)
+        links += linked
+        rows.append((near_dedup.marked(x).tolist(), near_dedup.marked(y).tolist(), len(x), len(y),
+                     bool(linked)))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>, na long, nb long, linked boolean")
+    may = near_dedup.enough_in_common(F.col("a"), F.col("b"), F.col("na"), F.col("nb"), 80)
+    got = df.select("linked", "na", may.alias("may")).collect()
+    assert links > 50 and all(r.may for r in got if r.linked)
+    # Of the sets that do not fill their bitmaps, most without a link are ruled out.
+    short = [r.may for r in got if not r.linked and 15 <= r.na <= 1100]
+    assert sum(short) < 0.1 * len(short)
+
+
+def test_a_pair_is_met_in_the_first_band_it_shares(spark):
+    df = spark.createDataFrame([([1] * 32, [1] * 32), ([0] * 31 + [5], [9] * 31 + [5]),
+                                ([0] * 32, [9] * 32)], "a array<long>, b array<long>")
+    got = df.select(near_dedup.first_shared(F.col("a"), F.col("b")).alias("at")).collect()
+    assert [r.at for r in got] == [0, 31, None]
