@@ -163,14 +163,17 @@ def test_bitmaps_never_rule_out_a_link(spark):
         linked = shared > 0 and 100 * shared >= 80 * (len(x) + len(y) - shared)
         links += linked
         rows.append((near_dedup.marked(x).tolist(), near_dedup.marked(y).tolist(), len(x), len(y),
-                     bool(linked)))
-    df = spark.createDataFrame(rows, "a array<long>, b array<long>, na long, nb long, linked boolean")
+                     bool(linked), 100 * min(len(x), len(y)) >= 80 * max(len(x), len(y))
+                     and 100 * shared < 60 * (len(x) + len(y) - shared)))
+    df = spark.createDataFrame(
+        rows, "a array<long>, b array<long>, na long, nb long, linked boolean, far boolean")
     may = near_dedup.enough_in_common(F.col("a"), F.col("b"), F.col("na"), F.col("nb"), 80)
-    got = df.select("linked", "na", may.alias("may")).collect()
+    got = df.select("linked", "far", "na", may.alias("may")).collect()
     assert links > 50 and all(r.may for r in got if r.linked)
-    # Of the sets that do not fill their bitmaps, most without a link are ruled out.
-    short = [r.may for r in got if not r.linked and 15 <= r.na <= 1100]
-    assert sum(short) < 0.1 * len(short)
+    # Of the sets that do not fill their bitmaps and whose sizes allow a link, those far from
+    # one are ruled out.
+    far = [r.may for r in got if r.far and 15 <= r.na <= 1100]
+    assert len(far) > 10 and sum(far) < 0.1 * len(far)
 
 
 def test_a_pair_is_met_in_the_first_band_it_shares(spark):
