@@ -15,11 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import TableConfig
+from ..config import TableConfig, shared_folder
 from ..functions.ordering import latest_per_key
 from . import bronze
 
 MERGE_META = "_loaded_at"
+BROADCAST_ROWS = 100_000  # of a batch that the optimizer may still broadcast
+
+
+def sized(batch: DataFrame, rows: int) -> DataFrame:
+    """A batch to be joined to a table. The optimizer goes by the size of its compressed
+    files, also when it is aggregated first, and would send millions of rows through the
+    driver; so beyond a number of rows the join is a sort-merge one."""
+    return batch.hint("merge") if rows > BROADCAST_ROWS else batch
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -38,24 +46,25 @@ def newest_staged(staged: DataFrame, pk: str, order: Sequence[str]) -> DataFrame
 
 
 def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
-                 update: Sequence[str] | None = None) -> DataFrame:
+                 update: Sequence[str] | None = None, batch_rows: int = 0) -> DataFrame:
     """Target after an upsert: matched rows take `update` columns from the batch
     (default: all non-key columns), other columns keep the target's value, and
     unmatched batch rows are inserted. A repeated batch key is an error.
 
     The batch is joined to the target and its matched keys are found by a second,
     key-only scan, so a small batch is broadcast by the optimizer and the target
-    is never shuffled; a large batch falls back to a sort-merge join.
+    is never shuffled; a large batch falls back to a sort-merge join. `batch_rows`, if
+    known, settles what is large.
     """
     keys = list(keys)
     update = [c for c in (update or target.columns) if c in staged.columns and c not in keys]
     batch = one_per_key(bronze.conform(staged, target.schema), keys)
-    kept = (target.join(batch, keys, "left")
+    kept = (target.join(sized(batch, batch_rows), keys, "left")
             .select(*[F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}"))
                       .otherwise(F.col(c)).alias(c) if c in update else F.col(c)
                       for c in target.columns]))
-    matched = target.select(*keys).join(batch.select(*keys), keys, "left_semi")
-    inserted = batch.join(matched, keys, "left_anti").select(*keys, "_new.*")
+    matched = target.select(*keys).join(sized(batch.select(*keys), batch_rows), keys, "left_semi")
+    inserted = batch.join(sized(matched, batch_rows), keys, "left_anti").select(*keys, "_new.*")
     return kept.unionByName(inserted)
 
 
@@ -208,9 +217,13 @@ def reconcile(spark: SparkSession, name: str, current_keys: DataFrame, pk: str,
     gone = digests.gone_keys(stored.select(pk), current_keys.select(pk), pk)
     if by_month:
         return versions.remove(spark, name, gone)
-    removed = stored.join(gone, pk, "left_semi").count()
+    folder = shared_folder(spark, "gone")
+    gone.write.parquet(folder)  # read twice
+    gone = spark.read.schema(gone.schema).parquet(folder)
+    lost = sized(gone, gone.count())
+    removed = stored.join(lost, pk, "left_semi").count()
     if removed:
-        publish(stored.join(gone, pk, "left_anti"), name)
+        publish(stored.join(lost, pk, "left_anti"), name)
     return removed
 
 
@@ -252,8 +265,8 @@ def load_table(spark: SparkSession, source: DataFrame, config: TableConfig, as_o
             if monthly:
                 versions.upsert(with_month(staged, config.partition_column), name, update)
             else:
-                publish(merge_upsert(spark.table(name), staged, [config.primary_key], update),
-                        name)
+                publish(merge_upsert(spark.table(name), staged, [config.primary_key], update,
+                                     staged.count()), name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
     if reconcile_deletes:

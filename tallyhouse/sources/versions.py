@@ -9,9 +9,11 @@ manifest. So readers see the old table or the new one, a run that dies leaves no
 tables no manifest names, and `expire` drops what nobody can still be reading.
 
 Beside each data table lies an index of its keys (`..._keys`): per partition the key range
-and a Bloom filter in blocks of 32,768 bits, one built-in bitmap each. A batch key is looked
-for in all partitions by it, whatever partition the batch says, and key columns are read
-only where the filter says "perhaps".
+and a Bloom filter. The filters lie side by side: a position of a block is a word with one
+bit for each of 64 slots, and a partition has one slot or, if it is large, several. So a
+batch key is looked for in all partitions with one row per 64 slots, not one per partition,
+whatever partition the batch says, and key columns are read only where the filter says
+"perhaps".
 
 There is at most one data table per partition, and everything that reaches the driver is one
 row per partition.
@@ -23,7 +25,7 @@ import os
 import re
 import time
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace as changed
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,9 +33,10 @@ from pyspark.sql import functions as F
 
 from ..config import shared_folder
 from . import bronze
-from .tables import laid_out, one_per_key
+from .tables import laid_out, one_per_key, sized
 
-BLOCK_BITS = 32_768  # of one built-in bitmap
+BLOCK_BITS = 512  # positions of a block
+WORD_SLOTS = 64
 BITS_PER_KEY, HASHES = 10, 5  # about one false "perhaps" in a hundred
 
 
@@ -50,7 +53,12 @@ class Part:
     n: int
     low: object
     high: object
-    blocks: int
+    blocks: int  # of each slot
+    slot: int  # its first one
+    slots: int
+
+    def words(self) -> range:
+        return range(self.slot // WORD_SLOTS, (self.slot + self.slots - 1) // WORD_SLOTS + 1)
 
 
 @dataclass(frozen=True)
@@ -155,65 +163,130 @@ def _positions(keys: Sequence[str]) -> list[Column]:
     return [F.pmod(first + i * step, F.lit(BLOCK_BITS)) for i in range(HASHES)]
 
 
+def _slot(keys: Sequence[str], first: Column, slots: Column) -> Column:
+    """The slot of a key among those of its partition."""
+    return (first + F.pmod(F.xxhash64(*keys, F.lit(2)), slots)).cast("int")
+
+
+def _slotted(parts: Sequence[Part]) -> list[Part]:
+    """The parts with slots of about equal numbers of keys. There are at most two slots to a
+    partition, rounded up to whole words, so large partitions do not make the others' blocks
+    large."""
+    room = WORD_SLOTS * -(-2 * len(parts) // WORD_SLOTS)
+    keys = max(1, -(-sum(p.n for p in parts) // max(1, room - len(parts))))  # of a slot
+    blocks, first, out = -(-keys * BITS_PER_KEY // BLOCK_BITS), 0, []
+    for part in parts:
+        slots = -(-part.n // keys)
+        out.append(changed(part, blocks=blocks, slot=first, slots=slots))
+        first += slots
+    return out
+
+
 def _write_index(spark: SparkSession, data: str, keys: Sequence[str], partition: str) -> list[Part]:
     """Write the key index of a data table and return its manifest rows."""
     rows = spark.table(data).select(*keys, text_of(partition).alias("_value"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.count("*") * BITS_PER_KEY / BLOCK_BITS)).cast("int")
     stats = rows.groupBy("_value").agg(
-        F.count("*").alias("n"), F.min(keys[0]).alias("low"), F.max(keys[0]).alias("high"),
-        blocks.alias("blocks"))
-    parts = [Part(r["_value"], data, r["n"], r["low"], r["high"], r["blocks"])
-             for r in stats.collect()]
-    sizes = spark.createDataFrame([(p.value, p.blocks) for p in parts], "_value string, blocks int")
-    bits = (rows.join(sizes, "_value")
-            .select("_value", _block(keys, F.col("blocks")).alias("block"),
-                    F.explode(F.array(*_positions(keys))).alias("position"))
-            .groupBy("_value", "block").agg(F.bitmap_construct_agg("position").alias("bits")))
-    bits.select(F.col("_value").alias("value"), "block", "bits").write.format(
-        "parquet").saveAsTable(f"{data}_keys")
+        F.count("*").alias("n"), F.min(keys[0]).alias("low"), F.max(keys[0]).alias("high"))
+    parts = _slotted([Part(r["_value"], data, r["n"], r["low"], r["high"], 1, 0, 1)
+                      for r in stats.collect()])
+    sizes = spark.createDataFrame([(p.value, p.blocks, p.slot, p.slots) for p in parts],
+                                  "_value string, blocks int, _first int, _slots int")
+    held = rows.join(F.broadcast(sizes), "_value").select(
+        _slot(keys, F.col("_first"), F.col("_slots")).alias("slot"),
+        _block(keys, F.col("blocks")).alias("block"),
+        F.explode(F.array(*_positions(keys))).alias("position"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("slot", F.lit(WORD_SLOTS)))
+    held = held.select(F.floor(F.col("slot") / WORD_SLOTS).cast("int").alias("word"),
+                       "block", "position", bit.alias("bits"))
+    # Every position of every block, so that the words of a block are in their places.
+    blocks, words = max((p.blocks for p in parts), default=0), max(
+        (p.words().stop for p in parts), default=0)
+    n = F.col("id")
+    empty = spark.range(words * blocks * BLOCK_BITS).select(
+        F.floor(n / (blocks * BLOCK_BITS or 1)).cast("int").alias("word"),
+        (F.floor(n / BLOCK_BITS) % (blocks or 1)).cast("int").alias("block"),
+        (n % BLOCK_BITS).cast("int").alias("position"), F.lit(0).cast("long").alias("bits"))
+    placed = (held.unionByName(empty).groupBy("word", "block", "position")
+              .agg(F.bit_or("bits").alias("bits")))
+    (placed.groupBy("word", "block")
+     .agg(F.sort_array(F.collect_list(F.struct("position", "bits"))).alias("bits"))
+     .select("word", "block", F.col("bits.bits").alias("bits"))
+     .write.format("parquet").saveAsTable(f"{data}_keys"))
     return parts
 
 
 def candidates(spark: SparkSession, held: Manifest, batch_keys: DataFrame) -> DataFrame:
-    """(keys, value): the partitions that may hold each key. None that does is left out."""
+    """(keys, value): the partitions that may hold each key. None that does is left out.
+
+    A key is probed once per word of slots whose key ranges include it. The join is a
+    sort-merge one: stored keys look small to the optimizer, the probes made of them are not.
+    """
     keys = list(held.keys)
     none = batch_keys.select(*keys, F.lit("").alias("value")).where(F.lit(False))
     ranged = [p for p in held.parts if p.low is not None]
     if not ranged:
         return none
     kind = spark.table(held.data).schema[keys[0]].dataType
-    listed = F.array(*[F.struct(F.lit(p.value).alias("value"), F.lit(p.low).cast(kind).alias("low"),
-                                F.lit(p.high).cast(kind).alias("high"),
-                                F.lit(p.blocks).alias("blocks")) for p in ranged])
-    within = F.filter(listed, lambda p: F.col(keys[0]).between(p["low"], p["high"]))
-    probes = (batch_keys.select(*keys, F.explode(within).alias("_p"))
-              .select(*keys, F.col("_p.value").alias("value"),
-                      _block(keys, F.col("_p.blocks")).alias("block")))
+    groups: dict[tuple[str, int], list[Part]] = {}  # per data table and word
+    for part in ranged:
+        for word in part.words():
+            groups.setdefault((part.data, word), []).append(part)
+    number = {group: i for i, group in enumerate(groups)}
+
+    def order(value) -> tuple:
+        return value != value, value  # NaN last, as Spark has it
+
+    listed = F.array(*[F.struct(
+        F.lit(number[group]).alias("group"),
+        F.lit(min((p.low for p in parts), key=order)).cast(kind).alias("low"),
+        F.lit(max((p.high for p in parts), key=order)).cast(kind).alias("high"),
+        F.lit(parts[0].blocks).alias("blocks")) for group, parts in groups.items()])
+    within = F.filter(listed, lambda g: F.col(keys[0]).between(g["low"], g["high"]))
+    probes = (batch_keys.select(*keys, F.explode(within).alias("_g"))
+              .select(*keys, F.col("_g.group").alias("group"),
+                      _block(keys, F.col("_g.blocks")).alias("block")))
     index = None
-    for data, values in _by_data(ranged).items():
-        rows = spark.table(f"{data}_keys").where(F.col("value").isin(values))
+    for data in _by_data(ranged):
+        of = {word: i for (d, word), i in number.items() if d == data}
+        group = F.coalesce(*[F.when(F.col("word") == word, i) for word, i in of.items()])
+        rows = spark.table(f"{data}_keys").where(F.col("word").isin(list(of))).select(
+            group.alias("group"), "block", "bits")
         index = rows if index is None else index.unionByName(rows)
-
-    def is_set(position: Column) -> Column:
-        byte = F.substring("bits", (F.floor(position / 8) + 1).cast("int"), F.lit(1))
-        return F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(
-            F.call_function("shiftleft", F.lit(1), F.pmod(position, F.lit(8)).cast("int"))) != 0
-
-    perhaps = is_set(_positions(keys)[0])
-    for position in _positions(keys)[1:]:
-        perhaps = perhaps & is_set(position)
-    return probes.join(index, ["value", "block"]).where(perhaps).select(*keys, "value")
-
-
-def located(spark: SparkSession, held: Manifest, batch_keys: DataFrame) -> DataFrame:
+    hit = None  # the slots that have all bits of the key
+    for position in _positions(keys):
+        word = F.get("bits", position.cast("int"))
+        hit = word if hit is None else hit.bitwiseAND(word)
+    perhaps = probes.hint("merge").join(index, ["group", "block"]).select(
+        *keys, "group", hit.alias("_hit")).where("_hit <> 0")
+    low_high = f"low:{kind.simpleString()},high:{kind.simpleString()}"
+    owners = spark.createDataFrame(
+        [(number[group], group[1], [(p.value, p.low, p.high, p.slot, p.slots) for p in parts])
+         for group, parts in groups.items()],
+        f"group int, word int, parts array<struct<value:string,{low_high},slot:int,slots:int>>")
+
+    def may_hold(part: Column) -> Column:
+        slot = _slot(keys, part["slot"], part["slots"])
+        bit = F.call_function("shiftright", F.col("_hit"), F.pmod(slot, F.lit(WORD_SLOTS)))
+        return (bit.bitwiseAND(F.lit(1)) == 1) & (
+            F.floor(slot / WORD_SLOTS) == F.col("word")) & F.col(keys[0]).between(
+                part["low"], part["high"])
+
+    return perhaps.join(F.broadcast(owners), "group").select(
+        *keys, F.explode(F.filter("parts", may_hold)).alias("_p")).select(
+            *keys, F.col("_p.value").alias("value"))
+
+
+def located(spark: SparkSession, held: Manifest, batch_keys: DataFrame,
+            batch_rows: int | None = None) -> DataFrame:
     """(keys, value): where the batch's keys are. Key columns are read only of the
-    partitions that the index cannot rule out."""
+    partitions that the index cannot rule out. `batch_rows` saves counting the batch."""
     keys = list(held.keys)
+    n = batch_keys.count() if batch_rows is None else batch_rows
     pairs = candidates(spark, held, batch_keys)
     possible = [r["value"] for r in pairs.select("value").distinct().collect()]
     rows = rows_of(spark, held, held.among(possible)).select(
         *keys, text_of(held.partition).alias("value"))
-    return rows.join(batch_keys.select(*keys), keys, "left_semi")
+    return rows.join(sized(batch_keys.select(*keys), n), keys, "left_semi")
 
 
 # --- writing ------------------------------------------------------------------------------
@@ -236,9 +309,10 @@ def commit(spark: SparkSession, name: str, base: Manifest | None, keys: Sequence
     number = base.number + 1 if base else 1
     listing = f"{name}__c{time.time_ns() // 1_000_000:014d}_{os.urandom(4).hex()}"
     kind = spark.table(data).schema[keys[0]].dataType.simpleString()
-    spark.createDataFrame([(p.value, p.data, p.n, p.low, p.high, p.blocks) for p in parts],
-                          f"value string, data string, n long, low {kind}, high {kind}, blocks int"
-                          ).coalesce(1).write.format("parquet").saveAsTable(listing)
+    spark.createDataFrame([(p.value, p.data, p.n, p.low, p.high, p.blocks, p.slot, p.slots)
+                           for p in parts],
+                          f"value string, data string, n long, low {kind}, high {kind}, blocks int, "
+                          "slot int, slots int").coalesce(1).write.format("parquet").saveAsTable(listing)
     try:
         spark.sql(f"CREATE VIEW {name}__m{number:010d} TBLPROPERTIES ('keys' = '{','.join(keys)}', "
                   f"'partition' = '{partition}', 'data' = '{data}', "
@@ -272,9 +346,9 @@ def rewrite(df: DataFrame, name: str, base: Manifest, touched: Iterable[str]) ->
 def _upserted(staged: DataFrame, base: Manifest, update: Sequence[str] | None
               ) -> tuple[DataFrame, set[str]]:
     """(the rows of the touched partitions after the merge, those partitions)."""
-    spark, keys = staged.sparkSession, list(base.keys)
+    spark, keys, n = staged.sparkSession, list(base.keys), staged.count()
     folder = shared_folder(spark, "located")
-    located(spark, base, staged.select(*keys).distinct()).write.parquet(folder)
+    located(spark, base, staged.select(*keys).distinct(), n).write.parquet(folder)
     here = spark.read.parquet(folder)  # no more rows than the batch
     named = staged.select(text_of(base.partition).alias("value"))
     touched = {r["value"] for r in named.unionByName(here.select("value")).distinct().collect()}
@@ -282,10 +356,10 @@ def _upserted(staged: DataFrame, base: Manifest, update: Sequence[str] | None
     given = old.columns if update is None else [*update, base.partition]  # a row may move
     update = [c for c in given if c in staged.columns and c not in keys]
     batch = one_per_key(bronze.conform(staged, old.schema), keys)
-    merged = old.join(batch, keys, "left").select(*[
+    merged = old.join(sized(batch, n), keys, "left").select(*[
         F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
         if c in update else F.col(c) for c in old.columns])
-    inserted = batch.join(here, keys, "left_anti").select(*keys, "_new.*")
+    inserted = batch.join(sized(here, n), keys, "left_anti").select(*keys, "_new.*")
     return merged.unionByName(inserted), touched
 
 
@@ -312,14 +386,19 @@ def upsert(staged: DataFrame, name: str, update: Sequence[str] | None = None,
 
 
 def remove(spark: SparkSession, name: str, gone: DataFrame) -> int:
-    """Delete the rows whose key is in `gone` (keys); how many there were."""
+    """Delete the rows whose key is in `gone` (keys); how many there were. The keys are
+    written down first, as they are read several times."""
     base = manifest(spark, name)
     keys = list(base.keys)
-    lost = located(spark, base, gone.select(*keys).distinct())
+    folder = shared_folder(spark, "gone")
+    gone.select(*keys).distinct().write.parquet(folder)
+    gone = spark.read.schema(gone.select(*keys).schema).parquet(folder)
+    n = gone.count()
+    lost = located(spark, base, gone, n)
     counts = {r["value"]: r["count"] for r in lost.groupBy("value").count().collect()}
     if counts:
         old = rows_of(spark, base, base.among(counts))
-        rewrite(old.join(gone.select(*keys), keys, "left_anti"), name, base, counts)
+        rewrite(old.join(sized(gone, n), keys, "left_anti"), name, base, counts)
     return sum(counts.values())
 
 

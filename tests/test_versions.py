@@ -165,3 +165,23 @@ def test_repeats_do_not_cancel(spark):
 
     got = digests.gone_keys(keys([1, 1, 5]), keys([2, 2, 5]), "id")
     assert [r.id for r in got.collect()] == [1]
+
+
+def test_a_large_batch_is_not_sent_through_the_driver(spark, monkeypatch):
+    """Keys compress well, so the size of their files says little about a batch."""
+    name = "t_large_batch"
+    rows = spark.range(3_000).select("id", F.lit("x").alias("v"),
+                                     (F.col("id") % 30).cast("int").alias("day"))
+    versions.replace(rows, name, ["id"], "day")
+    held = versions.manifest(spark, name)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    asked = versions.candidates(spark, held, rows.select("id"))
+    assert "SortMergeJoin" in plan(asked) and "BuildLeft" not in plan(asked)
+    # A key is probed once in all days, not once per day.
+    assert {r.word for r in spark.table(f"{held.data}_keys").collect()} == {0}
+    monkeypatch.setattr("tallyhouse.sources.tables.BROADCAST_ROWS", 1_000)
+    merged, _ = versions._upserted(rows, held, None)
+    assert "BroadcastHashJoin" not in plan(merged)
