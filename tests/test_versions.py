@@ -185,3 +185,15 @@ def test_a_large_batch_is_not_sent_through_the_driver(spark, monkeypatch):
     monkeypatch.setattr("tallyhouse.sources.tables.BROADCAST_ROWS", 1_000)
     merged, _ = versions._upserted(rows, held, None)
     assert "BroadcastHashJoin" not in plan(merged)
+
+
+def test_the_delete_pass_computes_its_keys_once(spark, table, monkeypatch):
+    plans, real = [], versions.located
+
+    def located(spark, held, gone, *rows):
+        plans.append(gone._jdf.queryExecution().executedPlan().toString())
+        return real(spark, held, gone, *rows)
+
+    monkeypatch.setattr(versions, "located", located)
+    assert versions.remove(spark, table, spark.range(1, 3)) == 2
+    assert "Range" not in plans[0] and "parquet" in plans[0]
