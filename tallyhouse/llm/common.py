@@ -78,14 +78,16 @@ def held(key, build: Callable):
     """What a Python worker keeps between tasks: the tables of one operator at a time, so
     that those of a stage do not fill the memory of the next."""
     if key not in _HELD:
-        _HELD.clear()
+        forget()
         _HELD[key] = build()
     return _HELD[key]
 
 
 def forget() -> None:
-    """For tasks that need no tables: those of the stages before go."""
+    """For tasks that need no tables: those of the stages before go, and the memory that
+    Arrow keeps for reuse goes back."""
     _HELD.clear()
+    pa.default_memory_pool().release_unused()
 
 
 class Memo(dict):

@@ -30,6 +30,8 @@ from .common import Memo, checkpointed, file_bytes, held, id_text, ship, slices
 # Fixed value: the pattern of the byte-level pre-tokeniser.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END = (0).to_bytes(4, "little")
+# Bytes of text that are cut into chunks at once. A chunk takes some ten times its length.
+TOGETHER = 4 << 20
 
 
 def byte_of_char() -> dict[str, int]:
@@ -129,6 +131,23 @@ def cuts(n: int, size: int) -> list[tuple[int, int]]:
     return [(0, first)] * bool(first) + [(s, size) for s in range(first, n, size)]
 
 
+def cut_up(batches: Iterator[pa.RecordBatch], own: FileEncoder, size: int, ids: bool,
+           schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The pieces of batches of (doc_id, text)."""
+    for batch in slices(batches, TOGETHER):
+        names = batch.column("doc_id").to_pylist()
+        rows = []
+        for name, found in zip(names, own.encode(batch.column("text").to_pylist())):
+            found += END
+            for k, (start, length) in enumerate(cuts(len(found) // 4, size)):
+                part = found[4 * start:4 * (start + length)]
+                rows.append((name, k, start, length, zlib.crc32(part),
+                             np.frombuffer(part, "<i4") if ids else None))
+        columns = list(zip(*rows))[:6 if ids else 5] or [[]] * (6 if ids else 5)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
 def pieces(docs: DataFrame, path: str, size: int = 2048, ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids array<int>]) of all documents.
 
@@ -138,19 +157,7 @@ def pieces(docs: DataFrame, path: str, size: int = 2048, ids: bool = False) -> D
     data = file_bytes(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = file_encoder(data)
-        for batch in slices(batches):
-            names = batch.column("doc_id").to_pylist()
-            rows = []
-            for name, found in zip(names, own.encode(batch.column("text").to_pylist())):
-                found += END
-                for k, (start, length) in enumerate(cuts(len(found) // 4, size)):
-                    part = found[4 * start:4 * (start + length)]
-                    rows.append((name, k, start, length, zlib.crc32(part),
-                                 np.frombuffer(part, "<i4") if ids else None))
-            columns = list(zip(*rows))[:6 if ids else 5] or [[]] * (6 if ids else 5)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        return cut_up(batches, file_encoder(data), size, ids, schema)
 
     schema = pa.schema([("doc_id", to_arrow_type(docs.schema["doc_id"].dataType)),
                         ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
