@@ -27,7 +27,11 @@ def sized(batch: DataFrame, rows: int) -> DataFrame:
     """A batch to be joined to a table. The optimizer goes by the size of its compressed
     files, also when it is aggregated first, and would send millions of rows through the
     driver; so beyond a number of rows the join is a sort-merge one."""
-    return batch.hint("merge") if rows > BROADCAST_ROWS else batch
+    return batch.hint("merge") if is_large(rows) else batch
+
+
+def is_large(rows: int) -> bool:
+    return rows > BROADCAST_ROWS
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:

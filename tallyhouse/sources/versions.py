@@ -33,11 +33,12 @@ from pyspark.sql import functions as F
 
 from ..config import shared_folder
 from . import bronze
-from .tables import laid_out, one_per_key, sized
+from .tables import is_large, laid_out, one_per_key, sized
 
 BLOCK_BITS = 512  # positions of a block
 WORD_SLOTS = 64
 BITS_PER_KEY, HASHES = 10, 5  # about one false "perhaps" in a hundred
+FIRST_KEYS = 20_000  # of a large batch that are probed before the others
 
 
 class Conflict(RuntimeError):
@@ -168,6 +169,30 @@ def _slot(keys: Sequence[str], first: Column, slots: Column) -> Column:
     return (first + F.pmod(F.xxhash64(*keys, F.lit(2)), slots)).cast("int")
 
 
+def _bits_of(positions: Sequence[Column], word: int) -> Column:
+    """Those of the positions that lie in one long of a block, as its bits."""
+    out = None
+    for position in positions:
+        bit = F.when(F.shiftright(position, 6) == word, F.call_function(
+            "shiftleft", F.lit(1).cast("long"), (position % 64).cast("int"))).otherwise(0)
+        out = bit if out is None else out.bitwiseOR(bit)
+    return out
+
+
+def _crossed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Arrays of 64 longs as bit matrices with rows and columns changed: bit s of long p
+    becomes bit p of long s. Blocks of 32, 16, .. 1 bits change places across the diagonal."""
+    for j in (32, 16, 8, 4, 2, 1):
+        low = sum(1 << b for b in range(64) if not b & j)
+        low -= (low >> 63) << 64  # the lower half of each block of 2 * j bits, as a long
+        df = df.withColumns({c: F.expr(
+            f"transform({c}, (x, k) -> if((k & {j}) = 0,"
+            f" (x & {low}L) | shiftleft({c}[k ^ {j}] & {low}L, {j}),"
+            f" (shiftrightunsigned({c}[k ^ {j}], {j}) & {low}L) | (x & ~{low}L)))")
+            for c in columns})
+    return df
+
+
 def _slotted(parts: Sequence[Part]) -> list[Part]:
     """The parts with slots of about equal numbers of keys. There are at most two slots to a
     partition, rounded up to whole words, so large partitions do not make the others' blocks
@@ -191,26 +216,29 @@ def _write_index(spark: SparkSession, data: str, keys: Sequence[str], partition:
                       for r in stats.collect()])
     sizes = spark.createDataFrame([(p.value, p.blocks, p.slot, p.slots) for p in parts],
                                   "_value string, blocks int, _first int, _slots int")
-    held = rows.join(F.broadcast(sizes), "_value").select(
+    keyed = rows.join(F.broadcast(sizes), "_value").select(
         _slot(keys, F.col("_first"), F.col("_slots")).alias("slot"),
         _block(keys, F.col("blocks")).alias("block"),
-        F.explode(F.array(*_positions(keys))).alias("position"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("slot", F.lit(WORD_SLOTS)))
-    held = held.select(F.floor(F.col("slot") / WORD_SLOTS).cast("int").alias("word"),
-                       "block", "position", bit.alias("bits"))
-    # Every position of every block, so that the words of a block are in their places.
-    blocks, words = max((p.blocks for p in parts), default=0), max(
+        *[p.alias(f"_p{i}") for i, p in enumerate(_positions(keys))])
+    # A slot's bits of a block are a few longs, and leave a task as one row; then the slots of
+    # a word are laid side by side. Every slot of every word is there, so that all are in place.
+    parted = [f"_w{j}" for j in range(BLOCK_BITS // 64)]
+    blocks, slots = max((p.blocks for p in parts), default=0), WORD_SLOTS * max(
         (p.words().stop for p in parts), default=0)
     n = F.col("id")
-    empty = spark.range(words * blocks * BLOCK_BITS).select(
-        F.floor(n / (blocks * BLOCK_BITS or 1)).cast("int").alias("word"),
-        (F.floor(n / BLOCK_BITS) % (blocks or 1)).cast("int").alias("block"),
-        (n % BLOCK_BITS).cast("int").alias("position"), F.lit(0).cast("long").alias("bits"))
-    placed = (held.unionByName(empty).groupBy("word", "block", "position")
-              .agg(F.bit_or("bits").alias("bits")))
-    (placed.groupBy("word", "block")
-     .agg(F.sort_array(F.collect_list(F.struct("position", "bits"))).alias("bits"))
-     .select("word", "block", F.col("bits.bits").alias("bits"))
+    empty = spark.range(slots * blocks).select(
+        F.floor(n / (blocks or 1)).cast("int").alias("slot"),
+        (n % (blocks or 1)).cast("int").alias("block"),
+        *[F.lit(0).cast("long").alias(w) for w in parted])
+    filters = keyed.groupBy("slot", "block").agg(*[
+        F.bit_or(_bits_of([F.col(f"_p{i}") for i in range(HASHES)], j)).alias(w)
+        for j, w in enumerate(parted)])
+    filters = filters.unionByName(empty).groupBy("slot", "block").agg(*[
+        F.bit_or(w).alias(w) for w in parted])
+    beside = (filters.groupBy(F.floor(F.col("slot") / WORD_SLOTS).cast("int").alias("word"), "block")
+              .agg(F.sort_array(F.collect_list(F.struct("slot", *parted))).alias("_slots"))
+              .select("word", "block", *[F.col(f"_slots.{w}").alias(w) for w in parted]))
+    (_crossed(beside, parted).select("word", "block", F.concat(*parted).alias("bits"))
      .write.format("parquet").saveAsTable(f"{data}_keys"))
     return parts
 
@@ -276,15 +304,32 @@ def candidates(spark: SparkSession, held: Manifest, batch_keys: DataFrame) -> Da
             *keys, F.col("_p.value").alias("value"))
 
 
+def named(spark: SparkSession, held: Manifest, batch_keys: DataFrame, n: int) -> list[Part]:
+    """The partitions that may hold a key of a batch of `n`: those of `candidates`.
+
+    Of a large batch some keys are probed first. The partitions they name are read anyway,
+    so the other keys are probed for the rest of the partitions alone, if any are left."""
+    def probed(parts: Sequence[Part], some: DataFrame) -> set[str]:
+        found = candidates(spark, changed(held, parts=tuple(parts)), some).select("value")
+        return {r["value"] for r in found.distinct().collect()}
+
+    if n <= 2 * FIRST_KEYS:
+        return held.among(probed(held.parts, batch_keys))
+    turn = F.pmod(F.xxhash64(*held.keys, F.lit(3)), F.lit(-(-n // FIRST_KEYS)))
+    values = probed(held.parts, batch_keys.where(turn == 0))
+    left = [p for p in held.parts if p.value not in values and p.low is not None]
+    if left:
+        values |= probed(left, batch_keys.where(turn != 0))
+    return held.among(values)
+
+
 def located(spark: SparkSession, held: Manifest, batch_keys: DataFrame,
             batch_rows: int | None = None) -> DataFrame:
     """(keys, value): where the batch's keys are. Key columns are read only of the
     partitions that the index cannot rule out. `batch_rows` saves counting the batch."""
     keys = list(held.keys)
     n = batch_keys.count() if batch_rows is None else batch_rows
-    pairs = candidates(spark, held, batch_keys)
-    possible = [r["value"] for r in pairs.select("value").distinct().collect()]
-    rows = rows_of(spark, held, held.among(possible)).select(
+    rows = rows_of(spark, held, named(spark, held, batch_keys, n)).select(
         *keys, text_of(held.partition).alias("value"))
     return rows.join(sized(batch_keys.select(*keys), n), keys, "left_semi")
 
@@ -350,16 +395,24 @@ def _upserted(staged: DataFrame, base: Manifest, update: Sequence[str] | None
     folder = shared_folder(spark, "located")
     located(spark, base, staged.select(*keys).distinct(), n).write.parquet(folder)
     here = spark.read.parquet(folder)  # no more rows than the batch
-    named = staged.select(text_of(base.partition).alias("value"))
-    touched = {r["value"] for r in named.unionByName(here.select("value")).distinct().collect()}
+    given = staged.select(text_of(base.partition).alias("value"))
+    touched = {r["value"] for r in given.unionByName(here.select("value")).distinct().collect()}
     old = rows_of(spark, base, base.among(touched))
     given = old.columns if update is None else [*update, base.partition]  # a row may move
     update = [c for c in given if c in staged.columns and c not in keys]
     batch = one_per_key(bronze.conform(staged, old.schema), keys)
-    merged = old.join(sized(batch, n), keys, "left").select(*[
-        F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
-        if c in update else F.col(c) for c in old.columns])
-    inserted = batch.join(sized(here, n), keys, "left_anti").select(*keys, "_new.*")
+
+    def column(c: str) -> Column:
+        return F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(
+            F.col(c)) if c in update else F.col(c)
+
+    if is_large(n):  # the join shuffles both sides anyway: one, instead of two
+        both = old.withColumn("_old", F.lit(True)).join(sized(batch, n), keys, "full")
+        merged = both.select(*[c if c in keys else F.when(F.col("_old"), column(c)).otherwise(
+            F.col(f"_new.{c}")).alias(c) for c in old.columns])
+        return merged, touched
+    merged = old.join(batch, keys, "left").select(*[column(c).alias(c) for c in old.columns])
+    inserted = batch.join(here, keys, "left_anti").select(*keys, "_new.*")
     return merged.unionByName(inserted), touched
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tallyhouse.sources import digests, versions
@@ -197,3 +198,73 @@ def test_the_delete_pass_computes_its_keys_once(spark, table, monkeypatch):
     monkeypatch.setattr(versions, "located", located)
     assert versions.remove(spark, table, spark.range(1, 3)) == 2
     assert "Range" not in plans[0] and "parquet" in plans[0]
+
+
+def test_bit_matrices_are_crossed(spark):
+    words = [(0x9E3779B97F4A7C15 * (i + 1) & (1 << 64) - 1) for i in range(64)]
+
+    def signed(x):
+        return x - (x >> 63 << 64)
+
+    df = spark.createDataFrame([([*map(signed, words)],)], "m array<long>")
+    [found] = versions._crossed(df, ["m"]).first()
+    assert found == [signed(sum((w >> p & 1) << s for s, w in enumerate(words)))
+                     for p in range(64)]
+
+
+def test_an_index_leaves_a_task_as_one_row_per_slot_and_block(spark, monkeypatch):
+    """Not as one row per position of each key."""
+    plans, real = [], DataFrameWriter.saveAsTable
+
+    def save(writer, name, **options):
+        if name.endswith("_keys"):
+            plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        return real(writer, name, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", save)
+    versions.replace(spark.range(300).select("id", F.lit("x").alias("v"),
+                                             (F.col("id") % 3).cast("int").alias("day")),
+                     "t_index_rows", ["id"], "day")
+    assert len(plans) == 1 and "explode" not in plans[0] and "Generate" not in plans[0]
+
+
+def test_all_of_a_large_batch_is_probed_only_for_partitions_not_yet_named(spark, monkeypatch):
+    name = "t_first_keys"
+    rows = spark.range(3_000).select("id", F.lit("x").alias("v"),
+                                     (F.col("id") / 100).cast("int").alias("day"))
+    versions.replace(rows, name, ["id"], "day")
+    held, probes, real = versions.manifest(spark, name), [], versions.candidates
+
+    def candidates(spark, held, some):
+        probes.append((some.count(), len(held.parts)))
+        return real(spark, held, some)
+
+    monkeypatch.setattr(versions, "candidates", candidates)
+    monkeypatch.setattr(versions, "FIRST_KEYS", 300)
+    assert versions.located(spark, held, rows.select("id")).count() == 3_000
+    assert len(probes) == 1 and probes[0][0] < 600  # they name every day
+    # One key of a day beside many of another: found although not among the first.
+    asked = rows.where("day = 7").unionByName(rows.where("day >= 20 AND id % 100 = 50"))
+    monkeypatch.setattr(versions, "FIRST_KEYS", 10)
+    found = versions.located(spark, held, asked.select("id"))
+    assert sorted(r.value for r in found.select("value").distinct().collect()) == sorted(
+        ["7", *map(str, range(20, 30))])
+    assert len(probes) == 3 and probes[1][0] + probes[2][0] == asked.count()
+
+
+def test_a_large_merge_is_one_join(spark, monkeypatch):
+    name = "t_one_join"
+    versions.replace(frame(spark, [(1, "a", 1), (2, "b", 1), (3, "c", 2), (None, "n", 2)]), name,
+                     ["id"], "day")
+    monkeypatch.setattr("tallyhouse.sources.tables.BROADCAST_ROWS", 1)
+    batch = frame(spark, [(1, "A", 3), (2, None, 1), (9, "i", 2), (None, "m", 1)])
+    merged, _ = versions._upserted(batch, versions.manifest(spark, name), None)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "FullOuter" in plan
+    versions.upsert(batch, name)
+    rows = spark.table(name).select("id", "v", "day").collect()
+    assert {tuple(r) for r in rows} == {(1, "A", 3), (2, None, 1), (3, "c", 2), (9, "i", 2),
+                                        (None, "n", 2), (None, "m", 1)} and len(rows) == 6
+    versions.upsert(frame(spark, [(1, "p", 3), (8, "q", 4)]).drop("v"), name, [])
+    assert {(1, "A", 3), (8, None, 4)} <= {tuple(r) for r in spark.table(name).select(
+        "id", "v", "day").collect()}
