@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -24,13 +25,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .byte_bpe import CHUNK
-from .common import Memo, checkpointed, file_bytes, held, id_text, ship, slices
+from .byte_bpe import SPACE
+from .common import checkpointed, file_bytes, held, id_text, ship, slices
 
-# Fixed value: the pattern of the byte-level pre-tokeniser.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Fixed value: the pattern of the byte-level pre-tokeniser, as tiktoken writes it for speed:
+# the runs give nothing back, and the last of them need not look ahead.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
+# White space up to the last one before something else: a match of the pattern ends there.
+# tiktoken cannot take a million of it that something follows, so long texts are cut there.
+RUN = re.compile(f"[{SPACE}]{{64,}}(?=[{SPACE}][^{SPACE}])")
+LONG = 500_000
 END = (0).to_bytes(4, "little")
-# Bytes of text that are cut into chunks at once. A chunk takes some ten times its length.
+# Bytes of text that are encoded at once.
 TOGETHER = 4 << 20
 
 
@@ -67,55 +73,34 @@ def ranks_of(data: bytes) -> dict[bytes, int]:
 class FileEncoder:
     """Ids by a tokenizers file whose pre-tokeniser is the byte-level one.
 
-    Texts are cut into chunks that no token crosses; common chunks are looked up. New ones
-    are encoded joined by line ends, which have an id of their own there. The file's merges
-    are run by tiktoken, whose results for it are those of the tokenizers library (tested on
-    every token and on whole texts) at a fifth of the time.
+    The file's merges are run by tiktoken, whose results for it are those of the tokenizers
+    library (tested on every token and on whole texts) at a fifth of the time. It takes whole
+    texts: to cut them into words here and to look those up took longer.
     """
 
     def __init__(self, data: bytes):
         self.tokenizer = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks_of(data),
                                            special_tokens={})
-        self.line_end = int(self.batch(["\n"])[0][0])
-        self.chunks = Memo(None, 250_000)
         self.added = added_tokens(data)
         self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))
                               or "(?!)")
 
-    def batch(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(self.tokenizer.encode_ordinary(t), "<u4") for t in texts]
-
-    def ids(self, chunks: list[str], together: int = 500) -> dict[str, bytes]:
-        spaces = [c for c in chunks if c.isspace()]
-        rest = [c for c in chunks if not c.isspace()]
-        found = {c: ids.tobytes() for c, ids in zip(spaces, self.batch(spaces))}
-        for at in range(0, len(rest), together):
-            part = rest[at:at + together]
-            ids = self.batch(["\n".join(part)])[0]
-            flat, ends = ids.tobytes(), np.flatnonzero(ids == self.line_end).tolist()
-            start = 0
-            for c, end in zip(part, [*ends, len(ids)]):
-                found[c] = flat[4 * start:4 * end]
-                start = end + 1
-        return found
+    def ids(self, text: str) -> bytes:
+        """The little-endian 32-bit ids of a text without added tokens."""
+        if len(text) <= LONG:
+            return array("I", self.tokenizer.encode_ordinary(text)).tobytes()
+        ends = [0, *[m.end() for m in RUN.finditer(text)], len(text)]
+        return b"".join(array("I", self.tokenizer.encode_ordinary(text[a:b])).tobytes()
+                        for a, b in zip(ends, ends[1:]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts, owners = [], []  # texts between added tokens, and whose they are
-        marks: dict[int, list[bytes]] = {}  # the added tokens of the few texts that have some
-        for k, text in enumerate(texts):
-            own = self.cut.split(text)
-            parts += own
-            owners += [k] * len(own)
-            if len(own) > 1:
-                marks[k] = [self.added[m].to_bytes(4, "little") for m in self.cut.findall(text)]
-        cut = [CHUNK.findall(t) for t in parts]
-        found = self.chunks.with_all(set().union(*cut), self.ids)
-        out: list[list[bytes]] = [[] for _ in texts]
-        for k, chunks in zip(owners, cut):
-            if out[k]:
-                out[k].append(marks[k].pop(0))
-            out[k].append(b"".join(map(found.__getitem__, chunks)))
-        return [b"".join(own) for own in out]
+        return [self.ids(t) if not self.cut.search(t) else self.marked(t) for t in texts]
+
+    def marked(self, text: str) -> bytes:
+        """The ids of a text with added tokens."""
+        marks = [self.added[m].to_bytes(4, "little") for m in self.cut.findall(text)]
+        own = map(self.ids, self.cut.split(text))
+        return next(own) + b"".join(mark + ids for mark, ids in zip(marks, own))
 
 
 def file_encoder(data) -> FileEncoder:

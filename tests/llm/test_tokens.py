@@ -190,6 +190,35 @@ def test_added_tokens_are_cut_out_first():
     assert ids_of(own.encode([f"a {next(iter(own.added))} b"])[0]) == [64, 220, 50256, 275]
 
 
+def test_long_runs_of_white_space(monkeypatch):
+    """A million characters of it, which tiktoken cannot take if something follows."""
+    library, own = Tokenizer.from_file(JSON), packing.FileEncoder(read(JSON))
+    piece = own.tokenizer._encode_single_piece
+    run = " " * 1_100_000
+    assert ids_of(own.encode([run + " a"])[0]) == [*piece(run), *piece(" a")]
+    monkeypatch.setattr(packing, "LONG", 10)  # short texts are cut like long ones
+    sample = [f"{a}{space * n}{b}" for a in ("", "a", "a.") for b in ("", "b", "!", " c  d")
+              for space in (" ", "\n", "\n ", "\u3000\x85") for n in (31, 32, 33, 63, 64, 65, 66, 200)]
+    want = [e.ids for e in library.encode_batch(sample, add_special_tokens=False)]
+    assert [ids_of(x) for x in own.encode(sample)] == want
+
+
+def test_texts_are_encoded_whole():
+    """Not word by word: each is one call, and no words are kept."""
+    own, calls = packing.FileEncoder(read(JSON)), []
+
+    class Seen:
+        def encode_ordinary(self, text):
+            calls.append(text)
+            return [1]
+
+    own.tokenizer = Seen()
+    texts = ["a b  c\n\nd's", "", "e <|endoftext|> f"]
+    end = own.added["<|endoftext|>"]
+    assert [ids_of(x) for x in own.encode(texts)] == [[1], [1], [1, end, 1]]
+    assert calls == ["a b  c\n\nd's", "", "e ", " f"]
+
+
 def check_packed(rows, size):
     bins = {}
     for r in rows:
